@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, packing
+from . import bpe, lines, packing, pii
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -14,6 +15,44 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: lines, lines removed, and the MD5 of what is left."""
+    out = lines.drop_boilerplate(_table(spark, sf_dir, "documents"), min_sites=5, min_chars=20)
+    return out.select(
+        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.md5("text").alias("kept_md5")
+    )
+
+
+OP3_SQL = """
+WITH lines AS (
+  SELECT doc_id, source, text, string_split(text, chr(10)) AS parts FROM documents
+), each AS (
+  SELECT doc_id, source, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM lines
+), kept AS (
+  SELECT doc_id, source, pos, line, trim(line, ' ') AS t FROM each
+), spread AS (
+  SELECT t, count(DISTINCT source) AS sites, min((doc_id, pos)) AS first
+  FROM kept WHERE length(t) >= 20 GROUP BY t HAVING count(DISTINCT source) >= 5
+), marked AS (
+  SELECT k.doc_id, k.pos, k.line, (s.t IS NOT NULL AND (k.doc_id, k.pos) <> s.first) AS gone
+  FROM kept k LEFT JOIN spread s ON k.t = s.t AND length(k.t) >= 20
+)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_removed,
+       md5(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_md5
+FROM marked GROUP BY doc_id
+"""
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: counts of base kinds, their digest, all spans, and the MD5 of the safe text."""
+    out = pii.sanitise(_table(spark, sf_dir, "documents"))
+    counts = [pii.kind_count(F.col("_base"), k).alias(f"n_{k}") for k in pii.KINDS]
+    return out.select(
+        "doc_id", *counts, F.sha2(pii.listed(F.col("_base")), 256).alias("base_sha256"),
+        pii.listed(F.col("_spans")).alias("spans"), F.md5("_clean").alias("clean_md5"),
+    )
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return bpe.encode_decode(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN, with_ids=False)
@@ -24,5 +63,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path(BYTE_BPE), size=2048, end_id=0, with_ids=False)
 
 
-QUERIES = {"op7_bpe": op7_bpe, "op10_packing": op10_packing}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    "op3_line_spread": op3_line_spread,
+    "op4_pii": op4_pii,
+    "op7_bpe": op7_bpe,
+    "op10_packing": op10_packing,
+}
+ORACLES: dict[str, str] = {"op3_line_spread": OP3_SQL}
