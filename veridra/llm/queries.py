@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lines, packing, pii
+from . import bpe, dart, lines, packing, pii
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -53,6 +53,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart.near_duplicates(_table(spark, sf_dir, "documents"), least=0.8, width=5)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return bpe.encode_decode(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN, with_ids=False)
@@ -66,6 +70,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_line_spread": op3_line_spread,
     "op4_pii": op4_pii,
+    "op5_dart_minhash": op5_dart_minhash,
     "op7_bpe": op7_bpe,
     "op10_packing": op10_packing,
 }
