@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, dart, lines, packing, pii
+from . import bpe, dart, langid, lines, packing, pii, toxicity
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def op3_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines, lines removed, and the MD5 of what is left."""
     out = lines.drop_boilerplate(_table(spark, sf_dir, "documents"), min_sites=5, min_chars=20)
@@ -62,16 +66,24 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN, with_ids=False)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain: poor quality first, then toxicity."""
+    categories = {"poor": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), categories)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path(BYTE_BPE), size=2048, end_id=0, with_ids=False)
 
 
 QUERIES = {
+    "op1_language": op1_language,
     "op3_line_spread": op3_line_spread,
     "op4_pii": op4_pii,
     "op5_dart_minhash": op5_dart_minhash,
     "op7_bpe": op7_bpe,
+    "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
 }
 ORACLES: dict[str, str] = {"op3_line_spread": OP3_SQL}

@@ -57,6 +57,16 @@ def words(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return text, mix(value + U(0x9E3779B97F4A7C15) * (end - first).astype(U)), first, end
 
 
+def prefixes(raw: np.ndarray, first: np.ndarray, end: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(number, hash of the first `size` bytes) of the words that are longer than `size` bytes."""
+    long = np.flatnonzero(end - first > size)
+    at = first[long]
+    h = np.zeros(len(at), U)
+    for i in range(size):
+        h = (h << U(8)) | raw[at + i].astype(U)
+    return long, mix(h)
+
+
 def shingles(text: np.ndarray, hashes: np.ndarray, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """(text number, hash) of every run of `width` words; a shorter text is one run."""
     n = len(hashes)
