@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, dart, langid, lines, packing, pii, toxicity
+from . import additive, bpe, dart, ego, langid, lines, packing, pii, toxicity
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -19,6 +19,10 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op2_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return additive.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, top=20)
+
+
 def op3_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines, lines removed, and the MD5 of what is left."""
     out = lines.drop_boilerplate(_table(spark, sf_dir, "documents"), min_sites=5, min_chars=20)
@@ -66,6 +70,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN, with_ids=False)
 
 
+def op8_ego(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ego.near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.9)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The chain: poor quality first, then toxicity."""
     categories = {"poor": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
@@ -79,10 +87,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language": op1_language,
+    "op2_additive": op2_additive,
     "op3_line_spread": op3_line_spread,
     "op4_pii": op4_pii,
     "op5_dart_minhash": op5_dart_minhash,
     "op7_bpe": op7_bpe,
+    "op8_ego": op8_ego,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
 }
