@@ -123,9 +123,9 @@ def held_out(id_col: Column) -> Column:
 
 def identify(
     docs: DataFrame, families: dict[str, str] | None = None, rows_per_language: int = ROWS_PER_LANGUAGE,
-    id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+    id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per document: id_col, held_out, lang_pred, score.
+    """One row per document: id_col, held_out, lang_pred, score and the columns named in carry.
 
     Learns from text and lang of rows that aren't held out (crc32 of the id as text, modulo
     4, is 2) and have a lang, about rows_per_language of each language, chosen by a hash of
@@ -164,7 +164,8 @@ def identify(
             model = Model(x, np.array([r["lang"] for r in rows]), FAMILIES if families is None else families)
     sent = spark.sparkContext.broadcast(model)
     todo = docs.select(
-        ident.alias("_id"), held_out(ident).alias("held_out"), F.lower(text).alias("text"), F.coalesce(letters, F.lit(False)).alias("some")
+        ident.alias("_id"), held_out(ident).alias("held_out"), F.lower(text).alias("text"), F.coalesce(letters, F.lit(False)).alias("some"),
+        *[F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(carry)],
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,9 +181,12 @@ def identify(
                     names = [v if s else "und" for v, s in zip(names, some, strict=True)]
                     score = np.where(some, score, 0.0)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, n), batch.column(1).slice(at, n), pa.array(names, pa.string()), pa.array(score)],
-                    ["_id", "held_out", "lang_pred", "score"],
+                    [batch.column(0).slice(at, n), batch.column(1).slice(at, n), pa.array(names, pa.string()), pa.array(score),
+                     *[c.slice(at, n) for c in batch.columns[4:]]],
+                    ["_id", "held_out", "lang_pred", "score", *batch.schema.names[4:]],
                 )
 
-    kind = todo.schema["_id"].dataType.simpleString()
-    return todo.mapInArrow(run, f"_id {kind}, held_out boolean, lang_pred string, score double").withColumnRenamed("_id", id_col)
+    schema = f"_id {todo.schema['_id'].dataType.simpleString()}, held_out boolean, lang_pred string, score double"
+    schema += "".join(f", _k{i} {todo.schema[f'_k{i}'].dataType.simpleString()}" for i in range(len(carry)))
+    out = todo.mapInArrow(run, schema)
+    return out.select(F.col("_id").alias(id_col), "held_out", "lang_pred", "score", *[F.col(f"_k{i}").alias(c) for i, c in enumerate(carry)])

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import additive, bpe, dart, ego, langid, lines, packing, pii, toxicity
+from . import additive, bpe, chat, dart, ego, langid, lines, packing, pii, toxicity
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -65,6 +65,40 @@ def op5_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart.near_duplicates(_table(spark, sf_dir, "documents"), least=0.8, width=5)
 
 
+def op6_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chat.rotate(_table(spark, sf_dir, "conversations"))
+    return out.withColumn("rendered", F.md5("rendered")).withColumnRenamed("rendered", "rendered_md5")
+
+
+OP6_SQL = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')) - 1 AS seq
+  FROM conversations
+), people AS (
+  SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'
+), roles AS (
+  SELECT t.*, p.perspective,
+         CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant' ELSE 'user' END AS chat_role
+  FROM t JOIN people p ON t.conv_id IS NOT DISTINCT FROM p.conv_id
+), parts AS (
+  SELECT *, CASE WHEN chat_role = 'user' THEN speaker END AS name,
+         '<|im_start|>' || chat_role || CASE WHEN chat_role = 'user' THEN ' name=' || speaker ELSE '' END || chr(10) AS prefix
+  FROM roles
+), full_text AS (
+  SELECT *, prefix || text || '<|im_end|>' || chr(10) AS rendered FROM parts
+), placed AS (
+  SELECT *, CAST(sum(length(rendered)) OVER (PARTITION BY conv_id, perspective ORDER BY seq) AS BIGINT) AS "end" FROM full_text
+)
+SELECT conv_id, perspective, turn, seq, chat_role, name, md5(rendered) AS rendered_md5,
+       "end" - length(rendered) AS start, "end",
+       CASE WHEN chat_role = 'assistant' THEN "end" - length(rendered) + length(prefix) ELSE "end" - length(rendered) END AS mask_start,
+       CASE WHEN chat_role = 'assistant' THEN "end" - 1 ELSE "end" - length(rendered) END AS mask_end,
+       chat_role = 'assistant' AS learn
+FROM placed
+"""
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return bpe.encode_decode(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.PATTERN, with_ids=False)
@@ -91,9 +125,10 @@ QUERIES = {
     "op3_line_spread": op3_line_spread,
     "op4_pii": op4_pii,
     "op5_dart_minhash": op5_dart_minhash,
+    "op6_perspectives": op6_perspectives,
     "op7_bpe": op7_bpe,
     "op8_ego": op8_ego,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
 }
-ORACLES: dict[str, str] = {"op3_line_spread": OP3_SQL}
+ORACLES: dict[str, str] = {"op3_line_spread": OP3_SQL, "op6_perspectives": OP6_SQL}
