@@ -1 +1,10 @@
+"""Queries over the synthetic tables; loading this package's modules registers them."""
 
+from importlib import import_module
+
+MODULES = ("scalar_queries", "link_queries")
+
+
+def load() -> None:
+    for name in MODULES:
+        import_module(f".{name}", __name__)
