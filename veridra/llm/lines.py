@@ -67,14 +67,15 @@ def drop_boilerplate(
     boilerplate = spread.where(F.col("sites") > min_sites + margin).select("hash", "first").unionByName(
         near.join(exact, "hash", "left_semi").select("hash", "first")
     )
-    hits = lines.join(boilerplate, "hash")
+    # joined by sorting at any size: a plan that turns at some size can't be foreseen from small runs
+    hits = lines.join(boilerplate.hint("merge"), "hash")
     if keep_first:
         first = F.col("first")
         hits = hits.where(~((F.col("row") == first["row"]) & F.col("id").eqNullSafe(first["id"]) & (F.col("pos") == first["pos"])))
     gone = hits.groupBy("row", "id").agg(F.array_sort(F.collect_set("pos")).alias("_gone"))
     gone = stored(gone.select(F.col("row").alias("_row"), F.col("id").alias("_id"), "_gone"))
     out = docs.withColumn("_key", key).alias("d").join(
-        gone, (F.col("_key") == F.col("_row")) & F.col(f"d.`{id_col}`").eqNullSafe(F.col("_id")), "left"
+        gone.hint("merge"), (F.col("_key") == F.col("_row")) & F.col(f"d.`{id_col}`").eqNullSafe(F.col("_id")), "left"
     )
     all_lines = F.split(text, "\n")
     kept = F.when(F.col("_gone").isNull(), text).otherwise(F.array_join(_without(all_lines, F.col("_gone")), "\n"))
