@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Words whose ids a worker keeps at most.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 900_000
+MARKS = ".,;:!?"
 
 
 def byte_letters() -> dict[int, str]:
@@ -48,37 +49,36 @@ class WordCache:
         known = self.spaced
         if len(known) > self.bound:
             known.clear()
+        get = known.get
         split = [t.split(" ") for t in texts]
-        new: dict[str, None] = {}
-        for parts in split:
-            for p in parts:
-                if p not in known:
-                    new[p] = None
+        got = [list(map(get, parts[1:])) for parts in split]
+        open_texts = [i for i, values in enumerate(got) if None in values]
+        if open_texts:
+            self._learn({p for i in open_texts for p, v in zip(split[i][1:], got[i], strict=True) if v is None})
+            for i in open_texts:
+                got[i] = list(map(get, split[i][1:]))
         # a piece that is empty or starts blank joins a run of blanks: its text is encoded whole
-        for p in list(new):
-            if not p or p[0].isspace():
-                del new[p]
-        if new:
-            known.update(zip(new, self.encode_pieces([" " + p for p in new]), strict=True))
-        out: list[bytes | None] = []
-        whole: list[int] = []
-        firsts: list[str] = []
-        for i, parts in enumerate(split):
-            rest = list(map(known.get, parts[1:]))
-            if None in rest or (parts[0] and parts[0][-1].isspace() and rest) or not parts[0]:
-                whole.append(i)
-                out.append(None)
-                firsts.append("")
-            else:
-                out.append(b"".join(rest))
-                firsts.append(parts[0])
-        heads = self.encode_pieces(firsts)
-        ids = [h + o if o is not None else b"" for h, o in zip(heads, out, strict=True)]
-        if whole:
-            for i, v in zip(whole, self.encode_pieces([texts[i] for i in whole]), strict=True):
-                ids[i] = v
+        whole = [
+            i for i, (parts, values) in enumerate(zip(split, got, strict=True))
+            if None in values or (values and (not parts[0] or parts[0][-1].isspace()))
+        ]
+        apart = set(whole)
+        firsts = self.encode_pieces(["" if i in apart else parts[0] for i, parts in enumerate(split)])
+        ids = [b"" if i in apart else h + b"".join(values) for i, (h, values) in enumerate(zip(firsts, got, strict=True))]
+        for i, v in zip(whole, self.encode_pieces([texts[i] for i in whole]), strict=True):
+            ids[i] = v
         return ids
 
+    def _learn(self, new: set[str]) -> None:
+        """Ids of pieces that are new here. A word of letters and the mark after it are separate tokens."""
+        known = self.spaced
+        new = {p for p in new if p and not p[0].isspace()}
+        marked = [p for p in new if p[-1] in MARKS and p[:-1].isalpha()]
+        marks = dict(zip(MARKS, self.encode_pieces(list(MARKS)), strict=True)) if marked else {}
+        plain = list((new - set(marked)) | {p[:-1] for p in marked} - known.keys())
+        known.update(zip(plain, self.encode_pieces([" " + p for p in plain]), strict=True))
+        known.update((p, known[p[:-1]] + marks[p[-1]]) for p in marked)
+
 
 class ByteBpe:
     """A byte-level BPE vocabulary read from a tokenizers JSON file."""

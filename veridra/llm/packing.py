@@ -14,6 +14,7 @@ by their number among pieces of the same length, in parallel.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -43,7 +44,9 @@ def encoder(path: str) -> WordCache:
         t.no_padding()
 
         def encode(pieces: list[str]) -> list[bytes]:
-            return [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch_fast(pieces, add_special_tokens=False)]
+            return [
+                struct.pack(f"<{len(e)}I", *e.ids) for e in t.encode_batch_fast(pieces, add_special_tokens=False)
+            ]
 
         _ENCODERS[path] = WordCache(encode)
     return _ENCODERS[path]
