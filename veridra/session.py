@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,3 +35,20 @@ def local_session(cpus: int | None = None, memory: str = "8g", partitions: int =
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the star-schema or corpus tables, read with column pruning and pushdown intact."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application, so that they need no installed copy."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = Path(__file__).parent
+    path = Path(tempfile.mkdtemp(prefix="spark-veridra-")) / "veridra.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    spark.sparkContext.addPyFile(str(path))
+    _SHIPPED.add(app)
