@@ -22,7 +22,7 @@ from .linear import logistic, sigmoid
 from .shingles import U, mix, prefixes, text_bytes, words
 
 #: Features of each category, and training rows, at most.
-VOCABULARY, TRAIN_ROWS, FOLDS = 1500, 20_000, 5
+VOCABULARY, TRAIN_ROWS, FOLDS = 1000, 6_000, 5
 PREFIX = 5
 
 
