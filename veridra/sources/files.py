@@ -1,0 +1,192 @@
+"""Readers of delivered files, and writers with replace, scope and swap semantics.
+
+Delivered values stay text: no type is guessed and blanks stay blanks.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import reduce
+from html.parser import HTMLParser
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.scalars import clean_columns
+
+
+def all_text(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+def read_text_csv(spark: SparkSession, path: str, names: list[str] | None = None, sep: str = ",", quote: str = '"', header: bool = True) -> DataFrame:
+    """CSV or TSV (also compressed) with every column as text and blanks kept; names are needed without a header."""
+    reader = spark.read.option("header", header).option("sep", sep).option("quote", quote).option("escape", '"')
+    reader = reader.option("multiLine", quote != "").option("encoding", "UTF-8").option("inferSchema", False)
+    df = (reader.schema(all_text(names)) if names else reader).csv(path)
+    return df.na.fill("")
+
+
+def read_tagged(spark: SparkSession, files: list[tuple[str, dict[str, str]]], **how) -> DataFrame:
+    """The union of several files, each with constant tags; columns that some lack are null."""
+    parts = [read_text_csv(spark, path, **how).withColumns({k: F.lit(v) for k, v in tags.items()}) for path, tags in files]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists in whichever file system it names."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def read_optional(spark: SparkSession, path: str, names: list[str], hint: str = "") -> DataFrame:
+    """The file if it is there, else no rows of the same columns."""
+    if path_exists(spark, path):
+        return read_text_csv(spark, path)
+    print(f"{path} is missing; {hint or 'going on without it'}")
+    return spark.createDataFrame([], all_text(names))
+
+
+def ddl_columns(ddl: str) -> list[str]:
+    """Column names of a MySQL CREATE TABLE statement."""
+    body = ddl[ddl.index("(") + 1 : ddl.rindex(")")]
+    return [m[1] for line in body.splitlines() if (m := re.match(r"\s*`?([A-Za-z_]\w*)`?\s+[a-z]+", line)) and m[1].upper() not in ("KEY", "PRIMARY", "UNIQUE", "INDEX")]
+
+
+def read_ddl_tsv(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """Header-less tab-separated dump whose columns a CREATE TABLE statement names; nothing is quoted."""
+    return read_text_csv(spark, path, ddl_columns(ddl), sep="\t", quote="", header=False)
+
+
+def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).json(path)
+
+
+def concat_tables(tables: dict[str, DataFrame]) -> DataFrame:
+    """Tables of one shape under one another, with the name each row came from."""
+    parts = [df.withColumn("_raw_table", F.lit(name)) for name, df in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+class _Page(HTMLParser):
+    """Title, first dates by property and table cells of a page."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.title, self.links, self.words, self._in, self._skip = "", 0, 0, "", 0
+
+    def handle_starttag(self, tag, attrs):
+        self._in = tag
+        self.links += tag == "a"
+        self._skip += tag in ("script", "style")
+
+    def handle_endtag(self, tag):
+        self._in = ""
+        self._skip -= tag in ("script", "style")
+
+    def handle_data(self, data):
+        if self._in == "title":
+            self.title += data
+        elif self._skip <= 0:
+            self.words += len(data.split())
+
+
+def parse_pages(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
+    """(id, title, links, words) of HTML pages. Malformed pages give what could be read."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for i, page in zip(pdf["id"], pdf["html"], strict=True):
+                p = _Page()
+                p.feed(page or "")
+                rows.append((i, p.title.strip(), p.links, p.words))
+            yield pd.DataFrame(rows, columns=["id", "title", "links", "words"])
+
+    src = pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html"))
+    return src.mapInPandas(run, "id long, title string, links long, words long").withColumnRenamed("id", id_col)
+
+
+#: The parts of an article record that are read; mixed content of a field comes as text.
+ARTICLE = (
+    "struct<PMID:string,Title:string,AbstractText:array<string>,MeshHeading:array<string>,"
+    "GrantList:struct<Grant:array<struct<GrantID:string,Agency:string>>>>"
+)
+
+
+def article_records(xml: DataFrame, id_col: str, xml_col: str) -> DataFrame:
+    """(id, pmid, title, abstract, mesh, grants) of article XML by Spark's own XML functions."""
+    r = xml.select(id_col, F.from_xml(F.col(xml_col), ARTICLE).alias("a"))
+    return r.select(
+        id_col, F.col("a.PMID").alias("pmid"), F.col("a.Title").alias("title"), F.array_join("a.AbstractText", " ").alias("abstract"),
+        F.array_join("a.MeshHeading", "; ").alias("mesh"), F.col("a.GrantList.Grant").alias("grants"),
+    )
+
+
+def grant_rows(records: DataFrame, id_col: str) -> DataFrame:
+    """One row per grant with an id."""
+    g = records.select(id_col, F.explode("grants").alias("g"))
+    return g.select(id_col, F.col("g.GrantID").alias("grant_id"), F.col("g.Agency").alias("agency")).where("grant_id <> ''")
+
+
+# ---- sinks
+
+
+def replace_raw(df: DataFrame, path: str) -> DataFrame:
+    """Replace a raw table with cleaned column names; returns the log row (path, columns, rows)."""
+    out = df.toDF(*clean_columns(df.columns))
+    out.write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    return spark.read.parquet(path).agg(F.lit(path).alias("path"), F.lit(len(out.columns)).alias("columns"), F.count("*").alias("rows"))
+
+
+def append(df: DataFrame, path: str) -> None:
+    """Append with blank text as null."""
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    df.withColumns({c: F.when(F.trim(c) != "", F.col(c)) for c in text}).write.mode("append").parquet(path)
+
+
+def scoped_replace(df: DataFrame, path: str, scope: str) -> None:
+    """Replace only the partitions of `scope` values that df holds; others stay."""
+    df.distinct().write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(scope).parquet(path)
+
+
+def write_csv(df: DataFrame, path: str, columns: list[str], order: list[str]) -> None:
+    """CSV in a fixed column order, sorted; one file per range of the order."""
+    df.select(*columns).orderBy(*order).write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_json_gz(df: DataFrame, path: str, order: list[str]) -> None:
+    """Compact gzipped JSON lines in a fixed order."""
+    df.orderBy(*order).select(F.to_json(F.struct(*df.columns)).alias("value")).write.mode("overwrite").option("compression", "gzip").text(path)
+
+
+def staged(write: Callable[[str], None], spark: SparkSession, path: str) -> None:
+    """Write beside the target, then swap: readers see the old table or the new one."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target, fresh, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.new", f"{path}.old"))
+    fs = target.getFileSystem(conf)
+    fs.delete(fresh, True)
+    write(f"{path}.new")
+    fs.delete(old, True)
+    if fs.exists(target):
+        fs.rename(target, old)
+    fs.rename(fresh, target)
+    fs.delete(old, True)
+
+
+@contextmanager
+def batch_status(log: list[dict], source: str):
+    """Record running, then succeeded or failed; errors go on."""
+    entry = {"source": source, "status": "running"}
+    log.append(entry)
+    try:
+        yield entry
+        entry["status"] = "succeeded"
+    except Exception:
+        entry["status"] = "failed"
+        raise
