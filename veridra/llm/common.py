@@ -21,6 +21,11 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """df with columns c0, c1, ... and where each name went: no name of a caller can clash with one of ours."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), {n: f"c{i}" for i, n in enumerate(df.columns)}
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import numbered, stored
 
 
 def _without(lines: Column, gone: Column) -> Column:
@@ -35,15 +35,15 @@ def drop_boilerplate(
     (null sites are not counted). keep_first leaves the occurrence with the smallest
     (id, position). A null text stays null with no lines; an empty text is one empty line.
     Rows that repeat an id and text are treated alike; rows with an equal id and another
-    text are separate; null ids are ids like any other. Other columns pass through.
+    text are separate; null ids are ids like any other. Other columns pass through, but for any named like the two new ones.
     """
-    names = docs.columns
-    text = F.col(f"`{text_col}`")
-    key = F.xxhash64(F.col(f"`{id_col}`"), text)
+    docs, names = numbered(docs)
+    text, ident = F.col(names[text_col]), names[id_col]
+    key = F.xxhash64(ident, text)
     lines = (
         docs.where(text.isNotNull())
         .select(
-            key.alias("row"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{site_col}`").cast("string").alias("site"),
+            key.alias("row"), F.col(ident).alias("id"), F.col(names[site_col]).cast("string").alias("site"),
             F.posexplode(F.split(text, "\n")).alias("pos", "line"),
         )
         .withColumn("line", F.trim("line"))
@@ -74,13 +74,13 @@ def drop_boilerplate(
         hits = hits.where(~((F.col("row") == first["row"]) & F.col("id").eqNullSafe(first["id"]) & (F.col("pos") == first["pos"])))
     gone = hits.groupBy("row", "id").agg(F.array_sort(F.collect_set("pos")).alias("_gone"))
     gone = stored(gone.select(F.col("row").alias("_row"), F.col("id").alias("_id"), "_gone"))
-    out = docs.withColumn("_key", key).alias("d").join(
-        gone.hint("merge"), (F.col("_key") == F.col("_row")) & F.col(f"d.`{id_col}`").eqNullSafe(F.col("_id")), "left"
+    out = docs.withColumn("_key", key).join(
+        gone.hint("merge"), (F.col("_key") == F.col("_row")) & F.col(ident).eqNullSafe(F.col("_id")), "left"
     )
     all_lines = F.split(text, "\n")
     kept = F.when(F.col("_gone").isNull(), text).otherwise(F.array_join(_without(all_lines, F.col("_gone")), "\n"))
     return out.select(
-        *[F.col(f"d.`{c}`") if c != text_col else kept.alias(text_col) for c in names],
+        *[kept.alias(n) if n == text_col else F.col(c).alias(n) for n, c in names.items() if n not in ("_n_lines", "_n_removed")],
         F.coalesce(F.size(all_lines), F.lit(0)).cast("long").alias("_n_lines"),
         F.coalesce(F.when(F.col("_gone").isNotNull(), F.size("_gone")), F.lit(0)).cast("long").alias("_n_removed"),
     )
