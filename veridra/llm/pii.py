@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import numbered, stored
 
 KINDS = ("email", "ip", "card", "phone")
 #: Patterns as the kinds are defined, in the form that never backtracks over a long run:
@@ -122,12 +122,13 @@ def sanitise(
     A term must stand near an entity in min_contexts distinct contexts: copies of one
     passage are one context. Spans of terms that overlap a base span are left out.
     A null text counts as empty: no spans, clean text empty. Rows that repeat an id and text
-    count as one document. Other columns pass through. An empty table gives no rows.
+    are treated alike; the count of mentions takes them as one document, the other counts as several. Other columns pass through, but for
+    any named like the three new ones. An empty table gives no rows.
     """
-    names = docs.columns
+    docs, names = numbered(docs)
     text = F.col("_text")
-    work = docs.withColumn("_text", F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    work = work.withColumn("_row", F.xxhash64(F.col(f"`{id_col}`"), text))
+    work = docs.withColumn("_text", F.coalesce(F.col(names[text_col]), F.lit("")))
+    work = work.withColumn("_row", F.xxhash64(names[id_col], text))
     # the span columns are made again after the statistics: cheaper than storing every text
     mentions = (
         base_spans(work.select("_row", "_text"), "_text").where(F.size("_spans") > 0)
@@ -139,34 +140,39 @@ def sanitise(
         )
     )
     mentions = stored(mentions)
-    n_e = mentions.select("entity", "row").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    near = mentions.select("entity", "row", F.xxhash64("terms").alias("context"), F.explode("terms").alias("term"))
+    holders = mentions.select("entity", "row").distinct()
+    n_e = holders.groupBy("entity").agg(F.count("*").alias("n_e"))
+    near = mentions.select("entity", F.xxhash64("terms").alias("context"), F.explode("terms").alias("term"))
     pairs = near.groupBy("entity", "term").agg(F.countDistinct("context").alias("contexts"))
-    pairs = stored(pairs.where(F.col("contexts") >= min_contexts))
-    terms = pairs.select("term").distinct()
-    few = terms.count() <= BROADCAST_TERMS
-    if few:
-        terms = F.broadcast(terms)
+    pairs = stored(pairs.where(F.col("contexts") >= min_contexts).join(n_e, "entity"))
     words = work.select(
         "_row", F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(rf"\p{{L}}{{{min_letters},}}"), F.lit(0)))).alias("term")
     )
-    if few:
-        words = words.join(terms, "term", "left_semi")
-    n_t = words.distinct().groupBy("term").agg(F.count("*").alias("n_t"))
-    # n(t,e): documents that mention e and hold t anywhere
-    holders = mentions.join(pairs.select("entity").distinct(), "entity", "left_semi").select("entity", "row").distinct()
-    held = words.join(terms, "term", "left_semi").distinct().withColumnRenamed("_row", "row")
+
+    def only(found: DataFrame, terms: DataFrame) -> DataFrame:
+        """Rows of found with one of the terms, which are sent to all tasks only up to a bound."""
+        return found.join(F.broadcast(terms) if terms.count() <= BROADCAST_TERMS else terms, "term", "left_semi")
+
+    total = F.lit(work.count())
+    # counted before the filter's rows are dealt out: each task sends one row a term
+    n_t = only(words, pairs.select("term").distinct()).groupBy("term").agg(F.count("*").alias("n_t"))
+    ic = F.round(F.log2(total / F.col("n_e")), 9)
+
+    def pmi(both: Column) -> Column:
+        return F.round(F.log2(both * total / (F.col("n_t") * F.col("n_e"))), 9)
+
+    # even if every document of the rarer one held the other, common terms can't reveal anything
+    able = (F.col("ic") > 0) & (pmi(F.least("n_e", "n_t")) >= F.round(F.col("ic") * generalise_at, 9))
+    pairs = stored(pairs.join(n_t, "term").withColumn("ic", ic).where(able))
+    held = only(words, pairs.select("term").distinct()).withColumnRenamed("_row", "row")
     n_te = held.join(holders, "row").join(pairs.select("entity", "term"), ["entity", "term"], "left_semi").groupBy("entity", "term").agg(F.count("*").alias("n_te"))
-    total = F.lit(work.select("_row").distinct().count())
     scored = (
-        n_te.join(n_e, "entity").join(n_t, "term")
-        .withColumn("ic", F.round(F.log2(total / F.col("n_e")), 9))
-        .withColumn("pmi", F.round(F.log2(F.col("n_te") * total / (F.col("n_t") * F.col("n_e"))), 9))
-        .where((F.col("ic") > 0) & (F.col("pmi") >= F.round(F.col("ic") * generalise_at, 9)))
+        n_te.join(pairs, ["entity", "term"]).withColumn("pmi", pmi(F.col("n_te")))
+        .where(F.col("pmi") >= F.round(F.col("ic") * generalise_at, 9))
         .withColumn("gone", F.col("pmi") >= F.round(F.col("ic") * remove_at, 9))
     )
     told = (
-        mentions.select("entity", "row").distinct().join(scored.select("entity", "term", "gone"), "entity")
+        holders.join(scored.select("entity", "term", "gone"), "entity")
         .groupBy("row", "term").agg(F.max("gone").alias("gone"))
         .groupBy("row").agg(
             F.collect_set(F.when(F.col("gone"), F.col("term"))).alias("_removed"),
@@ -206,4 +212,5 @@ def sanitise(
         lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.length(text))),
     )
     out = out.withColumn("_clean", F.when(F.size("_spans") == 0, text).otherwise(clean))
-    return out.select(*[F.col(f"`{c}`") for c in names], "_base", "_spans", "_clean")
+    new = ("_base", "_spans", "_clean")
+    return out.select(*[F.col(c).alias(n) for n, c in names.items() if n not in new], *new)
