@@ -76,9 +76,9 @@ def shingles(text: np.ndarray, hashes: np.ndarray, width: int = 5) -> tuple[np.n
     sizes = np.diff(np.r_[begins, n])
     run = np.zeros(n, U)
     for i in range(width):
+        m = max(0, n - i)
         part = np.zeros(n, U)
-        part[: n - i] = hashes[i:]
-        part[: n - i][text[i:] != text[: n - i]] = 0
+        part[:m] = np.where(text[n - m :] == text[:m], hashes[n - m :], U(0))
         run = mix(run ^ (part + U(i + 1)))
     # a text of n words has n - width + 1 runs, and at least one
     left = np.repeat(sizes, sizes) - (np.arange(n) - np.repeat(begins, sizes))
