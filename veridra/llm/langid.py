@@ -26,7 +26,7 @@ FAMILIES = {
 }
 DIM = 4096
 #: Training rows of each language, about: a row is taken if a hash of its id falls under a share.
-ROWS_PER_LANGUAGE = 1000
+ROWS_PER_LANGUAGE = 600
 
 _LETTER = np.full(256, 32, np.uint8)
 for _b in [*range(97, 123), *range(128, 256)]:
@@ -158,10 +158,12 @@ def identify(
         rows = sample.mapInArrow(vectors, "lang string, at binary, value binary").collect()
         rows.sort(key=lambda r: (r["lang"], bytes(r["at"]), bytes(r["value"])))
         if rows:
-            x = np.zeros((len(rows), DIM))
+            x = np.zeros((len(rows), DIM), np.float32)
             for i, r in enumerate(rows):
                 x[i, np.frombuffer(r["at"], "<i4")] = np.frombuffer(r["value"], "<f4")
-            model = Model(x, np.array([r["lang"] for r in rows]), FAMILIES if families is None else families)
+            langs = np.array([r["lang"] for r in rows])
+            del rows
+            model = Model(x, langs, FAMILIES if families is None else families)
     sent = spark.sparkContext.broadcast(model)
     todo = docs.select(
         ident.alias("_id"), held_out(ident).alias("held_out"), F.lower(text).alias("text"), F.coalesce(letters, F.lit(False)).alias("some"),

@@ -8,20 +8,21 @@ import numpy as np
 def svm(x: np.ndarray, y: np.ndarray, c: float = 1.0, rounds: int = 12, seed: int = 7) -> tuple[np.ndarray, float]:
     """Weights and bias of a linear SVM with squared hinge loss (dual coordinate descent). y is -1 or 1."""
     n, d = x.shape
-    x = np.hstack([x, np.ones((n, 1), x.dtype)]).astype(np.float64)
     balance = {s: n / (2.0 * max(1, (y == s).sum())) for s in (-1, 1)}
     diagonal = np.array([1.0 / (2.0 * c * balance[int(s)]) for s in y])
-    square = (x * x).sum(axis=1) + diagonal
-    alpha, w = np.zeros(n), np.zeros(d + 1)
+    square = np.einsum("ij,ij->i", x, x).astype(float) + 1.0 + diagonal
+    alpha, w, b = np.zeros(n), np.zeros(d), 0.0
     order = np.random.default_rng(seed)
     for _ in range(rounds):
         for i in order.permutation(n):
-            g = y[i] * (x[i] @ w) - 1.0 + diagonal[i] * alpha[i]
+            g = y[i] * (float(x[i] @ w) + b) - 1.0 + diagonal[i] * alpha[i]
             new = max(0.0, alpha[i] - g / square[i])
             if new != alpha[i]:
-                w += (new - alpha[i]) * y[i] * x[i]
+                step = (new - alpha[i]) * y[i]
+                w += step * x[i]
+                b += step
                 alpha[i] = new
-    return w[:-1], float(w[-1])
+    return w, float(b)
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
