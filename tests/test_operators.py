@@ -3,7 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from veridra.operators import graph, joins, linking, resolve, sets
+from veridra.operators import graph, joins, linking, matching, resolve, sets
 
 
 def test_whole_tokens(spark):
@@ -85,3 +85,14 @@ def test_multiset_difference(spark):
     a = spark.createDataFrame([(1,), (1,), (2,)], "v int")
     b = spark.createDataFrame([(1,), (3,)], "v int")
     assert sorted(tuple(r) for r in sets.multiset_diff(a, b).collect()) == [(1, "first", 1), (2, "first", 1), (3, "second", 1)]
+
+
+def test_locators_overlap(spark):
+    df = spark.createDataFrame([("12, 34 (56)",), ("none",), (None,)], "v string")
+    assert [r[0] for r in df.select(matching.locators("v")).collect()] == [["12:34", "34:56"], [], None]
+
+
+def test_organisations_split_and_merge():
+    assert matching._names("Janssen B.V.,Bavarian Nordic A/S") == ["Janssen B.V.", "Bavarian Nordic A/S"]
+    assert matching._names("Hiatt; Andrew,Acme,Inc.") == ["Acme,Inc."]
+    assert matching.organisation_key("Für Univ, Inc.") == "FUR UNIVERSITY"

@@ -26,7 +26,6 @@ def sql_over(values: list[str | None], select: str) -> str:
     return f"WITH s AS (SELECT o_orderkey, {case_sql(values)} AS v FROM orders) SELECT o_orderkey, v, {select} FROM s"
 
 
-V = F.col("v")
 NUMBERS = ["3", " 3.0 ", "-2.7", "", None, "inf", "1e400", "12abc", "1e3", "  ", "0", "42"]
 DATES = [
     "2014-08-01", "12-Oct-2014", "2014", "2014-08", "2008-09-26T00:00:00", "2008-09-26T00:00:00Z", "2008-09-26 11:12:13",
@@ -41,32 +40,32 @@ DATE_SQL = """CAST(coalesce(
 
 @query(sql_over(NUMBERS, "nullif(trim(v), '') AS cleaned"))
 def fn_blank_to_none(t):
-    return over_orders(t, NUMBERS, cleaned=S.blank_to_none(V))
+    return over_orders(t, NUMBERS, cleaned=S.blank_to_none(F.col("v")))
 
 
 @query(sql_over(NUMBERS, "CAST(CASE WHEN abs(try_cast(trim(v) AS DOUBLE)) < 9.2e18 THEN trunc(try_cast(trim(v) AS DOUBLE)) END AS BIGINT) AS n"))
 def fn_safe_int(t):
-    return over_orders(t, NUMBERS, n=S.safe_int(V))
+    return over_orders(t, NUMBERS, n=S.safe_int(F.col("v")))
 
 
 @query(sql_over(FLOATS := [v for v in NUMBERS if v not in ("inf", "1e400")], "try_cast(nullif(trim(v), '') AS DOUBLE) AS x"))
 def fn_safe_float(t):
-    return over_orders(t, FLOATS, x=S.safe_float(V))
+    return over_orders(t, FLOATS, x=S.safe_float(F.col("v")))
 
 
 @query(sql_over(DATES, f"CAST({DATE_SQL} AS VARCHAR) AS day"))
 def fn_safe_date(t):
-    return over_orders(t, DATES, day=S.safe_date(V).cast("string"))
+    return over_orders(t, DATES, day=S.safe_date(F.col("v")).cast("string"))
 
 
 @query(sql_over(DATES, f"CAST(coalesce(year({DATE_SQL}), try_cast(nullif(regexp_extract(trim(v), '^(\\d{{4}})(-\\d{{2}})?$', 1), '') AS INTEGER)) AS INTEGER) AS y"))
 def fn_safe_year(t):
-    return over_orders(t, DATES, y=S.safe_year(V))
+    return over_orders(t, DATES, y=S.safe_year(F.col("v")))
 
 
 @query(sql_over(DATES, "CASE WHEN regexp_full_match(v, '\\d{4}') THEN CAST(v AS INTEGER) END AS y"))
 def filter_pattern_year(t):
-    return over_orders(t, DATES, y=S.document_year(V))
+    return over_orders(t, DATES, y=S.document_year(F.col("v")))
 
 
 ACCESSIONS = ["KM034562.1", "KM034562", " AB1.23 ", "X.1.2", "", None, "NC_002549.1"]
@@ -74,7 +73,7 @@ ACCESSIONS = ["KM034562.1", "KM034562", " AB1.23 ", "X.1.2", "", None, "NC_00254
 
 @query(sql_over(ACCESSIONS, "regexp_replace(nullif(trim(v), ''), '\\.\\d+$', '') AS base"))
 def fn_base_accession(t):
-    return over_orders(t, ACCESSIONS, base=S.base_accession(V))
+    return over_orders(t, ACCESSIONS, base=S.base_accession(F.col("v")))
 
 
 DOCUMENTS = ["US20180291088A1", "US 20180291088 A1", "78828615.0", "WO 2015 A", " EP1234567B1 ", "n/a", None, ""]
@@ -83,22 +82,22 @@ DOC_RE = "^\\s*([A-Z]{2})\\s*(\\d+)\\s*([A-Z]\\d?)\\s*$"
 
 @query(sql_over(DOCUMENTS, f"CASE WHEN regexp_matches(v, '{DOC_RE}') THEN regexp_extract(v, '{DOC_RE}', 1) || ' ' || regexp_extract(v, '{DOC_RE}', 2) || ' ' || regexp_extract(v, '{DOC_RE}', 3) ELSE nullif(trim(v), '') END AS doc"))
 def fn_normalize_document_id(t):
-    return over_orders(t, DOCUMENTS, doc=S.normalize_document_id(V))
+    return over_orders(t, DOCUMENTS, doc=S.normalize_document_id(F.col("v")))
 
 
 @query(sql_over(DOCUMENTS, "regexp_replace(nullif(trim(v), ''), '\\.0$', '') AS family"))
 def fn_family_id(t):
-    return over_orders(t, DOCUMENTS, family=S.family_id(V))
+    return over_orders(t, DOCUMENTS, family=S.family_id(F.col("v")))
 
 
 @query(sql_over(DOCUMENTS, "nullif(regexp_extract(v, '\\s([A-Z]\\d?)$', 1), '') AS kind"))
 def fn_kind_code(t):
-    return over_orders(t, DOCUMENTS, kind=S.kind_code(V))
+    return over_orders(t, DOCUMENTS, kind=S.kind_code(F.col("v")))
 
 
 @query(sql_over(DOCUMENTS, "array_to_string(list_distinct(CASE WHEN v IS NULL THEN NULL ELSE [regexp_replace(v, '\\s+', '', 'g')] END), '|') AS compact"))
 def fn_patent_variants(t):
-    out = over_orders(t, DOCUMENTS, compact=F.get(S.document_id_variants(V), F.lit(1)))
+    out = over_orders(t, DOCUMENTS, compact=F.get(S.document_id_variants(F.col("v")), F.lit(1)))
     return out.withColumn("compact", F.when(F.col("v").isNotNull(), S.compact_id(F.col("v"))))
 
 
@@ -129,7 +128,7 @@ GRANTS = ["1 U19 AI109762-01", "5R01AI123456-03S1", "U19AI109762", "none", None]
 
 @query(sql_over(GRANTS, "nullif(regexp_extract(regexp_replace(upper(v), '\\s+', '', 'g'), '([A-Z]\\d{2}[A-Z]{2}\\d{6})', 1), '') AS core"))
 def fn_core_award_number(t):
-    return over_orders(t, GRANTS, core=S.core_award_number(V))
+    return over_orders(t, GRANTS, core=S.core_award_number(F.col("v")))
 
 
 @query("SELECT o_orderkey, substr(sha1(o_orderkey || '|' || o_custkey || '|' || o_orderstatus), 1, 16) AS evidence_id FROM orders")
@@ -157,7 +156,7 @@ PARTIAL = ["2013-01", "2013", "2013-05-06", "", None]
 
 @query(sql_over(PARTIAL, "array_to_string(list_slice(string_split(trim(coalesce(v, '')), '-') || ['01', '01'], 1, 3), '-') AS padded, CASE len(string_split(trim(coalesce(v, '')), '-')) WHEN 1 THEN 'year' WHEN 2 THEN 'month' WHEN 3 THEN 'day' ELSE '' END AS precision"))
 def fn_paper_date(t):
-    padded, precision = S.paper_date(V)
+    padded, precision = S.paper_date(F.col("v"))
     return over_orders(t, PARTIAL, padded=padded, precision=precision)
 
 
@@ -201,7 +200,7 @@ CLEAN = ["Changes in β-cells > 3", "524 – 539", "Küttner G, Höhne W", "good
 
 @query(f"SELECT o_orderkey, {case_sql(CLEAN)} AS cleaned FROM orders")
 def fn_clean_text(t):
-    return t.orders.select("o_orderkey", case_of(TEXTS).alias("v")).select("o_orderkey", S.clean_text(V).alias("cleaned"))
+    return t.orders.select("o_orderkey", case_of(TEXTS).alias("v")).select("o_orderkey", S.clean_text(F.col("v")).alias("cleaned"))
 
 
 @query(r"""SELECT doc_id, md5(coalesce(array_to_string(list_filter(list_transform(string_split_regex(text, '\r?\n'), lambda x: trim(regexp_replace(x, '[ \t\x0B\f\r]+', ' ', 'g'))), lambda x: x <> ''), chr(10)), '')) AS text_md5 FROM documents""")
@@ -214,12 +213,12 @@ CALLS = ["yes (Mayinga)", "no", "partial", "_", None, "YES"]
 
 @query(sql_over(CALLS, "CASE WHEN lower(trim(split_part(v, '(', 1))) IN ('yes','y','true','neutralizing') THEN 'true' WHEN lower(trim(split_part(v, '(', 1))) IN ('no','n','false','non-neutralizing') THEN 'false' END AS neutralizing"))
 def fn_parse_neutralizing(t):
-    return over_orders(t, CALLS, neutralizing=S.parse_neutralizing(V).cast("string"))
+    return over_orders(t, CALLS, neutralizing=S.parse_neutralizing(F.col("v")).cast("string"))
 
 
 @query(sql_over(CALLS, "CASE WHEN lower(trim(v)) NOT IN ('_', 'na', 'n/a') THEN nullif(trim(v), '') END AS cleaned"))
 def filter_placeholder(t):
-    return over_orders(t, CALLS, cleaned=S.placeholder_to_none(V, "_", "NA", "n/a"))
+    return over_orders(t, CALLS, cleaned=S.placeholder_to_none(F.col("v"), "_", "NA", "n/a"))
 
 
 SYMPTOMS = ["Fever, headache and severe diarrhorea", "high fever", "rash, odd thing", None]
@@ -238,7 +237,7 @@ METHODS = ["ELISPOT and Cr release", "51Cr release", "tetramer stain, ELISpot",
 @query(f"SELECT o_orderkey, {case_sql(['ELISpot;Chromium release', 'Chromium release', 'ELISpot;Tetramer', '', None])} AS methods FROM orders")
 def fn_parse_methods(t):
     patterns = [(r"(?i)elispot", "ELISpot"), (r"(?i)cr release", "Chromium release"), (r"(?i)tetramer", "Tetramer")]
-    m = F.when(V.isNotNull(), F.array_join(S.parse_methods(V, patterns), ";"))
+    m = F.when(F.col("v").isNotNull(), F.array_join(S.parse_methods(F.col("v"), patterns), ";"))
     return t.orders.select("o_orderkey", case_of(METHODS).alias("v")).select("o_orderkey", m.alias("methods"))
 
 
