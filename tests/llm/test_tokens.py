@@ -128,6 +128,18 @@ def test_bin_completion_is_near_the_optimum():
         assert sum(t for t, _ in runs) <= optimum(items, 20) + 1
 
 
+def test_bin_completion_reaches_the_optimum():
+    traced = [1038, 700, 674, 674, 505, 505]
+    rnd = random.Random(8)
+    cases = [(traced, 2048), *(([rnd.randint(lo, 60) for _ in range(rnd.randint(1, 10))], 100) for lo in [1, 12, 20, 25] * 15)]
+    for items, size in cases:
+        items = sorted(items, reverse=True)
+        runs = packing.bin_completion({v: items.count(v) for v in items}, size)
+        assert sorted((v for t, p in runs for v, k in p for _ in range(t * k)), reverse=True) == items
+        assert all(sum(v * k for v, k in p) <= size for _, p in runs)
+        assert sum(t for t, _ in runs) == optimum(items, size)
+
+
 def test_one_hot_length_is_numbered_without_gaps(spark):
     from veridra.llm.common import ranked
 

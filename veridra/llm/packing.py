@@ -4,19 +4,21 @@ Documents become runs of token ids (an end id after each); a run longer than a s
 is cut into full pieces, of which the first may be shorter. Piece lengths lie between 1
 and the sequence length, so their histogram is small whatever the corpus size. Bin
 completion works on that histogram: around the largest length left it enumerates fillings
-of the remaining room, larger lengths first, prunes those whose waste cannot beat the
-incumbent and drops dominated ones (a filling that leaves room for another piece, or that
-swaps a piece for a smaller one). The first filling of the search is the best-fit one.
-The winning filling is used as often as the counts allow. Pieces then find their place
+of the remaining room by rising waste, leaves those whose waste cannot beat the incumbent
+and drops dominated ones (a filling that leaves room for another piece, or that has smaller
+pieces where a larger one fits). A filling is used as often as the counts allow, then less
+often, and the search backtracks until the bound is met. Pieces then find their place
 by their number among pieces of the same length, in parallel.
 """
 
 from __future__ import annotations
 
 import os
+import random
 import struct
 import zlib
-from bisect import bisect_right
+from bisect import bisect_right, insort
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +29,8 @@ from pyspark.sql import functions as F
 from .bpe import WordCache, slices
 from .common import ranked, stored
 
-#: Nodes that the search around one largest piece visits at most before the incumbent wins.
-SEARCH_NODES = 4_000
+#: Fillings that the search over sequences visits at most before the incumbent wins.
+SEARCH_NODES = 20_000
 
 _ENCODERS: dict[str, WordCache] = {}
 
@@ -92,72 +94,226 @@ def pieces_of(docs: DataFrame, path: str, size: int, end_id: int, with_ids: bool
     return docs.mapInArrow(run, schema)
 
 
-def filling(room: int, sizes: list[int], left: dict[int, int], nodes: int = SEARCH_NODES) -> list[int]:
+def reachable(room: int, sizes: list[int], left: dict[int, int]) -> list[int]:
+    """For each i, the sums up to room that pieces of sizes[:i] can make, as the bits of an integer."""
+    mask = (1 << (room + 1)) - 1
+    out = [1]
+    for v in sizes[: bisect_right(sizes, room)]:
+        sums, n, k = out[-1], min(left[v], room // v), 1
+        while n > 0:  # 1, 2, 4, ... pieces at once, and the rest
+            sums |= sums << (v * min(k, n)) & mask
+            n, k = n - k, 2 * k
+        out.append(sums)
+    return out
+
+
+def exact(target: int, i: int, sizes: list[int], left: dict[int, int], reach: list[int]) -> Iterator[list[int]]:
+    """All fillings from sizes[:i] whose sum is target, larger pieces first, without dead ends."""
+    if not target:
+        yield []
+        return
+    for j in range(min(i, bisect_right(sizes, target)), 0, -1):
+        if not reach[j] >> target & 1:
+            return
+        v = sizes[j - 1]
+        for k in range(min(left[v], target // v), 0, -1):
+            if reach[j - 1] >> (target - k * v) & 1:
+                for rest in exact(target - k * v, j - 1, sizes, left, reach):
+                    yield [v] * k + rest
+
+
+def filling(room: int, sizes: list[int], left: dict[int, int]) -> list[int]:
     """The filling of `room` with the least waste, larger pieces first; sizes ascends.
 
-    Depth-first with the largest size that fits first, so the first leaf is the best-fit
-    filling. Where nothing fits beside a piece, the waste of its smaller siblings is known
-    to be larger, and they are dropped unvisited; a filling without waste ends the search.
+    The best-fit one if it wastes nothing, else by the sums that can be reached, so that no filling is missed.
     """
-    best: list[int] = []
-    waste = room
-    seen = 0
-    used: dict[int, int] = {}
-    now: list[int] = []
-
-    def search(free: int, top: int) -> bool:
-        nonlocal best, waste, seen
-        seen += 1
-        if free < waste:
-            best, waste = now.copy(), free
-            if not waste:
-                return True
-        i = min(top, bisect_right(sizes, free) - 1)
-        while i >= 0 and seen < nodes:
-            v = sizes[i]
-            have = left[v] - used.get(v, 0)
-            if have > 0:
-                used[v] = used.get(v, 0) + 1
-                now.append(v)
-                done = search(free - v, i)
-                now.pop()
-                used[v] -= 1
-                if done:
-                    return True
-                if free - v < sizes[0]:
-                    return False  # a smaller piece in its place leaves more waste: dominated
-            i -= 1
-        return False
-
-    search(room, len(sizes) - 1)
-    return best
-
-
-def bin_completion(histogram: dict[int, int], size: int) -> list[tuple[int, list[tuple[int, int]]]]:
-    """Runs (times, [(length, count)]) that use up the histogram, largest lengths first."""
-    left = {v: n for v, n in histogram.items() if n > 0}
-    runs = []
-    if n := left.pop(size, 0):
-        runs.append((n, [(size, 1)]))
-    sizes = sorted(left)
+    free, best = room, []
+    for v in reversed(sizes[: bisect_right(sizes, room)]):
+        if v <= free:
+            k = min(left[v], free // v)
+            best += [v] * k
+            free -= k * v
+    if not free:
+        return best
+    reach = reachable(room, sizes, left)
+    return next(exact(reach[-1].bit_length() - 1, len(reach) - 1, sizes, left, reach))
+
+
+def dominated(inner: list[int], waste: int, sizes: list[int], left: dict[int, int]) -> bool:
+    """Whether a piece still fits, or could stand for one or two smaller ones: then another filling is no worse."""
+    def other(low: int, high: int) -> bool:
+        at = bisect_right(sizes, high)
+        return any(left[v] > inner.count(v) for v in sizes[bisect_right(sizes, low - 1) : at])
+
+    if other(1, waste) or any(other(x + 1, x + waste) for x in set(inner)):
+        return True
+    pairs = {x + y for i, x in enumerate(inner) for y in inner[:i]}
+    return any(other(x, x + waste) for x in pairs)
+
+
+def fillings(room: int, sizes: list[int], left: dict[int, int], allowed: int) -> Iterator[list[int] | None]:
+    """Undominated fillings by rising waste up to `allowed`; None for one that is dominated.
+
+    What the first one was found by isn't kept, as most are never asked for a second.
+    """
+    first = filling(room, sizes, left)
+    least = room - sum(first)
+    if least > allowed:
+        return
+    yield first
+    reach = reachable(room, sizes, left)
+    for waste in range(least, min(allowed, room) + 1):
+        if reach[-1] >> (room - waste) & 1:
+            for inner in exact(room - waste, len(reach) - 1, sizes, left, reach):
+                if inner != first:
+                    yield None if dominated(inner, waste, sizes, left) else inner
+
+
+def taken(left: dict[int, int], sizes: list[int], pattern: dict[int, int], times: int) -> None:
+    """Take (or with negative times, give back) the pieces of some equal sequences."""
+    for v, k in pattern.items():
+        now = left.get(v, 0) - times * k
+        if now and v not in left:
+            insort(sizes, v)
+        if now:
+            left[v] = now
+        else:
+            del left[v]
+            sizes.pop(bisect_right(sizes, v) - 1)
+
+
+def best_fit_decreasing(histogram: dict[int, int], size: int) -> list[tuple[int, list[tuple[int, int]]]]:
+    """Runs by placing pieces, longest first, where the least room is left; equal sequences move together."""
+    opened: dict[int, list[tuple[int, list[tuple[int, int]]]]] = {}
+
+    def put(room: int, bins: int, pattern: list[tuple[int, int]]) -> None:
+        if bins:
+            opened.setdefault(room, []).append((bins, pattern))
+
+    for v, n in sorted(histogram.items(), reverse=True):
+        for room in sorted(r for r in opened if r >= v):
+            k = room // v
+            for bins, pattern in opened.pop(room):
+                whole = min(bins, n // k)
+                put(room - k * v, whole, [*pattern, (v, k)])
+                n, bins = n - whole * k, bins - whole
+                if bins and n:
+                    put(room - n * v, 1, [*pattern, (v, n)])
+                    n, bins = 0, bins - 1
+                put(room, bins, pattern)
+            if not n:
+                break
+        whole, rest = divmod(n, size // v)
+        put(size - size // v * v, whole, [(v, size // v)])
+        if rest:
+            put(size - rest * v, 1, [(v, rest)])
+    return [run for room in sorted(opened) for run in opened[room]]
+
+
+def greedy(histogram: dict[int, int], size: int) -> list[tuple[int, list[tuple[int, int]]]]:
+    """Runs by the filling of least waste around the largest length left, as often as the counts allow."""
+    left, sizes, runs = dict(histogram), sorted(histogram), []
     while sizes:
         top = sizes[-1]
-        left[top] -= 1
-        inner = filling(size - top, sizes, left)
-        left[top] += 1
-        pattern: dict[int, int] = {top: 1}
-        for v in inner:
-            pattern[v] = pattern.get(v, 0) + 1
+        taken(left, sizes, {top: 1}, 1)
+        pattern = Counter([top, *filling(size - top, sizes, left)])
+        taken(left, sizes, {top: 1}, -1)
         times = min(left[v] // k for v, k in pattern.items())
         runs.append((times, sorted(pattern.items(), reverse=True)))
-        for v, k in pattern.items():
-            left[v] -= times * k
-            if not left[v]:
-                del left[v]
-                sizes.pop(bisect_right(sizes, v) - 1)
+        taken(left, sizes, pattern, times)
     return runs
 
 
+def sequences_of(runs: list[tuple[int, list[tuple[int, int]]]]) -> int:
+    return sum(times for times, _ in runs)
+
+
+def least_sequences(histogram: dict[int, int], size: int) -> int:
+    """A bound from below: sum of lengths, and pieces over a half with what can't stand beside them."""
+    items = sorted(histogram.items())
+    best = -(-sum(v * n for v, n in items) // size)
+    for low in [v for v, _ in items if 2 * v <= size] or [0]:
+        alone = sum(n for v, n in items if v > size - low)
+        halves = [(v, n) for v, n in items if size < 2 * v <= 2 * (size - low)]
+        room = sum(n * (size - v) for v, n in halves)
+        small = sum(v * n for v, n in items if low <= v and 2 * v <= size)
+        best = max(best, alone + sum(n for _, n in halves) + max(0, -(-(small - room) // size)))
+    return best
+
+
+def bin_completion(histogram: dict[int, int], size: int, nodes: int = SEARCH_NODES) -> list[tuple[int, list[tuple[int, int]]]]:
+    """Runs (times, [(length, count)]) that use up the histogram.
+
+    Branch and bound: incumbents are best-fit decreasing and the greedy runs. While more sequences than
+    the bound stand, the search backtracks over undominated fillings and how often each is
+    used, within the waste that an improvement allows; states seen before with no more waste
+    are left. It is exact unless it stops after `nodes` fillings.
+    """
+    histogram = {v: n for v, n in histogram.items() if n > 0}
+    if not histogram:
+        return []
+    best = min(greedy(histogram, size), best_fit_decreasing(histogram, size), key=sequences_of)
+    bound, total = least_sequences(histogram, size), sum(v * n for v, n in histogram.items())
+    left, sizes = dict(histogram), sorted(histogram)
+    rnd = random.Random(0)
+    mark = {v: rnd.getrandbits(128) for v in histogram}
+    state = sum(mark[v] * n for v, n in left.items())
+    seen: dict[int, int] = {}
+    path: list[tuple[int, dict[int, int]]] = []
+    wasted = [0]
+
+    def allowed() -> int:
+        return (sequences_of(best) - 1) * size - total - wasted[-1]
+
+    def choices() -> Iterator[tuple[int, dict[int, int]] | None]:
+        top = sizes[-1]
+        taken(left, sizes, {top: 1}, 1)
+        rest, rest_sizes = dict(left), sizes.copy()
+        taken(left, sizes, {top: 1}, -1)
+        for inner in fillings(size - top, rest_sizes, rest, allowed()):
+            if inner is None:
+                yield None
+                continue
+            pattern = Counter([top, *inner])
+            most = min((rest[v] if v != top else rest.get(v, 0) + 1) // k for v, k in pattern.items())
+            for times in range(most, 0, -1):
+                yield times, pattern
+
+    stack = [choices()]
+    while stack and nodes > 0 and sequences_of(best) > bound:
+        nodes -= 1
+        move = next(stack[-1], 0) if allowed() >= 0 else 0
+        if move is None:
+            continue
+        if move == 0:
+            stack.pop()
+            wasted.pop()
+            if path:
+                times, pattern = path.pop()
+                taken(left, sizes, pattern, -times)
+                state += times * sum(mark[v] * k for v, k in pattern.items())
+            continue
+        times, pattern = move
+        waste = times * (size - sum(v * k for v, k in pattern.items()))
+        then = state - times * sum(mark[v] * k for v, k in pattern.items())
+        if waste > allowed() or seen.get(then, waste + wasted[-1] + 1) <= waste + wasted[-1]:
+            continue
+        taken(left, sizes, pattern, times)
+        state = then
+        seen[state] = waste + wasted[-1]
+        path.append(move)
+        wasted.append(wasted[-1] + waste)
+        if sizes:
+            stack.append(choices())
+            continue
+        best = [(t, sorted(p.items(), reverse=True)) for t, p in path]
+        path.pop()
+        wasted.pop()
+        taken(left, sizes, pattern, -times)
+        state += times * sum(mark[v] * k for v, k in pattern.items())
+    return best
+
+
 def intervals(runs: list[tuple[int, list[tuple[int, int]]]]) -> dict[int, np.ndarray]:
     """For each length, rows (first number, first sequence, pieces a sequence, first place), by first number."""
     rows: dict[int, list[tuple[int, int, int, int]]] = {}
@@ -184,9 +340,10 @@ def pack(
     a document of the end id alone. Repeated rows are packed as often as they occur (their
     pieces may swap places). Other columns are dropped. An empty table gives no rows.
 
-    Driver data: the histogram (`size` rows at most) and the runs. A run ends when a length
-    has fewer pieces left than a sequence takes of it, which for length v happens size/v
-    times at most, so there are under size * (1 + ln size) runs.
+    Driver data: the histogram (`size` rows at most), the runs and the search. A greedy run
+    ends when a length has fewer pieces left than a sequence takes of it, which for length v
+    happens size/v times at most, so there are under size * (1 + ln size) of them; a found
+    improvement has SEARCH_NODES runs at most.
     """
     spark = docs.sparkSession
     pieces = stored(pieces_of(docs, path, size, end_id, with_ids, id_col, text_col))
