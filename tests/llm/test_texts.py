@@ -145,6 +145,19 @@ def test_revealing_terms_go_and_common_ones_stay(spark):
     assert pii.sanitise(df.limit(0)).collect() == []
 
 
+def test_terms_reveal_wherever_they_stand(spark):
+    far = "nothing called yesterday about a memo of some length " * 4
+    rows = [(i, f"Zorblatt wrote: {far}{i}{far} jane@corp.example.org", "c") for i in range(5)]
+    rows += [(10 + i, f"{far} number {i}a. Contact Li x7 agent or bo@corp.example.org", "c") for i in range(5)]
+    rows += [(20, f"quxling {far} eve@corp.example.org", "c")] * 3 + [(21, f"quxling {far} eve@corp.example.org", "c")]
+    rows += [(100 + i, f"{far} agent or contact {i}", "c") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, entity string")
+    got = {r["doc_id"]: r["_clean"] for r in pii.sanitise(df).collect()}
+    assert not any("Zorblatt" in got[i] for i in range(5)) and all("called yesterday" in got[i] for i in range(5))
+    assert not any(t in got[10 + i] for i in range(5) for t in ("Li ", "x7")) and "agent or" in got[10]
+    assert "quxling" in got[20] and got[100] == rows[-60][1]
+
+
 # ---- near-duplicates
 
 

@@ -1,7 +1,7 @@
 """Personal data: patterns, and terms that give a protected entity away.
 
 The four base kinds are found by pattern. Each distinct value is a protected entity.
-Terms that stand near mentions of an entity are candidates, and the corpus says how
+All terms of the documents that mention an entity are candidates, and the corpus says how
 strongly a term t reveals an entity e: with document counts n(t,e), n(t), n(e) and N,
     PMI(t;e) = log2(n(t,e) N / (n(t) n(e)))   and   IC(e) = log2(N / n(e)).
 PMI = IC means that t never occurs without e. A term whose PMI reaches a share of IC is
@@ -28,9 +28,9 @@ PATTERNS = {
 }
 #: What a text must hold for a kind to be searched.
 GATES = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
-TERM = r"\p{L}+"
+TERM = r"[\p{L}\p{M}\p{N}]+"
 SPANS = "array<struct<start:int,end:int,value:string>>"
-#: Candidate terms up to this many are sent to every task; more are joined by a shuffle.
+#: Candidate terms, or documents with entities, up to this many are sent to every task; more are joined by a shuffle.
 BROADCAST_TERMS = 200_000
 
 
@@ -101,26 +101,15 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def context_terms(text: Column, span: Column, reach: int, min_letters: int) -> Column:
-    """Lower-case terms wholly within `reach` letters of a span, on either side."""
-    left_at = F.greatest(span["start"] - reach, F.lit(0))
-    left = F.substr(text, left_at + 1, span["start"] - left_at)
-    left = F.when(left_at > 0, F.regexp_replace(left, rf"^{TERM}", "")).otherwise(left)
-    right = F.substr(text, span["end"] + 1, F.lit(reach))
-    right = F.when(span["end"] + reach < F.length(text), F.regexp_replace(right, rf"{TERM}$", "")).otherwise(right)
-    words = F.regexp_extract_all(F.lower(F.concat(left, F.lit("\n"), right)), F.lit(rf"\p{{L}}{{{min_letters},}}"), F.lit(0))
-    return F.array_distinct(words)
-
-
 def sanitise(
-    docs: DataFrame, remove_at: float = 0.9, generalise_at: float = 0.7, min_contexts: int = 2, reach: int = 60,
-    min_letters: int = 4, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, remove_at: float = 0.9, generalise_at: float = 0.7, min_contexts: int = 2,
+    id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """docs plus `_base`, `_spans` (arrays of struct<start, n, kind, end, value>) and `_clean` (the safe text).
 
     Kinds beside the base ones are `term` (removed) and `general` (generalised to [TERM]).
-    A term must stand near an entity in min_contexts distinct contexts: copies of one
-    passage are one context. Spans of terms that overlap a base span are left out.
+    A term must share min_contexts distinct texts with an entity, wherever it stands in them:
+    copies of one text are one context. Terms are runs of letters and digits of any length. Spans of terms that overlap a base span are left out.
     A null text counts as empty: no spans, clean text empty. Rows that repeat an id and text
     are treated alike; the count of mentions takes them as one document, the other counts as several. Other columns pass through, but for
     any named like the three new ones. An empty table gives no rows.
@@ -130,32 +119,42 @@ def sanitise(
     work = docs.withColumn("_text", F.coalesce(F.col(names[text_col]), F.lit("")))
     work = work.withColumn("_row", F.xxhash64(names[id_col], text))
     # the span columns are made again after the statistics: cheaper than storing every text
-    mentions = (
-        base_spans(work.select("_row", "_text"), "_text").where(F.size("_spans") > 0)
-        .select("_row", "_text", F.explode("_spans").alias("s"))
-        .select(
-            F.col("_row").alias("row"),
-            F.concat_ws(":", F.col("s.kind"), F.col("s.value")).alias("entity"),
-            context_terms(text, F.col("s"), reach, min_letters).alias("terms"),
+    spans = base_spans(work.select("_row", "_text"), "_text").where(F.size("_spans") > 0)
+    mentions = stored(
+        spans.select(
+            F.col("_row").alias("row"), F.xxhash64(text, F.length(text)).alias("content"),
+            F.array_distinct(F.transform("_spans", lambda s: F.concat_ws(":", s["kind"], s["value"]))).alias("entities"),
         )
     )
-    mentions = stored(mentions)
-    holders = mentions.select("entity", "row").distinct()
-    n_e = holders.groupBy("entity").agg(F.count("*").alias("n_e"))
-    near = mentions.select("entity", F.xxhash64("terms").alias("context"), F.explode("terms").alias("term"))
-    pairs = near.groupBy("entity", "term").agg(F.countDistinct("context").alias("contexts"))
-    pairs = stored(pairs.where(F.col("contexts") >= min_contexts).join(n_e, "entity"))
-    words = work.select(
-        "_row", F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(rf"\p{{L}}{{{min_letters},}}"), F.lit(0)))).alias("term")
+    # one row of each text stands for it; what rows that repeat id and text add up to is one
+    once = mentions.groupBy("row", "content").agg(F.count("*").alias("copies"), F.first("entities").alias("entities"))
+    stands = mentions.groupBy("content").agg(F.min("row").alias("stands"))
+    holders = stored(
+        once.join(stands, "content")
+        .withColumn("context", F.when(F.col("row") == F.col("stands"), 1 / F.col("copies")).otherwise(F.lit(0.0)))
+        .select("row", "context", F.explode("entities").alias("entity"))
     )
+    # an entity of fewer texts than a term needs can't be revealed by any
+    n_e = holders.groupBy("entity").agg(F.count("*").alias("n_e"), F.count_if(F.col("context") > 0).alias("contexts"))
+    holders = stored(holders.join(n_e.where(F.col("contexts") >= min_contexts).drop("contexts"), "entity"))
+
+    def only(found: DataFrame, few: DataFrame, on: str) -> DataFrame:
+        """Rows of found with their match in few, which is sent to all tasks only up to a bound."""
+        return found.join(F.broadcast(few) if few.count() <= BROADCAST_TERMS else few.hint("merge"), on)
 
-    def only(found: DataFrame, terms: DataFrame) -> DataFrame:
-        """Rows of found with one of the terms, which are sent to all tasks only up to a bound."""
-        return found.join(F.broadcast(terms) if terms.count() <= BROADCAST_TERMS else terms, "term", "left_semi")
+    def words(df: DataFrame) -> DataFrame:
+        return df.select("row", F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))).alias("term"))
 
+    every = work.select(F.col("_row").alias("row"), "_text")
+    rows = stored(holders.select("row").distinct())
+    near = words(only(every, rows, "row"))
+    terms = stored(near.groupBy("term").agg(F.count("*").alias("n")).where(F.col("n") >= min_contexts).select("term"))
     total = F.lit(work.count())
     # counted before the filter's rows are dealt out: each task sends one row a term
-    n_t = only(words, pairs.select("term").distinct()).groupBy("term").agg(F.count("*").alias("n_t"))
+    if terms.count() <= BROADCAST_TERMS:
+        n_t = words(every).join(F.broadcast(terms), "term").groupBy("term").agg(F.count("*").alias("n_t"))
+    else:
+        n_t = words(every).groupBy("term").agg(F.count("*").alias("n_t")).join(terms.hint("merge"), "term")
     ic = F.round(F.log2(total / F.col("n_e")), 9)
 
     def pmi(both: Column) -> Column:
@@ -163,16 +162,19 @@ def sanitise(
 
     # even if every document of the rarer one held the other, common terms can't reveal anything
     able = (F.col("ic") > 0) & (pmi(F.least("n_e", "n_t")) >= F.round(F.col("ic") * generalise_at, 9))
-    pairs = stored(pairs.join(n_t, "term").withColumn("ic", ic).where(able))
-    held = only(words, pairs.select("term").distinct()).withColumnRenamed("_row", "row")
-    n_te = held.join(holders, "row").join(pairs.select("entity", "term"), ["entity", "term"], "left_semi").groupBy("entity", "term").agg(F.count("*").alias("n_te"))
-    scored = (
-        n_te.join(pairs, ["entity", "term"]).withColumn("pmi", pmi(F.col("n_te")))
+    # what can't reveal the most frequent entity can't reveal any
+    most = F.broadcast(holders.where(F.col("n_e") < total).agg(F.max("n_e").alias("n_e")).withColumn("ic", ic))
+    n_t = stored(n_t.join(most).where(able).select("term", "n_t"))
+    scored = stored(
+        only(near, n_t, "term").join(holders, "row").withColumn("ic", ic).where(able)
+        .groupBy("entity", "term", "n_t", "n_e", "ic").agg(F.count("*").alias("n_te"), F.sum("context").alias("contexts"))
+        .where(F.round("contexts", 3) >= min_contexts)
+        .withColumn("pmi", pmi(F.col("n_te")))
         .where(F.col("pmi") >= F.round(F.col("ic") * generalise_at, 9))
-        .withColumn("gone", F.col("pmi") >= F.round(F.col("ic") * remove_at, 9))
+        .select("entity", "term", (F.col("pmi") >= F.round(F.col("ic") * remove_at, 9)).alias("gone"))
     )
     told = (
-        holders.join(scored.select("entity", "term", "gone"), "entity")
+        holders.join(scored, "entity")
         .groupBy("row", "term").agg(F.max("gone").alias("gone"))
         .groupBy("row").agg(
             F.collect_set(F.when(F.col("gone"), F.col("term"))).alias("_removed"),
@@ -181,7 +183,8 @@ def sanitise(
         .withColumnRenamed("row", "_told")
     )
     told = stored(told)
-    out = work.join(told, F.col("_row") == F.col("_told"), "left")
+    # joined by sorting at any size: a plan that turns at some size can't be foreseen from small runs
+    out = work.join(told.hint("merge"), F.col("_row") == F.col("_told"), "left")
     out = base_spans(out, "_text").withColumnRenamed("_spans", "_base")
     out = out.withColumn("_words", F.when(F.col("_told").isNotNull(), found(text, TERM)))
     own = F.transform(
