@@ -30,9 +30,19 @@ def line_spread(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class of near-duplicates."""
-    kept = dart.near_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept.hint("merge"), "doc_id", "left_semi").select(*COLUMNS)
+    """One document of each class of near-duplicates: that with the smallest id, a null id last.
+
+    Texts are compared row by row, whatever their ids: rows with a null id take part, and
+    rows that share an id but not the text are apart. Of equal rows one stays. Rows of
+    equal id and text meet in one task.
+    """
+    row = F.xxhash64("doc_id", F.col("doc_id").isNull(), "text", F.col("text").isNull())
+    docs = docs.withColumn("_row", row)
+    ids = docs.select(F.col("_row").alias("_kept"), "doc_id").distinct()
+    classes = dart.near_duplicates(docs, id_col="_row").select(F.col("_row").alias("_kept"), "class_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_kept"))
+    kept = stored(ids.join(classes, "_kept").groupBy("class_id").agg(first.alias("f")).select(F.col("f._kept").alias("_row")))
+    return docs.join(kept.hint("merge"), "_row", "left_semi").dropDuplicates(["_row"]).select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

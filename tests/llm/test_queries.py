@@ -69,3 +69,11 @@ def test_pipeline_keeps_one_of_each_class(spark):
     assert not any("@mail" in t for t in text.values())
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
     assert {r["doc_id"] for r in packed} == set(text)
+
+
+def test_near_duplicates_go_by_row(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(1, a), (1, b), (2, b), (None, c), (None, c), (None, d), (3, d), (4, None), (4, None), (None, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, df, SF).collect()]
+    assert sorted(got, key=str) == sorted([(1, a), (1, b), (None, c), (3, d), (4, None), (None, "")], key=str)
