@@ -24,7 +24,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_spread(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines go but for their first occurrence; a document that had text and has none left goes too."""
-    out = lines.drop_boilerplate(docs, min_sites=5, min_chars=20)
+    out = lines.drop_boilerplate(docs, min_sites=5, min_chars=20, short_sites=10)
     out = out.where((F.col("_n_removed") == 0) | (F.trim("text") != ""))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 

@@ -99,6 +99,13 @@ def test_repeated_and_null_ids_keep_their_texts(spark):
     assert len(got) == 4 and sum(line in t for t in got) in (1, 2) and {t.split("\n")[-1] for t in got} == {"x", "y", "z"}
 
 
+def test_short_lines_go_by_a_wider_spread(spark):
+    rows = [(i, f"Sign in\nown line {i}\n\n{'Share this' if i < 3 else ''}", f"s{i}") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["text"] for r in lines.drop_boilerplate(df, min_sites=3, short_sites=4).collect()}
+    assert got[0] == rows[0][1] and all(got[i] == rows[i][1].removeprefix("Sign in\n") for i in range(1, 6))
+
+
 # ---- personal data
 
 PLAIN = {

@@ -26,13 +26,15 @@ def _without(lines: Column, gone: Column) -> Column:
 
 def drop_boilerplate(
     docs: DataFrame, min_sites: int = 5, min_chars: int = 20, lg_k: int = 12, keep_first: bool = True,
+    short_sites: int | None = None,
     id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",
 ) -> DataFrame:
     """docs with boilerplate lines removed from text_col, plus `_n_lines` and `_n_removed`.
 
-    A line is what stands between line feeds, without outer spaces; lines shorter than
-    min_chars never count. It is boilerplate if at least min_sites distinct sites carry it
-    (null sites are not counted). keep_first leaves the occurrence with the smallest
+    A line is what stands between line feeds, without outer spaces; it is
+    boilerplate if at least min_sites distinct sites carry it (null sites are not counted).
+    A line shorter than min_chars, but not blank, needs short_sites; where that is None,
+    such lines never count. keep_first leaves the occurrence with the smallest
     (id, position). A null text stays null with no lines; an empty text is one empty line.
     Rows that repeat an id and text are treated alike; rows with an equal id and another
     text are separate; null ids are ids like any other. Other columns pass through, but for any named like the two new ones.
@@ -47,25 +49,27 @@ def drop_boilerplate(
             F.posexplode(F.split(text, "\n")).alias("pos", "line"),
         )
         .withColumn("line", F.trim("line"))
-        .where(F.length("line") >= min_chars)
-        .select("row", "id", "site", "pos", F.unhex(F.md5("line")).alias("hash"))
+        .where(F.length("line") >= (min_chars if short_sites is None else 1))
+        .select(
+            "row", "id", "site", "pos", F.unhex(F.md5("line")).alias("hash"),
+            F.when(F.length("line") < min_chars, short_sites).otherwise(min_sites).alias("least"),
+        )
     )
     lines = stored(lines)
     spread = lines.groupBy("hash").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(lg_k))).alias("sites"),
-        F.min(F.struct("id", "row", "pos")).alias("first"),
+        F.min(F.struct("id", "row", "pos")).alias("first"), F.max("least").alias("least"),
     )
-    margin = max(1.0, 3 * 1.04 / 2 ** (lg_k / 2) * min_sites)
-    spread = stored(spread.where(F.col("sites") >= min_sites - margin))
-    near = spread.where(F.col("sites") <= min_sites + margin)
+    margin = F.greatest(F.lit(1.0), 3 * 1.04 / 2 ** (lg_k / 2) * F.col("least"))
+    spread = stored(spread.where(F.col("sites") >= F.col("least") - margin))
+    near = spread.where(F.col("sites") <= F.col("least") + margin)
     exact = (
         lines.join(near.select("hash"), "hash", "left_semi")
         .select("hash", "site").distinct()
         .groupBy("hash").agg(F.count("site").alias("exact"))
-        .where(F.col("exact") >= min_sites)
     )
-    boilerplate = spread.where(F.col("sites") > min_sites + margin).select("hash", "first").unionByName(
-        near.join(exact, "hash", "left_semi").select("hash", "first")
+    boilerplate = spread.where(F.col("sites") > F.col("least") + margin).select("hash", "first").unionByName(
+        near.join(exact, "hash").where(F.col("exact") >= F.col("least")).select("hash", "first")
     )
     # joined by sorting at any size: a plan that turns at some size can't be foreseen from small runs
     hits = lines.join(boilerplate.hint("merge"), "hash")
