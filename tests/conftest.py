@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from veridra.session import local_session, ship
 
-    session = local_session(cpus=4, memory="4g", partitions=4)
+    session = local_session(cpus=int(os.environ.get("TEST_CPUS", "4")), memory="4g", partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     ship(session)
     yield session

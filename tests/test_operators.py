@@ -1,8 +1,13 @@
+import difflib
 import random
 import re
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from veridra import session
+from veridra.functions import scalars
 from veridra.operators import graph, joins, linking, matching, resolve, sets
 
 
@@ -89,10 +94,120 @@ def test_multiset_difference(spark):
 
 def test_locators_overlap(spark):
     df = spark.createDataFrame([("12, 34 (56)",), ("none",), (None,)], "v string")
-    assert [r[0] for r in df.select(matching.locators("v")).collect()] == [["12:34", "34:56"], [], None]
+    assert [r[0] for r in df.select(matching.locators(F.col("v"))).collect()] == [["12:34", "34:56"], [], None]
 
 
-def test_organisations_split_and_merge():
-    assert matching._names("Janssen B.V.,Bavarian Nordic A/S") == ["Janssen B.V.", "Bavarian Nordic A/S"]
-    assert matching._names("Hiatt; Andrew,Acme,Inc.") == ["Acme,Inc."]
-    assert matching.organisation_key("Für Univ, Inc.") == "FUR UNIVERSITY"
+def column(spark, fn, cases, kind="string"):
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], f"i int, v {kind}")
+    return [r[0] for r in df.select("i", fn(F.col("v")).alias("out")).orderBy("i").select("out").collect()]
+
+
+def test_names_in_an_assignee_field(spark):
+    cases = ["Orbis B.V.,Nordlab A/S", "Weber; Anna,Acme,Inc.", "Ft Kent,Md", "Acme, Inc.", "", None]
+    assert column(spark, matching.organisation_names, cases) == [["Orbis B.V.", "Nordlab A/S"], ["Acme,Inc."], ["Ft Kent"], ["Acme, Inc."], [], None]
+
+
+def test_spellings_of_an_organisation_share_a_key(spark):
+    cases = [
+        "Für Univ, Inc.", "The Regents of the University of X & Y", "SCRIPPS RES INST, THE", "GmbH Co Ltd", "USAMRIID", None,
+        "The United States of America, as represented by the Secretary of the Army", "Michigan State Department of Health and Human Services",
+        "U.S. Dept. of Health & Human Services", "Leland Stanford Junior University",
+    ]
+    assert column(spark, matching.organisation_key, cases) == [
+        "FUR UNIVERSITY", "UNIVERSITY OF X AND Y", "SCRIPPS RESEARCH INSTITUTE", "", "US ARMY", None, "US ARMY",
+        "MICHIGAN STATE DEPARTMENT OF HEALTH AND HUMAN SERVICES", "US DEPARTMENT OF HEALTH AND HUMAN SERVICES", "STANFORD UNIVERSITY",
+    ]
+
+
+def ratio(a, b):
+    short, long = sorted((a, b), key=len)
+    return 1.0 if len(short) >= 20 and short in long else difflib.SequenceMatcher(None, a, b).ratio()
+
+
+def test_no_fuzzy_title_is_lost(spark):
+    rnd = random.Random(11)
+    base = [" ".join(rnd.choice(["virus", "entry", "study", "of", "a", "cell", "model", "in", "mice"]) for _ in range(rnd.randint(1, 9))) for _ in range(25)]
+
+    def spoiled(t):
+        t = list(t)
+        for _ in range(rnd.choice([0, 1, 1, 2, 4])):
+            i = rnd.randrange(len(t) + 1)
+            t[i : i + rnd.randint(0, 1)] = rnd.choice(["x", "q", " ", ""])
+        return "".join(t).strip() or "x"
+
+    left = [(i, spoiled(rnd.choice(base)), 2000 + i % 4) for i in range(40)]
+    right = [(i, spoiled(rnd.choice(base)) + rnd.choice(["", " and more words behind it"]), 2000 + i % 3) for i in range(40)] + [(99, "erratum " + left[0][1], 2000)]
+    a = spark.createDataFrame(left, "l int, title string, cited_year int")
+    b = spark.createDataFrame(right, "r int, title string, record_year int")
+    for least in (0.7, 0.9):
+        want = {(i, j) for i, x, _ in left for j, y, _ in right if round(ratio(x, y), 6) >= least}
+        assert {(r["l"], r["r"]) for r in matching.fuzzy_title_pairs(a, b, least).collect()} == want
+    want = {(i, j) for i, x, u in left for j, y, v in right if ratio(x, y) >= 0.85 and abs(u - v) <= 1 and not y.startswith("erratum")}
+    assert {(r["l"], r["r"]) for r in matching.verified_titles(a, b).collect()} == want
+    best = {r["l"]: r["score"] for r in matching.fuzzy_title_join(a, b, 0.9).collect()}
+    assert all(abs(best.get(i, 0) - s) < 1e-5 for i, x, _ in left if (s := max(ratio(x, y) for _, y, _ in right)) >= 0.9)
+
+
+def test_name_rules(spark):
+    people = spark.createDataFrame([(1, "doe", "jane", "q"), (2, "doe", "j", ""), (3, "orr", "bo", "")], "l int, last string, first string, middle string")
+    authors = spark.createDataFrame([(1, "doe", "jan", "jq"), (2, "doe", "jane", "jx"), (3, "doe", "j", "j"), (4, "orr", "ann", "a")], "r int, last string, forename string, initials string")
+    got = {(r["l"], r["r"]): r["method"] for r in matching.name_join(people, authors).collect()}
+    assert got == {(1, 1): "forename", (1, 3): "initials", (2, 1): "initials", (2, 2): "initials", (2, 3): "initials"}
+
+
+def greedy(hits):
+    """Spans longest first; one that crosses an accepted span stays only if it is the same span or its partner type."""
+    out = []
+    for h in sorted(hits, key=lambda h: (h[0] - h[1], h[0])):
+        if all(o[:2] == h[:2] or {o[2], h[2]} == {"taxon", "condition"} for o in out if o[0] < h[1] and h[0] < o[1]):
+            out.append(h)
+    return sorted(out)
+
+
+def test_spans_against_brute_force():
+    rnd = random.Random(6)
+    for _ in range(300):
+        hits = sorted({(a, a + rnd.randint(1, 8), rnd.choice(["taxon", "condition", "gene"])) for a in [rnd.randint(0, 20) for _ in range(rnd.randint(0, 12))]})
+        at = np.array([h[:2] for h in hits], np.int64).reshape(-1, 2)
+        kept = linking.chosen_spans(at[:, 0], at[:, 1], [h[2] for h in hits], 40)
+        assert sorted(hits[i] for i in kept) == greedy(hits)
+
+
+def test_a_large_vocabulary_gives_the_same_hits(spark):
+    docs = spark.createDataFrame([(1, "Ab ab, a-b x AB ab x", "s"), (2, None, "s"), (3, "ab\\E x", "t")], "doc int, text string, source string")
+    terms = spark.createDataFrame([("ab",), ("a-b",), ("ab x",), ("ab\\E",)], "term string")
+    args = (docs, terms, "doc", "text", "term", ("source",))
+    assert sorted(linking.term_matches(*args).collect()) == sorted(linking.term_matches(*args, sent_letters=0).collect()) != []
+
+
+def test_closure_of_a_deep_chain(spark):
+    e = spark.createDataFrame([(f"{i}", f"{i + 1}") for i in range(70)], "child string, parent string")
+    got = {(r["node"], r["ancestor"]): r["hops"] for r in graph.closure(e, "child", "parent").collect()}
+    assert len(got) == 71 * 72 // 2 and got["0", "70"] == 70
+    with pytest.raises(RuntimeError):
+        graph.closure(e, "child", "parent", most_hops=20)
+
+
+def test_empty_samples_and_zero_vectors(spark):
+    df = spark.createDataFrame([(0, 0, [0.0, 0.0]), (3, 3, [1.0, 0.0])], "k int, n int, v array<double>")
+    low, high = sets.wilson(F.col("k"), F.col("n"))
+    got = df.select(low, high, scalars.cosine(F.col("v"), F.col("v"))).collect()
+    assert tuple(got[0]) == (0.0, 0.0, None) and got[1][1] == 1.0 and abs(got[1][2] - 1) < 1e-12
+
+
+def test_a_shared_folder_is_asked_for(spark):
+    class Context:
+        master, applicationId = "spark://host", "x"
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(_, default):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch(Session())
+    Context.master = "local[2]"
+    assert session.scratch(Session()).startswith("/")

@@ -145,31 +145,41 @@ def clean_text(values: pd.Series) -> pd.Series:
     return values.map(_clean, na_action="ignore")
 
 
-#: What UTF-8 read as a single-byte encoding looks like.
-_MOJIBAKE = re.compile("Ã.|â€|Â")
+def _single_bytes(codec: str) -> dict[str, int]:
+    """The letters of a single-byte encoding above ASCII; bytes it leaves undefined stand for themselves."""
+    return {bytes([b]).decode(codec, "ignore") or chr(b): b for b in range(0x80, 0x100)}
 
 
-def _clean(text: str) -> str | None:
-    text = html.unescape(text.strip())
-    # two dashes that lost a byte; the other control characters separate words
-    text = text.replace("\x13", "–").replace("\x14", "—")
-    text = "".join(" " if unicodedata.category(c) == "Cc" and c not in "\t\n\r\x85" and ord(c) < 128 else c for c in text)
-    damage = len(_MOJIBAKE.findall(text))
-    rounds = 0
-    while damage and rounds < 3:
-        better = [t for t in (_recoded(text, "cp1252"), _recoded(text, "latin-1")) if t is not None and len(_MOJIBAKE.findall(t)) < damage]
-        if not better:
-            break
-        text, rounds = better[0], rounds + 1
-        damage = len(_MOJIBAKE.findall(text))
-    return text.strip() or None
+_AS_BYTE = {**_single_bytes("latin-1"), **_single_bytes("cp1252")}
+_CONTROLS = {c: " " for c in [*range(0x20), 0x7F] if chr(c) not in "\t\n\r"} | {0x13: "–", 0x14: "—"}
+
+
+def _class(low: int, high: int) -> str:
+    return "[" + "".join(re.escape(c) for c, b in _AS_BYTE.items() if low <= b <= high) + "]"
+
+
+#: A UTF-8 sequence of two to four bytes, each read as one letter.
+_DOUBLE = re.compile(
+    f"{_class(0xC2, 0xDF)}{_class(0x80, 0xBF)}|{_class(0xE0, 0xEF)}{_class(0x80, 0xBF)}{{2}}|{_class(0xF0, 0xF4)}{_class(0x80, 0xBF)}{{3}}"
+)
 
 
-def _recoded(text: str, codec: str) -> str | None:
+def _undone(m: re.Match) -> str:
     try:
-        return text.encode(codec).decode("utf-8")
-    except UnicodeError:
-        return None
+        return bytes(_AS_BYTE[c] for c in m[0]).decode("utf-8")
+    except UnicodeDecodeError:
+        return m[0]
+
+
+def _clean(text: str) -> str | None:
+    text = html.unescape(text.strip()).translate(_CONTROLS)
+    # UTF-8 that was read as single bytes, up to three times over
+    for _ in range(3):
+        once = _DOUBLE.sub(_undone, text)
+        if once == text:
+            break
+        text = once
+    return text.strip() or None
 
 
 def clean_lines(c: Column) -> Column:
@@ -255,6 +265,12 @@ def first_rule(c: Column, rules: list[tuple[str, str]], default: str | None = No
 # ---- dates and people
 
 
+def person_name(c: Column) -> Column:
+    """`Last; First` turned round, `et al.` dropped."""
+    v = F.trim(F.regexp_replace(c, r"(?i),?\s*\bet al\b\.?\s*$", ""))
+    return F.regexp_replace(v, r"^([^;]+?)\s*;\s*([^;]+)$", "$2 $1")
+
+
 def paper_date(c: Column) -> tuple[Column, Column]:
     """(date padded to the first day, precision) of a partial date."""
     parts = F.split(F.trim(F.coalesce(c, F.lit(""))), "-")
@@ -281,7 +297,8 @@ def match_confidence(method: Column, affiliation: Column, acknowledged: Column)
 
 def cosine(a: Column, b: Column) -> Column:
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q), F.lit(0.0), lambda s, v: s + v)
-    return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
+    # a vector of zeros is like nothing: null
+    return dot(a, b) / F.nullif(F.sqrt(dot(a, a) * dot(b, b)), F.lit(0.0))
 
 
 def clean_columns(names: list[str]) -> list[str]:

@@ -5,35 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
 
-def closure(edges: DataFrame, child: str, parent: str, depth: int = 30) -> DataFrame:
+
+def closure(edges: DataFrame, child: str, parent: str, most_hops: int = 10_000) -> DataFrame:
     """(node, ancestor, hops): every ancestor of a node with its least distance, itself at 0.
 
-    Each round joins the newest pairs with the edges and drops pairs that are known, so
-    cycles end by themselves; `depth` bounds the rounds.
+    Known paths are joined to known paths, so the reach doubles each round and a hierarchy of
+    any depth ends after log2(depth) rounds; a round that adds and shortens nothing is
+    the last. Rounds are written to the scratch folder, so the plan does not grow. A hierarchy that is not
+    settled at most_hops raises an error.
     """
     up = edges.where(F.col(child).isNotNull() & F.col(parent).isNotNull() & (F.col(child) != F.col(parent)))
     up = up.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).distinct()
     nodes = up.select(F.col("_c").alias("node")).union(up.select("_p")).distinct()
-    known = nodes.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("hops"))
-    newest = known
-    for hop in range(1, depth + 1):
-        step = newest.join(up, F.col("ancestor") == F.col("_c")).select("node", F.col("_p").alias("ancestor")).distinct()
-        newest = step.join(known, ["node", "ancestor"], "left_anti").withColumn("hops", F.lit(hop))
-        if newest.isEmpty():
-            break
-        known = known.unionByName(newest)
-    return known
+    known = stored(
+        nodes.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("hops"))
+        .unionByName(up.select(F.col("_c").alias("node"), F.col("_p").alias("ancestor"), F.lit(1).alias("hops")))
+    )
+    reach, size = 1, known.agg(F.count("*"), F.sum("hops")).first()
+    while True:
+        on = known.where("hops > 0").select(F.col("node").alias("ancestor"), F.col("ancestor").alias("_a"), F.col("hops").alias("_h"))
+        # a path of up to 2 x reach hops is one of exactly `reach` hops and one more, or is known
+        longer = known.where(F.col("hops") == reach).join(on, "ancestor").select("node", F.col("_a").alias("ancestor"), (F.col("hops") + F.col("_h")).alias("hops"))
+        wider = stored(known.unionByName(longer).groupBy("node", "ancestor").agg(F.min("hops").alias("hops")))
+        now = wider.agg(F.count("*"), F.sum("hops")).first()
+        if now == size:
+            return known
+        known, size, reach = wider, now, reach * 2
+        if reach > most_hops:
+            raise RuntimeError(f"the hierarchy did not settle within {most_hops} hops")
 
 
 def subgraph(edges: DataFrame, starts: DataFrame, src: str, dst: str, hops: int) -> DataFrame:
-    """(node, hop): nodes within `hops` undirected steps of the starts, with the least hop."""
-    both = edges.select(F.col(src).alias("_a"), F.col(dst).alias("_b")).union(edges.select(dst, src)).distinct()
-    seen = starts.select(F.col(starts.columns[0]).alias("node")).distinct().withColumn("hop", F.lit(0))
+    """(node, hop): nodes within `hops` undirected steps of the starts, with the least hop.
+
+    The edges are written once, and each round's new nodes too, so a round reads the edges and the
+    front and repeats nothing of the rounds before.
+    """
+    both = stored(edges.select(F.col(src).alias("_a"), F.col(dst).alias("_b")))
+    seen = stored(starts.select(F.col(starts.columns[0]).alias("node")).distinct().withColumn("hop", F.lit(0)))
     front = seen
     for hop in range(1, hops + 1):
-        near = front.join(both, F.col("node") == F.col("_a")).select(F.col("_b").alias("node")).distinct()
-        front = near.join(seen, "node", "left_anti").withColumn("hop", F.lit(hop))
+        ahead = front.join(both, F.col("node") == F.col("_a")).select(F.col("_b").alias("node"))
+        back = front.join(both, F.col("node") == F.col("_b")).select(F.col("_a").alias("node"))
+        front = stored(ahead.union(back).distinct().join(seen, "node", "left_anti").withColumn("hop", F.lit(hop)))
         seen = seen.unionByName(front)
     return seen
 

@@ -1,22 +1,31 @@
 """Linking texts to a vocabulary of terms, and turning hits into links with support.
 
 Terms are matched as whole tokens: a term may not continue with an ASCII letter or digit
-on either side. Candidates come from an equi-join of token n-grams, so the vocabulary may
-be large; every candidate is verified by pattern.
+on either side. A vocabulary within a bound is sent to all tasks, which pass over each text
+once and never move it; a larger one is joined to the texts' n-grams.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+try:
+    import ahocorasick
+except ImportError:  # terms are then found by one pattern
+    ahocorasick = None
+
 #: Confidence of a match by where it stands, and the factor of ambiguous terms.
 CONFIDENCE = {"identifier": 1.00, "title": 0.70, "abstract": 0.50, "query_scope": 0.40}
 AMBIGUOUS = 0.5
+#: Letters of all terms together that are sent to every task at most.
+SENT_LETTERS = 20_000_000
+_EDGE = frozenset("0123456789abcdefghijklmnopqrstuvwxyz")
 
 
 def tokens(text: Column) -> Column:
@@ -26,23 +35,114 @@ def tokens(text: Column) -> Column:
 def whole_token(term: Column, ignore_case: bool = True) -> Column:
     """A pattern that finds a term as whole tokens."""
     flag = "(?iu)" if ignore_case else ""
-    return F.concat(F.lit(rf"{flag}(?<![0-9A-Za-z])\Q"), term, F.lit(r"\E(?![0-9A-Za-z])"))
-
-
-def term_matches(docs: DataFrame, vocabulary: DataFrame, id_col: str, text_col: str, term_col: str) -> DataFrame:
-    """(id, term, n): terms that occur in each text as whole tokens, ignoring case, and how often.
+    literal = F.regexp_replace(term, r"([^0-9A-Za-z\s])", r"\\$1")
+    return F.concat(F.lit(rf"{flag}(?<![0-9A-Za-z])"), literal, F.lit(r"(?![0-9A-Za-z])"))
+
+
+def cased_pattern(term: str, follow: str = "") -> Column:
+    """The pattern of one term: short upper-case terms and single letters match in that case only, and one of the following words may be asked for."""
+    exact = len(term) == 1 or (len(term) <= 4 and term.isupper())
+    after = rf"(?=\s+(?:{follow})(?![0-9A-Za-z]))" if follow else ""
+    return F.lit(rf"{'' if exact else '(?iu)'}(?<![0-9A-Za-z]){re.escape(term)}(?![0-9A-Za-z]){after}")
+
+
+def lower(text: str) -> str:
+    """Lower case, letter by letter, so that places stay the same."""
+    out = text.lower()
+    return out if len(out) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
+class Finder:
+    """All places where lower-case terms stand as whole tokens."""
+
+    def __init__(self, terms: Iterable[str]):
+        self.terms = sorted(set(terms))
+        if ahocorasick is not None and self.terms:
+            self.machine = ahocorasick.Automaton()
+            for i, t in enumerate(self.terms):
+                self.machine.add_word(t, (i, len(t)))
+            self.machine.make_automaton()
+        else:
+            self.machine = None
+
+    def places(self, text: str) -> Iterator[tuple[int, int, int]]:
+        """(start, end, number of the term) in lower-case text."""
+        if self.machine is not None:
+            for last, (i, n) in self.machine.iter(text):
+                start, end = last + 1 - n, last + 1
+                if (end == len(text) or text[end] not in _EDGE) and (not start or text[start - 1] not in _EDGE):
+                    yield start, end, i
+            return
+        for i, t in enumerate(self.terms):
+            for m in re.finditer(rf"(?<![0-9a-z])(?={re.escape(t)}(?![0-9a-z]))", text):
+                yield m.start(), m.start() + len(t), i
+
+    def counts(self, text: str) -> dict[int, tuple[int, int]]:
+        """How often each term occurs, places of one term that overlap counted once, and where it stands first."""
+        out: dict[int, tuple[int, int]] = {}
+        until: dict[int, int] = {}
+        for start, end, i in self.places(text):
+            if start >= until.get(i, 0):
+                n, first = out.get(i, (0, start))
+                out[i] = n + 1, first
+                until[i] = end
+        return out
+
+
+def term_matches(
+    docs: DataFrame, vocabulary: DataFrame, id_col: str, text_col: str, term_col: str, carry: tuple[str, ...] = (), sent_letters: int = SENT_LETTERS
+) -> DataFrame:
+    """(id, carried columns, term, n, at): terms that occur in each text as whole tokens, ignoring case, how often,
+    and the place (from 1) of the first.
+
+    vocabulary needs terms with at least one letter or digit; terms that differ in case only
+    are all reported. A null text holds nothing.
+    """
+    terms = vocabulary.select(F.col(term_col).alias("term")).where(F.col(term_col).rlike("[0-9A-Za-z]")).distinct()
+    size = terms.agg(F.coalesce(F.sum(F.length("term") + 1), F.lit(0))).first()[0]
+    if size > sent_letters:
+        return _joined_matches(docs, terms, id_col, text_col, term_col, carry)
+    spellings: dict[str, list[str]] = {}
+    for r in terms.collect():
+        spellings.setdefault(lower(r["term"]), []).append(r["term"])
+    src = docs.where(F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)]
+    )
 
-    vocabulary needs distinct terms with at least one letter or digit. The longest term, in
-    tokens, bounds the n-grams; only distinct n-grams of a document are joined.
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        finder = Finder(spellings)
+        for pdf in batches:
+            rows, term, n, at = [], [], [], []
+            for row, text in enumerate(pdf["text"]):
+                for i, (times, first) in finder.counts(lower(text)).items():
+                    for t in spellings[finder.terms[i]]:
+                        rows.append(row)
+                        term.append(t)
+                        n.append(times)
+                        at.append(first + 1)
+            out = pdf.drop(columns="text").iloc[rows].reset_index(drop=True)
+            yield out.assign(term=pd.Series(term, dtype=object), n=pd.Series(n, dtype="int64"), at=pd.Series(at, dtype="int64"))
+
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in src.schema.fields if f.name != "text"]
+    found = src.mapInPandas(run, ", ".join([*kinds, "term string", "n long", "at long"]))
+    return found.select(F.col("id").alias(id_col), *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)], F.col("term").alias(term_col), "n", "at")
+
+
+def _joined_matches(docs: DataFrame, terms: DataFrame, id_col: str, text_col: str, term_col: str, carry: tuple[str, ...]) -> DataFrame:
+    """The same for a vocabulary of any size: distinct n-grams of a text join the terms, and a pattern decides.
+
+    Only n-grams that some term begins with are taken on; a text moves once, for its candidates.
     """
-    terms = vocabulary.select(F.col(term_col).alias("term")).distinct().withColumn("gram", F.array_join(tokens(F.col("term")), " "))
+    terms = terms.withColumn("gram", F.array_join(tokens(F.col("term")), " "))
     longest = terms.agg(F.max(F.size(F.split("gram", " ")))).first()[0] or 1
-    words = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), tokens(F.col(text_col)).alias("t"))
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    words = docs.where(F.col(text_col).isNotNull()).withColumn("_row", F.xxhash64(row)).withColumn("t", tokens(F.col(text_col)))
     grams = F.array_distinct(F.flatten(F.array(*[_grams(n) for n in range(1, longest + 1)])))
-    # texts are joined back by id only for candidates: n-grams travel without the text
-    candidates = words.select("id", F.explode(grams).alias("gram")).join(terms, "gram").select("id", "term").distinct()
-    hits = candidates.join(words.select("id", "text"), "id").withColumn("n", F.regexp_count("text", whole_token(F.col("term"))))
-    return hits.where(F.col("n") > 0).select(F.col("id").alias(id_col), F.col("term").alias(term_col), F.col("n").cast("long").alias("n"))
+    candidates = words.select("_row", F.explode(grams).alias("gram")).join(terms, "gram").select("_row", "term").distinct()
+    named = candidates.groupBy("_row").agg(F.collect_list("term").alias("_terms"))
+    hits = words.drop("t").join(named, "_row").withColumn("term", F.explode("_terms")).withColumn("n", F.regexp_count(text_col, whole_token(F.col("term"))))
+    at = F.regexp_instr(text_col, whole_token(F.col("term")))
+    return hits.where(F.col("n") > 0).select(id_col, *carry, F.col("term").alias(term_col), F.col("n").cast("long").alias("n"), at.cast("long").alias("at"))
 
 
 def _grams(n: int) -> Column:
@@ -90,16 +190,33 @@ def relevance_tier(title_hit: Column, mentions: Column) -> Column:
     return F.when(title_hit, "strong").when(mentions >= 2, "moderate").when(mentions == 1, "weak")
 
 
+#: The forms of a grant number's parts (an application's type and activity, an institute, a serial).
+ACTIVITY, INSTITUTE, SERIAL = r"[A-Z][0-9]{2}|Z[A-Z0-9]{2}", "[A-Z][A-Z1]", "[0-9]{5,6}(?![0-9])"
+
+
 def grant_numbers(df: DataFrame, text_col: str) -> DataFrame:
-    """df with one row per grant number in the text: `activity` (or null) and `serial`."""
-    pattern = r"(?<![A-Z0-9])(?:\d?([A-Z]\d{2}|Z[A-Z0-9]{2})[\s-]?)?([A-Z][A-Z1])\s?-?\s?(\d{5,6})(?!\d)"
-    upper = F.upper(text_col)
-    groups = F.arrays_zip(*[F.regexp_extract_all(upper, F.lit(pattern), F.lit(i)).alias(n) for i, n in ((1, "a"), (2, "i"), (3, "s"))])
-    out = df.withColumn("_g", F.explode(groups))
-    institute = F.when(F.col("_g.i") == "A1", "AI").otherwise(F.col("_g.i"))
-    return out.withColumn("activity", F.nullif(F.col("_g.a"), F.lit(""))).withColumn(
-        "serial", F.concat(institute, F.lpad(F.col("_g.s"), 6, "0"))
-    ).drop("_g")
+    """df with one row per grant number in the text: `activity` (or null) and `serial`.
+
+    Parts of a number may be joined, or set apart by blanks and hyphens. The text is read as
+    phrases of words; every word that ends a number's head is looked at together with the
+    word before it (an activity) and the word after it (a serial).
+    """
+    phrases = F.split(F.upper(text_col), r"[^A-Z0-9\s-]+")
+    out = df.withColumn("_w", F.explode(F.transform(phrases, lambda p: F.split(F.trim(F.regexp_replace(p, r"[\s-]+", " ")), " "))))
+    word = lambda i: F.coalesce(F.get("_w", i), F.lit(""))
+    kind, head = rf"^[0-9]?({ACTIVITY})$", rf"^(?:[0-9]?({ACTIVITY}))?({INSTITUTE})"
+
+    def number(_: Column, i: Column) -> Column:
+        apart = word(i).rlike(rf"{head}$") & word(i + 1).rlike(f"^{SERIAL}")
+        digits = F.when(apart, F.regexp_extract(word(i + 1), f"^({SERIAL})", 1)).otherwise(F.regexp_extract(word(i), rf"{head}({SERIAL})", 3))
+        own = F.nullif(F.regexp_extract(word(i), head, 1), F.lit(""))
+        before = F.nullif(F.regexp_extract(word(i - 1), kind, 1), F.lit(""))
+        # the letter I is often read as the digit 1
+        institute = F.replace(F.regexp_extract(word(i), head, 2), F.lit("1"), F.lit("I"))
+        return F.when(digits != "", F.struct(F.coalesce(own, before).alias("activity"), F.concat(institute, F.lpad(digits, 6, "0")).alias("serial")))
+
+    found = F.array_compact(F.transform("_w", number))
+    return out.withColumn("_g", F.explode(found)).select(*df.columns, "_g.activity", "_g.serial")
 
 
 def resolve_grants(found: DataFrame, awards: DataFrame) -> DataFrame:
@@ -115,47 +232,80 @@ def resolve_grants(found: DataFrame, awards: DataFrame) -> DataFrame:
     return both.select("doc", "award", F.concat(F.coalesce("activity", F.lit("")), "serial").alias("matched")).distinct()
 
 
-#: Spans that may overlap an accepted longer one: the same span, or a taxon in a condition's name.
-_PAIR = {"taxon", "condition"}
+#: Types whose spans may overlap each other: an organism inside a condition's name.
+_PARTNER = {"taxon": "condition", "condition": "taxon"}
+_STOPS = ".!?;\n"
+
+
+def chosen_spans(starts: np.ndarray, ends: np.ndarray, types: list[str], letters: int) -> list[int]:
+    """Numbers of the spans that stay, longest first.
+
+    For each type a count of accepted spans is kept on every letter. A span is refused if on
+    some letter of it an accepted span stands that neither is the same span nor has the
+    partner type.
+    """
+    cover: dict[str, np.ndarray] = {}
+    same: dict[tuple[int, int], list[str]] = {}
+    total = np.zeros(letters, np.int32)
+    out = []
+    for i in np.lexsort((starts, starts - ends)).tolist():
+        a, b, kind = int(starts[i]), int(ends[i]), types[i]
+        partner = _PARTNER.get(kind)
+        against = total[a:b] - sum(t != partner for t in same.get((a, b), ()))
+        if partner in cover:
+            against = against - cover[partner][a:b]
+        if not against.any():
+            out.append(i)
+            same.setdefault((a, b), []).append(kind)
+            total[a:b] += 1
+            cover.setdefault(kind, np.zeros(letters, np.int32))[a:b] += 1
+    return out
+
+
+def in_context(starts: np.ndarray, ends: np.ndarray, types: list[str], text: str, window: int) -> list[bool]:
+    """For each span of type `generic`, whether a taxon's span begins in its sentence within `window` letters; true for others."""
+    stops = np.array([i for i, c in enumerate(text) if c in _STOPS], np.int64)
+    sentence = np.searchsorted(stops, starts)
+    taxon = np.array([t == "taxon" for t in types], bool)
+    out = []
+    for i, kind in enumerate(types):
+        near = np.minimum(np.abs(starts - starts[i]), np.abs(ends - ends[i])) <= window
+        out.append(kind != "generic" or bool((taxon & near & (sentence == sentence[i])).any()))
+    return out
 
 
 def longest_spans(docs: DataFrame, terms: list[tuple[str, str, str]], id_col: str, text_col: str, window: int = 80) -> DataFrame:
     """Accepted hits of a small vocabulary [(term, entity, type)]: longest spans first, no overlaps.
 
     A hit of type `generic` also needs a taxon hit in its sentence within `window` letters.
-    Short upper-case terms match in that case only. The greedy choice is sequential within
-    one text, so texts are handled in Arrow batches, each by itself.
+    Short upper-case terms match in that case only. The choice is sequential within
+    one text, so texts are handled in Arrow batches, each by itself; terms are found in one
+    pass over a text, however many there are.
     """
-    def pattern(term: str) -> re.Pattern:
-        exact = len(term) == 1 or (len(term) <= 4 and term.isupper())
-        return re.compile(rf"(?<![0-9A-Za-z]){re.escape(term)}(?![0-9A-Za-z])", 0 if exact else re.IGNORECASE)
-
-    def accepted(text: str, found: list[tuple[int, int, str, str, str]]) -> Iterator[tuple[int, int, str, str, str]]:
-        taken: list[tuple[int, int, str, str, str]] = []
-        for hit in sorted(found, key=lambda h: (h[0] - h[1], h[0], h[2], h[3])):
-            clash = [t for t in taken if t[0] < hit[1] and hit[0] < t[1]]
-            if all(t[:2] == hit[:2] or {t[4], hit[4]} == _PAIR for t in clash):
-                taken.append(hit)
-        taxa = [t for t in taken if t[4] == "taxon"]
-        for hit in taken:
-            if hit[4] == "generic":
-                left = max(text.rfind(c, 0, hit[0]) for c in ".!?;\n") + 1
-                ends = [i for i in (text.find(c, hit[0]) for c in ".!?;\n") if i >= 0]
-                right = min(ends, default=len(text) - 1) + 1
-                near = [t for t in taxa if left <= t[0] < right and (abs(t[0] - hit[0]) <= window or abs(t[1] - hit[1]) <= window)]
-                if not near:
-                    continue
-            yield hit
+    rows = sorted(set(terms))
+    exact = [len(t) == 1 or (len(t) <= 4 and t.isupper()) for t, _, _ in rows]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        patterns = [(pattern(t), t, e, k) for t, e, k in terms]
+        finder = Finder(lower(t) for t, _, _ in rows)
+        number = {t: i for i, t in enumerate(finder.terms)}
+        owners: dict[int, list[int]] = {}
+        for k, (t, _, _) in enumerate(rows):
+            owners.setdefault(number[lower(t)], []).append(k)
         for pdf in batches:
-            rows = []
-            for i, text in zip(pdf["id"], pdf["text"], strict=True):
+            out = []
+            for ident, text in zip(pdf["id"], pdf["text"], strict=True):
                 text = text or ""
-                found = [(m.start(), m.end(), t, e, k) for p, t, e, k in patterns for m in p.finditer(text)]
-                rows += [(i, *h) for h in accepted(text, found)]
-            yield pd.DataFrame(rows, columns=["id", "start", "end", "term", "entity", "type"])
+                hits = [
+                    (a, b, k) for a, b, i in finder.places(lower(text)) for k in owners[i]
+                    if not exact[k] or text[a:b] == rows[k][0]
+                ]
+                hits.sort(key=lambda h: rows[h[2]])
+                at = np.array([h[:2] for h in hits], np.int64).reshape(-1, 2)
+                kept = chosen_spans(at[:, 0], at[:, 1], [rows[h[2]][2] for h in hits], len(text))
+                at, kinds = at[kept], [rows[hits[i][2]][2] for i in kept]
+                ok = in_context(at[:, 0], at[:, 1], kinds, text, window)
+                out += [(ident, *hits[i][:2], *rows[hits[i][2]]) for i, good in zip(kept, ok, strict=True) if good]
+            yield pd.DataFrame(out, columns=["id", "start", "end", "term", "entity", "type"])
 
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return src.mapInPandas(run, "id long, start long, end long, term string, entity string, type string").withColumnRenamed("id", id_col)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 
 def pick_field(candidates: list[tuple[str, Column]]) -> tuple[Column, Column]:
     """(value, source) of the first candidate that is not null."""
@@ -63,11 +65,13 @@ def number_entities(df: DataFrame, key: list[str], order: str, out: str) -> Data
     The keys are ranked by a global sort; the running number comes from per-partition counts.
     """
     firsts = df.groupBy(*key).agg(F.min(order).alias("_at"))
-    parts = firsts.repartitionByRange("_at", *key).withColumn("_p", F.spark_partition_id())
-    parts = parts.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy("_at", *key)))
+    # written before it is used twice: what a partition holds must not change between the two
+    parts = stored(firsts.repartitionByRange("_at", *key).withColumn("_p", F.spark_partition_id()))
     sizes = parts.groupBy("_p").agg(F.count("*").alias("_n"))
     before = sizes.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_b"))
-    return parts.join(before, "_p").withColumn(out, (F.col("_b") + F.col("_i")).cast("long")).drop("_p", "_i", "_b", "_at")
+    within = Window.partitionBy("_p").orderBy("_at", *key)
+    parts = parts.withColumn("_i", F.row_number().over(within)).join(F.broadcast(before), "_p")
+    return parts.withColumn(out, (F.col("_b") + F.col("_i")).cast("long")).drop("_p", "_i", "_b", "_at")
 
 
 def assign_by_label(df: DataFrame, label: str, fallback: str, index: DataFrame, name: str, value: str) -> DataFrame:

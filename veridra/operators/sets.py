@@ -41,16 +41,20 @@ def multiset_diff(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def wilson(k: Column, n: Column, z: float = 1.96) -> tuple[Column, Column]:
-    """Bounds of the Wilson interval of k in n."""
-    p = k / n
-    mid = (p + z * z / (2 * n)) / (1 + z * z / n)
-    half = z / (1 + z * z / n) * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))
-    return mid - half, mid + half
+    """Bounds of the Wilson interval of k in n, within [0, 1]; both 0 for an empty sample."""
+    some = F.nullif(n, F.lit(0))
+    p = k / some
+    mid = (p + z * z / (2 * some)) / (1 + z * z / some)
+    half = z / (1 + z * z / some) * F.sqrt(p * (1 - p) / some + z * z / (4 * some * some))
+    low, high = F.greatest(mid - half, F.lit(0.0)), F.least(mid + half, F.lit(1.0))
+    return F.when(n > 0, low).otherwise(0.0), F.when(n > 0, high).otherwise(0.0)
 
 
 def wilson_number(k: int, n: int, z: float = 1.96) -> tuple[float, float]:
     """The same for two numbers (used in tests)."""
+    if not n:
+        return 0.0, 0.0
     p = k / n
     mid = (p + z * z / (2 * n)) / (1 + z * z / n)
     half = z / (1 + z * z / n) * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))
-    return mid - half, mid + half
+    return max(0.0, mid - half), min(1.0, mid + half)

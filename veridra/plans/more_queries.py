@@ -20,37 +20,6 @@ from .scalar_queries import case_of, case_sql
 # ---- building documents from delivered rows
 
 
-@query("""SELECT o_custkey AS award, arg_min(o_orderpriority, (o_orderdate, o_orderkey)) AS headline, CAST(min(year(o_orderdate)) AS INTEGER) AS first_year, CAST(max(year(o_orderdate)) AS INTEGER) AS last_year,
-CAST(count(*) AS BIGINT) AS records FROM orders GROUP BY o_custkey""")
-def link_build_grants(t):
-    at, y = F.struct("o_orderdate", "o_orderkey"), F.year("o_orderdate")
-    return t.orders.groupBy(F.col("o_custkey").alias("award")).agg(
-        F.min_by("o_orderpriority", at).alias("headline"), F.min(y).alias("first_year"), F.max(y).alias("last_year"), F.count("*").alias("records"))
-
-
-@query("""SELECT p_partkey, coalesce(nullif(p_name, ''), p_type) AS title, CASE WHEN bool_or(l_returnflag = 'R') THEN 'claims' ELSE 'related' END AS relation, CAST(count(l_orderkey) AS BIGINT) AS n
-FROM part LEFT JOIN lineitem ON l_partkey = p_partkey GROUP BY p_partkey, p_name, p_type""")
-def link_build_patents(t):
-    g = t.part.join(t.lineitem, F.col("l_partkey") == F.col("p_partkey"), "left").groupBy("p_partkey", "p_name", "p_type").agg(
-        F.bool_or(F.col("l_returnflag") == "R").alias("r"), F.count("l_orderkey").alias("n"))
-    return g.select("p_partkey", F.coalesce(F.nullif("p_name", F.lit("")), "p_type").alias("title"), F.when(F.col("r"), "claims").otherwise("related").alias("relation"), "n")
-
-
-@query("SELECT doc_id, coalesce(lang, 'und') AS lang, quality FROM documents LEFT JOIN labels USING (doc_id)")
-def link_build_papers(t):
-    return t.documents.join(t.labels, "doc_id", "left").select("doc_id", F.coalesce("lang", F.lit("und")).alias("lang"), "quality")
-
-
-@query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 2 = 0 THEN 'part:' || p_partkey ELSE 'supplier:' || s_suppkey END AS entity FROM lineitem
-LEFT JOIN part ON l_partkey = p_partkey AND l_linenumber % 2 = 0 LEFT JOIN supplier ON l_suppkey = s_suppkey AND l_linenumber % 2 = 1""")
-def link_paper_entities(t):
-    kind = F.when(F.col("l_linenumber") % 2 == 0, "part").otherwise("supplier")
-    refs = t.lineitem.select("l_orderkey", "l_linenumber", kind.alias("kind"), F.when(kind == "part", F.col("l_partkey")).otherwise(F.col("l_suppkey")).alias("key"))
-    known = t.part.select(F.lit("part").alias("kind"), F.col("p_partkey").alias("key")).union(t.supplier.select(F.lit("supplier"), "s_suppkey"))
-    entity = F.concat_ws(":", "kind", F.col("key").cast("string"))
-    return refs.join(known.withColumn("entity", entity), ["kind", "key"], "left").select("l_orderkey", "l_linenumber", "entity")
-
-
 @query("SELECT DISTINCT l_partkey FROM lineitem WHERE l_discount > 0.05 AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 10)")
 def link_cited_papers(t):
     bundle = t.part.where("p_size < 10").select(F.col("p_partkey").alias("l_partkey"))
@@ -63,83 +32,9 @@ def link_patent_cited(t):
     return t.lineitem.select("l_suppkey").distinct().join(claimed, "l_suppkey", "left_anti")
 
 
-CLAIMED = ["idiot;moron", "the and", "that;555", "nothing here"]
-
-
-@query(f"""WITH c AS (SELECT doc_id, lower(text) AS text, unnest(string_split({case_sql(CLAIMED, "doc_id")}, ';')) AS term FROM documents)
-SELECT doc_id, min(term) AS term FROM c WHERE regexp_matches(text, '(^|[^0-9a-z])' || term || '($|[^0-9a-z])') GROUP BY doc_id""")
-def link_clinical_recheck(t):
-    c = t.documents.select("doc_id", "text", F.explode(F.split(case_of(CLAIMED, "doc_id"), ";")).alias("term"))
-    return c.where(F.regexp_count("text", L.whole_token(F.col("term"))) > 0).groupBy("doc_id").agg(F.min("term").alias("term"))
-
-
-@query("SELECT l_orderkey, l_linenumber, coalesce(CASE WHEN year(l_shipdate) > 1995 THEN l_shipdate END, o_orderdate) = l_shipdate AS online FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
-def link_online_date(t):
-    d = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    best = F.coalesce(F.when(F.year("l_shipdate") > 1995, F.col("l_shipdate")), "o_orderdate")
-    return d.select("l_orderkey", "l_linenumber", (best == F.col("l_shipdate")).alias("online"))
-
-
-@query("SELECT doc_id, 'THE' AS term FROM documents WHERE regexp_matches(text, '(^|[^0-9A-Za-z])The($|[^0-9A-Za-z])')")
-def link_case_rule(t):
-    hit = F.regexp_count("text", L.whole_token(F.lit("The"), ignore_case=False)) > 0
-    return t.documents.where(hit).select("doc_id", F.lit("THE").alias("term"))
-
-
-@query("""SELECT doc_id, field, term FROM (SELECT doc_id, lower(split_part(text, chr(10), 1)) AS title, lower(substr(text, length(split_part(text, chr(10), 1)) + 1)) AS body FROM documents)
-UNPIVOT (content FOR field IN (title, body)), (VALUES ('that'), ('idiot')) v(term) WHERE regexp_matches(content, '(^|[^0-9a-z])' || term || '($|[^0-9a-z])')""")
-def link_record_staging(t):
-    title = F.split_part("text", F.lit("\n"), F.lit(1))
-    d = t.documents.select("doc_id", title.alias("title"), F.substr("text", F.length(title) + 1, F.length("text")).alias("body")).unpivot("doc_id", ["title", "body"], "field", "content")
-    key = d.select(F.concat_ws(":", F.col("doc_id").cast("string"), "field").alias("key"), "content")
-    hits = L.term_matches(key, t.spark.createDataFrame([("that",), ("idiot",)], "term string"), "key", "content", "term")
-    return hits.select(F.split_part("key", F.lit(":"), F.lit(1)).cast("long").alias("doc_id"), F.split_part("key", F.lit(":"), F.lit(2)).alias("field"), "term")
-
-
-@query("SELECT p_partkey, 'steel' AS entity FROM part WHERE regexp_matches(regexp_replace(lower(p_type), '[^a-z0-9 ]', ' ', 'g'), '\\bsteel\\b')")
-def link_patent_simple(t):
-    text = F.regexp_replace(F.lower("p_type"), "[^a-z0-9 ]", " ")
-    return t.part.where(text.rlike(r"\bsteel\b")).select("p_partkey", F.lit("steel").alias("entity"))
-
-
-@query("SELECT o_orderkey AS doc, c_custkey AS target FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus = 'F' AND c_acctbal > 0")
-def link_grant_patent(t):
-    return t.orders.where("o_orderstatus = 'F'").join(t.customer.where("c_acctbal > 0"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_orderkey").alias("doc"), F.col("c_custkey").alias("target"))
-
-
-@query("SELECT DISTINCT o_orderkey AS doc, l_suppkey AS target FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderpriority LIKE '1%'")
-def link_paper_grant(t):
-    return t.orders.where(F.col("o_orderpriority").startswith("1")).join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_orderkey").alias("doc"), F.col("l_suppkey").alias("target")).distinct()
-
-
-@query("""WITH m AS (SELECT o_orderkey AS doc, CAST(o_custkey % 50 AS BIGINT) AS ref FROM orders), a AS (SELECT c_custkey % 100 AS ref, min(c_custkey) AS target FROM customer GROUP BY 1 HAVING count(*) = 1 OR count(*) > 0)
-SELECT doc, target FROM m JOIN a USING (ref) WHERE doc <> target""")
-def link_grant_in_text(t):
-    text = F.concat(F.lit("see award R01AI"), F.lpad((F.col("o_custkey") % 50).cast("string"), 6, "0"), F.lit(" there"))
-    m = L.grant_numbers(t.orders.select(F.col("o_orderkey").alias("doc"), text.alias("text")), "text")
-    a = t.customer.groupBy((F.col("c_custkey") % 100).alias("ref")).agg(F.min("c_custkey").alias("target"))
-    a = a.withColumn("serial", F.concat(F.lit("AI"), F.lpad(F.col("ref").cast("string"), 6, "0")))
-    return m.join(a, "serial").where("doc <> target").select("doc", "target")
-
-
-@query("""WITH v(term, canonical) AS (VALUES ('brand#11', NULL), ('b11', 'brand#11'), ('none', 'no')), e AS (SELECT lower(p_brand) AS name, min(p_partkey) AS id FROM part GROUP BY 1)
-SELECT term, coalesce(a.id, b.id) AS entity_id FROM v LEFT JOIN e a ON a.name = term LEFT JOIN e b ON b.name = canonical""")
-def link_vocab_resolve(t):
-    v = t.spark.createDataFrame([("brand#11", None), ("b11", "brand#11"), ("none", "no")], "term string, canonical string")
-    e = t.part.groupBy(F.lower("p_brand").alias("name")).agg(F.min("p_partkey").alias("id"))
-    a, b = e.select(F.col("name").alias("term"), F.col("id").alias("i1")), e.select(F.col("name").alias("canonical"), F.col("id").alias("i2"))
-    return v.join(a, "term", "left").join(b, "canonical", "left").select("term", F.coalesce("i1", "i2").alias("entity_id"))
-
-
 # ---- resolution and curated data
 
 
-@query("SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON r_regionkey = 1")
-def er_reference_features(t):
-    one = t.region.where("r_regionkey = 1").select("r_name").first()
-    return t.nation.select("n_nationkey", "n_name", F.lit(one[0]).alias("r_name"))
-
-
 @query("SELECT l_orderkey, l_linenumber, s_suppkey FROM lineitem LEFT JOIN supplier ON s_name = 'Supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0')")
 def er_alignment_members(t):
     label = F.concat(F.lit("seq/x/"), F.lit("Supplier#"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0"))
@@ -154,22 +49,6 @@ def er_structures(t):
     return t.lineitem.join(m, "l_partkey", "left").select("l_orderkey", "l_linenumber", F.coalesce(own, "s").alias("supplier"))
 
 
-PEOPLE = ["Doe; Jane", "Smith; John et al.", "Solo", None]
-
-
-@query(f"SELECT o_orderkey, {case_sql(['Jane Doe', 'John Smith', 'Solo', None])} AS name FROM orders")
-def er_name_canonical(t):
-    v = F.trim(F.regexp_replace(case_of(PEOPLE), r"\s*et al\.?$", ""))
-    parts = F.split(v, r"\s*;\s*")
-    return t.orders.select("o_orderkey", F.when(F.size(parts) == 2, F.concat_ws(" ", parts[1], parts[0])).otherwise(v).alias("name"))
-
-
-@query("SELECT c_custkey, CASE WHEN c_nationkey IN (3, 4) THEN 3 ELSE c_nationkey END AS node FROM customer")
-def er_taxon_collapse(t):
-    m = t.spark.createDataFrame([(4, 3)], "c_nationkey int, current int")
-    return t.customer.join(F.broadcast(m), "c_nationkey", "left").select("c_custkey", F.coalesce("current", "c_nationkey").alias("node"))
-
-
 CURATED = [("Brand#11", "steel"), ("Brand#23", "brass"), ("Brand#99", "none")]
 CURATED_SQL = ", ".join(f"('{a}', '{b}')" for a, b in CURATED)
 
@@ -206,53 +85,9 @@ def er_combine_edges(t):
     return o.where("a % 2 = 0").unionByName(o.where("a % 3 = 0"), allowMissingColumns=True).dropDuplicates(["a", "b"])
 
 
-ORGS = ["Genentech, Inc.", "The Scripps Research Inst", "Univ of X & Y", "GmbH Co Ltd", None]
-
-
-@query(f"SELECT o_orderkey, {case_sql(['GENENTECH', 'SCRIPPS RESEARCH INSTITUTE', 'UNIVERSITY OF X AND Y', '', None])} AS org FROM orders")
-def er_org_normalize(t):
-    return t.orders.select("o_orderkey", M.organisation_keys(case_of(ORGS)).alias("org"))
-
-
-FIELDS = ["Janssen B.V.,Bavarian Nordic A/S", "Genentech, Inc.", "Hiatt; Andrew,Acme,Inc.", "Ft Detrick,Md", None]
-
-
-@query(f"SELECT o_orderkey, {case_sql(['Janssen B.V.|Bavarian Nordic A/S', 'Genentech, Inc.', 'Acme,Inc.', 'Ft Detrick', None])} AS names FROM orders")
-def er_org_split(t):
-    return t.orders.select("o_orderkey", F.array_join(M.organisation_names(case_of(FIELDS)), "|").alias("names"))
-
-
-@query("""WITH u AS (SELECT c_mktsegment AS org, 'customer' AS role, c_custkey AS id FROM customer UNION ALL SELECT o_orderpriority, 'order', o_orderkey FROM orders)
-SELECT org, CAST(count(DISTINCT role) AS BIGINT) AS roles, CAST(count(*) AS BIGINT) AS links FROM u GROUP BY org""")
-def er_org_build(t):
-    u = t.customer.select(F.col("c_mktsegment").alias("org"), F.lit("customer").alias("role"), F.col("c_custkey").alias("id")).union(t.orders.select("o_orderpriority", F.lit("order"), "o_orderkey"))
-    return u.groupBy("org").agg(F.countDistinct("role").alias("roles"), F.count("*").alias("links"))
-
-
 # ---- fuzzy matching
 
 
-@query("SELECT a.p_partkey AS l, min(b.p_partkey) AS r, 1.0::DOUBLE AS score FROM part a JOIN part b ON trim(regexp_replace(lower(a.p_name), '[^a-z0-9]+', ' ', 'g')) = trim(regexp_replace(lower(b.p_name), '[^a-z0-9]+', ' ', 'g')) GROUP BY a.p_partkey")
-def join_fuzzy_title(t):
-    p = t.part.select("p_partkey", S.norm_title(F.col("p_name")).alias("title"))
-    return M.fuzzy_title_join(p.withColumnRenamed("p_partkey", "l"), p.withColumnRenamed("p_partkey", "r"), 1.0)
-
-
-@query("SELECT DISTINCT a.o_custkey AS a, b.c_custkey AS b FROM orders a JOIN customer b ON a.o_custkey = b.c_custkey WHERE abs(CAST(year(o_orderdate) AS INTEGER) - 1995) <= 1")
-def join_fuzzy_verified(t):
-    d = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    return d.where(M.year_near(F.year("o_orderdate"), F.lit(1995))).select(F.col("o_custkey").alias("a"), F.col("c_custkey").alias("b")).distinct()
-
-
-NAMES = [("chris", "christopher", "c"), ("jane", "j", "jd"), ("ann", "bob", "b"), ("k", "karl", "k")]
-
-
-@query(f"SELECT o_orderkey, {case_sql(['forename', 'initials', None, 'initials'])} AS method FROM orders")
-def join_name_match(t):
-    a, b, c = (case_of([n[i] for n in NAMES]) for i in range(3))
-    return t.orders.select("o_orderkey", M.name_method(a, b, c).alias("method"))
-
-
 CITED = ['Doe J. "A study of many things" Nature 12, 345 (1999)', "No title", None]
 
 
@@ -316,12 +151,6 @@ def sink_delete_stale(t):
     return t.customer.select("c_custkey").join(kept, "c_custkey", "left_semi")
 
 
-@query("SELECT l_orderkey, l_linenumber, p_name, s_name FROM lineitem LEFT JOIN part ON l_partkey = p_partkey LEFT JOIN supplier ON l_suppkey = s_suppkey")
-def cmp_snapshot_normalize(t):
-    d = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"), "left").join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-    return d.select("l_orderkey", "l_linenumber", "p_name", "s_name")
-
-
 @query("""SELECT 'customer' AS tab, CAST(count(*) FILTER (WHERE c_custkey % 10 = 0) AS BIGINT) AS only_first, CAST(0 AS BIGINT) AS only_second FROM customer""")
 def cmp_multiset_diff(t):
     d = X.multiset_diff(t.customer, t.customer.where("c_custkey % 10 <> 0"))

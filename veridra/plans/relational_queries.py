@@ -58,23 +58,6 @@ def join_explode_multivalue(t):
     return out.select("o_orderkey", F.col("r").cast("long").alias("r"))
 
 
-@query("""WITH i AS (SELECT l_orderkey * 10 + l_linenumber AS inner_id, l_suppkey AS chrom, l_partkey AS s, l_partkey + CAST(l_quantity AS BIGINT) % 10 AS e FROM lineitem),
-o AS (SELECT p_partkey AS outer_id, p_partkey % 10 + 1 AS chrom, p_partkey - 20 AS s, p_partkey + p_size AS e FROM part WHERE p_partkey > 20)
-SELECT inner_id, outer_id FROM i JOIN o ON i.chrom = o.chrom AND o.s <= i.s AND i.e <= o.e""")
-def join_interval_containment(t):
-    inner = t.lineitem.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("inner_id"), F.col("l_suppkey").alias("chrom"), F.col("l_partkey").alias("s"), (F.col("l_partkey") + F.col("l_quantity").cast("long") % 10).alias("e"))
-    outer = t.part.where("p_partkey > 20").select(F.col("p_partkey").alias("outer_id"), (F.col("p_partkey") % 10 + 1).alias("chrom"), (F.col("p_partkey") - 20).alias("s"), (F.col("p_partkey") + F.col("p_size")).alias("e"))
-    return J.interval_containment(inner, outer, 64).select("inner_id", "outer_id")
-
-
-@query("""WITH p AS (SELECT DISTINCT o_custkey AS doc, 'Customer#' || lpad(CAST(o_custkey % 20 AS VARCHAR), 9, '0') AS prefix FROM orders)
-SELECT doc, c_custkey FROM p JOIN customer ON starts_with(c_name, prefix)""")
-def join_prefix_startswith(t):
-    prefix = F.concat(F.lit("Customer#"), F.lpad((F.col("o_custkey") % 20).cast("string"), 9, "0"))
-    docs = t.orders.select(F.col("o_custkey").alias("doc"), prefix.alias("prefix")).distinct()
-    return J.prefix_match(docs, t.customer.select("c_custkey", "c_name"), "prefix", "c_name", 12).select("doc", "c_custkey")
-
-
 @query("SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 100000)")
 def join_semi_exists(t):
     big = t.orders.where("o_totalprice > 100000").select(F.col("o_custkey").alias("c_custkey"))
@@ -195,11 +178,6 @@ def er_fold_duplicates(t):
     return t.orders.join(c, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "customer")
 
 
-@query("""SELECT p_brand, p_size, arg_min(p_name, p_partkey) AS p_name, string_agg(DISTINCT p_type, '; ' ORDER BY p_type) AS p_type, CAST(count(*) AS BIGINT) AS n_rows FROM part GROUP BY p_brand, p_size""")
-def er_merge_features(t):
-    return R.merge_rows(t.part, ["p_brand", "p_size"], ["p_name"], ["p_type"], "p_partkey")
-
-
 @query("SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS kept, CAST(sum(n) - count(*) AS BIGINT) AS dropped FROM (SELECT l_returnflag, l_linestatus, l_shipdate, count(*) AS n FROM lineitem GROUP BY ALL)")
 def er_exact_dedupe_count(t):
     return R.exact_dedupe(t.lineitem.select("l_returnflag", "l_linestatus", "l_shipdate"))
@@ -270,12 +248,6 @@ def er_backfill_blank(t):
     return t.part.select("p_partkey", F.coalesce(S.blank_to_none(F.when(F.col("p_size") < 10, "").otherwise(F.col("p_brand"))), "p_type").alias("filled"))
 
 
-@query("SELECT n_nationkey, CASE WHEN n_nationkey IN (SELECT r_regionkey FROM region) THEN n_regionkey END AS parent FROM nation")
-def er_taxon_parent_guard(t):
-    known = t.region.select(F.col("r_regionkey").alias("n_nationkey"), F.lit(True).alias("known"))
-    return t.nation.join(known, "n_nationkey", "left").select("n_nationkey", F.when(F.col("known"), F.col("n_regionkey")).alias("parent"))
-
-
 # ---- aggregates and windows
 
 

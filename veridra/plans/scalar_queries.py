@@ -95,12 +95,6 @@ def fn_kind_code(t):
     return over_orders(t, DOCUMENTS, kind=S.kind_code(F.col("v")))
 
 
-@query(sql_over(DOCUMENTS, "array_to_string(list_distinct(CASE WHEN v IS NULL THEN NULL ELSE [regexp_replace(v, '\\s+', '', 'g')] END), '|') AS compact"))
-def fn_patent_variants(t):
-    out = over_orders(t, DOCUMENTS, compact=F.get(S.document_id_variants(F.col("v")), F.lit(1)))
-    return out.withColumn("compact", F.when(F.col("v").isNotNull(), S.compact_id(F.col("v"))))
-
-
 PROJECTS = ["5R01AI123456-01", "261201500003I-0-26100013-1", "261201500003I-0-26100033-1", "75N93020C00012-0-0-1", None, ""]
 
 

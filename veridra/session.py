@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -38,12 +40,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def scratch(spark: SparkSession) -> str:
-    """A new folder that driver and executors share: under spark.checkpoint.dir, or a temporary one where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-veridra-")
+    """A new folder that driver and executors share, under spark.checkpoint.dir.
+
+    Where that is unset, a local session gets a temporary folder that goes with the process,
+    and any other session an error, as executors couldn't see such a folder.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    if not base:
+        if context.master != "local" and not context.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if context.applicationId not in _LOCAL:
+            _LOCAL[context.applicationId] = folder = tempfile.mkdtemp(prefix="spark-veridra-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        base = _LOCAL[context.applicationId]
     return f"{base}/veridra-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """df, written to a scratch folder and read again: cuts lineage and survives lost executors."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 
