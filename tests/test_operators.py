@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from veridra import session
 from veridra.functions import scalars
 from veridra.operators import graph, joins, linking, matching, resolve, sets
+from veridra.sources import files
 
 
 def test_whole_tokens(spark):
@@ -211,3 +212,32 @@ def test_a_shared_folder_is_asked_for(spark):
         session.scratch(Session())
     Context.master = "local[2]"
     assert session.scratch(Session()).startswith("/")
+
+
+def test_document_pages(spark):
+    html = """<meta name=description content='A &lt;b&gt;'><h3>Non-Patent Citations (1)</h3><table><tr><td>Doe, <i>A study</i></td><td>1987 2001</td></tr>
+    <tr><td>second</td></tr></table><h3>Patent Citations</h3><table><tr><td><b itemprop=publicationNumber>US1</b></td></tr></table><p itemprop=publicationNumber>US2</p><div"""
+    pages = spark.createDataFrame([(1, html), (2, None), (3, "<h2>Non-Patent Citations</h2>one<br>two 1799 1999")], "id long, html string")
+    got = files.parse_records(pages, "id", "html")
+    assert [tuple(r) for r in got.select("id", "abstract", F.transform("numbers", lambda n: n["number"])).orderBy("id").collect()] == [(1, "A <b>", ["US1"]), (2, None, []), (3, None, [])]
+    rows = files.section_entries(got, "id", "non-patent citations").orderBy("id", "no").collect()
+    assert [(r["id"], r["text"], r["year"]) for r in rows] == [(1, "Doe, A study 1987 2001", 1987), (1, "second", None), (3, "one", None), (3, "two 1799 1999", 1999)]
+
+
+def test_a_difference_from_the_source_fails(spark):
+    a, b = spark.createDataFrame([("x",), ("x",), ("y",)], "k string"), spark.createDataFrame([("x",), ("y",)], "k string")
+    assert {tuple(r) for r in graph.agree(a, a, ["k"]).collect()} == {("x", 2, 2), ("y", 1, 1)}
+    with pytest.raises(Exception, match="differ from the source"):
+        graph.agree(a, b, ["k"]).collect()
+
+
+def test_an_index_is_built_once_a_version(spark):
+    built = []
+
+    def build():
+        built.append(1)
+        return spark.range(3).toDF("id")
+
+    assert graph.search_index(("t", 1), build).count() == graph.search_index(("t", 1), build).count() == 3 and len(built) == 1
+    graph.search_index(("t", 2), build)
+    assert len(built) == 2

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,3 +83,22 @@ def reconcile(edges: DataFrame, nodes: DataFrame, src: str, dst: str, node: str)
     return got.agg(
         F.count("*").alias("edges"), F.count_if(F.col("_has_s").isNull()).alias("missing_src"), F.count_if(F.col("_has_d").isNull()).alias("missing_dst")
     )
+
+
+def agree(source: DataFrame, created: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, source, created): numbers of rows by key. A key whose numbers differ fails the job that reads it."""
+    a = source.groupBy(*keys).agg(F.count("*").alias("source"))
+    b = created.groupBy(*keys).agg(F.count("*").alias("created"))
+    both = a.join(b, keys, "full").na.fill(0, ["source", "created"])
+    told = F.concat(F.lit("created rows differ from the source: "), F.to_json(F.struct(*keys, "source", "created")))
+    return both.withColumn("created", F.when(F.col("source") == F.col("created"), F.col("created")).otherwise(F.raise_error(told).cast("long")))
+
+
+_INDEXES: dict[tuple, DataFrame] = {}
+
+
+def search_index(version: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+    """The index of one snapshot, written once and read again until the version changes."""
+    if version not in _INDEXES:
+        _INDEXES[version] = stored(build())
+    return _INDEXES[version]

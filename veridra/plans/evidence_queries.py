@@ -474,3 +474,110 @@ def fn_patent_variants(t):
     bare = F.nullif(F.regexp_extract(compact, r"^([A-Z]{2}\d+)", 1), F.lit(""))
     every = F.array_sort(F.array_distinct(F.array_compact(F.array(F.col("v"), compact, bare))))
     return t.orders.select("o_orderkey", case_of(DOCUMENTS).alias("v")).select("o_orderkey", "v", F.array_join(every, "|").alias("variants"))
+
+
+# ---- scalar functions over delivered fields
+
+
+PROJECT_SQL = "CASE o_orderkey % 4 WHEN 0 THEN '5R01AI' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') || '-01' WHEN 1 THEN '26120150' || lpad(CAST(o_custkey % 100 AS VARCHAR), 4, '0') || 'I-0-' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') || '-1' WHEN 2 THEN '75N930' || o_custkey || '-0-0-1' END"
+CORE_SQL = "CASE o_orderkey % 4 WHEN 0 THEN 'R01AI' || lpad(CAST(o_custkey AS VARCHAR), 6, '0') WHEN 1 THEN '26120150' || lpad(CAST(o_custkey % 100 AS VARCHAR), 4, '0') END"
+
+
+def _projects(t: Tables) -> DataFrame:
+    n, c = F.col("o_orderkey") % 4, F.col("o_custkey")
+    pad = lambda x, k: F.lpad(x.cast("string"), k, "0")
+    contract = F.concat(F.lit("26120150"), pad(c % 100, 4))
+    project = (
+        F.when(n == 0, F.concat(F.lit("5R01AI"), pad(c, 6), F.lit("-01"))).when(n == 1, F.concat(contract, F.lit("I-0-"), pad(F.col("o_orderkey"), 8), F.lit("-1")))
+        .when(n == 2, F.concat(F.lit("75N930"), c.cast("string"), F.lit("-0-0-1")))
+    )
+    core = F.when(n == 0, F.concat(F.lit("R01AI"), pad(c, 6))).when(n == 1, contract)
+    activity = F.when(n == 0, "R01").when(n == 1, "N01").when(n == 2, "N43").otherwise("Y01")
+    return t.orders.select("o_orderkey", project.alias("project"), core.alias("core"), activity.alias("activity"))
+
+
+@query(f"""WITH s AS (SELECT o_orderkey, {PROJECT_SQL} AS v, {CORE_SQL} AS core FROM orders)
+SELECT o_orderkey, CASE WHEN o_orderkey % 4 IN (1, 2) THEN regexp_replace(v, '-[^-]*$', '') ELSE core END AS award FROM s""")
+def fn_award_key(t):
+    """Task orders of one contract are awards of their own; other records go by their core number."""
+    return _projects(t).select("o_orderkey", S.award_key(F.col("core"), F.col("project"), F.col("activity")).alias("award"))
+
+
+@query(f"""WITH s AS (SELECT o_orderkey, {PROJECT_SQL} AS v, {CORE_SQL} AS core FROM orders), p AS (SELECT *, string_split(coalesce(v, core, CAST(o_orderkey AS VARCHAR)), '-') AS parts FROM s)
+SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN core WHEN coalesce(parts[3], '') IN ('', '0', '00000000') THEN parts[1] ELSE parts[1] || '-' || parts[3] END AS award FROM p""")
+def fn_award_key_staging(t):
+    return _projects(t).select("o_orderkey", S.award_key_staging(F.col("core"), F.col("project"), F.col("o_orderkey")).alias("award"))
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name WHEN c_custkey % 7 > 0 THEN c_mktsegment || ' ' || c_nationkey END AS pi FROM customer""")
+def fn_contact_pi(t):
+    """The flat column, else the contact in a JSON list; a list that can't be read names nobody."""
+    n = F.col("c_custkey")
+    person = lambda name, contact: F.struct(name.alias("full_name"), F.lit(contact).alias("is_contact_pi"))
+    people = F.to_json(F.array(person(F.col("c_name"), False), person(F.concat(F.lit(" "), F.concat_ws(" ", "c_mktsegment", F.col("c_nationkey").cast("string"))), True)))
+    d = t.customer.select("c_custkey", F.when(n % 3 == 0, F.concat(F.lit(" "), F.col("c_name"), F.lit(" "))).otherwise("").alias("flat"), F.when(n % 7 > 0, people).otherwise("[broken").alias("people"))
+    return d.select("c_custkey", S.contact_pi(F.col("flat"), F.col("people")).alias("pi"))
+
+
+@query("""SELECT p_partkey, concat_ws(';', CASE WHEN p_type NOT IN ('SMALL', 'LARGE') THEN p_type END, CASE split_part(p_name, ' ', 2) WHEN 'gear' THEN 'GEARS' WHEN 'bolt' THEN 'BOLTS' END) AS found,
+CASE WHEN split_part(p_name, ' ', 2) IN ('gear', 'bolt') THEN '' ELSE p_name END AS unmatched FROM part""")
+def fn_parse_symptoms(t):
+    """Phrases of a list looked up with and without their qualifiers; what is unknown is reported as it stands."""
+    kinds = {k.lower(): k for k in ("MEDIUM", "STANDARD", "PROMO", "ECONOMY")} | {"gear": "GEARS", "bolt": "BOLTS"}
+    field = F.concat(F.when(F.col("p_type").isin("SMALL", "LARGE"), "").otherwise(F.concat(F.initcap("p_type"), F.lit(", "))), "p_name")
+    found, rest = S.parse_phrases(F.col("v"), kinds, ("small", "large", "new", "old", "hot", "cold", "red", "blue"))
+    return t.part.select("p_partkey", field.alias("v")).select("p_partkey", F.array_join(found, ";").alias("found"), F.array_join(rest, ";").alias("unmatched"))
+
+
+@query("""SELECT doc_id, array_to_string(list_filter([CASE WHEN regexp_matches(text, '(?i)idiot') THEN 'abuse' END, CASE WHEN regexp_matches(text, '(?i)licen[cs]e') THEN 'licence' END,
+CASE WHEN regexp_matches(text, 'token = ') THEN 'secret' END, CASE WHEN regexp_matches(text, '@') THEN 'mail' END], lambda x: x IS NOT NULL), ';') AS methods FROM documents""")
+def fn_parse_methods(t):
+    patterns = [("(?i)idiot", "abuse"), ("(?i)licen[cs]e", "licence"), ("token = ", "secret"), ("@", "mail")]
+    return t.documents.select("doc_id", F.array_join(S.parse_methods(F.col("text"), patterns), ";").alias("methods"))
+
+
+@query("SELECT event_id, CASE event_type WHEN 'error' THEN 'Error' WHEN 'signup' THEN 'Sign-up' WHEN 'click' THEN 'Click' END AS assay FROM events")
+def fn_match_assay(t):
+    index = S.dictionary({"error": "Error", "signup": "Sign-up", "click": "Click"})
+    given = F.concat(F.lit(" "), F.upper("event_type"))
+    return t.events.select("event_id", F.try_element_at(index, F.lower(F.trim(given))).alias("assay"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN p_name || ' of the ' || lower(p_type) || ' kind' ELSE 'On ' || p_name || 's and their many uses' END AS best,
+CAST(CASE WHEN p_size % 2 = 0 THEN 1 ELSE 3 END AS INTEGER) AS n FROM part""")
+def fn_title_segments(t):
+    """What may be a citation's title: its quoted text, else its sentences, the longest first."""
+    quoted = F.concat(F.lit('Doe J, Roe K. "'), "p_name", F.lit(" of the "), F.lower("p_type"), F.lit(' kind" Nature 12, 345 (1999)'))
+    plain = F.concat(F.lit("Doe JA, Roe K. On "), "p_name", F.lit("s and their many uses. J. of Things; 12, 345 (1999)"))
+    d = t.part.select("p_partkey", M.title_segments(F.when(F.col("p_size") % 2 == 0, quoted).otherwise(plain)).alias("s"))
+    return d.select("p_partkey", F.get("s", F.lit(0)).alias("best"), F.size("s").alias("n"))
+
+
+@query()
+def fn_locator_extract(t):
+    """Overlapping matches, which SQL's patterns can't give; tests compare with brute force."""
+    cited = F.concat_ws(" ", "p_name", F.col("p_size").cast("string"), F.lit(","), F.col("p_partkey").cast("string"), F.lit("(1999)"))
+    return t.part.select("p_partkey", F.array_join(M.locators(cited), "|").alias("found"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'This was made with government support under AI' || o_custkey || '.' WHEN o_orderstatus = 'O' THEN 'The work was federally sponsored' END AS statement FROM orders""")
+def fn_federal_statement(t):
+    made = F.concat(F.lit("We thank all. This was made with government support under AI"), F.col("o_custkey").cast("string"), F.lit(". More."))
+    text = F.when(F.col("o_orderstatus") == "F", made).when(F.col("o_orderstatus") == "O", "The work was federally sponsored").otherwise("None.")
+    return t.orders.select("o_orderkey", M.federal_statement(text).alias("statement"))
+
+
+CONTEXT = {"that": "taxon", "thing": "generic", "la": "generic", "of": "generic"}
+CONTEXT_SQL = ", ".join(f"('{w}', '{k}')" for w, k in CONTEXT.items())
+
+
+@query(f"""WITH w AS (SELECT doc_id, text, unnest(string_split(regexp_replace(lower(text), '[^0-9a-z]', ' ', 'g'), ' ')) AS term, generate_subscripts(string_split(regexp_replace(lower(text), '[^0-9a-z]', ' ', 'g'), ' '), 1) AS i FROM documents),
+p AS (SELECT doc_id, text, term, CAST(sum(length(term) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(term) - 1 AS BIGINT) AS start FROM w),
+s AS (SELECT doc_id, term, kind, start, start + length(term) AS "end", length(regexp_replace(substr(text, 1, start), '[^.!?;
+]', '', 'g')) AS sentence FROM p JOIN (VALUES {CONTEXT_SQL}) v(term, kind) USING (term))
+SELECT doc_id, start, term FROM s WHERE kind = 'generic' AND EXISTS (SELECT 1 FROM s x WHERE x.kind = 'taxon' AND x.doc_id = s.doc_id AND x.sentence = s.sentence AND (abs(x.start - s.start) <= 80 OR abs(x."end" - s."end") <= 80))""")
+def link_window_context(t):
+    """Generic terms that stand in one sentence with an organism, within 80 letters of it."""
+    terms = [(w, w, k) for w, k in CONTEXT.items()]
+    found = L.longest_spans(t.documents, terms, "doc_id", "text", window=80)
+    return found.where(F.col("type") == "generic").select("doc_id", "start", "term")

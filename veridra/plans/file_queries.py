@@ -57,9 +57,14 @@ def scan_multi_union_tag(t):
     return S.read_tagged(t.spark, [(f"{base}/{k}", {"size_tag": k}) for k in ("small", "large")], names=["p_partkey", "p_name"])
 
 
-@query("SELECT CAST(r_regionkey AS VARCHAR) AS r_regionkey, r_name FROM region WHERE false")
+@query("SELECT CAST(r_regionkey AS VARCHAR) AS r_regionkey, r_name, 'present' AS origin FROM region")
 def scan_optional(t):
-    return S.read_optional(t.spark, f"{scratch(t.spark)}/none.csv", ["r_regionkey", "r_name"])
+    """A file that is there is read; one that is missing gives no rows, with the same columns."""
+    base = scratch(t.spark)
+    _text(t.region).write.option("header", True).csv(f"{base}/here.csv")
+    names = ["r_regionkey", "r_name"]
+    parts = [S.read_optional(t.spark, f"{base}/{n}.csv", names).withColumn("origin", F.lit(o)) for n, o in (("here", "present"), ("none", "missing"))]
+    return parts[0].unionByName(parts[1])
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus AS status FROM orders")
@@ -99,6 +104,35 @@ def scan_html_page(t):
     return S.parse_pages(t.pages, "page_id", "html").select("page_id", "title")
 
 
+def _document_pages(t: Tables) -> DataFrame:
+    """A page of each order: an abstract, two dates of a kind, numbers inside and outside of the citation table, other citations in rows or in text."""
+    k, c = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    rows = F.concat(F.lit("<h2>Non-Patent Citations (2)</h2><table><tr><td>Paper "), k, F.lit(", 1987</td></tr><tr><td>Book</td><td>"), c, F.lit("</td></tr></table>"))
+    text = F.concat(F.lit("<h2>Non-Patent Citations</h2><p>Note "), k, F.lit(" of 2003<br>no year</p>"))
+    html = F.concat(
+        F.lit('<html><head><meta name="DC.description" content="Order &amp; '), k, F.lit('"><meta name="description" content="second"></head><body><time itemprop="priorityDate" datetime="'),
+        F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit('">a</time><time itemprop="priorityDate" datetime="1900-01-01">b</time><p><span itemprop="publicationNumber">US0</span></p>'),
+        F.lit('<h2>Patent Citations</h2><table><tr><td><span itemprop="publicationNumber"> US'), c, F.lit("</span></td><td>x</td></tr></table>"),
+        F.when(F.col("o_orderkey") % 2 == 0, rows).otherwise(text), F.lit("<h2>Similar</h2><table><tr><td>other 1999</td></tr></table><p>cut <b"),
+    )
+    return S.parse_records(t.orders.select("o_orderkey", html.alias("html")), "o_orderkey", "html")
+
+
+@query("SELECT o_orderkey, 'Order & ' || o_orderkey AS abstract, strftime(o_orderdate, '%Y-%m-%d') AS priority, 'US' || o_custkey AS cited FROM orders")
+def scan_html_record(t):
+    """Abstract, first date of a kind, and the numbers in citation tables only."""
+    cited = F.transform(F.filter("numbers", lambda n: n["section"].contains("Citations")), lambda n: n["number"])
+    return _document_pages(t).select("o_orderkey", "abstract", F.col("dates")["priorityDate"].alias("priority"), F.array_join(cited, ";").alias("cited"))
+
+
+@query(r"""SELECT o_orderkey, 0::INTEGER AS no, CASE WHEN o_orderkey % 2 = 0 THEN 'Paper ' || o_orderkey || ', 1987' ELSE 'Note ' || o_orderkey || ' of 2003' END AS text,
+CASE WHEN regexp_matches(' ' || o_orderkey || ' ', ' (18|19|20)\d\d ') THEN o_orderkey WHEN o_orderkey % 2 = 0 THEN 1987 ELSE 2003 END::INTEGER AS year FROM orders
+UNION ALL SELECT o_orderkey, 1, CASE WHEN o_orderkey % 2 = 0 THEN 'Book ' || o_custkey ELSE 'no year' END, CASE WHEN o_orderkey % 2 = 0 AND regexp_matches(' ' || o_custkey || ' ', ' (18|19|20)\d\d ') THEN o_custkey END FROM orders""")
+def scan_html_sections(t):
+    """Entries below a heading: table rows, or the text where there are none, each with its first year."""
+    return S.section_entries(_document_pages(t), "o_orderkey", "Non-Patent Citations")
+
+
 def _articles(t: Tables) -> DataFrame:
     xml = F.concat(
         F.lit("<A><PMID>"), F.col("o_orderkey").cast("string"), F.lit("</PMID><Title>Order of "), F.col("o_custkey").cast("string"),

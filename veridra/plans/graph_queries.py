@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators import graph as G
 from ..registry import Tables, query
+from ..session import scratch
 
 NODES = {
     "region": ("r_regionkey", "r_name"), "nation": ("n_nationkey", "n_name"), "customer": ("c_custkey", "c_name"),
@@ -146,8 +147,23 @@ def graph_contract_path(t):
     return G.contract(a, t.lineitem.select(F.col("l_orderkey").alias("o"), F.col("l_partkey").alias("part")), "customer", "o", "part")
 
 
-@query(f"{WITH} SELECT CAST(count(*) AS BIGINT) AS edges, CAST(count(*) FILTER (WHERE a.id IS NULL) AS BIGINT) AS missing_src, CAST(count(*) FILTER (WHERE b.id IS NULL) AS BIGINT) AS missing_dst FROM edges LEFT JOIN nodes a ON src = a.id LEFT JOIN nodes b ON dst = b.id")
+@query(f"""{WITH} SELECT 'node' AS kind, label AS name, CAST(count(*) AS BIGINT) AS source, CAST(count(*) AS BIGINT) AS created FROM nodes GROUP BY label
+UNION ALL SELECT 'edge', type, count(*), count(*) FROM edges JOIN nodes a ON src = a.id JOIN nodes b ON dst = b.id GROUP BY type""")
 def graph_reconcile(t):
+    """What was written against its source, by kind; edges need both ends. A difference fails the query."""
+    base = scratch(t.spark)
+    n, e = nodes(t), edges(t)
+    n.write.parquet(f"{base}/nodes")
+    e.write.parquet(f"{base}/edges")
+    made, links = t.spark.read.parquet(f"{base}/nodes"), t.spark.read.parquet(f"{base}/edges")
+    ends = made.select("id")
+    links = links.join(ends.withColumnRenamed("id", "src"), "src", "left_semi").join(ends.withColumnRenamed("id", "dst"), "dst", "left_semi")
+    each = lambda a, b: a.select(F.lit("node").alias("kind"), F.col("label").alias("name")).unionByName(b.select(F.lit("edge").alias("kind"), F.col("type").alias("name")))
+    return G.agree(each(n, e), each(made, links), ["kind", "name"])
+
+
+@query(f"{WITH} SELECT CAST(count(*) AS BIGINT) AS edges, CAST(count(*) FILTER (WHERE a.id IS NULL) AS BIGINT) AS missing_src, CAST(count(*) FILTER (WHERE b.id IS NULL) AS BIGINT) AS missing_dst FROM edges LEFT JOIN nodes a ON src = a.id LEFT JOIN nodes b ON dst = b.id")
+def graph_missing_ends(t):
     return G.reconcile(edges(t), nodes(t), "src", "dst", "id")
 
 
@@ -169,17 +185,22 @@ def topk_hubs(t):
 
 @query(f"{WITH}, {DEG} SELECT id, lower(label || ' ' || coalesce(name, '')) AS haystack, CAST(coalesce(degree, 0) AS BIGINT) AS degree FROM nodes LEFT JOIN deg ON node = id")
 def graph_search_index(t):
-    d = G.degrees(edges(t), "src", "dst").withColumnRenamed("node", "id")
-    hay = F.lower(F.concat_ws(" ", "label", F.coalesce("name", F.lit(""))))
-    return nodes(t).join(d, "id", "left").select("id", hay.alias("haystack"), F.coalesce("degree", F.lit(0)).cast("long").alias("degree"))
+    """The index is kept for a snapshot (its tables' row counts) and built again when they change."""
+    def build() -> DataFrame:
+        d = G.degrees(edges(t), "src", "dst").withColumnRenamed("node", "id")
+        hay = F.lower(F.concat_ws(" ", "label", F.coalesce("name", F.lit(""))))
+        return nodes(t).join(d, "id", "left").select("id", hay.alias("haystack"), F.coalesce("degree", F.lit(0)).cast("long").alias("degree"))
+
+    counts = tuple(getattr(t, n).count() for n in (*NODES, "lineitem"))
+    return G.search_index((t.spark.sparkContext.applicationId, t.sf_dir, counts), build)
 
 
-@query(f"""{WITH}, {DEG}, s AS (SELECT id, name, coalesce(degree, 0) AS degree, CASE WHEN lower(name) = 'france' THEN 0 WHEN starts_with(lower(name), 'fra') THEN 10 WHEN contains(lower(name), 'ran') THEN 30 END + CASE WHEN label = 'orders' THEN 40 ELSE 0 END AS score FROM nodes LEFT JOIN deg ON node = id)
+@query(f"""{WITH}, {DEG}, s AS (SELECT id, name, coalesce(degree, 0) AS degree, CASE WHEN lower(name) = 'nation_1' THEN 0 WHEN starts_with(lower(name), 'nation_1') THEN 10 WHEN contains(lower(name), 'n_1') THEN 30 END + CASE WHEN label = 'orders' THEN 40 ELSE 0 END AS score FROM nodes LEFT JOIN deg ON node = id)
 SELECT id, name, CAST(score AS INTEGER) AS score FROM s WHERE score IS NOT NULL ORDER BY score, degree DESC, id LIMIT 50""")
 def explore_search(t):
     n = F.lower("name")
     d = G.degrees(edges(t), "src", "dst").withColumnRenamed("node", "id")
-    score = F.when(n == "france", 0).when(n.startswith("fra"), 10).when(n.contains("ran"), 30) + F.when(F.col("label") == "orders", 40).otherwise(0)
+    score = F.when(n == "nation_1", 0).when(n.startswith("nation_1"), 10).when(n.contains("n_1"), 30) + F.when(F.col("label") == "orders", 40).otherwise(0)
     found = nodes(t).withColumn("score", score).where("score is not null").join(d, "id", "left")
     return found.orderBy("score", F.desc(F.coalesce("degree", F.lit(0))), "id").limit(50).select("id", "name", "score")
 

@@ -15,7 +15,6 @@ from ..registry import Tables, query
 from ..session import scratch
 from ..sources import files as FS
 from .graph_queries import EDGES_SQL, FK, NODES_SQL, edges, nodes
-from .scalar_queries import case_of, case_sql
 
 # ---- building documents from delivered rows
 
@@ -88,28 +87,6 @@ def er_combine_edges(t):
 # ---- fuzzy matching
 
 
-CITED = ['Doe J. "A study of many things" Nature 12, 345 (1999)', "No title", None]
-
-
-@query(f"SELECT o_orderkey, {case_sql(['A study of many things', '', None])} AS segments FROM orders")
-def fn_title_segments(t):
-    return t.orders.select("o_orderkey", F.array_join(M.title_segments(case_of(CITED)), "|").alias("segments"))
-
-
-@query()
-def fn_locator_extract(t):
-    """Overlapping matches, which SQL's patterns can't give; tests compare with brute force."""
-    return t.orders.select("o_orderkey", F.array_join(M.locators(case_of(CITED)), "|").alias("found"))
-
-
-FUNDED = ["We thank all. This invention was made with government support under AI1. More.", "None.", None]
-
-
-@query(f"SELECT o_orderkey, {case_sql(['This invention was made with government support under AI1.', None, None])} AS statement FROM orders")
-def fn_federal_statement(t):
-    return t.orders.select("o_orderkey", M.federal_statement(case_of(FUNDED)).alias("statement"))
-
-
 # ---- sinks, comparison and reviews
 
 

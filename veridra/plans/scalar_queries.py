@@ -95,28 +95,6 @@ def fn_kind_code(t):
     return over_orders(t, DOCUMENTS, kind=S.kind_code(F.col("v")))
 
 
-PROJECTS = ["5R01AI123456-01", "261201500003I-0-26100013-1", "261201500003I-0-26100033-1", "75N93020C00012-0-0-1", None, ""]
-
-
-@query(f"""WITH s AS (SELECT o_orderkey, 'R01AI123456' AS core, {case_sql(PROJECTS)} AS v, {case_sql(["R01", "N01", "N01", "N02", "N43", "Y01"])} AS a FROM orders)
-SELECT o_orderkey, CASE WHEN a IN ('N01','N02','N43','N44','Y01') AND coalesce(v, '') <> '' THEN regexp_replace(v, '-[^-]*$', '') ELSE core END AS award FROM s""")
-def fn_award_key(t):
-    s = t.orders.select("o_orderkey", case_of(PROJECTS).alias("v"), case_of(["R01", "N01", "N01", "N02", "N43", "Y01"]).alias("a"))
-    return s.select("o_orderkey", S.award_key(F.lit("R01AI123456"), F.col("v"), F.col("a")).alias("award"))
-
-
-CORES = ["R01AI123456", "26120150000", "", None, "26120150000", "U19AI109762"]
-
-
-@query(f"""WITH s AS (SELECT o_orderkey, {case_sql(CORES)} AS core, {case_sql(PROJECTS)} AS v FROM orders),
-p AS (SELECT *, string_split(coalesce(nullif(v, ''), nullif(trim(coalesce(core, '')), ''), CAST(o_orderkey AS VARCHAR)), '-') AS parts FROM s)
-SELECT o_orderkey, CASE WHEN regexp_matches(core, '^[A-Z][A-Z0-9]{{2}}[A-Z]{{2}}\\d{{6}}$') THEN core
-  WHEN coalesce(parts[3], '') IN ('', '0', '00000000') THEN parts[1] ELSE parts[1] || '-' || parts[3] END AS award FROM p""")
-def fn_award_key_staging(t):
-    s = t.orders.select("o_orderkey", case_of(CORES).alias("core"), case_of(PROJECTS).alias("v"))
-    return s.select("o_orderkey", S.award_key_staging(F.col("core"), F.col("v"), F.col("o_orderkey")).alias("award"))
-
-
 GRANTS = ["1 U19 AI109762-01", "5R01AI123456-03S1", "U19AI109762", "none", None]
 
 
@@ -173,16 +151,6 @@ def fn_document_date(t):
     return a.unionByName(b)
 
 
-PEOPLE = ['[{"full_name":"Ann Lee","is_contact_pi":false},{"full_name":" Bo Orr ","is_contact_pi":true}]', "[]", "broken", None, '[{"full_name":"Cy","is_contact_pi":false}]']
-
-
-@query(f"""WITH s AS (SELECT o_orderkey, {case_sql(PEOPLE)} AS v, CASE WHEN o_orderkey % 3 = 0 THEN ' DOE, JANE ' ELSE '' END AS flat FROM orders)
-SELECT o_orderkey, coalesce(nullif(trim(flat), ''), CASE WHEN v LIKE '%Bo Orr%' THEN 'Bo Orr' END) AS pi FROM s""")
-def fn_contact_pi(t):
-    s = t.orders.select("o_orderkey", case_of(PEOPLE).alias("v"), F.when(F.col("o_orderkey") % 3 == 0, " DOE, JANE ").otherwise("").alias("flat"))
-    return s.select("o_orderkey", S.contact_pi(F.col("flat"), F.col("v")).alias("pi"))
-
-
 @query(r"""SELECT page_id, md5(trim(regexp_replace(regexp_replace(regexp_replace(html, '<head\b.*?</head>', ' ', 'gis'), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))) AS text_md5 FROM pages""")
 def fn_strip_html(t):
     return t.pages.select("page_id", F.md5(S.strip_html(F.col("html"))).alias("text_md5"))
@@ -215,35 +183,6 @@ def filter_placeholder(t):
     return over_orders(t, CALLS, cleaned=S.placeholder_to_none(F.col("v"), "_", "NA", "n/a"))
 
 
-SYMPTOMS = ["Fever, headache and severe diarrhorea", "high fever", "rash, odd thing", None]
-SYMPTOM_INDEX = {"fever": "Fever", "high fever": "Fever", "headache": "Headache", "diarrhorea": "Diarrhea", "rash": "Rash"}
-
-
-@query(f"""SELECT o_orderkey, {case_sql(["Fever;Headache;Diarrhea", "Fever", "Rash", None])} AS found, {case_sql(["", "", "odd thing", None])} AS unmatched FROM orders""")
-def fn_parse_symptoms(t):
-    found, rest = S.parse_phrases(F.col("v"), SYMPTOM_INDEX, ("severe", "mild", "high"))
-    return t.orders.select("o_orderkey", case_of(SYMPTOMS).alias("v")).select("o_orderkey", F.array_join(found, ";").alias("found"), F.array_join(rest, ";").alias("unmatched"))
-
-
-METHODS = ["ELISPOT and Cr release", "51Cr release", "tetramer stain, ELISpot", "none", None]
-
-
-@query(f"SELECT o_orderkey, {case_sql(['ELISpot;Chromium release', 'Chromium release', 'ELISpot;Tetramer', '', None])} AS methods FROM orders")
-def fn_parse_methods(t):
-    patterns = [(r"(?i)elispot", "ELISpot"), (r"(?i)cr release", "Chromium release"), (r"(?i)tetramer", "Tetramer")]
-    m = F.when(F.col("v").isNotNull(), F.array_join(S.parse_methods(F.col("v"), patterns), ";"))
-    return t.orders.select("o_orderkey", case_of(METHODS).alias("v")).select("o_orderkey", m.alias("methods"))
-
-
-ASSAYS = [" elisa ", "ELISA", "flow cytometry", "unknown", None]
-
-
-@query(f"SELECT o_orderkey, {case_sql(['ELISA', 'ELISA', 'Flow cytometry', None, None])} AS assay FROM orders")
-def fn_match_assay(t):
-    index = S.dictionary({"elisa": "ELISA", "flow cytometry": "Flow cytometry"})
-    return t.orders.select("o_orderkey", F.try_element_at(index, F.lower(F.trim(case_of(ASSAYS)))).alias("assay"))
-
-
 @query("SELECT p_partkey, CASE WHEN p_type LIKE '%STEEL%' THEN 'steel' WHEN p_type LIKE '%BRASS%' THEN 'brass' ELSE 'other' END AS entity FROM part")
 def fn_entity_index(t):
     return t.part.select("p_partkey", S.first_rule(F.col("p_type"), [("STEEL", "steel"), ("BRASS", "brass")], "other").alias("entity"))

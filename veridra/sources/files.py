@@ -111,6 +111,92 @@ def parse_pages(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
     return src.mapInPandas(run, "id long, title string, links long, words long").withColumnRenamed("id", id_col)
 
 
+class _Record(HTMLParser):
+    """What a document's page states: abstract, first date of each kind, and its text by section.
+
+    Sections begin at headings. A table row is one entry of its section; other text counts
+    block by block.
+    """
+
+    BLOCKS = {"p", "div", "li", "br", "tr", "table", "section", "ul"}
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.abstract: str | None = None
+        self.dates: dict[str, str] = {}
+        self.entries: list[tuple[str, bool, str]] = []
+        self.numbers: list[tuple[str, str]] = []
+        self.section, self.words, self.row, self.heading, self.number = "", [], False, False, False
+
+    def close_entry(self) -> None:
+        text = " ".join("".join(self.words).split())
+        if text:
+            if self.heading:
+                self.section = text
+            else:
+                self.entries.append((self.section, self.row, text))
+        self.words = []
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        a = dict(attrs)
+        if tag == "meta" and self.abstract is None and (a.get("name") or "").lower() in ("description", "dc.description"):
+            self.abstract = a.get("content")
+        if a.get("itemprop") and a.get("datetime"):
+            self.dates.setdefault(a["itemprop"], a["datetime"])
+        self.number = a.get("itemprop") == "publicationNumber"
+        if tag in self.BLOCKS and not (self.row and tag != "tr") or tag in ("h1", "h2", "h3", "h4"):
+            self.close_entry()
+            self.row, self.heading = tag == "tr", tag[0] == "h"
+
+    def handle_endtag(self, tag: str) -> None:
+        self.number = False
+        if tag == "tr" or tag in ("h1", "h2", "h3", "h4") or tag in self.BLOCKS and not self.row:
+            self.close_entry()
+            self.row = self.heading = False
+        elif tag == "td":
+            self.words.append(" ")
+
+    def handle_data(self, data: str) -> None:
+        self.words.append(data)
+        if self.number and self.row:
+            self.numbers.append((self.section, data.strip()))
+
+
+def parse_records(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
+    """(id, abstract, dates map, numbers, entries) of document pages.
+
+    numbers are publication numbers in table rows, entries all text; both carry their section.
+    A page that breaks off gives what came before.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for i, page in zip(pdf["id"], pdf["html"], strict=True):
+                r = _Record()
+                r.feed(page or "")
+                r.close_entry()
+                rows.append((
+                    i, r.abstract, r.dates, [{"section": s, "number": n} for s, n in r.numbers],
+                    [{"section": s, "in_row": w, "text": t} for s, w, t in r.entries],
+                ))
+            yield pd.DataFrame(rows, columns=["id", "abstract", "dates", "numbers", "entries"])
+
+    src = pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html"))
+    schema = "id long, abstract string, dates map<string,string>, numbers array<struct<section:string,number:string>>, entries array<struct<section:string,in_row:boolean,text:string>>"
+    return src.mapInPandas(run, schema).withColumnRenamed("id", id_col)
+
+
+def section_entries(records: DataFrame, id_col: str, heading: str) -> DataFrame:
+    """(id, no, text, year) of a section: its table rows, or its other text where it has none; year is the first four digits from 1800 to 2099."""
+    own = F.filter("entries", lambda e: F.lower(e["section"]).startswith(heading.lower()))
+    rows = F.filter(own, lambda e: e["in_row"])
+    chosen = F.when(F.size(rows) > 0, rows).otherwise(own)
+    each = records.select(id_col, F.posexplode(chosen).alias("no", "e"))
+    year = F.nullif(F.regexp_extract("e.text", r"\b((?:18|19|20)\d{2})\b", 1), F.lit(""))
+    return each.select(id_col, "no", F.col("e.text").alias("text"), year.cast("int").alias("year"))
+
+
 #: The parts of an article record that are read; mixed content of a field comes as text.
 ARTICLE = (
     "struct<PMID:string,Title:string,AbstractText:array<string>,MeshHeading:array<string>,"
