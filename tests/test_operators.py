@@ -241,3 +241,11 @@ def test_an_index_is_built_once_a_version(spark):
     assert graph.search_index(("t", 1), build).count() == graph.search_index(("t", 1), build).count() == 3 and len(built) == 1
     graph.search_index(("t", 2), build)
     assert len(built) == 2
+
+
+def test_places_in_a_hot_group(spark):
+    rows = [(None if i % 7 == 0 else "a" if i % 3 else "b", (i * 37) % 101, i) for i in range(400)]
+    got = resolve.places(spark.createDataFrame(rows, "g string, v int, i int"), "g", ["v", "i"], "place").collect()
+    for g in (None, "a", "b"):
+        mine = sorted((r["v"], r["i"], r["place"]) for r in got if r["g"] == g)
+        assert [p for _, _, p in mine] == list(range(1, len(mine) + 1))

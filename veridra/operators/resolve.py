@@ -74,6 +74,20 @@ def number_entities(df: DataFrame, key: list[str], order: str, out: str) -> Data
     return parts.withColumn(out, (F.col("_b") + F.col("_i")).cast("long")).drop("_p", "_i", "_b", "_at")
 
 
+def places(df: DataFrame, group: str, order: list[str], out: str) -> DataFrame:
+    """df with each row's place (from 1) in its group's order, however many rows a group has.
+
+    Rows are sorted by ranges over all groups; a group that spans partitions goes on counting
+    after what the partitions before hold of it. Null groups are one group.
+    """
+    parts = stored(df.repartitionByRange(group, *order).withColumn("_p", F.spark_partition_id()))
+    sizes = parts.groupBy(group, "_p").agg(F.count("*").alias("_n"))
+    before = sizes.select(F.col(group).alias("_g"), F.col("_p").alias("_q"), (F.sum("_n").over(Window.partitionBy(group).orderBy("_p")) - F.col("_n")).alias("_b"))
+    own = parts.withColumn("_i", F.row_number().over(Window.partitionBy(group, "_p").orderBy(*order)))
+    both = own.join(before, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_p") == F.col("_q")))
+    return both.withColumn(out, (F.col("_b") + F.col("_i")).cast("long")).drop("_p", "_q", "_g", "_i", "_b")
+
+
 def assign_by_label(df: DataFrame, label: str, fallback: str, index: DataFrame, name: str, value: str) -> DataFrame:
     """The index value of the label, else of the fallback, with the basis; names match trimmed and case-insensitively."""
     norm = lambda c: F.lower(F.trim(F.col(c)))

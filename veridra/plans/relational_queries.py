@@ -404,10 +404,11 @@ def topk_search_rank(t):
     return t.part.select(F.col("p_partkey").alias("doc_id"), score.alias("score")).where("score > 0").orderBy(F.desc("score"), "doc_id").limit(50)
 
 
-@query("SELECT p_brand, string_agg(p_name, '|' ORDER BY lower(p_name), p_name) AS names FROM part GROUP BY p_brand")
+@query("SELECT p_brand, p_partkey, p_name, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY lower(p_name), p_name, p_partkey) AS BIGINT) AS place FROM part")
 def topk_case_tie_sort(t):
-    pairs = F.array_sort(F.collect_list(F.struct(F.lower("p_name").alias("l"), F.col("p_name").alias("n"))))
-    return t.part.groupBy("p_brand").agg(pairs.alias("p")).select("p_brand", F.array_join(F.transform("p", lambda x: x["n"]), "|").alias("names"))
+    """Names in order whatever their case, with ties settled; a brand of any size is sorted by ranges."""
+    d = t.part.select("p_brand", "p_partkey", "p_name", F.lower("p_name").alias("_low"))
+    return R.places(d, "p_brand", ["_low", "p_name", "p_partkey"], "place").drop("_low")
 
 
 @query()
