@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -12,13 +14,26 @@ from pyspark.sql import functions as F
 ROWS_PER_SALT = 50_000
 
 
+#: Folders of local sessions that set none, by application.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where it is unset, a local session (one machine) gets a temporary folder that goes with
+    the process; any other session gets an error, as executors couldn't see such a folder.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="spark-veridra-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    return d
+    if d:
+        return d
+    context = spark.sparkContext
+    if not context.master.startswith("local[") and context.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = folder = tempfile.mkdtemp(prefix="spark-veridra-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return _LOCAL[context.applicationId]
 
 
 def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
