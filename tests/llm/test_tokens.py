@@ -13,7 +13,7 @@ from veridra.llm import bpe, packing
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = [
     "", " ", "a", "  a b", "a  b", "a \n b", " \n", "a\n b", "a\n\n b  ", "x<|endoftext|> y", "<|endoftext|>", "日本語 テスト １２３", "it's we'll  12 3四",
-    "\tq", "é" * 50, "🎉🎉 x", "a b", "x\x1cy z", "word, next.", "1, 2. 3", "a" * 3000,
+    "\tq", "é" * 50, "🎉🎉 x", "a b", "x\x1cy z", "word, next.", "1, 2. 3", "a" * 3000, "a\u00a0  b", "a \u3000\n c\u2028 d", "b's 'tis' it's", "x!\x1c y",
 ]
 
 
@@ -29,13 +29,17 @@ def test_same_ids_as_the_tokenizers_library(theirs):
     ours = bpe.load(PATH, public_tokenizers.PATTERN)
     assert ours.encode(texts) == want
     assert [ours.decode(x) for x in want] == [theirs.decode(np.frombuffer(x, "<u4").tolist(), skip_special_tokens=False) for x in want]
-    assert packing.encoder(PATH).encode(texts) == want
+    assert bpe.encoded(packing.encoder(PATH), texts) == want
 
 
-def test_a_small_cache_changes_nothing(theirs):
-    cache = bpe.WordCache(bpe.load(PATH, public_tokenizers.PATTERN).encode_texts, bound=3)
-    for t in ODD * 2:
-        assert cache.encode([t])[0] == np.array(theirs.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+def test_a_small_cache_and_equal_hashes_change_nothing(theirs, monkeypatch):
+    want = {t: np.array(theirs.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in ODD}
+    ours = bpe.load(PATH, public_tokenizers.PATTERN)
+    cache = bpe.PieceCache(ours.encode_texts, ours.strings, ours.special, bound=3)
+    assert all(bpe.encoded(cache, [t]) == [want[t]] for t in ODD * 2)
+    cache = bpe.PieceCache(ours.encode_texts, ours.strings, ours.special)
+    monkeypatch.setattr(bpe, "run_hashes", lambda raw, first, end: (end - first).astype(np.uint64) % np.uint64(3))
+    assert bpe.encoded(cache, ODD) == [want[t] for t in ODD] == bpe.encoded(cache, ODD)
 
 
 def docs_of(spark, rows):

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import os
 import random
-import struct
 import zlib
 from bisect import bisect_right, insort
 from collections import Counter
@@ -26,17 +25,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import WordCache, slices
+from .bpe import CACHE_BYTES, PieceCache, byte_letters, slices
 from .common import ranked, stored
+from .shingles import text_bytes
 
 #: Fillings that the search over sequences visits at most before the incumbent wins.
 SEARCH_NODES = 20_000
 
-_ENCODERS: dict[str, WordCache] = {}
+_ENCODERS: dict[str, PieceCache] = {}
 
 
-def encoder(path: str) -> WordCache:
-    """Ids by the tokenizers library, once a worker. It encodes the pieces that are new to the worker."""
+def encoder(path: str) -> PieceCache:
+    """Ids by the tokenizers library, once a worker. It encodes the pieces that are new to the worker, many in one text."""
     if path not in _ENCODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -44,13 +44,35 @@ def encoder(path: str) -> WordCache:
         t = Tokenizer.from_file(path)
         t.no_truncation()
         t.no_padding()
-
-        def encode(pieces: list[str]) -> list[bytes]:
-            return [
-                struct.pack(f"<{len(e)}I", *e.ids) for e in t.encode_batch_fast(pieces, add_special_tokens=False)
-            ]
-
-        _ENCODERS[path] = WordCache(encode)
+        letters = byte_letters()
+        back = {c: b for b, c in letters.items()}
+        special = {x.content: i for i, x in t.get_added_tokens_decoder().items()}
+        strings = [b""] * (1 + max(t.get_vocab().values()))
+        for token, i in t.get_vocab().items():
+            strings[i] = token.encode() if token in special else bytes(back[c] for c in token)
+        opens = np.array([x.startswith(b" ") for x in strings])
+
+        def encode(texts: list[str]) -> list[bytes]:
+            return [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+
+        def run(pieces: list[str]) -> list[bytes]:
+            """Pieces that hold one space, at their start, go as one text: only their first tokens start with a space."""
+            out: list[bytes] = [b""] * len(pieces)
+            spaced = [i for i, p in enumerate(pieces) if p[0] == " " and p.rfind(" ") == 0 and len(p) <= CACHE_BYTES and not any(x in p for x in special)]
+            spaced = [i for i in spaced if len(pieces[i]) > 1 and not pieces[i][1].isspace() and not pieces[i][-1].isspace()]
+            for at in range(0, len(spaced), 5000):
+                part = spaced[at : at + 5000]
+                ids = encode(["".join([pieces[i] for i in part])])[0]
+                starts = (4 * np.flatnonzero(opens[np.frombuffer(ids, "<u4")])).tolist()
+                if len(starts) == len(part) and starts[0] == 0:
+                    for i, a, b in zip(part, starts, [*starts[1:], len(ids)], strict=True):
+                        out[i] = ids[a:b]
+            rest = [i for i, x in enumerate(out) if not x]
+            for i, x in zip(rest, encode([pieces[i] for i in rest]), strict=True):
+                out[i] = x
+            return out
+
+        _ENCODERS[path] = PieceCache(run, strings, special)
     return _ENCODERS[path]
 
 
@@ -69,11 +91,13 @@ def pieces_of(docs: DataFrame, path: str, size: int, end_id: int, with_ids: bool
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for s in slices(texts):
+            base = 0
+            for texts in slices(batch.column(1)):
                 row, piece, start, length, crc, kept = [], [], [], [], [], []
-                for i, ids in enumerate(enc.encode(texts[s])):
-                    ids += end
+                every, at_text = enc.encode(*text_bytes(texts))
+                bounds = at_text.tolist()
+                for i in range(len(texts)):
+                    ids = every[bounds[i] : bounds[i + 1]].tobytes() + end
                     for k, (at, n) in enumerate(cut(len(ids) // 4, size)):
                         part = ids[4 * at : 4 * (at + n)]
                         row.append(i)
@@ -82,7 +106,8 @@ def pieces_of(docs: DataFrame, path: str, size: int, end_id: int, with_ids: bool
                         length.append(n)
                         crc.append(zlib.crc32(part))
                         kept.append(part if with_ids else None)
-                own = keys.slice(s.start, s.stop - s.start).take(pa.array(row, pa.int64()))
+                own = batch.column(0).slice(base, len(texts)).take(pa.array(row, pa.int64()))
+                base += len(texts)
                 cols = [own, pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
                 names = ["_id", "piece", "start", "length", "ids_crc32"]
                 if with_ids:

@@ -9,6 +9,7 @@ U = np.uint64
 _BASE = pow(0x9E3779B97F4A7C15, 1, 2**64) | 1
 _BACK = pow(_BASE, -1, 2**64)
 _POWERS: dict[int, np.ndarray] = {}
+WINDOW = 4_000_000
 #: Letters and digits, and every byte of a letter outside ASCII, belong to words.
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), 95, *range(128, 256)]] = True
@@ -24,10 +25,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers(base: int, n: int) -> np.ndarray:
     have = _POWERS.get(base)
     if have is None or len(have) < n:
-        size = max(n, 1 << 20)
-        have = np.full(size, base, U)
+        have = np.full(max(n, 1 << 20), base, U)
         have[0] = 1
-        have = _POWERS[base] = np.multiply.accumulate(have)
+        have = np.multiply.accumulate(have)
+        if n <= WINDOW + 1:
+            _POWERS[base] = have
     return have[:n]
 
 
@@ -50,11 +52,25 @@ def words(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     first, end = at[:-1], at[1:]
     keep = inside[first] if len(first) else np.zeros(0, bool)
     first, end = first[keep], end[keep]
-    total = np.zeros(len(raw) + 1, U)
-    np.cumsum((raw.astype(U) + U(1)) * _powers(_BASE, len(raw)), out=total[1:])
-    value = (total[end] - total[first]) * _powers(_BACK, len(raw) + 1)[first]
     text = np.searchsorted(starts, first, "right") - 1
-    return text, mix(value + U(0x9E3779B97F4A7C15) * (end - first).astype(U)), first, end
+    return text, run_hashes(raw, first, end), first, end
+
+
+def run_hashes(raw: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of raw[first:end] for all of them; both ascend. WINDOW bytes are summed at a time, or one longer run."""
+    out = np.empty(len(first), U)
+    a = 0
+    while a < len(first):
+        low = first[a]
+        b = max(a + 1, int(np.searchsorted(first, low + WINDOW)))
+        part = raw[low : end[b - 1]]
+        total = np.zeros(len(part) + 1, U)
+        np.cumsum((part.astype(U) + U(1)) * _powers(_BASE, len(part)), out=total[1:])
+        f, e = first[a:b] - low, end[a:b] - low
+        value = (total[e] - total[f]) * _powers(_BACK, len(part) + 1)[f]
+        out[a:b] = mix(value + U(0x9E3779B97F4A7C15) * (e - f).astype(U))
+        a = b
+    return out
 
 
 def prefixes(raw: np.ndarray, first: np.ndarray, end: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
