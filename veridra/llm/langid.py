@@ -25,8 +25,12 @@ FAMILIES = {
     "ru": "slavic", "uk": "slavic", "pl": "slavic", "cs": "slavic", "bg": "slavic",
 }
 DIM = 4096
+#: Bytes that are looked at together.
+WINDOW = 1_000_000
 #: Training rows of each language, about: a row is taken if a hash of its id falls under a share.
 ROWS_PER_LANGUAGE = 600
+#: Languages that are learnt at most, the most frequent first: a column of free text can't swamp the driver.
+LANGUAGES = 200
 
 _LETTER = np.full(256, 32, np.uint8)
 for _b in [*range(97, 123), *range(128, 256)]:
@@ -37,26 +41,24 @@ def features(texts: pa.Array) -> np.ndarray:
     """Length-1 rows of n-gram weights (square roots of counts) of lower-case texts."""
     raw, starts = text_bytes(texts)
     n = len(texts)
-    raw = np.concatenate([_LETTER[raw], np.full(2, 32, np.uint8)]).astype(U)
-    doc = np.repeat(np.arange(n), np.diff(starts))
     out = np.zeros(n * DIM)
-    m = len(doc)
-    gram = np.zeros(m, U)
-    alive = np.ones(m, bool)
-    for size in range(3):
-        gram = gram * U(256) + raw[size : size + m]
-        if size:
-            alive[: m - size] &= doc[size:] == doc[: m - size]
-            alive[max(0, m - size) :] = False
-        blank = gram == sum(32 << (8 * i) for i in range(size + 1))
-        use = alive & ~blank
-        at = doc[use] * DIM + (mix(gram[use] + U(size + 1 << 40)) % U(DIM)).astype(np.int64)
-        out += np.bincount(at, minlength=n * DIM)
+    # a window at a time, so that a very long text takes no more memory than its bytes
+    for a in range(0, len(raw), WINDOW):
+        part = np.concatenate([_LETTER[raw[a : a + WINDOW + 2]], np.full(2, 32, np.uint8)]).astype(U)
+        m = min(WINDOW, len(raw) - a)
+        doc = np.repeat(np.arange(n), np.diff(np.clip(starts, a, a + m)))
+        left = starts[doc + 1] - np.arange(a, a + m)
+        gram = np.zeros(m, U)
+        for size in range(3):
+            gram = gram * U(256) + part[size : size + m]
+            use = (left > size) & (gram != sum(32 << (8 * i) for i in range(size + 1)))
+            at = doc[use] * DIM + (mix(gram[use] + U(size + 1 << 40)) % U(DIM)).astype(np.int64)
+            out += np.bincount(at, minlength=n * DIM)
     out = np.sqrt(out.reshape(n, DIM))
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
 
-def _runs(texts: pa.Array, size: int = 1_000_000, rows: int = 500) -> Iterator[tuple[int, int]]:
+def _runs(texts: pa.Array, size: int = 500_000, rows: int = 150) -> Iterator[tuple[int, int]]:
     """(first, count) of slices of bounded size."""
     lengths = np.diff(text_bytes(texts)[1])
     at = total = 0
@@ -129,7 +131,7 @@ def identify(
 
     Learns from text and lang of rows that aren't held out (crc32 of the id as text, modulo
     4, is 2) and have a lang, about rows_per_language of each language, chosen by a hash of
-    id and text. Predicts from the whole text alone. `und` with score 0: null texts, texts
+    id and text. Of more than LANGUAGES languages the most frequent are learnt. Predicts from the whole text alone. `und` with score 0: null texts, texts
     without letters, and everything if there is nothing to learn from. Languages met in
     training only are predicted. Repeated rows give repeated rows; a null id counts as not
     held out; other columns are dropped. One pass over the texts and no shuffle of them.
@@ -138,7 +140,8 @@ def identify(
     ident, text, lang = F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), F.col(f"`{lang_col}`")
     letters = text.rlike(r"\p{L}")
     learn = docs.where(~held_out(ident) & lang.isNotNull() & F.coalesce(letters, F.lit(False)))
-    counts = {r["lang"]: r["n"] for r in learn.groupBy(lang.cast("string").alias("lang")).agg(F.count("*").alias("n")).collect()}
+    by_lang = learn.groupBy(lang.cast("string").alias("lang")).agg(F.count("*").alias("n"))
+    counts = {r["lang"]: r["n"] for r in by_lang.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
     share = F.create_map(*[F.lit(x) for v, n in counts.items() for x in (v, min(1.0, rows_per_language / n))]) if counts else None
     model = None
     if share is not None:

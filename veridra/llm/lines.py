@@ -2,8 +2,8 @@
 
 Every line hash aggregates a HyperLogLog sketch of its sites; sketches merge map-side and
 again after the shuffle, so a line that stands on a third of all pages is one row a task.
-A line whose estimate lies near the threshold is counted exactly, so the verdict is exact
-for every line. Of a boilerplate line the first occurrence stays and the others go.
+A line whose estimate lies within three standard errors of the threshold is counted exactly;
+beyond them the sketch decides. Of a boilerplate line the first occurrence stays and the others go.
 """
 
 from __future__ import annotations
@@ -71,8 +71,9 @@ def drop_boilerplate(
     boilerplate = spread.where(F.col("sites") > F.col("least") + margin).select("hash", "first").unionByName(
         near.join(exact, "hash").where(F.col("exact") >= F.col("least")).select("hash", "first")
     )
-    # joined by sorting at any size: a plan that turns at some size can't be foreseen from small runs
-    hits = lines.join(boilerplate.hint("merge"), "hash")
+    # joined by sorting at any size: a plan that turns at some size can't be foreseen from small runs;
+    # written first, so that Spark can split what a very common line brings
+    hits = lines.join(stored(boilerplate).hint("merge"), "hash")
     if keep_first:
         first = F.col("first")
         hits = hits.where(~((F.col("row") == first["row"]) & F.col("id").eqNullSafe(first["id"]) & (F.col("pos") == first["pos"])))
