@@ -36,6 +36,17 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL[context.applicationId]
 
 
+#: Texts of an Arrow batch: of Spark's 10,000 long ones, Python and the JVM would each hold a copy.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches from now on in this session, unless it has chosen a size of its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, "10000") == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """df with columns c0, c1, ... and where each name went: no name of a caller can clash with one of ours."""
     return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), {n: f"c{i}" for i, n in enumerate(df.columns)}
