@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veridra.llm import dart, langid, lines, packing, pii
-from veridra.llm.common import stored
+from veridra.llm.common import small_batches, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a language is found; texts without letters go. lang takes the prediction."""
+    small_batches(spark)
     found = langid.identify(docs, carry=("text", "source", "n_chars")).where(F.col("lang_pred") != "und")
     return found.withColumnRenamed("lang_pred", "lang").select(*COLUMNS)
 
@@ -36,6 +37,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows that share an id but not the text are apart. Of equal rows one stays. Rows of
     equal id and text meet in one task.
     """
+    small_batches(spark)
     row = F.xxhash64("doc_id", F.col("doc_id").isNull(), "text", F.col("text").isNull())
     docs = docs.withColumn("_row", row)
     ids = docs.select(F.col("_row").alias("_kept"), "doc_id").distinct()
@@ -53,6 +55,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token ids and their places in sequences of 2048."""
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), size=2048, end_id=0, with_ids=False)
 
 
