@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -152,6 +153,63 @@ def test_revealing_terms_go_and_common_ones_stay(spark):
     assert pii.sanitise(df.limit(0)).collect() == []
 
 
+def revealing(rows, remove_at=0.9, generalise_at=0.7, least=2):
+    """{entity: {term: kind}} by counting over all pairs of documents, one document a row of distinct id."""
+    n, docs = len(rows), []
+    for i, t in rows:
+        spans = [x.split(":") for x in base(t).split(",") if x]
+        docs.append((t, {f"{k}:{t[int(a) : int(b)]}" for k, a, b in spans}, set(re.findall(r"[^\W_]+", t.lower()))))
+    out = {}
+    for e in set().union(*(d[1] for d in docs)):
+        mine = [d for d in docs if e in d[1]]
+        if len({t for t, _, _ in mine}) < least or len(mine) == n:
+            continue
+        ic = math.log2(n / len(mine))
+        for w in set().union(*(d[2] for d in mine)):
+            with_ = [d for d in mine if w in d[2]]
+            pmi = math.log2(len(with_) * n / (sum(w in d[2] for d in docs) * len(mine)))
+            if len({t for t, _, _ in with_}) >= least and round(pmi, 9) >= round(ic * generalise_at, 9):
+                out.setdefault(e, {})[w] = "term" if round(pmi, 9) >= round(ic * remove_at, 9) else "general"
+    return out
+
+
+def test_disclosure_against_brute_force(spark):
+    rnd = random.Random(12)
+    words = [f"w{chr(97 + i)}" for i in range(26)]
+    people = [(f"p{chr(97 + i)}@x.org", f"nick{chr(97 + i)}", f"town{chr(97 + i % 3)}") for i in range(6)]
+    rows = []
+    for i in range(160):
+        t = [rnd.choice(words) for _ in range(rnd.randint(1, 8))]
+        if rnd.random() < 0.3:
+            mail, nick, town = rnd.choice(people)
+            t += [mail] + [nick] * (rnd.random() < 0.9) + [town] * (rnd.random() < 0.9)
+            rnd.shuffle(t)
+        rows.append((i, " ".join(t)))
+    want = revealing(rows)
+    assert any("general" in v.values() for v in want.values()) and any("term" in v.values() for v in want.values())
+    got = pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", pii.listed(F.col("_spans"))).collect()
+    for i, listed in got:
+        text, found = rows[i][1], base(rows[i][1])
+        taken = [(int(a), int(b)) for _, a, b in (x.split(":") for x in found.split(",") if x)]
+        kinds = {}
+        for e in (f"email:{text[a:b]}" for a, b in taken):
+            for w, k in want.get(e, {}).items():
+                kinds[w] = "term" if "term" in (k, kinds.get(w)) else k
+        own = [(m.start(), m.end(), kinds[m[0].lower()]) for m in re.finditer(r"[^\W_]+", text) if m[0].lower() in kinds and all(m.end() <= a or b <= m.start() for a, b in taken)]
+        every = sorted([*found.split(","), *(f"{k}:{a}:{b}" for a, b, k in own)], key=lambda x: int(x.split(":")[1]) if x else -1)
+        assert listed == ",".join(x for x in every if x), i
+
+
+def test_secrets(spark):
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    cases = [f'token = "{key}" x', "a" * 40, "1" * 40, f"{key[:19]} x", f"mail {key}@a.org", f"é{key}", f"{key},{key.upper()}"]
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.sanitise(df).collect()}
+    assert got[0]["_clean"].startswith('token = "[SECRET]"') and got[0]["_base"] == []
+    assert [sum(x["kind"] == "secret" for x in got[i]["_spans"]) for i in range(7)] == [1, 0, 0, 0, 0, 0, 2]
+    assert got[4]["_clean"] == "mail [EMAIL]"
+
+
 def test_terms_reveal_wherever_they_stand(spark):
     far = "nothing called yesterday about a memo of some length " * 4
     rows = [(i, f"Zorblatt wrote: {far}{i}{far} jane@corp.example.org", "c") for i in range(5)]
@@ -188,6 +246,21 @@ def test_near_duplicates_against_all_pairs(spark):
     assert dart.near_duplicates(df.withColumn("doc_id", F.lit(None).cast("long"))).collect() == []
 
 
+def test_a_large_family_of_near_copies(spark):
+    rnd = random.Random(21)
+    base_text = [f"w{rnd.randrange(5000)}" for _ in range(140)]
+    rows = []
+    for i in range(120):
+        t = list(base_text)
+        for _ in range(rnd.choice([0, 1, 2, 3, 5, 8])):
+            t[rnd.randrange(len(t))] = f"x{rnd.randrange(10**6)}"
+        rows.append((i, " ".join(t)))
+    rows += [(200 + i, rows[3][1]) for i in range(150)] + [(None, rows[0][1]), (400, rows[5][1]), (400, rows[7][1])]
+    got = dart.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == classes(rows)
+    assert {r["doc_id"]: r["n_copies"] for r in got}[3] == len({i for i, t in rows if t == rows[3][1] and i is not None})
+
+
 def test_a_chain_of_links_is_one_class(spark):
     words = [f"w{i}" for i in range(400)]
     rows = [(k, " ".join(words[20 * k : 20 * k + 240])) for k in range(8)]

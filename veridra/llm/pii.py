@@ -1,6 +1,7 @@
 """Personal data: patterns, and terms that give a protected entity away.
 
-The four base kinds are found by pattern. Each distinct value is a protected entity.
+The four base kinds are found by pattern, and so are secrets: long runs of letters and
+digits mixed, of at least 80 bits if each letter is as likely. Each distinct value is a protected entity.
 All terms of the documents that mention an entity are candidates, and the corpus says how
 strongly a term t reveals an entity e: with document counts n(t,e), n(t), n(e) and N,
     PMI(t;e) = log2(n(t,e) N / (n(t) n(e)))   and   IC(e) = log2(N / n(e)).
@@ -25,13 +26,14 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "secret": r"(?<![\p{L}\p{N}])(?=[A-Za-z]*[0-9])(?=[0-9]*[A-Za-z])[A-Za-z0-9]{20,}+(?![\p{L}\p{N}])",
 }
+#: Kinds that are entities: the base ones, which are the contract's, and what the method adds.
+ENTITIES = (*KINDS, "secret")
 #: What a text must hold for a kind to be searched.
-GATES = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
+GATES = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]", "secret": r"[0-9][A-Za-z]|[A-Za-z][0-9]"}
 TERM = r"[\p{L}\p{M}\p{N}]+"
 SPANS = "array<struct<start:int,end:int,value:string>>"
-#: Candidate terms, or documents with entities, up to this many are sent to every task; more are joined by a shuffle.
-BROADCAST_TERMS = 200_000
 
 
 def found(text: Column, pattern: str) -> Column:
@@ -70,13 +72,14 @@ VALID = {
     "ip": lambda v: v.rlike(rf"^{PART}\.{PART}\.{PART}\.{PART}$"),
     "card": lambda v: F.length(digits(v)).between(12, 19) & luhn(digits(v)),
     "phone": lambda v: F.length(digits(v)).between(9, 15),
+    "secret": lambda v: F.lit(True),
 }
 
 
-def base_spans(df: DataFrame, text_col: str) -> DataFrame:
+def base_spans(df: DataFrame, text_col: str, kinds: tuple[str, ...] = KINDS) -> DataFrame:
     """df with `_spans`: array<struct<start, n, kind, end, value>>, by start, then kind as listed."""
     text = F.col(f"`{text_col}`")
-    for kind in KINDS:
+    for kind in kinds:
         df = df.withColumn(f"_{kind}", F.when(text.rlike(GATES[kind]), found(text, PATTERNS[kind])))
     def valid(kind: str, n: int) -> Column:
         some = F.coalesce(F.col(f"_{kind}"), F.array().cast(SPANS))
@@ -88,8 +91,8 @@ def base_spans(df: DataFrame, text_col: str) -> DataFrame:
             ),
         )
 
-    parts = [valid(kind, n) for n, kind in enumerate(KINDS)]
-    return df.withColumn("_spans", F.array_sort(F.concat(*parts))).drop(*[f"_{k}" for k in KINDS])
+    parts = [valid(kind, n) for n, kind in enumerate(kinds)]
+    return df.withColumn("_spans", F.array_sort(F.concat(*parts))).drop(*[f"_{k}" for k in kinds])
 
 
 def kind_count(spans: Column, kind: str) -> Column:
@@ -107,22 +110,32 @@ def sanitise(
 ) -> DataFrame:
     """docs plus `_base`, `_spans` (arrays of struct<start, n, kind, end, value>) and `_clean` (the safe text).
 
-    Kinds beside the base ones are `term` (removed) and `general` (generalised to [TERM]).
+    Kinds beside the base ones are `secret`, `term` (removed) and `general` (generalised to [TERM]).
     A term must share min_contexts distinct texts with an entity, wherever it stands in them:
-    copies of one text are one context. Terms are runs of letters and digits of any length. Spans of terms that overlap a base span are left out.
+    copies of one text are one context. Terms are runs of letters and digits of any length. Spans
+    that overlap a base span are left out.
     A null text counts as empty: no spans, clean text empty. Rows that repeat an id and text
     are treated alike; the count of mentions takes them as one document, the other counts as several. Other columns pass through, but for
     any named like the three new ones. An empty table gives no rows.
+
+    One plan at every size: texts are read twice for their patterns and words, where they are, and
+    sorted once, to meet what was found for them.
     """
     docs, names = numbered(docs)
     text = F.col("_text")
     work = docs.withColumn("_text", F.coalesce(F.col(names[text_col]), F.lit("")))
     work = work.withColumn("_row", F.xxhash64(names[id_col], text))
-    # the span columns are made again after the statistics: cheaper than storing every text
-    spans = base_spans(work.select("_row", "_text"), "_text").where(F.size("_spans") > 0)
+
+    def terms_of(t: Column) -> Column:
+        return F.array_distinct(F.regexp_extract_all(F.lower(t), F.lit(TERM), F.lit(0)))
+
+    # documents that mention an entity, with all their terms: what is counted over pairs needs no other text
+    spans = base_spans(work.select("_row", "_text"), "_text", ENTITIES).where(F.size("_spans") > 0)
+    crossing = lambda x, b: (b["kind"] != "secret") & (b["start"] < x["end"]) & (x["start"] < b["end"])
+    kept = F.filter("_spans", lambda x: (x["kind"] != "secret") | ~F.exists("_spans", lambda b: crossing(x, b)))
     mentions = stored(
         spans.select(
-            F.col("_row").alias("row"), F.xxhash64(text, F.length(text)).alias("content"),
+            F.col("_row").alias("row"), F.xxhash64(text, F.length(text)).alias("content"), kept.alias("spans"), terms_of(text).alias("terms"),
             F.array_distinct(F.transform("_spans", lambda s: F.concat_ws(":", s["kind"], s["value"]))).alias("entities"),
         )
     )
@@ -130,31 +143,20 @@ def sanitise(
     once = mentions.groupBy("row", "content").agg(F.count("*").alias("copies"), F.first("entities").alias("entities"))
     stands = mentions.groupBy("content").agg(F.min("row").alias("stands"))
     holders = stored(
-        once.join(stands, "content")
+        once.join(stands.hint("merge"), "content")
         .withColumn("context", F.when(F.col("row") == F.col("stands"), 1 / F.col("copies")).otherwise(F.lit(0.0)))
         .select("row", "context", F.explode("entities").alias("entity"))
     )
     # an entity of fewer texts than a term needs can't be revealed by any
     n_e = holders.groupBy("entity").agg(F.count("*").alias("n_e"), F.count_if(F.col("context") > 0).alias("contexts"))
-    holders = stored(holders.join(n_e.where(F.col("contexts") >= min_contexts).drop("contexts"), "entity"))
-
-    def only(found: DataFrame, few: DataFrame, on: str) -> DataFrame:
-        """Rows of found with their match in few, which is sent to all tasks only up to a bound."""
-        return found.join(F.broadcast(few) if few.count() <= BROADCAST_TERMS else few.hint("merge"), on)
-
-    def words(df: DataFrame) -> DataFrame:
-        return df.select("row", F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))).alias("term"))
-
-    every = work.select(F.col("_row").alias("row"), "_text")
+    holders = stored(holders.join(n_e.where(F.col("contexts") >= min_contexts).drop("contexts").hint("merge"), "entity"))
     rows = stored(holders.select("row").distinct())
-    near = words(only(every, rows, "row"))
+    near = mentions.select("row", F.explode("terms").alias("term")).join(rows.hint("merge"), "row", "left_semi")
     terms = stored(near.groupBy("term").agg(F.count("*").alias("n")).where(F.col("n") >= min_contexts).select("term"))
     total = F.lit(work.count())
-    # counted before the filter's rows are dealt out: each task sends one row a term
-    if terms.count() <= BROADCAST_TERMS:
-        n_t = words(every).join(F.broadcast(terms), "term").groupBy("term").agg(F.count("*").alias("n_t"))
-    else:
-        n_t = words(every).groupBy("term").agg(F.count("*").alias("n_t")).join(terms.hint("merge"), "term")
+    # counted before anything is dealt out: each task sends one row a term
+    n_t = work.select(F.explode(terms_of(text)).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    n_t = n_t.join(terms.hint("merge"), "term")
     ic = F.round(F.log2(total / F.col("n_e")), 9)
 
     def pmi(both: Column) -> Column:
@@ -166,7 +168,7 @@ def sanitise(
     most = F.broadcast(holders.where(F.col("n_e") < total).agg(F.max("n_e").alias("n_e")).withColumn("ic", ic))
     n_t = stored(n_t.join(most).where(able).select("term", "n_t"))
     scored = stored(
-        only(near, n_t, "term").join(holders, "row").withColumn("ic", ic).where(able)
+        near.join(n_t.hint("merge"), "term").join(holders.hint("merge"), "row").withColumn("ic", ic).where(able)
         .groupBy("entity", "term", "n_t", "n_e", "ic").agg(F.count("*").alias("n_te"), F.sum("context").alias("contexts"))
         .where(F.round("contexts", 3) >= min_contexts)
         .withColumn("pmi", pmi(F.col("n_te")))
@@ -174,36 +176,39 @@ def sanitise(
         .select("entity", "term", (F.col("pmi") >= F.round(F.col("ic") * remove_at, 9)).alias("gone"))
     )
     told = (
-        holders.join(scored, "entity")
+        holders.join(scored.hint("merge"), "entity")
         .groupBy("row", "term").agg(F.max("gone").alias("gone"))
         .groupBy("row").agg(
             F.collect_set(F.when(F.col("gone"), F.col("term"))).alias("_removed"),
             F.collect_set(F.when(~F.col("gone"), F.col("term"))).alias("_general"),
         )
-        .withColumnRenamed("row", "_told")
     )
-    told = stored(told)
+    known = mentions.groupBy("row").agg(F.first("spans").alias("_found")).join(told.hint("merge"), "row", "left")
+    known = stored(known.withColumnRenamed("row", "_told"))
     # joined by sorting at any size: a plan that turns at some size can't be foreseen from small runs
-    out = work.join(told.hint("merge"), F.col("_row") == F.col("_told"), "left")
-    out = base_spans(out, "_text").withColumnRenamed("_spans", "_base")
-    out = out.withColumn("_words", F.when(F.col("_told").isNotNull(), found(text, TERM)))
+    out = work.join(known.hint("merge"), F.col("_row") == F.col("_told"), "left")
+    none = F.array().cast("array<struct<start:int,n:int,kind:string,end:int,value:string>>")
+    out = out.withColumn("_found", F.coalesce("_found", none))
+    out = out.withColumn("_base", F.filter("_found", lambda x: x["kind"] != "secret"))
+    out = out.withColumn("_words", F.when(F.col("_removed").isNotNull(), found(text, TERM)))
+    at = len(ENTITIES)
     own = F.transform(
         F.filter(
             F.transform(
                 F.coalesce(F.col("_words"), F.array().cast(SPANS)),
                 lambda x: F.struct(
                     x["start"].alias("start"),
-                    F.when(F.array_contains(F.col("_removed"), F.lower(x["value"])), F.lit(len(KINDS)))
-                    .when(F.array_contains(F.col("_general"), F.lower(x["value"])), F.lit(len(KINDS) + 1)).alias("n"),
+                    F.when(F.array_contains(F.col("_removed"), F.lower(x["value"])), F.lit(at))
+                    .when(F.array_contains(F.col("_general"), F.lower(x["value"])), F.lit(at + 1)).alias("n"),
                     x["end"].alias("end"), x["value"].alias("value"),
                 ),
             ),
-            lambda x: x["n"].isNotNull() & ~F.exists(F.col("_base"), lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])),
+            lambda x: x["n"].isNotNull() & ~F.exists(F.col("_found"), lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])),
         ),
-        lambda x: F.struct(x["start"].alias("start"), x["n"].alias("n"), F.when(x["n"] == len(KINDS), "term").otherwise("general").alias("kind"), x["end"].alias("end"), x["value"].alias("value")),
+        lambda x: F.struct(x["start"].alias("start"), x["n"].alias("n"), F.when(x["n"] == at, "term").otherwise("general").alias("kind"), x["end"].alias("end"), x["value"].alias("value")),
     )
-    out = out.withColumn("_spans", F.when(F.col("_told").isNull(), F.col("_base")).otherwise(F.array_sort(F.concat("_base", own))))
-    label = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "term": "[REMOVED]", "general": "[TERM]"}
+    out = out.withColumn("_spans", F.when(F.col("_removed").isNull(), F.col("_found")).otherwise(F.array_sort(F.concat("_found", own))))
+    label = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "secret": "[SECRET]", "term": "[REMOVED]", "general": "[TERM]"}
     labels = F.create_map(*[F.lit(x) for kv in label.items() for x in kv])
 
     def put(acc: Column, s: Column) -> Column:

@@ -52,12 +52,13 @@ FROM marked GROUP BY doc_id
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: counts of base kinds, their digest, all spans, and the MD5 of the safe text."""
+    """Per document: counts of base kinds, their digest, all spans, secrets, everything found, and the MD5 of the safe text."""
     out = pii.sanitise(_table(spark, sf_dir, "documents"))
     counts = [pii.kind_count(F.col("_base"), k).alias(f"n_{k}") for k in pii.KINDS]
     return out.select(
         "doc_id", *counts, F.sha2(pii.listed(F.col("_base")), 256).alias("base_sha256"),
-        pii.listed(F.col("_spans")).alias("spans"), F.md5("_clean").alias("clean_md5"),
+        pii.listed(F.col("_spans")).alias("spans"),
+        pii.kind_count(F.col("_spans"), "secret").alias("n_secret"), F.size("_spans").cast("long").alias("n_found"), F.md5("_clean").alias("clean_md5"),
     )
 
 
