@@ -47,3 +47,15 @@ def test_matches_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_runs(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
+
+
+def test_random_picks_repeat_and_are_unreviewed(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "labels"))
+    reviewed = {r[0] for r in labels.select("doc_id").collect()}
+    english = {r[0] for r in docs.where("lang = 'en'").select("doc_id").collect()}
+    for name in ("filter_random_unreviewed", "review_next"):
+        got = [QUERIES[name](spark, SF).collect() for _ in range(2)]
+        assert got[0] == got[1] and len(got[0]) == 1 and got[0][0]["doc_id"] not in reviewed
+    assert got[0][0]["doc_id"] in english
+    first, again = (sorted(map(tuple, QUERIES["topk_sample_seeded"](spark, SF).collect())) for _ in range(2))
+    assert first == again and len(set(first)) == len(first)
