@@ -24,8 +24,6 @@ from .shingles import U, mix, prefixes, text_bytes, words
 #: Features of each category, and training rows, at most.
 VOCABULARY, TRAIN_ROWS, FOLDS = 1000, 6_000, 5
 PREFIX = 5
-#: Label rows up to this many are sent to all tasks, so that texts stay where they are; more are joined by sorting.
-BROADCAST_LABELS = 1_000_000
 
 
 def held(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -145,8 +143,8 @@ def classify(
     spark = docs.sparkSession
     names = list(categories)
     marks = labels.select(F.col(f"`{label_id}`").alias("_lid"), *[c.cast("int").alias(f"_c{i}") for i, c in enumerate(categories.values())]).dropna()
-    marks = stored(marks)
-    marks = F.broadcast(marks) if marks.count() <= BROADCAST_LABELS else marks.hint("merge")
+    # joined by sorting at every size: labels grow with the documents
+    marks = stored(marks).hint("merge")
     text = F.lower(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
     labelled = docs.select(F.col(f"`{id_col}`").alias("_id"), text.alias("text")).join(marks, F.col("_id") == F.col("_lid"))
     flags = [f"_c{i}" for i in range(len(names))]
@@ -161,7 +159,7 @@ def classify(
             chosen |= {r["feature"] for r in top.collect()}
         chain_words = np.sort(np.array(sorted(chosen), np.int64).view(U))
         share = min(1.0, train_rows / totals["n"])
-        sample = labelled.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_003)) < int(share * 1_000_003) + 1)
+        sample = labelled.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_003)) < int(share * 1_000_003) + 1)  # taken before the join
         rows = sample.select("text", *flags, F.pmod(F.xxhash64("_id", F.lit("fold")), F.lit(FOLDS)).cast("int").alias("fold"), F.xxhash64("_id").alias("o"))
 
         def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
