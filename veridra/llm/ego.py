@@ -24,8 +24,8 @@ from .vectors import matrix, usable
 
 #: Leading principal dimensions: of the grid order, and of the bounding boxes.
 ORDER_DIMS, BOX_DIMS = 6, 16
-#: Vectors of a block; inside a task intervals are split down to LEAF.
-BLOCK, LEAF = 8192, 512
+#: Inside a task intervals are split down to LEAF. A block holds vectors of this many bytes at most (as doubles).
+LEAF, BLOCK_BYTES = 512, 32_000_000
 #: Children of an interval at each level of the recursion over blocks.
 FAN = 8
 TRAIN_ROWS = 20_000
@@ -96,8 +96,13 @@ def _forest(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarra
     return (np.concatenate(from_), np.concatenate(to)) if from_ else (empty, empty)
 
 
+def block_rows(n: int, width: int, cores: int) -> int:
+    """Vectors of a block: every vector meets all blocks in the worst case, so there are only so many that all cores have pairs to join."""
+    return int(min(max(LEAF, n / (2 * np.sqrt(cores))), max(LEAF, BLOCK_BYTES // (8 * width))))
+
+
 def near_duplicates(
-    vectors: DataFrame, least: float = 0.9, block: int = BLOCK, id_col: str = "vec_id", vec_col: str = "embedding"
+    vectors: DataFrame, least: float = 0.9, block: int | None = None, id_col: str = "vec_id", vec_col: str = "embedding"
 ) -> DataFrame:
     """One row per id: id_col, n_links, component_id, kept.
 
@@ -125,23 +130,29 @@ def near_duplicates(
     else:
         axes = np.zeros((1, 1))
     eps = float(np.sqrt(max(0.0, 2.0 - 2.0 * least)))
+    block = block or block_rows(n, axes.shape[0], spark.sparkContext.defaultParallelism)
+    kind = np.float32 if heads.schema["vec"].dataType.simpleString() == "array<float>" else np.float64
     d = axes.shape[1]
     g = min(ORDER_DIMS, d)
 
+    def units(raw: bytes, rows: int) -> np.ndarray:
+        """Unit rows of packed vectors, in doubles."""
+        x = np.frombuffer(raw, kind).reshape(rows, -1).astype(float)
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                x = matrix(batch.column("vec"))
-                x = x / np.linalg.norm(x, axis=1, keepdims=True)
-                p = x @ axes
-                cells = np.floor(p[:, :g] / max(eps, 1e-6)).astype(np.int64)
+                v = matrix(batch.column("vec")).astype(kind)
+                p = units(v.tobytes(), len(v)) @ axes[:, :g]
+                cells = np.floor(p / max(eps, 1e-6)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("head"), batch.column("n"), pa.array([r.tobytes() for r in x], pa.binary()),
-                     pa.array([r.tobytes() for r in p], pa.binary()), pa.array(list(cells), pa.list_(pa.int64())), pa.array(p[:, 0])],
-                    ["head", "n", "x", "p", "cells", "first"],
+                    [batch.column("head"), batch.column("n"), pa.array([r.tobytes() for r in v], pa.binary()),
+                     pa.array(list(cells), pa.list_(pa.int64())), pa.array(p[:, 0])],
+                    ["head", "n", "v", "cells", "first"],
                 )
 
-    placed = heads.select("head", "n", "vec").mapInArrow(project, "head long, n long, x binary, p binary, cells array<long>, first double")
+    placed = heads.select("head", "n", "vec").mapInArrow(project, "head long, n long, v binary, cells array<long>, first double")
     # a total order (the id breaks ties), so that one crowded cell is cut like any other stretch
     order = [*[F.col("cells")[i] for i in range(g)], F.col("first"), F.col("head")]
     parts = max(1, min(spark.sparkContext.defaultParallelism, n // 1000 + 1), n // (4 * block))
@@ -154,14 +165,15 @@ def near_duplicates(
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["start", "i"])
-        p = np.frombuffer(b"".join(pdf["p"]), float).reshape(len(pdf), -1)
+        raw = b"".join(pdf["v"])
+        p = units(raw, len(pdf)) @ axes
         return pd.DataFrame({
             "block": [pdf["block"].iloc[0]], "heads": [pdf["head"].to_numpy(np.int64).tobytes()], "n": [pdf["n"].to_numpy(np.int64).tobytes()],
-            "x": [b"".join(pdf["x"])], "p": [p.tobytes()], "lo": [p.min(0).tolist()], "hi": [p.max(0).tolist()],
+            "v": [raw], "lo": [p.min(0).tolist()], "hi": [p.max(0).tolist()],
         })
 
-    blocks = ranked.select("block", "start", "i", "head", "n", "x", "p").groupBy("block").applyInPandas(
-        gather, "block long, heads binary, n binary, x binary, p binary, lo array<double>, hi array<double>"
+    blocks = ranked.select("block", "start", "i", "head", "n", "v").groupBy("block").applyInPandas(
+        gather, "block long, heads binary, n binary, v binary, lo array<double>, hi array<double>"
     )
     blocks = stored(blocks)
     n_blocks = -(-n // block)
@@ -192,34 +204,38 @@ def near_duplicates(
             lambda acc, i: acc + F.pow(F.greatest(F.lit(0.0), F.get("blo", i) - F.get("ahi", i), F.get("alo", i) - F.get("bhi", i)), 2),
         )
         pairs = pairs.where(gap <= (eps + 1e-9) ** 2).select("a", "b")
-    side = lambda c: blocks.select(*[F.col(k).alias(f"{c}_{k}" if k != "block" else c) for k in ("block", "heads", "n", "x", "p")])
-    work = pairs.join(side("a"), "a").join(side("b"), "b")
+    # each block goes once to every pair it is in, packed as it came
+    pairs = stored(pairs)
+    sides = pairs.select("a", "b", F.col("a").alias("block"), F.lit(0).alias("side")).union(
+        pairs.where("a < b").select("a", "b", F.col("b").alias("block"), F.lit(1).alias("side"))
+    )
+    work = blocks.select("block", "heads", "n", "v").join(sides, "block").drop("block")
     work = work.repartition(max(2 * spark.sparkContext.defaultParallelism, n_blocks), "a", "b")
 
-    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                heads_a, heads_b = np.frombuffer(r.a_heads, np.int64), np.frombuffer(r.b_heads, np.int64)
-                n_a, n_b = np.frombuffer(r.a_n, np.int64), np.frombuffer(r.b_n, np.int64)
-                x = np.frombuffer(r.a_x, float).reshape(len(heads_a), -1)
-                y = np.frombuffer(r.b_x, float).reshape(len(heads_b), -1)
-                px = np.frombuffer(r.a_p, float).reshape(len(heads_a), -1)
-                py = np.frombuffer(r.b_p, float).reshape(len(heads_b), -1)
-                same = r.a == r.b
-                links_a, links_b = np.zeros(len(heads_a), np.int64), np.zeros(len(heads_b), np.int64)
-                fi, fj = np.zeros(0, np.int64), np.zeros(0, np.int64)
-                shift = 0 if same else len(heads_a)
-                for i, j in join_blocks(x, y, px, py, least, same):
-                    links_a += np.bincount(i, n_b[j], len(heads_a)).astype(np.int64)
-                    links_b += np.bincount(j, n_a[i], len(heads_b)).astype(np.int64)
-                    fi, fj = _forest(np.concatenate([fi, i]), np.concatenate([fj, j + shift]), len(heads_a) + len(heads_b))
-                every = np.concatenate([heads_a, heads_b])
-                yield pd.DataFrame({"a": every[fi], "b": every[fj], "n": 0})
-                for heads_, links_ in ((heads_a, links_a), (heads_b, links_b)):
-                    some = links_ > 0
-                    yield pd.DataFrame({"a": heads_[some], "b": -1, "n": links_[some]})
-
-    found = stored(work.mapInPandas(join, "a long, b long, n long"))
+    def join(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pdf.sort_values("side").to_dict("records")
+        same = len(rows) == 1
+        packs = []
+        for r in (rows[0], rows[-1]):
+            ids, n = np.frombuffer(r["heads"], np.int64), np.frombuffer(r["n"], np.int64)
+            x = units(r["v"], len(ids))
+            packs.append((ids, n, x, x @ axes))
+        (heads_a, n_a, x, px), (heads_b, n_b, y, py) = packs
+        links_a, links_b = np.zeros(len(heads_a), np.int64), np.zeros(len(heads_b), np.int64)
+        fi, fj = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        shift = 0 if same else len(heads_a)
+        for i, j in join_blocks(x, y, px, py, least, same):
+            links_a += np.bincount(i, n_b[j], len(heads_a)).astype(np.int64)
+            links_b += np.bincount(j, n_a[i], len(heads_b)).astype(np.int64)
+            fi, fj = _forest(np.concatenate([fi, i]), np.concatenate([fj, j + shift]), len(heads_a) + len(heads_b))
+        every = np.concatenate([heads_a, heads_b])
+        out = [pd.DataFrame({"a": every[fi], "b": every[fj], "n": 0})]
+        for heads_, links_ in ((heads_a, links_a), (heads_b, links_b)):
+            some = links_ > 0
+            out.append(pd.DataFrame({"a": heads_[some], "b": -1, "n": links_[some]}))
+        return pd.concat(out)
+
+    found = stored(work.groupBy("a", "b").applyInPandas(join, "a long, b long, n long"))
     links = found.where("n > 0").groupBy(F.col("a").alias("head")).agg(F.sum("n").alias("links"))
     edges = found.where("n = 0").select("a", "b")
     part = components(edges).withColumnRenamed("node", "head")

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 
 def usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(id long, vec array<double>) of rows with an id and a vector that is not empty, not
-    zero, and without null or non-finite components."""
-    vec = F.col(f"`{vec_col}`").cast("array<double>")
+    """(id long, vec) of rows with an id and a vector that is not empty, not zero, and without
+    null or non-finite components; vec is array<float> if it was, else array<double>."""
+    vec = F.col(f"`{vec_col}`")
+    if df.schema[vec_col].dataType.simpleString() != "array<float>":
+        vec = vec.cast("array<double>")
     bad = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return (
         df.select(F.col(f"`{id_col}`").cast("long").alias("id"), vec.alias("vec"))
