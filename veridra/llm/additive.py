@@ -25,8 +25,8 @@ from .vectors import matrix, usable
 BOOKS, WORDS, BEAM = 16, 256, 8
 #: Vectors that codebooks are fitted on, at most about.
 TRAIN_ROWS = 8192
-#: Rows of a block of codes, queries of a block, candidates of a block ranked exactly for a query.
-BLOCK, QUERY_BLOCK, RERANK = 16384, 1024, 200
+#: Rows of a block of codes at most, queries of a block, candidates of a block ranked exactly for a query.
+BLOCK, QUERY_BLOCK, RERANK = 65_536, 65_536, 200
 
 
 def _nearest(x: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -97,7 +97,7 @@ def fit(x: np.ndarray, m: int = BOOKS, k: int = WORDS, rounds: int = 2, seed: in
 
 def _exact(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Inner products in double precision, each by itself, so that equal rows get equal scores."""
-    return (x * q).sum(axis=1)
+    return (x.astype(float) * q).sum(axis=1)
 
 
 def search(
@@ -115,7 +115,8 @@ def search(
 
     Every row is coded; the sample for the codebooks, about train_rows rows by a hash of
     id, is the only bound. Each block of queries meets each block of codes in one task, which
-    sends on only `top` rows a query.
+    sends on only `top` rows a query. A coded row is sent once for every 65,536 queries, a
+    query once for every block of codes; blocks are so large that all cores have two, up to a bound.
     """
     spark = vectors.sparkSession
     flagged = vectors.withColumn("_query", F.coalesce(is_query, F.lit(False)))
@@ -137,24 +138,24 @@ def search(
                 own = np.linalg.norm(x, axis=1)
                 ratio = own / np.maximum(near, 1e-12)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), batch.column("vec"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(ratio)],
+                    [batch.column("id"), batch.column("vec"), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(ratio.astype(np.float32))],
                     ["id", "vec", "codes", "ratio"],
                 )
 
-    index = rows.mapInArrow(code, "id long, vec array<double>, codes binary, ratio double")
-    blocks = n // BLOCK + 1
+    index = rows.mapInArrow(code, f"id long, vec {rows.schema['vec'].dataType.simpleString()}, codes binary, ratio float")
+    blocks = max(n // BLOCK + 1, min(2 * spark.sparkContext.defaultParallelism, n // 1024 + 1))
     index = index.withColumn("block", F.pmod(F.xxhash64("id", "vec"), F.lit(blocks)).cast("int"))
     queries = rows.join(query_ids, "id", "left_semi")
     groups = max(1, queries.count() // QUERY_BLOCK + 1)
     queries = queries.withColumn("qblock", F.pmod(F.xxhash64("vec", "id"), F.lit(groups)).cast("int"))
     left = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = index.withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    wide = np.uint8 if min(words, n or 1) <= 256 else np.uint16
+    wide = np.uint8 if model is None or model.shape[1] <= 256 else np.uint16
 
     def meet(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         out = {"query_id": [], "vec_id": [], "score": []}
         if len(q) and len(c):
-            qx, cx = np.stack(q["vec"].to_numpy()), np.stack(c["vec"].to_numpy())
+            qx, cx = np.stack(q["vec"].to_numpy()).astype(float), np.stack(c["vec"].to_numpy())
             qid, cid = q["id"].to_numpy(), c["id"].to_numpy()
             codes = np.frombuffer(b"".join(c["codes"]), wide).reshape(len(c), -1)
             ratio = c["ratio"].to_numpy().astype(np.float32)
