@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import additive, bpe, chat, dart, ego, langid, lines, packing, pii, toxicity
+from . import additive, bpe, chat, codes, counts, dart, ego, langid, lines, packing, pii, toxicity, whitening
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -120,6 +121,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path(BYTE_BPE), size=2048, end_id=0, with_ids=False)
 
 
+def op11_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_BPE), limit=4096)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=32)
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per vector: code, error, error of its label, and the digest of the codebooks."""
+    out, books = codes.compress(_table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
+    return out.withColumn("codebooks_sha256", F.lit(codes.digest(books)))
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_additive": op2_additive,
@@ -131,5 +146,8 @@ QUERIES = {
     "op8_ego": op8_ego,
     "op9_toxicity": op9_toxicity,
     "op10_packing": op10_packing,
+    "op11_counts": op11_counts,
+    "op12_whitening": op12_whitening,
+    "op13_codes": op13_codes,
 }
 ORACLES: dict[str, str] = {"op3_line_spread": OP3_SQL, "op6_perspectives": OP6_SQL}

@@ -27,3 +27,20 @@ def matrix(column) -> np.ndarray:
     n = len(column)
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(n, -1) if n else flat.reshape(0, 0)
+
+
+def finite(df: DataFrame, id_col: str, vec_col: str, *others: str) -> DataFrame:
+    """(id, vec, others) of rows whose vector is not null or empty and has no null or non-finite
+    component; zero vectors and null ids stay. vec is array<float> if it was, else array<double>."""
+    vec = F.col(f"`{vec_col}`")
+    if df.schema[vec_col].dataType.simpleString() != "array<float>":
+        vec = vec.cast("array<double>")
+    rows = df.select(F.col(f"`{id_col}`").alias("id"), vec.alias("vec"), *(F.col(f"`{c}`").alias(n) for n, c in zip("abc", others, strict=False)))
+    bad = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return rows.where(F.col("vec").isNotNull() & (F.size("vec") > 0) & ~bad)
+
+
+def most_common_size(rows: DataFrame) -> tuple[int, int]:
+    """(length of a vector, rows of it): the length that most rows have, the longer on ties; (0, 0) of no rows."""
+    top = rows.groupBy(F.size("vec").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("size")).first()
+    return (top["size"], top["n"]) if top else (0, 0)
