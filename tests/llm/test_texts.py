@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -136,6 +137,7 @@ def test_base_spans_against_plain_patterns(spark):
     bits = ["a", "@", ".", "b.c", "1", "2", "55", "-", " ", "+", "(", ")", "é", "🎉", "\n", "4111111111111111", "8.8.8.8", "_"]
     texts = [None, "", "a@b.com_x@y.z", "1.2.3.4.5.6.7.8", "0.0.0.255 256.1.1.1", "x" * 50_000, "1" * 30_000, "a." * 20_000 + "@b" + ".c" * 20_000, "+" + "1 " * 9_000]
     texts += ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 40))) for _ in range(2000)]
+    texts += ["a1 " * 700 + "8.8.8.8 x@y.z " * 900]
     df = spark.createDataFrame([(i, t or "") for i, t in enumerate(texts)], "doc_id long, text string")
     got = {r[0]: r[1] for r in pii.base_spans(df, "text").select("doc_id", pii.listed(F.col("_spans"))).collect()}
     assert [i for i, t in enumerate(texts) if got[i] != base(t)] == []
@@ -223,6 +225,41 @@ def test_terms_reveal_wherever_they_stand(spark):
     assert "quxling" in got[20] and got[100] == rows[-60][1]
 
 
+def test_repeated_rows_count_alike(spark):
+    rows = [(i, f"filler row {i} about nothing") for i in range(400)]
+    rows += [(500, "ann@x.org met Zorblatt")] * 60 + [(501, "Zorblatt knows ann@x.org well")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [r["_clean"] for r in pii.sanitise(df).where("doc_id >= 500").collect()]
+    assert len(got) == 61 and not any("Zorblatt" in t for t in got)
+
+
+def test_many_entities_meet_many_terms(spark, monkeypatch):
+    mails = " ".join(f"m{i}@x.org" for i in range(60))
+    rows = [(i, f"{mails} Zorblatt {'same words ' * 5} own{i}") for i in range(3)] + [(10 + i, f"same words and {i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted((r["doc_id"], r["_clean"]) for r in pii.sanitise(df).collect())
+    monkeypatch.setattr(pii, "PAIRS", 50)
+    monkeypatch.setattr(pii, "STRIDE", 3)
+    monkeypatch.setattr(pii, "BLOCK", 7)
+    assert sorted((r["doc_id"], r["_clean"]) for r in pii.sanitise(df).collect()) == want
+    assert all("Zorblatt" not in t and "@" not in t for i, t in want if i < 10)
+
+
+def test_a_very_long_text(spark):
+    rnd = random.Random(6)
+    vocab = ["".join(rnd.choice("abcdefghij") for _ in range(5)) for _ in range(3000)]
+    parts = [rnd.choice(vocab) if rnd.random() < 0.98 else f"mail{rnd.randrange(50)}@x.org" for _ in range(800_000)]
+    long = " ".join(parts) + " Zorblatt"
+    rows = [(1, long), (2, "Zorblatt mail1@x.org"), *((10 + i, " ".join(vocab[i * 50 : i * 50 + 50])) for i in range(60))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    began = time.perf_counter()
+    got = {r["doc_id"]: r for r in pii.sanitise(df).where("doc_id < 10").collect()}
+    took = time.perf_counter() - began
+    assert len(long) > 4_700_000 and took < 60, took
+    assert got[1]["_clean"] == " ".join("[EMAIL]" if "@" in p else p for p in parts) + " [REMOVED]"
+    assert got[2]["_clean"] == "[REMOVED] [EMAIL]"
+
+
 # ---- near-duplicates
 
 
@@ -261,6 +298,27 @@ def test_a_large_family_of_near_copies(spark):
     assert {r["doc_id"]: r["n_copies"] for r in got}[3] == len({i for i, t in rows if t == rows[3][1] and i is not None})
 
 
+def test_no_link_of_a_hot_bucket_is_lost(spark, monkeypatch):
+    """Near copies of one page at every distance from it: many are alike to some, not to others."""
+    rnd = random.Random(5)
+    page = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(260):
+        t, at = list(page), rnd.randrange(0, 110)
+        for k in range(at, min(at + rnd.choice([0, 3, 6, 9, 12, 15]), 120)):
+            t[k] = f"x{rnd.randrange(4)}k{k}"
+        for _ in range(rnd.choice([0, 0, 1, 2])):
+            t[rnd.randrange(120)] = f"y{rnd.randrange(10**6)}"
+        rows.append((i, " ".join(t)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = classes(rows)
+    assert len(set(want.values())) > 5
+    for leaders, dealt in ((4, 2_000), (1, 10)):
+        monkeypatch.setattr(dart, "LEADERS", leaders)
+        monkeypatch.setattr(dart, "DEALT", dealt)
+        assert {r["doc_id"]: r["class_id"] for r in dart.near_duplicates(df).collect()} == want
+
+
 def test_a_chain_of_links_is_one_class(spark):
     words = [f"w{i}" for i in range(400)]
     rows = [(k, " ".join(words[20 * k : 20 * k + 240])) for k in range(8)]

@@ -8,12 +8,12 @@ coordinate with probability equal to the weighted Jaccard similarity. The number
 a document needs depends on k, not on its length: throwing stops at a rank that falls with
 the total weight.
 
-Bands of coordinates propose candidates among distinct texts. In a bucket of few texts all
-pairs of different classes are candidates. In a larger one each text is compared with the
-bucket's leader, the member that shares the most; the texts that are then still in different
-classes go on to buckets of one band more, until no large bucket holds different classes. So a
-group of any size costs as many candidates as it has members, a round. All candidates are
-verified by the exact weighted Jaccard; classes are the components of the verified links.
+Bands of coordinates propose candidates among distinct texts: texts that share a bucket. First
+each text is compared with leaders of its buckets, which merges most of what is alike into
+classes. Then every pair of a bucket that is still in two classes is compared, unless a bound that
+loses nothing rules it out: a text shares with no other what it alone holds, so the weight of its
+own shingles limits any similarity. All candidates are verified by the exact weighted Jaccard;
+classes are the components of the verified links.
 """
 
 from __future__ import annotations
@@ -32,10 +32,12 @@ from .shingles import U, mix, shingles, text_bytes, words
 
 K, ROWS = 150, 5
 #: Of the lowest bits of K coordinates, this many may differ: at similarity 0.8 a tenth do,
-#: and more than this in fewer than one pair of 100,000.
-BITS_APART = 33
-#: Buckets of up to this many texts are compared pair by pair.
-SMALL = 8
+#: and more than this in fewer than one pair of ten million (the bands miss one of 150,000).
+BITS_APART = 38
+#: Times that texts are compared with a leader of each bucket before all pairs are.
+LEADERS = 4
+#: Texts of a bucket that are compared with the others in one task.
+DEALT = 2_000
 
 
 def weighted(doc: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,7 +92,7 @@ def signatures(doc: np.ndarray, item: np.ndarray, weight: np.ndarray, n_docs: in
 
 
 def _signed(docs: DataFrame, width: int, k: int, rows: int) -> DataFrame:
-    """(id, node, bands array<long>, bits array<long>) of documents (id, text, node); no bands where a text has no words."""
+    """(id, node, bands array<long>, bits array<long>, size: number of shingles) of documents (id, text, node); no bands without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,6 +104,7 @@ def _signed(docs: DataFrame, width: int, k: int, rows: int) -> DataFrame:
                 raw, starts = text_bytes(texts)
                 doc, run_hash = shingles(*words(raw, starts)[:2], width)
                 sig = signatures(*weighted(doc, run_hash), len(part), k)
+                size = np.bincount(doc, minlength=len(part))
                 some = np.isfinite(sig[:, 0])
                 bits = mix(np.ascontiguousarray(sig).view(U))
                 bands = np.zeros((len(part), k // rows), U)
@@ -118,12 +121,12 @@ def _signed(docs: DataFrame, width: int, k: int, rows: int) -> DataFrame:
                     [
                         batch.column(0).slice(part[0], len(part)), batch.column(2).slice(part[0], len(part)),
                         pc.if_else(none, pa.scalar(None, pa.list_(pa.int64())), pa.array(list(bands.view(np.int64)), pa.list_(pa.int64()))),
-                        pa.array(list(low), pa.list_(pa.int64())),
+                        pa.array(list(low), pa.list_(pa.int64())), pa.array(size),
                     ],
-                    ["id", "node", "bands", "bits"],
+                    ["id", "node", "bands", "bits", "size"],
                 )
 
-    return docs.mapInArrow(run, "id long, node long, bands array<long>, bits array<long>")
+    return docs.mapInArrow(run, "id long, node long, bands array<long>, bits array<long>, size long")
 
 
 def _shingled(docs: DataFrame, width: int) -> DataFrame:
@@ -158,7 +161,7 @@ def jaccard(items_a: bytes, counts_a: bytes, items_b: bytes, counts_b: bytes) ->
 
 
 def _verified(pairs: DataFrame, packed: DataFrame, least: float) -> DataFrame:
-    """Rows of pairs (a, b, more) whose exact similarity is at least `least`; a may be in any number of pairs."""
+    """Rows of pairs (a, b, ...) whose exact similarity is at least `least`; a may be in any number of pairs."""
 
     @F.pandas_udf("double")
     def similar(ia: pd.Series, ca: pd.Series, ib: pd.Series, cb: pd.Series) -> pd.Series:
@@ -171,40 +174,61 @@ def _verified(pairs: DataFrame, packed: DataFrame, least: float) -> DataFrame:
     return stored(both.where(similar("ia", "ca", "ib", "cb") >= least).select(*pairs.columns))
 
 
-def _close(x: Column, y: Column) -> Column:
-    """Few enough low bits of two signatures differ."""
-    apart = sum((F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(-(-K // 63))), F.lit(0))
-    return apart <= BITS_APART
+def _close(x: Column, y: Column, least: float) -> Column:
+    """Few enough low bits of two signatures differ, and the sizes allow the similarity."""
+    apart = sum((F.bit_count(x["bits"][i].bitwiseXOR(y["bits"][i])) for i in range(-(-K // 63))), F.lit(0))
+    return (F.least(x["size"], y["size"]) >= least * F.greatest(x["size"], y["size"])) & (apart <= BITS_APART)
 
 
-def _candidates(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Candidates (a, b, pa, pb, lead) of members (key, node, part, weight, bits), and the keys that stay open.
+def _led(members: DataFrame, order: Column, least: float) -> DataFrame:
+    """(a, b, pa, pb, order): members (key, node, part, size, bits, ...) with the last of their bucket by order, if they are in two classes."""
+    whole = F.struct("node", "part", "size", "bits", order.alias("order"))
+    leads = members.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.max_by(whole, order).alias("lead"))
+    leads = stored(leads.where("lo < hi").select("key", "lead"))
+    lead = F.col("lead")
+    found = members.join(leads.hint("merge"), "key").where((F.col("part") != lead["part"]) & _close(F.struct("size", "bits"), lead, least))
+    return found.select(lead["node"].alias("a"), F.col("node").alias("b"), lead["part"].alias("pa"), F.col("part").alias("pb"), lead["order"].alias("order"))
 
-    A bucket that holds one class proposes nothing. One of up to SMALL members proposes all
-    its pairs, a larger one pairs with its leader only and stays open. a comes before b by weight.
+
+def _own_weight(packed: DataFrame) -> DataFrame:
+    """(node, own): the weight of the shingles that no other text of packed holds; texts without any are not in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, items, counts in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                item = np.frombuffer(items, np.int64)
+                weight = np.frombuffer(counts, "<u4").astype(np.int64) if counts else np.ones(len(item), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(item), node)), pa.array(item), pa.array(weight)], ["node", "item", "weight"])
+
+    items = packed.select("node", "items", "counts").mapInArrow(run, "node long, item long, weight long")
+    alone = items.groupBy("item").agg(F.count("*").alias("n"), F.min("node").alias("node"), F.sum("weight").alias("weight")).where("n = 1")
+    return alone.groupBy("node").agg(F.sum("weight").alias("own"))
+
+
+def _across(members: DataFrame, least: float) -> DataFrame:
+    """Every pair (a, b, pa, pb) of members (key, node, part, size, bits, able) that shares a bucket, is in two
+    classes and may be alike; able is the most weight a text can share with any other.
+
+    The largest class of a bucket meets the others, and they meet each other; its own pairs are never formed.
+    The members of a bucket are dealt over tasks, to each of which the others are sent.
     """
-    whole = F.struct("node", "part", "weight", "bits")
-    buckets = members.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("part").alias("lo"), F.max("part").alias("hi"),
-        F.max_by(whole, F.struct("weight", F.bitwise_not("node"))).alias("lead"),
-    )
-    buckets = stored(buckets.where("lo < hi").drop("lo", "hi"))
-    one = F.col("lead")
-    large, small = buckets.where(F.col("n") > SMALL), buckets.where(F.col("n") <= SMALL)
-    stars = (
-        members.join(large.hint("merge"), "key")
-        .where((F.col("part") != one["part"]) & _close(F.col("bits"), one["bits"]))
-        .select(one["node"].alias("a"), F.col("node").alias("b"), one["part"].alias("pa"), F.col("part").alias("pb"), one["weight"].alias("lead"))
-    )
-    # at most SMALL members in each of these groups
-    group = members.join(small.select("key").hint("merge"), "key", "left_semi").groupBy("key").agg(F.collect_list(whole).alias("all"))
+    # what two texts of that similarity share is that part of the larger one at least
+    members = stored(members.where(F.col("able") >= least * F.col("size")))
+    parts = members.groupBy("key", "part").agg(F.count("*").alias("n"))
+    buckets = parts.groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("large"), F.sum("n").alias("all"), F.count("*").alias("parts"))
+    buckets = stored(buckets.where("parts > 1").select("key", "large", (F.floor(F.col("all") / DEALT) + 1).alias("salts")))
+    inside = stored(members.join(buckets.hint("merge"), "key"))
+    whole = F.struct("node", "part", "size", "bits", "able")
+    left = inside.select("key", F.pmod(F.xxhash64("node"), F.col("salts")).alias("salt"), whole.alias("x"), (F.col("part") == F.col("large")).alias("main"))
+    right = inside.where("part <> large").select("key", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), whole.alias("y"))
     x, y = F.col("x"), F.col("y")
-    pairs = group.select(F.explode("all").alias("x"), "all").select("x", F.explode("all").alias("y"))
-    before = (x["weight"] > y["weight"]) | ((x["weight"] == y["weight"]) & (x["node"] < y["node"]))
-    pairs = pairs.where(before & (x["part"] != y["part"]) & _close(x["bits"], y["bits"]))
-    pairs = pairs.select(x["node"].alias("a"), y["node"].alias("b"), x["part"].alias("pa"), y["part"].alias("pb"), x["weight"].alias("lead"))
-    found = stars.unionByName(pairs).groupBy("a", "b").agg(F.first("pa").alias("pa"), F.first("pb").alias("pb"), F.max("lead").alias("lead"))
-    return found, large.select("key")
+    # one of two ways round; similarity s asks for a share of s / (1 + s) of both sizes together
+    once = (x["part"] != y["part"]) & (F.col("main") | (x["node"] < y["node"]))
+    enough = F.least(x["able"], y["able"]) >= (least / (1 + least)) * (x["size"] + y["size"]) - 1e-6
+    pairs = left.join(right.hint("merge"), ["key", "salt"]).where(once & enough & _close(x, y, least))
+    pairs = pairs.select(x["node"].alias("a"), y["node"].alias("b"), x["part"].alias("pa"), y["part"].alias("pb"))
+    # a pair of several buckets may come either way round
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("pa", "pb").alias("pa"), F.greatest("pa", "pb").alias("pb")).distinct()
 
 
 def _roots(links: DataFrame) -> DataFrame:
@@ -240,8 +264,8 @@ def near_duplicates(
     of all of them. A null id is left out (it can't be named in a
     result). An empty table gives no rows. Other columns are dropped.
 
-    Distinct texts are told apart by a 64-bit hash. Links are found by hashing; the README
-    has the share that is found.
+    Distinct texts are told apart by a 64-bit hash. Texts meet if one of 30 bands
+    of 5 coordinates is the same, which a pair of similarity 0.8 misses once in 150,000.
     """
     base = docs.where(F.col(f"`{id_col}`").isNotNull()).select(
         F.col(f"`{id_col}`").cast("long").alias("id"), F.lower(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("text")
@@ -249,46 +273,41 @@ def near_duplicates(
     every = stored(_signed(base, width, K, ROWS))
     worded = F.col("bands").isNotNull()
     copies = stored(every.groupBy("id", "node").agg(F.max(worded).alias("worded")))
-    signed = stored(every.where(worded).groupBy("node").agg(F.first("bands").alias("bands"), F.first("bits").alias("bits")))
-    buckets = signed.select("node", F.posexplode("bands").alias("at", "key"))
+    signed = stored(every.where(worded).groupBy("node").agg(*(F.first(c).alias(c) for c in ("bands", "bits", "size"))))
+    buckets = signed.select("node", F.explode("bands").alias("key"))
     filled = stored(buckets.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1))
     buckets = stored(buckets.join(filled.hint("merge"), "key"))
     # the member that shares the most is likely the text that the others are copies of
     weight = buckets.groupBy("node").agg(F.sum("n").alias("weight"))
-    member = stored(signed.join(weight.hint("merge"), "node"))
+    member = stored(signed.drop("bands").join(weight.hint("merge"), "node"))
     # the shingles of all texts that share a bucket, made once
     needed = copies.groupBy("node").agg(F.min("id").alias("id")).join(member.select("node").hint("merge"), "node", "left_semi")
     texts = base.join(needed.hint("merge"), ["id", "node"], "left_semi").dropDuplicates(["node"])
     packed = stored(_shingled(texts.select("node", "text"), width))
 
-    rows = buckets.select("node", "at", "key")
+    rows = buckets.select("node", "key")
     part = member.select("node", F.col("node").alias("part"))
-    tried, n_bands, size = None, K // ROWS, 1
-    while size <= n_bands and rows.head(1):
-        info = member.select("node", "weight", "bits").join(part.hint("merge"), "node")
-        found, open_keys = _candidates(rows.join(info.hint("merge"), "node").drop("at"))
-        if tried is not None:
-            found = found.join(tried.hint("merge"), ["a", "b"], "left_anti")
-        found = stored(found)
-        if tried is None:
+    for turn in range(LEADERS):
+        members = rows.join(member.join(part.hint("merge"), "node").hint("merge"), "node")
+        if turn == 0:
+            found = _led(members, F.struct("weight", F.bitwise_not("node")), least)
             # one candidate a text first: most of the others are then of one class
-            first = found.groupBy("b").agg(F.max_by(F.struct("a", "pa", "pb"), F.struct("lead", F.bitwise_not("a"))).alias("f"))
-            first = stored(first.select("f.a", "b"))
-            top = _roots(_verified(first, packed, least))
+            first = found.groupBy("b").agg(F.max_by("a", "order").alias("a"))
+            top = _roots(_verified(stored(first.select("a", "b")), packed, least))
             part = stored(part.select("node").join(top.hint("merge"), "node", "left").select("node", F.coalesce("part", "node").alias("part")))
-            x = part.select(F.col("node").alias("a"), F.col("part").alias("pa"))
-            y = part.select(F.col("node").alias("b"), F.col("part").alias("pb"))
-            rest = found.select("a", "b").join(y.hint("merge"), "b").join(x.hint("merge"), "a").where("pa <> pb")
         else:
-            rest = found.drop("lead")
-        part = _merged(part, _verified(rest, packed, least).select("pa", "pb").distinct())
-        tried = found.select("a", "b") if tried is None else tried.unionByName(found.select("a", "b"))
-        # what is in large buckets of several classes is dealt out by more bands
-        more = size + 1
-        rows = rows.join(open_keys.hint("merge"), "key", "left_semi").join(member.select("node", "bands").hint("merge"), "node")
-        following = F.transform(F.sequence(F.col("at") + size, F.col("at") + size + more - 1), lambda i: F.get("bands", i % n_bands))
-        rows = stored(rows.select("node", "at", F.xxhash64("key", following).alias("key")))
-        size += more
+            found = _led(members, F.struct(F.xxhash64("node", F.lit(turn)), "node"), least).select("a", "b", "pa", "pb").distinct()
+            part = _merged(part, _verified(stored(found), packed, least).select("pa", "pb").distinct())
+    # what is left: every pair of two classes that shares a bucket, but for what can't be alike
+    members = stored(rows.join(part.hint("merge"), "node"))
+    open_keys = stored(members.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("key"))
+    members = stored(members.join(open_keys.hint("merge"), "key", "left_semi"))
+    nodes = stored(members.select("node").distinct())
+    own = stored(_own_weight(packed.join(nodes.hint("merge"), "node", "left_semi")))
+    facts = nodes.join(member.hint("merge"), "node").join(own.hint("merge"), "node", "left")
+    facts = stored(facts.select("node", "size", "bits", (F.col("size") - F.coalesce("own", F.lit(0))).alias("able")))
+    rest = stored(_across(members.join(facts.hint("merge"), "node"), least))
+    part = _merged(part, _verified(rest, packed, least).select("pa", "pb").distinct())
     # the texts of one id are one class; texts without words are alike in nothing
     own = copies.where("worded").select("id", "node").join(part.hint("merge"), "node", "left")
     own = stored(own.select("id", "node", F.coalesce("part", "node").alias("part")))

@@ -12,11 +12,16 @@ built-in expressions are used.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import numbered, stored
 
+#: Pairs of a document's words and entities that go to one task.
+PAIRS = 250_000
+
 KINDS = ("email", "ip", "card", "phone")
 #: Patterns as the kinds are defined, in the form that never backtracks over a long run:
 #: what follows each possessive part can't begin with a letter of that part. A match starts
@@ -36,21 +41,88 @@ TERM = r"[\p{L}\p{M}\p{N}]+"
 SPANS = "array<struct<start:int,end:int,value:string>>"
 
 
+#: Elements that a running value is built over at a time: an array is copied for each element added.
+STRIDE = 256
+#: Letters of the blocks that a text is cut into to be read from any place.
+BLOCK = 1_024
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value worked out once, also where use names it in a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(values: Column, step: Callable[[Column, Column], Column], zero: Column) -> Column:
+    """For each element of an array what step makes of those before it, from zero on.
+
+    step must not care how its operands are grouped: elements go STRIDE at a time, then the blocks
+    of them, so that the work grows far less than with the array's square.
+    """
+
+    def one_by_one(a: Column) -> Column:
+        """As many elements and one more: the last is of all."""
+        return F.aggregate(a, F.array(zero), lambda acc, x: F.array_append(acc, step(F.element_at(acc, -1), x)))
+
+    def by_blocks(a: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.floor((F.size(a) - 1) / STRIDE).cast("int"), F.lit(0)))
+        inner = F.transform(starts, lambda i: one_by_one(F.slice(a, i * STRIDE + 1, STRIDE)))
+        return let(inner, lambda b: F.flatten(F.zip_with(
+            b, F.slice(one_by_one(F.transform(b, lambda x: F.element_at(x, -1))), 1, F.size(b)),
+            lambda x, before: F.transform(F.slice(x, 1, F.size(x) - 1), lambda y: step(before, y)),
+        )))
+
+    return let(values, by_blocks)
+
+
 def found(text: Column, pattern: str) -> Column:
     """array<struct<start, end, value>> of all matches, in code points."""
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans"))
 
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["at"] + F.length(x["g"])
-        e = s + F.length(x["v"])
-        return F.struct(e.alias("at"), F.array_append(acc["spans"], F.struct(s.alias("start"), e.alias("end"), x["v"].alias("value"))).alias("spans"))
+    def placed(pairs: Column) -> Column:
+        sizes = F.transform(pairs, lambda x: F.length(x["g"]) + F.length(x["v"]))
+        return F.zip_with(pairs, running(sizes, lambda a, b: a + b, F.lit(0)), lambda x, at: F.struct(
+            (at + F.length(x["g"])).alias("start"), (at + F.length(x["g"]) + F.length(x["v"])).alias("end"), x["v"].alias("value")
+        ))
 
-    pairs = F.filter(F.arrays_zip(gaps.alias("g"), values.alias("v")), lambda x: x["v"].isNotNull())
-    return F.when(F.size(values) == 0, F.array().cast(SPANS)).otherwise(
-        F.aggregate(pairs, start, step, lambda acc: acc["spans"])
-    )
+    # behind the last match there is one gap more
+    return let(values, lambda v: F.when(F.size(v) == 0, F.array().cast(SPANS)).otherwise(
+        let(F.arrays_zip(F.slice(gaps, 1, F.size(v)).alias("g"), v.alias("v")), placed)
+    ))
+
+
+def apart(spans: Column, base: Callable[[Column], Column]) -> Column:
+    """Spans, sorted by start, without those that are not base and overlap a base one."""
+    last = 2**31 - 1
+
+    def tell(s: Column) -> Column:
+        ends = F.transform(s, lambda x: F.when(base(x), x["end"]).otherwise(0))
+        starts = F.transform(F.reverse(s), lambda x: F.when(base(x), x["start"]).otherwise(last))
+        before = running(ends, lambda a, b: F.greatest(a, b), F.lit(0))
+        after = F.reverse(running(starts, lambda a, b: F.least(a, b), F.lit(last)))
+        return F.transform(
+            F.filter(F.arrays_zip(s.alias("s"), before.alias("before"), after.alias("after")), lambda z: base(z["s"]) | ((z["before"] <= z["s"]["start"]) & (z["after"] >= z["s"]["end"]))),
+            lambda z: z["s"],
+        )
+
+    return let(spans, tell)
+
+
+def replaced(text: Column, spans: Column, label: Callable[[Column], Column]) -> Column:
+    """text with label(span) for each span; spans are sorted by start, and one that begins within another adds no label of its own."""
+
+    def part(blocks: Column, a: Column, b: Column) -> Column:
+        at = lambda x: F.floor(x / BLOCK).cast("int")
+        return F.substr(F.array_join(F.slice(blocks, at(a) + 1, at(b) - at(a) + 1), ""), a - at(a) * BLOCK + 1, b - a)
+
+    def joined(blocks: Column, s: Column) -> Column:
+        covered = running(F.transform(s, lambda x: x["end"]), lambda a, b: F.greatest(a, b), F.lit(0))
+        pieces = F.zip_with(s, covered, lambda x, at: F.when(x["start"] >= at, F.concat(part(blocks, at, x["start"]), label(x))).otherwise(""))
+        end = F.array_max(F.transform(s, lambda x: x["end"]))
+        return F.array_join(F.concat(pieces, F.array(let(end, lambda e: part(blocks, e, F.greatest(F.length(text), e))))), "")
+
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    return F.when(F.size(spans) == 0, text).otherwise(let(blocks, lambda b: let(spans, lambda s: joined(b, s))))
 
 
 def digits(value: Column) -> Column:
@@ -79,10 +151,8 @@ VALID = {
 def base_spans(df: DataFrame, text_col: str, kinds: tuple[str, ...] = KINDS) -> DataFrame:
     """df with `_spans`: array<struct<start, n, kind, end, value>>, by start, then kind as listed."""
     text = F.col(f"`{text_col}`")
-    for kind in kinds:
-        df = df.withColumn(f"_{kind}", F.when(text.rlike(GATES[kind]), found(text, PATTERNS[kind])))
     def valid(kind: str, n: int) -> Column:
-        some = F.coalesce(F.col(f"_{kind}"), F.array().cast(SPANS))
+        some = F.when(text.rlike(GATES[kind]), found(text, PATTERNS[kind])).otherwise(F.array().cast(SPANS))
         return F.transform(
             F.filter(some, lambda x: VALID[kind](x["value"])),
             lambda x: F.struct(
@@ -91,8 +161,9 @@ def base_spans(df: DataFrame, text_col: str, kinds: tuple[str, ...] = KINDS) ->
             ),
         )
 
-    parts = [valid(kind, n) for n, kind in enumerate(kinds)]
-    return df.withColumn("_spans", F.array_sort(F.concat(*parts))).drop(*[f"_{k}" for k in kinds])
+    some = F.flatten(F.array(*[valid(kind, n) for n, kind in enumerate(kinds)]))
+    # exploded from an array of one, so that no filter or projection above works it out again
+    return df.withColumn("_spans", F.explode(F.array(F.sort_array(some))))
 
 
 def kind_count(spans: Column, kind: str) -> Column:
@@ -112,14 +183,16 @@ def sanitise(
 
     Kinds beside the base ones are `secret`, `term` (removed) and `general` (generalised to [TERM]).
     A term must share min_contexts distinct texts with an entity, wherever it stands in them:
-    copies of one text are one context. Terms are runs of letters and digits of any length. Spans
-    that overlap a base span are left out.
-    A null text counts as empty: no spans, clean text empty. Rows that repeat an id and text
-    are treated alike; the count of mentions takes them as one document, the other counts as several. Other columns pass through, but for
+    copies of one text are one context, so with min_contexts=2 an entity that one text alone mentions
+    gives no term away (with 1, all terms that stand nowhere else would go with it). Terms are runs of
+    letters and digits of any length. Spans that overlap a base span are left out.
+    A null text counts as empty: no spans, clean text empty. Rows that repeat an id and text are as many
+    documents in every count, and are treated alike. Other columns pass through, but for
     any named like the three new ones. An empty table gives no rows.
 
     One plan at every size: texts are read twice for their patterns and words, where they are, and
-    sorted once, to meet what was found for them.
+    sorted once, to meet what was found for them. The work on a text grows with its length; the terms
+    of a document that mentions many entities are dealt over tasks.
     """
     docs, names = numbered(docs)
     text = F.col("_text")
@@ -129,29 +202,30 @@ def sanitise(
     def terms_of(t: Column) -> Column:
         return F.array_distinct(F.regexp_extract_all(F.lower(t), F.lit(TERM), F.lit(0)))
 
-    # documents that mention an entity, with all their terms: what is counted over pairs needs no other text
+    # documents that mention an entity, with all their words: what is counted over pairs needs no other text
     spans = base_spans(work.select("_row", "_text"), "_text", ENTITIES).where(F.size("_spans") > 0)
-    crossing = lambda x, b: (b["kind"] != "secret") & (b["start"] < x["end"]) & (x["start"] < b["end"])
-    kept = F.filter("_spans", lambda x: (x["kind"] != "secret") | ~F.exists("_spans", lambda b: crossing(x, b)))
-    mentions = stored(
-        spans.select(
-            F.col("_row").alias("row"), F.xxhash64(text, F.length(text)).alias("content"), kept.alias("spans"), terms_of(text).alias("terms"),
-            F.array_distinct(F.transform("_spans", lambda s: F.concat_ws(":", s["kind"], s["value"]))).alias("entities"),
-        )
+    spans = spans.select("_row", "_text", apart(F.col("_spans"), lambda x: x["kind"] != "secret").alias("spans"), F.col("_spans").alias("all"))
+    words = F.transform(found(text, TERM), lambda x: F.struct(F.lower(x["value"]).alias("term"), x["start"].alias("start"), x["end"].alias("end")))
+    told = spans.select(
+        F.col("_row").alias("row"), F.xxhash64(text, F.length(text)).alias("content"), "spans", words.alias("words"),
+        F.array_distinct(F.transform("all", lambda s: F.concat_ws(":", s["kind"], s["value"]))).alias("entities"),
     )
-    # one row of each text stands for it; what rows that repeat id and text add up to is one
-    once = mentions.groupBy("row", "content").agg(F.count("*").alias("copies"), F.first("entities").alias("entities"))
+    # rows that repeat id and text are one here, with their number
+    mentions = stored(told.groupBy("row", "content").agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("spans", "words", "entities"))))
     stands = mentions.groupBy("content").agg(F.min("row").alias("stands"))
+    # one row of each text stands for it: what its words prove is proved once
+    salts = F.floor(F.size("words").cast("long") * F.size("entities") / PAIRS).cast("int") + 1
+    once = mentions.select("row", "content", "copies", "entities", salts.alias("salts")).join(stands.hint("merge"), "content")
     holders = stored(
-        once.join(stands.hint("merge"), "content")
-        .withColumn("context", F.when(F.col("row") == F.col("stands"), 1 / F.col("copies")).otherwise(F.lit(0.0)))
-        .select("row", "context", F.explode("entities").alias("entity"))
+        once.withColumn("context", (F.col("row") == F.col("stands")).cast("long"))
+        .select("row", "context", "copies", "salts", F.explode("entities").alias("entity"))
     )
     # an entity of fewer texts than a term needs can't be revealed by any
-    n_e = holders.groupBy("entity").agg(F.count("*").alias("n_e"), F.count_if(F.col("context") > 0).alias("contexts"))
+    n_e = holders.groupBy("entity").agg(F.sum("copies").alias("n_e"), F.sum("context").alias("contexts"))
     holders = stored(holders.join(n_e.where(F.col("contexts") >= min_contexts).drop("contexts").hint("merge"), "entity"))
     rows = stored(holders.select("row").distinct())
-    near = mentions.select("row", F.explode("terms").alias("term")).join(rows.hint("merge"), "row", "left_semi")
+    near = mentions.select("row", salts.alias("salts"), F.explode(F.array_distinct(F.transform("words", lambda w: w["term"]))).alias("term"))
+    near = near.join(rows.hint("merge"), "row", "left_semi")
     terms = stored(near.groupBy("term").agg(F.count("*").alias("n")).where(F.col("n") >= min_contexts).select("term"))
     total = F.lit(work.count())
     # counted before anything is dealt out: each task sends one row a term
@@ -167,58 +241,42 @@ def sanitise(
     # what can't reveal the most frequent entity can't reveal any
     most = F.broadcast(holders.where(F.col("n_e") < total).agg(F.max("n_e").alias("n_e")).withColumn("ic", ic))
     n_t = stored(n_t.join(most).where(able).select("term", "n_t"))
+    # the terms of a document meet its entities in as many tasks as their pairs ask for
+    dealt = near.join(n_t.hint("merge"), "term").withColumn("salt", F.pmod(F.xxhash64("term"), F.col("salts")).cast("int")).drop("salts")
+    spread = holders.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
     scored = stored(
-        near.join(n_t.hint("merge"), "term").join(holders.hint("merge"), "row").withColumn("ic", ic).where(able)
-        .groupBy("entity", "term", "n_t", "n_e", "ic").agg(F.count("*").alias("n_te"), F.sum("context").alias("contexts"))
-        .where(F.round("contexts", 3) >= min_contexts)
+        dealt.join(spread.hint("merge"), ["row", "salt"]).withColumn("ic", ic).where(able)
+        .groupBy("entity", "term", "n_t", "n_e", "ic").agg(F.sum("copies").alias("n_te"), F.sum("context").alias("contexts"))
+        .where(F.col("contexts") >= min_contexts)
         .withColumn("pmi", pmi(F.col("n_te")))
         .where(F.col("pmi") >= F.round(F.col("ic") * generalise_at, 9))
         .select("entity", "term", (F.col("pmi") >= F.round(F.col("ic") * remove_at, 9)).alias("gone"))
     )
-    told = (
-        holders.join(scored.hint("merge"), "entity")
-        .groupBy("row", "term").agg(F.max("gone").alias("gone"))
-        .groupBy("row").agg(
-            F.collect_set(F.when(F.col("gone"), F.col("term"))).alias("_removed"),
-            F.collect_set(F.when(~F.col("gone"), F.col("term"))).alias("_general"),
-        )
+    hidden = stored(holders.join(scored.hint("merge"), "entity").groupBy("row", "term").agg(F.max("gone").alias("gone")))
+    # where the hidden terms stand
+    at = len(ENTITIES)
+    places = (
+        mentions.join(hidden.select("row").distinct().hint("merge"), "row", "left_semi")
+        .select("row", F.explode("words").alias("w")).select("row", "w.term", "w.start", "w.end")
+        .join(hidden.hint("merge"), ["row", "term"])
+        .groupBy("row").agg(F.collect_list(F.struct("start", F.when(F.col("gone"), at).otherwise(at + 1).alias("n"), F.when(F.col("gone"), "term").otherwise("general").alias("kind"), "end", F.lit("").alias("value"))).alias("own"))
     )
-    known = mentions.groupBy("row").agg(F.first("spans").alias("_found")).join(told.hint("merge"), "row", "left")
-    known = stored(known.withColumnRenamed("row", "_told"))
+    none = F.array().cast("array<struct<start:int,n:int,kind:string,end:int,value:string>>")
+    every = F.sort_array(F.concat("spans", F.coalesce("own", none)))
+    known = mentions.select("row", "spans").join(places.hint("merge"), "row", "left")
+    known = stored(known.select(F.col("row").alias("_told"), F.col("spans").alias("_found"), apart(every, lambda x: x["n"] < at).alias("_hidden")))
     # joined by sorting at any size: a plan that turns at some size can't be foreseen from small runs
     out = work.join(known.hint("merge"), F.col("_row") == F.col("_told"), "left")
-    none = F.array().cast("array<struct<start:int,n:int,kind:string,end:int,value:string>>")
-    out = out.withColumn("_found", F.coalesce("_found", none))
-    out = out.withColumn("_base", F.filter("_found", lambda x: x["kind"] != "secret"))
-    out = out.withColumn("_words", F.when(F.col("_removed").isNotNull(), found(text, TERM)))
-    at = len(ENTITIES)
-    own = F.transform(
-        F.filter(
-            F.transform(
-                F.coalesce(F.col("_words"), F.array().cast(SPANS)),
-                lambda x: F.struct(
-                    x["start"].alias("start"),
-                    F.when(F.array_contains(F.col("_removed"), F.lower(x["value"])), F.lit(at))
-                    .when(F.array_contains(F.col("_general"), F.lower(x["value"])), F.lit(at + 1)).alias("n"),
-                    x["end"].alias("end"), x["value"].alias("value"),
-                ),
-            ),
-            lambda x: x["n"].isNotNull() & ~F.exists(F.col("_found"), lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])),
-        ),
-        lambda x: F.struct(x["start"].alias("start"), x["n"].alias("n"), F.when(x["n"] == at, "term").otherwise("general").alias("kind"), x["end"].alias("end"), x["value"].alias("value")),
-    )
-    out = out.withColumn("_spans", F.when(F.col("_removed").isNull(), F.col("_found")).otherwise(F.array_sort(F.concat("_found", own))))
+    out = out.withColumn("_base", F.filter(F.coalesce("_found", none), lambda x: x["kind"] != "secret"))
+    out = out.withColumn("_spans", F.coalesce("_hidden", none))
     label = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "secret": "[SECRET]", "term": "[REMOVED]", "general": "[TERM]"}
-    labels = F.create_map(*[F.lit(x) for kv in label.items() for x in kv])
 
-    def put(acc: Column, s: Column) -> Column:
-        piece = F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), labels[s["kind"]])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], piece).otherwise(acc["out"]).alias("out"))
+    def labelled(x: Column) -> Column:
+        out = F.lit("")
+        for kind, word in label.items():
+            out = F.when(x["kind"] == kind, word).otherwise(out)
+        return out
 
-    clean = F.aggregate(
-        F.col("_spans"), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), put,
-        lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.length(text))),
-    )
-    out = out.withColumn("_clean", F.when(F.size("_spans") == 0, text).otherwise(clean))
+    out = out.withColumn("_clean", replaced(text, F.col("_spans"), labelled))
     new = ("_base", "_spans", "_clean")
     return out.select(*[F.col(c).alias(n) for n, c in names.items() if n not in new], *new)
