@@ -255,7 +255,7 @@ def encode_decode(
     rows and ties simply repeat; other columns are dropped, whatever their names. An empty
     table gives an empty result. No shuffle: one pass over the table.
     """
-    docs = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    docs = docs.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
     id_type = docs.schema["_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

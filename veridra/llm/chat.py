@@ -42,46 +42,52 @@ def rotate(
         F.coalesce(F.col(f"`{role_col}`").cast("string"), F.lit("unknown")).alias("speaker"),
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
     )
-    people = t.where(F.col("speaker") != system).select("conv", F.col("speaker").alias("perspective")).distinct()
-    # consecutive turns of all dialogues, cut where a partition ends: a long dialogue spans several
+    # consecutive turns of all dialogues, cut where a partition ends: a long dialogue spans several.
+    # Rows are numbered in that order; rows that could change places are equal
     order = ["conv", "turn", "speaker", "text"]
     parts = max(spark.sparkContext.defaultParallelism, t.count() // (RUN * 64) + 1)
-    t = t.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
-    t = stored(t)
-    within = Window.partitionBy("conv", "_part").orderBy("turn", "speaker", "text")
-    sizes = t.groupBy("conv", "_part").agg(F.count("*").alias("n"))
-    before = sizes.withColumn(
-        "seq0", F.sum("n").over(Window.partitionBy("conv").orderBy("_part")) - F.col("n")
-    ).select(F.col("conv").alias("c0"), F.col("_part").alias("p0"), "seq0")
-    numbered = t.withColumn("i", F.row_number().over(within)).join(
-        before, F.col("conv").eqNullSafe(F.col("c0")) & (F.col("_part") == F.col("p0"))
-    ).withColumn("seq", (F.col("seq0") + F.col("i") - 1).cast("long")).drop("c0", "p0", "seq0", "i")
-    seen = numbered.join(people.withColumnRenamed("conv", "c1"), F.col("conv").eqNullSafe(F.col("c1"))).drop("c1")
-    own = F.col("speaker") == F.col("perspective")
-    role = F.when(F.col("speaker") == system, "system").when(own, "assistant").otherwise("user")
-    name = F.when(role == "user", F.col("speaker"))
-    prefix = F.concat(F.lit(HEAD), role, F.coalesce(F.concat(F.lit(" name="), name), F.lit("")), F.lit(SEP))
-    seen = seen.withColumns({"chat_role": role, "name": name, "prefix": prefix}).withColumn(
-        "rendered", F.concat("prefix", "text", F.lit(TAIL))
-    )
-    seen = seen.withColumn("size", F.length("rendered"))
+    t = t.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    t = stored(t.withColumns({"_at": F.monotonically_increasing_id(), "_part": F.spark_partition_id()}))
+
+    def same(a: str, b: str) -> Column:
+        return F.col(a).eqNullSafe(F.col(b))
+
+    # from here on lengths only; the texts come in again with the last join
+    runs = t.groupBy("conv", "_part").agg(F.count("*").alias("n"), F.min("_at").alias("low"))
+    runs = runs.withColumn("seq0", F.sum("n").over(Window.partitionBy("conv").orderBy("_part")) - F.col("n"))
+    people = t.where(F.col("speaker") != system).select(F.col("conv").alias("c1"), F.col("speaker").alias("perspective")).distinct()
+    # by run, not by dialogue: the turns of a long one meet its people in many tasks
+    seats = runs.join(people, same("conv", "c1")).select(F.col("conv").alias("c0"), F.col("_part").alias("p0"), "low", "seq0", "perspective")
+    turn = t.select("conv", "_part", "_at", "speaker", F.length("text").alias("letters"))
+    seen = turn.join(seats, same("conv", "c0") & (F.col("_part") == F.col("p0"))).drop("c0", "p0")
+
+    def told(speaker: Column, perspective: Column) -> tuple[Column, Column, Column]:
+        """Role, name and what stands before the text of a turn."""
+        role = F.when(speaker == system, "system").when(speaker == perspective, "assistant").otherwise("user")
+        name = F.when(role == "user", speaker)
+        return role, name, F.concat(F.lit(HEAD), role, F.coalesce(F.concat(F.lit(" name="), name), F.lit("")), F.lit(SEP))
+
+    size = F.length(told(F.col("speaker"), F.col("perspective"))[2]) + F.col("letters") + len(TAIL)
+    seen = seen.select("conv", "_part", "_at", "perspective", (F.col("seq0") + F.col("_at") - F.col("low")).cast("long").alias("seq"), size.cast("long").alias("size"))
     sums = seen.groupBy("conv", "perspective", "_part").agg(F.sum("size").alias("s"))
     starts = sums.withColumn(
         "start0", F.sum("s").over(Window.partitionBy("conv", "perspective").orderBy("_part")) - F.col("s")
     ).select(F.col("conv").alias("c2"), F.col("perspective").alias("v2"), F.col("_part").alias("p2"), "start0")
     run = Window.partitionBy("conv", "perspective", "_part").orderBy("seq")
     placed = seen.withColumn("_upto", F.sum("size").over(run)).join(
-        starts, F.col("conv").eqNullSafe(F.col("c2")) & (F.col("perspective") == F.col("v2")) & (F.col("_part") == F.col("p2"))
+        starts, same("conv", "c2") & (F.col("perspective") == F.col("v2")) & (F.col("_part") == F.col("p2"))
     )
-    end = (F.col("start0") + F.col("_upto")).cast("long")
-    start = (end - F.col("size")).cast("long")
-    learn = F.col("chat_role") == "assistant"
+    end = F.col("start0") + F.col("_upto")
+    placed = placed.select(F.col("_at").alias("_of"), "perspective", "seq", (end - F.col("size")).cast("long").alias("start"), end.cast("long").alias("end"))
+    out = t.join(placed, F.col("_at") == F.col("_of"))
+    role, name, prefix = told(F.col("speaker"), F.col("perspective"))
+    learn = role == "assistant"
 
     def masked(at: Column) -> Column:
-        return F.when(learn, at).otherwise(start).cast("long")
+        return F.when(learn, at).otherwise(F.col("start")).cast("long")
 
-    return placed.select(
-        F.col("conv").alias(conv_col), "perspective", F.col("turn").alias(turn_col), "seq", "chat_role", "name", "rendered",
-        start.alias("start"), end.alias("end"), masked(start + F.length("prefix")).alias("mask_start"),
-        masked(end - 1).alias("mask_end"), learn.alias("learn"),
+    return out.select(
+        F.col("conv").alias(conv_col), "perspective", F.col("turn").alias(turn_col), "seq", role.alias("chat_role"), name.alias("name"),
+        F.concat(prefix, "text", F.lit(TAIL)).alias("rendered"), "start", "end", masked(F.col("start") + F.length(prefix)).alias("mask_start"),
+        masked(F.col("end") - 1).alias("mask_end"), learn.alias("learn"),
     )

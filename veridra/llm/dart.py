@@ -11,8 +11,8 @@ the total weight.
 Bands of coordinates propose candidates among distinct texts: texts that share a bucket. First
 each text is compared with leaders of its buckets, which merges most of what is alike into
 classes. Then every pair of a bucket that is still in two classes is compared, unless a bound that
-loses nothing rules it out: a text shares with no other what it alone holds, so the weight of its
-own shingles limits any similarity. All candidates are verified by the exact weighted Jaccard;
+loses nothing rules it out: a text shares with no other what it alone holds, and of the rest no more
+than both hold of each group of shingles. All candidates are verified by the exact weighted Jaccard;
 classes are the components of the verified links.
 """
 
@@ -35,7 +35,9 @@ K, ROWS = 150, 5
 #: and more than this in fewer than one pair of ten million (the bands miss one of 150,000).
 BITS_APART = 38
 #: Times that texts are compared with a leader of each bucket before all pairs are.
-LEADERS = 4
+LEADERS = 2
+#: Groups, by hash, that a text's shingles are counted in: what two texts share is no more than they share of each.
+BINS = 32
 #: Texts of a bucket that are compared with the others in one task.
 DEALT = 2_000
 
@@ -130,21 +132,23 @@ def _signed(docs: DataFrame, width: int, k: int, rows: int) -> DataFrame:
 
 
 def _shingled(docs: DataFrame, width: int) -> DataFrame:
-    """(node, items binary, counts binary) of (node, text): the sorted distinct shingles of a text."""
+    """(node, items binary, counts binary, bins) of (node, text): the sorted distinct shingles of a text, and how many are in each group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            items, counts = [], []
+            items, counts, bins = [], [], []
             for i in range(batch.num_rows):
                 raw, starts = text_bytes(batch.column(1).slice(i, 1))
                 _, item, weight = weighted(*shingles(*words(raw, starts)[:2], width))
                 items.append(item.tobytes())
                 counts.append(weight.astype("<u4").tobytes() if (weight > 1).any() else b"")
+                bins.append(np.bincount((item % U(BINS)).astype(np.int64), weight, BINS).astype(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(items, pa.binary()), pa.array(counts, pa.binary())], ["node", "items", "counts"]
+                [batch.column(0), pa.array(items, pa.binary()), pa.array(counts, pa.binary()), pa.array(bins, pa.list_(pa.int64()))],
+                ["node", "items", "counts", "bins"],
             )
 
-    return docs.mapInArrow(run, "node long, items binary, counts binary")
+    return docs.mapInArrow(run, "node long, items binary, counts binary, bins array<long>")
 
 
 def jaccard(items_a: bytes, counts_a: bytes, items_b: bytes, counts_b: bytes) -> float:
@@ -191,7 +195,7 @@ def _led(members: DataFrame, order: Column, least: float) -> DataFrame:
 
 
 def _own_weight(packed: DataFrame) -> DataFrame:
-    """(node, own): the weight of the shingles that no other text of packed holds; texts without any are not in it."""
+    """(node, own): the weight, by group, of the shingles that no other text of packed holds; texts without any are not in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,12 +206,13 @@ def _own_weight(packed: DataFrame) -> DataFrame:
 
     items = packed.select("node", "items", "counts").mapInArrow(run, "node long, item long, weight long")
     alone = items.groupBy("item").agg(F.count("*").alias("n"), F.min("node").alias("node"), F.sum("weight").alias("weight")).where("n = 1")
-    return alone.groupBy("node").agg(F.sum("weight").alias("own"))
+    group = F.pmod("item", F.lit(BINS))  # 2^64 is a multiple of BINS
+    return alone.groupBy("node").agg(F.array(*[F.sum(F.when(group == i, F.col("weight")).otherwise(0)) for i in range(BINS)]).alias("own"))
 
 
 def _across(members: DataFrame, least: float) -> DataFrame:
-    """Every pair (a, b, pa, pb) of members (key, node, part, size, bits, able) that shares a bucket, is in two
-    classes and may be alike; able is the most weight a text can share with any other.
+    """Every pair (a, b, pa, pb) of members (key, node, part, size, bits, able, bins) that shares a bucket, is in two
+    classes and may be alike; able is the most weight a text can share with any other, bins that of each group.
 
     The largest class of a bucket meets the others, and they meet each other; its own pairs are never formed.
     The members of a bucket are dealt over tasks, to each of which the others are sent.
@@ -218,14 +223,15 @@ def _across(members: DataFrame, least: float) -> DataFrame:
     buckets = parts.groupBy("key").agg(F.max_by("part", F.struct("n", "part")).alias("large"), F.sum("n").alias("all"), F.count("*").alias("parts"))
     buckets = stored(buckets.where("parts > 1").select("key", "large", (F.floor(F.col("all") / DEALT) + 1).alias("salts")))
     inside = stored(members.join(buckets.hint("merge"), "key"))
-    whole = F.struct("node", "part", "size", "bits", "able")
+    whole = F.struct("node", "part", "size", "bits", "able", "bins")
     left = inside.select("key", F.pmod(F.xxhash64("node"), F.col("salts")).alias("salt"), whole.alias("x"), (F.col("part") == F.col("large")).alias("main"))
     right = inside.where("part <> large").select("key", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), whole.alias("y"))
     x, y = F.col("x"), F.col("y")
     # one of two ways round; similarity s asks for a share of s / (1 + s) of both sizes together
     once = (x["part"] != y["part"]) & (F.col("main") | (x["node"] < y["node"]))
-    enough = F.least(x["able"], y["able"]) >= (least / (1 + least)) * (x["size"] + y["size"]) - 1e-6
-    pairs = left.join(right.hint("merge"), ["key", "salt"]).where(once & enough & _close(x, y, least))
+    needed = (least / (1 + least)) * (x["size"] + y["size"]) - 1e-6
+    shared = F.aggregate(F.zip_with(x["bins"], y["bins"], lambda a, b: F.least(a, b)), F.lit(0).cast("long"), lambda a, b: a + b)
+    pairs = left.join(right.hint("merge"), ["key", "salt"]).where(once & (F.least(x["able"], y["able"]) >= needed) & _close(x, y, least) & (shared >= needed))
     pairs = pairs.select(x["node"].alias("a"), y["node"].alias("b"), x["part"].alias("pa"), y["part"].alias("pb"))
     # a pair of several buckets may come either way round
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("pa", "pb").alias("pa"), F.greatest("pa", "pb").alias("pb")).distinct()
@@ -304,8 +310,10 @@ def near_duplicates(
     members = stored(members.join(open_keys.hint("merge"), "key", "left_semi"))
     nodes = stored(members.select("node").distinct())
     own = stored(_own_weight(packed.join(nodes.hint("merge"), "node", "left_semi")))
-    facts = nodes.join(member.hint("merge"), "node").join(own.hint("merge"), "node", "left")
-    facts = stored(facts.select("node", "size", "bits", (F.col("size") - F.coalesce("own", F.lit(0))).alias("able")))
+    facts = nodes.join(member.hint("merge"), "node").join(packed.select("node", "bins").hint("merge"), "node").join(own.hint("merge"), "node", "left")
+    rest = F.when(F.col("own").isNull(), F.col("bins")).otherwise(F.zip_with("bins", "own", lambda a, b: a - b))
+    able = F.aggregate(rest, F.lit(0).cast("long"), lambda a, b: a + b)
+    facts = stored(facts.select("node", "size", "bits", able.alias("able"), rest.alias("bins")))
     rest = stored(_across(members.join(facts.hint("merge"), "node"), least))
     part = _merged(part, _verified(rest, packed, least).select("pa", "pb").distinct())
     # the texts of one id are one class; texts without words are alike in nothing

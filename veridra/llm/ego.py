@@ -102,7 +102,8 @@ def block_rows(n: int, width: int, cores: int) -> int:
 
 
 def near_duplicates(
-    vectors: DataFrame, least: float = 0.9, block: int | None = None, id_col: str = "vec_id", vec_col: str = "embedding"
+    vectors: DataFrame, least: float = 0.9, block: int | None = None, id_col: str = "vec_id", vec_col: str = "embedding",
+    train_rows: int = TRAIN_ROWS,
 ) -> DataFrame:
     """One row per id: id_col, n_links, component_id, kept.
 
@@ -112,7 +113,8 @@ def near_duplicates(
     link with nothing: no links, their own component. Rows that repeat an id and vector
     count once; an id with several vectors has the links of all of them (a pair of ids that
     is linked by several of them counts as often). Rows with a null id are left out. All
-    vectors must have one length. Other columns are dropped. An empty table gives no rows.
+    vectors must have one length. Other columns are dropped. An empty table gives no rows. Principal
+    axes come from about train_rows vectors: they decide what is skipped early, never what links.
     """
     spark = vectors.sparkSession
     ids = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id")).where(F.col("id").isNotNull()).distinct()
@@ -121,7 +123,7 @@ def near_duplicates(
     heads = copies.groupBy("copy").agg(F.min("id").alias("head"), F.count("*").alias("n"), F.first("vec").alias("vec"))
     heads = stored(heads)
     n = heads.count()
-    share = min(1.0, TRAIN_ROWS / max(1, n))
+    share = min(1.0, train_rows / max(1, n))
     sample = heads.where(F.pmod(F.xxhash64("copy"), F.lit(1_000_003)) < int(share * 1_000_003) + 1).select("vec").toArrow()
     if sample.num_rows:
         s = matrix(sample.column("vec"))

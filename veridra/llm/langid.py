@@ -125,13 +125,13 @@ def held_out(id_col: Column) -> Column:
 
 def identify(
     docs: DataFrame, families: dict[str, str] | None = None, rows_per_language: int = ROWS_PER_LANGUAGE,
-    id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", carry: tuple[str, ...] = (),
+    id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", carry: tuple[str, ...] = (), languages: int = LANGUAGES,
 ) -> DataFrame:
     """One row per document: id_col, held_out, lang_pred, score and the columns named in carry.
 
     Learns from text and lang of rows that aren't held out (crc32 of the id as text, modulo
     4, is 2) and have a lang, about rows_per_language of each language, chosen by a hash of
-    id and text. Of more than LANGUAGES languages the most frequent are learnt. Predicts from the whole text alone. `und` with score 0: null texts, texts
+    id and text. Of more than `languages` languages the most frequent are learnt. Predicts from the whole text alone. `und` with score 0: null texts, texts
     without letters, and everything if there is nothing to learn from. Languages met in
     training only are predicted. Repeated rows give repeated rows; a null id counts as not
     held out; other columns are dropped. One pass over the texts and no shuffle of them.
@@ -141,7 +141,7 @@ def identify(
     letters = text.rlike(r"\p{L}")
     learn = docs.where(~held_out(ident) & lang.isNotNull() & F.coalesce(letters, F.lit(False)))
     by_lang = learn.groupBy(lang.cast("string").alias("lang")).agg(F.count("*").alias("n"))
-    counts = {r["lang"]: r["n"] for r in by_lang.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    counts = {r["lang"]: r["n"] for r in by_lang.orderBy(F.desc("n"), "lang").limit(languages).collect()}
     share = F.create_map(*[F.lit(x) for v, n in counts.items() for x in (v, min(1.0, rows_per_language / n))]) if counts else None
     model = None
     if share is not None:

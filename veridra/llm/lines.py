@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from .common import numbered, stored
 
+#: A line of more than this share of all lines is hot; fewer lines than one over it can be.
+HOT = 1 / 1000
+
 
 def _without(lines: Column, gone: Column) -> Column:
     """The lines whose positions (from 0) aren't in `gone`, which ascends."""
@@ -24,6 +27,15 @@ def _without(lines: Column, gone: Column) -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(0), F.size(gone)), run))
 
 
+def _met(lines: DataFrame, keys: DataFrame, total: int) -> DataFrame:
+    """lines joined to keys (hash, n, ...), which has each hash once. The hot ones, at most 1,000 whatever
+    the size, are sent to where their lines are; the others meet by sorting."""
+    hot = F.col("n") > HOT * total
+    common = F.broadcast(keys.where(hot))
+    rare = lines.join(F.broadcast(keys.where(hot).select("hash")), "hash", "left_anti").join(keys.where(~hot).hint("merge"), "hash")
+    return lines.join(common, "hash").unionByName(rare)
+
+
 def drop_boilerplate(
     docs: DataFrame, min_sites: int = 5, min_chars: int = 20, lg_k: int = 12, keep_first: bool = True,
     short_sites: int | None = None,
@@ -58,22 +70,22 @@ def drop_boilerplate(
     lines = stored(lines)
     spread = lines.groupBy("hash").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(lg_k))).alias("sites"),
-        F.min(F.struct("id", "row", "pos")).alias("first"), F.max("least").alias("least"),
+        F.min(F.struct("id", "row", "pos")).alias("first"), F.max("least").alias("least"), F.count("*").alias("n"),
     )
+    total = lines.count()
     margin = F.greatest(F.lit(1.0), 3 * 1.04 / 2 ** (lg_k / 2) * F.col("least"))
     spread = stored(spread.where(F.col("sites") >= F.col("least") - margin))
     near = spread.where(F.col("sites") <= F.col("least") + margin)
     exact = (
-        lines.join(near.select("hash"), "hash", "left_semi")
+        _met(lines.select("hash", "site"), near.select("hash", "n"), total)
         .select("hash", "site").distinct()
         .groupBy("hash").agg(F.count("site").alias("exact"))
     )
-    boilerplate = spread.where(F.col("sites") > F.col("least") + margin).select("hash", "first").unionByName(
-        near.join(exact, "hash").where(F.col("exact") >= F.col("least")).select("hash", "first")
+    boilerplate = spread.where(F.col("sites") > F.col("least") + margin).select("hash", "first", "n").unionByName(
+        near.join(exact, "hash").where(F.col("exact") >= F.col("least")).select("hash", "first", "n")
     )
-    # joined by sorting at any size: a plan that turns at some size can't be foreseen from small runs;
-    # written first, so that Spark can split what a very common line brings
-    hits = lines.join(stored(boilerplate).hint("merge"), "hash")
+    # one plan at any size: one that turns at some size can't be foreseen from small runs
+    hits = _met(lines, stored(boilerplate), total)
     if keep_first:
         first = F.col("first")
         hits = hits.where(~((F.col("row") == first["row"]) & F.col("id").eqNullSafe(first["id"]) & (F.col("pos") == first["pos"])))

@@ -84,7 +84,7 @@ def cut(n: int, size: int) -> list[tuple[int, int]]:
 
 def pieces_of(docs: DataFrame, path: str, size: int, end_id: int, with_ids: bool, id_col: str, text_col: str) -> DataFrame:
     """One row per piece: id_col, piece, start, length, ids_crc32 and, if asked for, ids."""
-    docs = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    docs = docs.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
     id_type = docs.schema["_id"].dataType.simpleString()
     end = int(end_id).to_bytes(4, "little")
 
@@ -356,7 +356,7 @@ def intervals(runs: list[tuple[int, list[tuple[int, int]]]]) -> dict[int, np.nda
 
 def pack(
     docs: DataFrame, path: str, size: int = 2048, end_id: int = 0, with_ids: bool = True,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", nodes: int = SEARCH_NODES,
 ) -> DataFrame:
     """Pack all documents into sequences of at most `size` tokens.
 
@@ -368,12 +368,13 @@ def pack(
     Driver data: the histogram (`size` rows at most), the runs and the search. A greedy run
     ends when a length has fewer pieces left than a sequence takes of it, which for length v
     happens size/v times at most, so there are under size * (1 + ln size) of them; a found
-    improvement has SEARCH_NODES runs at most.
+    improvement has `nodes` runs at most. nodes is the number of fillings that the search visits: from some
+    number on, which may be beyond any waiting, the packing is proved to be the least.
     """
     spark = docs.sparkSession
     pieces = stored(pieces_of(docs, path, size, end_id, with_ids, id_col, text_col))
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    places = spark.sparkContext.broadcast(intervals(bin_completion(histogram, size)))
+    places = spark.sparkContext.broadcast(intervals(bin_completion(histogram, size, nodes)))
     numbered = ranked(pieces, "length", ["_id", "piece"], sum(histogram.values()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

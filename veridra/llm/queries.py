@@ -26,7 +26,7 @@ def op2_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines, lines removed, and the MD5 of what is left."""
-    out = lines.drop_boilerplate(_table(spark, sf_dir, "documents"), min_sites=5, min_chars=20)
+    out = lines.drop_boilerplate(_table(spark, sf_dir, "documents"), min_sites=5, min_chars=20, short_sites=10)
     return out.select(
         "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.md5("text").alias("kept_md5")
     )
@@ -41,10 +41,10 @@ WITH lines AS (
   SELECT doc_id, source, pos, line, trim(line, ' ') AS t FROM each
 ), spread AS (
   SELECT t, count(DISTINCT source) AS sites, min((doc_id, pos)) AS first
-  FROM kept WHERE length(t) >= 20 GROUP BY t HAVING count(DISTINCT source) >= 5
+  FROM kept WHERE t <> '' GROUP BY t HAVING count(DISTINCT source) >= CASE WHEN length(t) >= 20 THEN 5 ELSE 10 END
 ), marked AS (
   SELECT k.doc_id, k.pos, k.line, (s.t IS NOT NULL AND (k.doc_id, k.pos) <> s.first) AS gone
-  FROM kept k LEFT JOIN spread s ON k.t = s.t AND length(k.t) >= 20
+  FROM kept k LEFT JOIN spread s ON k.t = s.t
 )
 SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_removed,
        md5(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_md5

@@ -127,6 +127,28 @@ class Chain:
         return p
 
 
+#: Bits of the filter of labelled ids at most, 8 MB in all.
+FILTER_BITS = 2**26
+
+
+def _bits(ids: DataFrame, n: int) -> tuple[DataFrame, int]:
+    """A filter of ids: words of 64 bits (word, mask), one bit an id, eight for each of n ids up to a bound."""
+    size = 64
+    while size < min(8 * n, FILTER_BITS):
+        size *= 2
+    at = F.pmod(F.xxhash64("id"), F.lit(size))
+    bits = ids.select(F.floor(at / 64).cast("int").alias("word"), F.expr("shiftleft(1L, cast(pmod(xxhash64(id), 64L) as int))").alias("bit"))
+    return stored(bits.groupBy("word").agg(F.bit_or("bit").alias("mask"))), size
+
+
+def _among(df: DataFrame, ident: str, bits: DataFrame, size: int) -> DataFrame:
+    """Rows whose id may be in the filter; none of those that are is lost. The filter is sent to the rows."""
+    word = F.floor(F.pmod(F.xxhash64(ident), F.lit(size)) / 64).cast("int")
+    one = F.expr(f"shiftleft(1L, cast(pmod(xxhash64({ident}), 64L) as int))")
+    held = df.withColumn("_word", word).join(F.broadcast(bits), F.col("_word") == F.col("word"))
+    return held.where(F.col("mask").bitwiseAND(one) != 0).select(*df.columns)
+
+
 def classify(
     docs: DataFrame, labels: DataFrame, categories: dict[str, Column], vocabulary: int = VOCABULARY,
     train_rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id",
@@ -143,10 +165,12 @@ def classify(
     spark = docs.sparkSession
     names = list(categories)
     marks = labels.select(F.col(f"`{label_id}`").alias("_lid"), *[c.cast("int").alias(f"_c{i}") for i, c in enumerate(categories.values())]).dropna()
+    marks = stored(marks)
+    known_ids = _bits(marks.select(F.col("_lid").cast(docs.schema[id_col].dataType).alias("id")), marks.count())
     # joined by sorting at every size: labels grow with the documents
-    marks = stored(marks).hint("merge")
+    marks = marks.hint("merge")
     text = F.lower(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    labelled = docs.select(F.col(f"`{id_col}`").alias("_id"), text.alias("text")).join(marks, F.col("_id") == F.col("_lid"))
+    labelled = _among(docs.select(F.col(f"`{id_col}`").alias("_id"), text.alias("text")), "_id", *known_ids).join(marks, F.col("_id") == F.col("_lid"))
     flags = [f"_c{i}" for i in range(len(names))]
     totals = marks.join(docs.select(F.col(f"`{id_col}`").alias("_id")), F.col("_id") == F.col("_lid")).agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in flags]).first()
     chain = None
