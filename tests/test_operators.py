@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from veridra import session
 from veridra.functions import scalars
-from veridra.operators import graph, joins, linking, matching, resolve, sets
+from veridra.operators import checks, graph, joins, linking, matching, organisations, project, resolve, search, sets
 from veridra.sources import files
 
 
@@ -105,7 +105,7 @@ def column(spark, fn, cases, kind="string"):
 
 def test_names_in_an_assignee_field(spark):
     cases = ["Orbis B.V.,Nordlab A/S", "Weber; Anna,Acme,Inc.", "Ft Kent,Md", "Acme, Inc.", "", None]
-    assert column(spark, matching.organisation_names, cases) == [["Orbis B.V.", "Nordlab A/S"], ["Acme,Inc."], ["Ft Kent"], ["Acme, Inc."], [], None]
+    assert column(spark, organisations.organisation_names, cases) == [["Orbis B.V.", "Nordlab A/S"], ["Acme,Inc."], ["Ft Kent"], ["Acme, Inc."], [], None]
 
 
 def test_spellings_of_an_organisation_share_a_key(spark):
@@ -114,12 +114,26 @@ def test_spellings_of_an_organisation_share_a_key(spark):
         "The United States of America, as represented by the Secretary of the Army", "Michigan State Department of Health and Human Services",
         "U.S. Dept. of Health & Human Services", "Leland Stanford Junior University",
     ]
-    assert column(spark, matching.organisation_key, cases) == [
+    assert column(spark, organisations.organisation_key, cases) == [
         "FUR UNIVERSITY", "UNIVERSITY OF X AND Y", "SCRIPPS RESEARCH INSTITUTE", "", "US ARMY", None, "US ARMY",
         "MICHIGAN STATE DEPARTMENT OF HEALTH AND HUMAN SERVICES", "US DEPARTMENT OF HEALTH AND HUMAN SERVICES", "STANFORD UNIVERSITY",
     ]
 
 
+def test_organisations_by_a_lexicon_of_the_caller(spark):
+    known = organisations.Lexicon(leads=("FRIENDS OF", "FRIENDS OF OLD"), forms=("OY", "A B"), spelled_out={"MUS": "MUSEUM"}, aliases={"NORTH MUSEUM": "MUSEUM OF NORTH"})
+    cases = ["Friends of the Old Friends of North Mus. Oy", "North Museum, A.B. oy", "Friends of", "Govermnent of the United States", "City of North", "Goverment Printing", "State of America Goverment, Army", "US"]
+    assert column(spark, lambda c: organisations.organisation_key(c, known), cases) == [
+        "MUSEUM OF NORTH", "MUSEUM OF NORTH", "", "US GOVERNMENT", "CITY OF NORTH", "GOVERMENT PRINTING", "US ARMY", "US",
+    ]
+    rows = spark.createDataFrame([("North Mus,Ost Oy", "a", 1), ("North Mus", "b", 1), ("NORTH MUSEUM,Li; Bo", "a", 2), (None, "a", 3)], "field string, role string, ident int")
+    found, links = organisations.organisation_links(rows, "field", "role", "ident", known)
+    assert sorted((r["org_key"], r["display"], r["spellings"], r["roles"]) for r in found.collect()) == [
+        ("MUSEUM OF NORTH", "North Mus", ["NORTH MUSEUM", "North Mus"], ["a", "b"]), ("OST", "Ost Oy", ["Ost Oy"], ["a"]),
+    ]
+    assert sorted(tuple(r) for r in links.collect()) == [("MUSEUM OF NORTH", "a", 1), ("MUSEUM OF NORTH", "a", 2), ("MUSEUM OF NORTH", "b", 1), ("OST", "a", 1)]
+
+
 def ratio(a, b):
     short, long = sorted((a, b), key=len)
     return 1.0 if len(short) >= 20 and short in long else difflib.SequenceMatcher(None, a, b).ratio()
@@ -238,11 +252,87 @@ def test_an_index_is_built_once_a_version(spark):
         built.append(1)
         return spark.range(3).toDF("id")
 
-    assert graph.search_index(("t", 1), build).count() == graph.search_index(("t", 1), build).count() == 3 and len(built) == 1
-    graph.search_index(("t", 2), build)
+    for version in ("a", "a", "b", "b"):
+        assert session.kept(spark, "numbers", version, build).count() == 3
     assert len(built) == 2
 
 
+def test_a_snapshot_changes_with_its_files(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    spark.range(5).write.parquet(path)
+    first = session.snapshot(spark, [path])
+    assert session.snapshot(spark, [path]) == first
+    spark.range(5).selectExpr("id + 1 AS id").write.mode("overwrite").parquet(path)
+    assert session.snapshot(spark, [path]) != first
+
+
+def test_search_by_postings_is_substring_search(spark):
+    rnd = random.Random(3)
+    names = ["".join(rnd.choice("abcn_1 ") for _ in range(rnd.randint(0, 12))) for _ in range(300)] + ["ab", "A", "NATION_1", None]
+    rows = spark.createDataFrame(list(enumerate(names)), "id int, name string")
+    lists = search.postings(rows, "id", "name")
+    for pattern in ("n_1", "abc", "a", "b_", "nation_1", "cab1 ", "zzz"):
+        got = {r["id"] for r in search.search(rows, lists, "id", "name", pattern).collect()}
+        assert got == {i for i, n in enumerate(names) if n and pattern in n.lower()}, pattern
+
+
+def test_neighbours_read_their_buckets(spark):
+    rnd = random.Random(8)
+    links = [(f"n{rnd.randrange(60)}", f"n{rnd.randrange(60)}", "t") for _ in range(70)]
+    links += links[:5] + [("n1", "n1", "t")]
+    store = graph.adjacency(spark.createDataFrame(links, "a string, b string, k string"), "a", "b", "k", buckets=16)
+    near = {}
+    for a, b, _ in links:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    want = {"n1": 0}
+    for hop in (1, 2, 3):
+        for x in [n for n, h in want.items() if h == hop - 1]:
+            for y in near[x]:
+                want.setdefault(y, hop)
+    seen = graph.subgraph(store, spark.createDataFrame([("n1",), ("n1",)], "x string"), 3, buckets=16)
+    assert {r["node"]: r["hop"] for r in seen.collect()} == want
+    got = {(r["src"], r["dst"], r["type"]) for r in graph.induced(store, seen, buckets=16).collect()}
+    assert got == {x for x in links if x[0] in want and x[1] in want}
+    one = graph.neighbours(store, spark.createDataFrame([("n1",)], "node string"), 16)
+    assert "PartitionFilters: [isnotnull(bucket" in (plan := one._jdf.queryExecution().toString()) or "PartitionFilters: [(bucket" in plan
+
+
+def test_one_scan_a_table(spark):
+    df = spark.createDataFrame([(1, "x", 5), (2, "x", None), (None, "y", 5), (1, "z", 7)], "k int, v string, w int")
+    reads = []
+
+    def tables(name):
+        reads.append(name)
+        return df
+
+    got = project.nodes(tables, [project.Node("a", "t", "k", "v", repeats=True), project.Node("b", "t", "v", "v", repeats=True), project.Node("b", "u", "v", "w", where="w > 5")])
+    assert sorted(map(tuple, got.collect())) == [("a:1", "a", "x"), ("a:2", "a", "x"), ("b:x", "b", "x"), ("b:y", "b", "y"), ("b:z", "b", "7")] and reads == ["t", "u"]
+    reads.clear()
+    got = project.edges(tables, [project.Edge("E", "t", ("a", "k"), ("b", "v")), project.Edge("F", "t", ("b", "v"), ("c", "w"), where="w > 5")])
+    assert sorted(map(tuple, got.collect())) == [("a:1", "b:x", "E"), ("a:1", "b:z", "E"), ("a:2", "b:x", "E"), ("b:z", "c:7", "F")] and reads == ["t"]
+
+
+def test_fused_checks(spark):
+    a = spark.createDataFrame([(1, None, "x"), (2, 7, "x"), (2, 8, None), (None, 7, None)], "k int, p int, s string")
+    b = spark.createDataFrame([(7,), (7,), (9,)], "p int")
+    some = [
+        checks.Rows("r", "error", "a", "k > 1"), checks.Unique("u", "error", "a", ("k",)), checks.Unique("v", "error", "a", ("k", "s")), checks.Unique("w", "error", "a", ("s",), digest=True),
+        checks.Orphans("o", "error", "a", "p", "b", "p"), checks.Orphans("n", "error", "a", "p", "b", "p", nulls=True), checks.Childless("c", "info", "b", "p", "a", "p"), checks.Rows("none", "info", "b", "p < 0"),
+    ]
+    reads = []
+
+    def tables(name):
+        reads.append(name)
+        return {"a": a, "b": b}[name]
+
+    got = {r["check"]: (r["n"], r["passed"]) for r in checks.report(tables, some).collect()}
+    assert got == {"r": (2, False), "u": (1, False), "v": (0, True), "w": (2, False), "o": (2, False), "n": (1, False), "c": (1, False), "none": (0, True)}
+    assert sorted(reads)[:2] == ["a", "a"] and len(reads) == 3  # once each, and for the session
+    with pytest.raises(TypeError):
+        checks.report(tables, [checks.Check("x", "error")])
+
+
 def test_places_in_a_hot_group(spark):
     rows = [(None if i % 7 == 0 else "a" if i % 3 else "b", (i * 37) % 101, i) for i in range(400)]
     got = resolve.places(spark.createDataFrame(rows, "g string, v int, i int"), "g", ["v", "i"], "place").collect()

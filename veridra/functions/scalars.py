@@ -301,6 +301,18 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.nullif(F.sqrt(dot(a, a) * dot(b, b)), F.lit(0.0))
 
 
+def clean_header(names: Column) -> Column:
+    """The same of an array of names in each row."""
+    plain = F.transform(names, lambda x: F.trim(F.regexp_replace(F.lower(F.trim(F.coalesce(x, F.lit("")))), "[^0-9a-z]+", "_"), F.lit("_")))
+    plain = F.transform(plain, lambda x: F.when(x == "", "col").otherwise(x))
+
+    def numbered(x: Column, i: Column) -> Column:
+        n = F.size(F.filter(F.slice(plain, 1, i + 1), lambda y: y == x))
+        return F.when(n == 1, x).otherwise(F.concat_ws("_", x, n.cast("string")))
+
+    return F.transform(plain, numbered)
+
+
 def clean_columns(names: list[str]) -> list[str]:
     """Header names in lower case with underscores; repeats get a number."""
     out: list[str] = []

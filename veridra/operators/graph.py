@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stored
+from ..session import scratch, stored
 
 
 def closure(edges: DataFrame, child: str, parent: str, most_hops: int = 10_000) -> DataFrame:
@@ -39,28 +37,67 @@ def closure(edges: DataFrame, child: str, parent: str, most_hops: int = 10_000)
             raise RuntimeError(f"the hierarchy did not settle within {most_hops} hops")
 
 
-def subgraph(edges: DataFrame, starts: DataFrame, src: str, dst: str, hops: int) -> DataFrame:
-    """(node, hop): nodes within `hops` undirected steps of the starts, with the least hop.
+def descendants(edges: DataFrame, child: str, parent: str, roots: DataFrame) -> DataFrame:
+    """(node): the roots (one column) and all that is below them, however deep; each round's new nodes are written.
+
+    Only what hangs below the roots is ever joined: no closure of the whole hierarchy. Circles end.
+    """
+    down = edges.select(F.col(parent).alias("_p"), F.col(child).alias("node")).where("_p IS NOT NULL AND node IS NOT NULL")
+    seen = front = stored(roots.select(F.col(roots.columns[0]).alias("node")).distinct())
+    while front.head(1):
+        below = down.join(front.withColumnRenamed("node", "_p"), "_p").select("node").distinct()
+        front = stored(below.join(seen, "node", "left_anti"))
+        seen = seen.unionByName(front)
+    return seen
+
+
+#: Buckets of a store of neighbours.
+BUCKETS = 128
+
+
+def _bucket(node: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(node), F.lit(buckets)).cast("int").alias("bucket")
+
 
-    The edges are written once, and each round's new nodes too, so a round reads the edges and the
-    front and repeats nothing of the rounds before.
+def adjacency(edges: DataFrame, src: str, dst: str, kind: str, buckets: int = BUCKETS) -> DataFrame:
+    """(bucket, node, other, kind, ahead): every edge from both its ends, stored in buckets of the node, each sorted by it.
+
+    What reads the neighbours of some nodes reads their buckets only. Edges that repeat stay repeated.
+    """
+    end = lambda a, b, ahead: F.struct(F.col(a).alias("node"), F.col(b).alias("other"), F.col(kind).alias("kind"), F.lit(ahead).alias("ahead"))
+    both = edges.select(F.inline(F.array(end(src, dst, True), end(dst, src, False))))
+    path = scratch(edges.sparkSession)
+    dealt = both.withColumn("bucket", _bucket("node", buckets)).repartition("bucket").sortWithinPartitions("bucket", "node")
+    dealt.write.partitionBy("bucket").parquet(path)
+    return edges.sparkSession.read.schema("node string, other string, kind string, ahead boolean, bucket int").parquet(path)
+
+
+def neighbours(store: DataFrame, nodes: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """The store's rows of some nodes (node): only their buckets are read."""
+    wanted = nodes.select("node", _bucket("node", buckets))
+    # at most one number a bucket
+    some = [r["bucket"] for r in wanted.select("bucket").distinct().collect()]
+    return store.where(F.col("bucket").isin(some)).join(wanted, ["bucket", "node"], "left_semi")
+
+
+def subgraph(store: DataFrame, starts: DataFrame, hops: int, buckets: int = BUCKETS) -> DataFrame:
+    """(node, hop): nodes within `hops` undirected steps of the starts, with the least hop; store is an adjacency.
+
+    Each round's new nodes are written, so a round reads the front and its buckets and repeats nothing before it.
     """
-    both = stored(edges.select(F.col(src).alias("_a"), F.col(dst).alias("_b")))
     seen = stored(starts.select(F.col(starts.columns[0]).alias("node")).distinct().withColumn("hop", F.lit(0)))
     front = seen
     for hop in range(1, hops + 1):
-        ahead = front.join(both, F.col("node") == F.col("_a")).select(F.col("_b").alias("node"))
-        back = front.join(both, F.col("node") == F.col("_b")).select(F.col("_a").alias("node"))
-        front = stored(ahead.union(back).distinct().join(seen, "node", "left_anti").withColumn("hop", F.lit(hop)))
+        reached = neighbours(store, front, buckets).select(F.col("other").alias("node")).distinct()
+        front = stored(reached.join(seen, "node", "left_anti").withColumn("hop", F.lit(hop)))
         seen = seen.unionByName(front)
     return seen
 
 
-def induced(edges: DataFrame, nodes: DataFrame, src: str, dst: str) -> DataFrame:
-    """Edges with both ends among the nodes."""
-    ids = nodes.select("node")
-    out = edges.join(ids.withColumnRenamed("node", src), src, "left_semi")
-    return out.join(ids.withColumnRenamed("node", dst), dst, "left_semi")
+def induced(store: DataFrame, nodes: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """(src, dst, type): edges of an adjacency with both ends among the nodes, once each."""
+    out = neighbours(store, nodes, buckets).where("ahead").select(F.col("node").alias("src"), F.col("other").alias("dst"), F.col("kind").alias("type"))
+    return out.join(nodes.select(F.col("node").alias("dst")), "dst", "left_semi").select("src", "dst", "type").distinct()
 
 
 def degrees(edges: DataFrame, src: str, dst: str) -> DataFrame:
@@ -93,12 +130,3 @@ def agree(source: DataFrame, created: DataFrame, keys: list[str]) -> DataFrame:
     told = F.concat(F.lit("created rows differ from the source: "), F.to_json(F.struct(*keys, "source", "created")))
     return both.withColumn("created", F.when(F.col("source") == F.col("created"), F.col("created")).otherwise(F.raise_error(told).cast("long")))
 
-
-_INDEXES: dict[tuple, DataFrame] = {}
-
-
-def search_index(version: tuple, build: Callable[[], DataFrame]) -> DataFrame:
-    """The index of one snapshot, written once and read again until the version changes."""
-    if version not in _INDEXES:
-        _INDEXES[version] = stored(build())
-    return _INDEXES[version]

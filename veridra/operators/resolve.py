@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,6 +109,39 @@ def upsert_coalesce(old: DataFrame, new: DataFrame, key: str, keep_old: bool = T
     return o.join(n, key, "full").select(key, *[pick(c) for c in cols])
 
 
+def merge_owned(runs: list[tuple[str, DataFrame]], key: str, takes_over: dict[str, set[str]]) -> DataFrame:
+    """(key, owner, fields): one row per key after runs of producers, in their order.
+
+    A run is a producer's whole delivery: (producer, frame of key and fields), of the same fields in
+    every run. A row that is there keeps its fields and has its nulls filled; its owner stays too, unless
+    the producer that delivers it takes rows over from that owner. A producer that no longer delivers a
+    row it owns takes it away, with what others filled in; rows that others own it can't take away. A later
+    run may bring the row again. Rows that repeat a key within a run are one, of the smallest values.
+
+    All runs meet in one grouping by key, which holds one entry a run for a key; nulls in the key are left out.
+    """
+    fields = [c for c in runs[0][1].columns if c != key]
+    each = [df.where(F.col(key).isNotNull()).groupBy(key).agg(*[F.min(c).alias(c) for c in fields]).withColumn("_run", F.lit(i)) for i, (_, df) in enumerate(runs)]
+    rows = reduce(DataFrame.unionByName, each)
+    entries = F.collect_list(F.struct("_run", F.struct(*fields).alias("_row")))
+    gathered = rows.groupBy(key).agg(F.map_from_entries(entries).alias("_rows"))
+    none = F.array().cast("array<string>")
+    order = F.array(*[
+        F.struct(F.lit(i).alias("run"), F.lit(p).alias("by"), (F.array(*map(F.lit, sorted(takes_over[p]))) if takes_over.get(p) else none).alias("over"))
+        for i, (p, _) in enumerate(runs)
+    ])
+    kinds = {f.name: f.dataType for f in runs[0][1].schema.fields}
+    absent = F.struct(F.lit(None).cast("string").alias("owner"), *[F.lit(None).cast(kinds[c]).alias(c) for c in fields])
+
+    def step(state: Column, run: Column) -> Column:
+        row = F.try_element_at("_rows", run["run"])
+        owner = F.when(state["owner"].isNull() | F.array_contains(run["over"], state["owner"]), run["by"]).otherwise(state["owner"])
+        taken = F.struct(owner.alias("owner"), *[F.coalesce(state[c], row[c]).alias(c) for c in fields])
+        return F.when(row.isNotNull(), taken).when(state["owner"] == run["by"], absent).otherwise(state)
+
+    return gathered.select(key, F.aggregate(order, absent, step).alias("_s")).where("_s.owner IS NOT NULL").select(key, "_s.*")
+
+
 def expand_dataset(old: DataFrame, new: DataFrame, key: str, ident: str, width: int = 4, prefix: str = "NEW_") -> DataFrame:
     """old plus the rows of new whose key old lacks, with ids that continue after the largest."""
     fresh = new.join(old.select(key), key, "left_anti")

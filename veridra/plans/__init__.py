@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("scalar_queries", "link_queries", "relational_queries", "graph_queries", "file_queries", "more_queries", "evidence_queries")
+MODULES = ("scalar_queries", "link_queries", "relational_queries", "graph_queries", "file_queries", "more_queries", "evidence_queries", "ingest_queries")
 
 
 def load() -> None:

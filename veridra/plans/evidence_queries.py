@@ -15,6 +15,7 @@ from ..functions import scalars as S
 from ..operators import joins as J
 from ..operators import linking as L
 from ..operators import matching as M
+from ..operators import organisations as O
 from ..operators import resolve as R
 from ..registry import Tables, query
 from .link_queries import HITS, fields, vocabulary
@@ -418,14 +419,14 @@ keys AS (SELECT c_custkey, unnest([a, b, c]) AS org FROM named), orgs AS (SELECT
 @query("SELECT c_custkey, CAST(2 + CASE WHEN c_custkey % 4 = 0 THEN 1 ELSE 0 END AS INTEGER) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey")
 def er_org_split(t):
     """How many organisations a field names: legal forms stay with their name, persons and places go."""
-    return _assignees(t).select("c_custkey", F.size(M.organisation_names(F.col("field"))).alias("n"))
+    return _assignees(t).select("c_custkey", F.size(O.organisation_names(F.col("field"))).alias("n"))
 
 
 @query(f"WITH {ASSIGNEES} SELECT c_custkey, org FROM orgs")
 def er_org_normalize(t):
     """All spellings of one organisation get one key: preambles, abbreviations, legal forms, federal agencies."""
-    each = _assignees(t).select("c_custkey", F.explode(M.organisation_names(F.col("field"))).alias("name"))
-    return each.select("c_custkey", M.organisation_key(F.col("name")).alias("org")).distinct()
+    each = _assignees(t).select("c_custkey", F.explode(O.organisation_names(F.col("field"))).alias("name"))
+    return each.select("c_custkey", O.organisation_key(F.col("name")).alias("org")).distinct()
 
 
 @query(f"""WITH {ASSIGNEES}, all_roles AS (SELECT org, 'patent' AS role, c_custkey AS id FROM orgs UNION ALL SELECT 'UNIVERSITY OF ' || replace(n_name, '_', ' '), 'grant', s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey)
@@ -435,7 +436,7 @@ def er_org_build(t):
     home = t.nation.select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
     grants = t.supplier.join(home, "s_nationkey").select(F.concat(F.lit("UNIVERSITY OF "), "n_name").alias("field"), F.lit("grant").alias("role"), F.col("s_suppkey").alias("ident"))
     rows = _assignees(t).select("field", F.lit("patent").alias("role"), F.col("c_custkey").alias("ident")).union(grants)
-    organisations, links = M.organisation_links(rows, "field", "role", "ident")
+    organisations, links = O.organisation_links(rows, "field", "role", "ident")
     n = links.groupBy("org_key").agg(F.count("*").alias("links"))
     return organisations.join(n, "org_key").select("org_key", F.array_join("roles", ";").alias("roles"), "links")
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..registry import Tables, query
-from ..session import scratch
+from ..session import TABLES, scratch
 from ..sources import files as S
 
 PART_SQL = "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand FROM part"
@@ -88,10 +90,15 @@ def scan_raw_table(t):
     return t.spark.read.parquet(path)
 
 
-@query("SELECT 'region' AS name, true AS present UNION ALL SELECT 'no_such', false")
+@query(" UNION ALL ".join(f"SELECT '{n}' AS name, true AS present, CAST(count(*) AS BIGINT) AS rows FROM {n}" for n in TABLES) + " UNION ALL SELECT 'no_such', false, NULL")
 def meta_table_exists(t):
-    rows = [(n, S.path_exists(t.spark, f"{t.sf_dir}/{n}.parquet")) for n in ("region", "no_such")]
-    return t.spark.createDataFrame(rows, "name string, present boolean")
+    """Which tables are there, and how many rows they have."""
+    def one(name: str) -> DataFrame:
+        there = S.path_exists(t.spark, f"{t.sf_dir}/{name}.parquet")
+        rows = getattr(t, name).agg(F.count("*").alias("rows")) if there else t.spark.range(1).select(F.lit(None).cast("long").alias("rows"))
+        return rows.select(F.lit(name).alias("name"), F.lit(there).alias("present"), "rows")
+
+    return reduce(DataFrame.unionByName, map(one, (*TABLES, "no_such")))
 
 
 TITLE_SQL = "regexp_extract(html, '(?s)<title>(.*?)</title>', 1)"

@@ -6,65 +6,97 @@ keys, each typed by its relation. A node id is `<label>:<key>`.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import checks as C
 from ..operators import graph as G
+from ..operators import project as P
+from ..operators import search as X
+from ..operators.project import ident
 from ..registry import Tables, query
-from ..session import scratch
+from ..session import kept, scratch, snapshot, stored
 
-NODES = {
-    "region": ("r_regionkey", "r_name"), "nation": ("n_nationkey", "n_name"), "customer": ("c_custkey", "c_name"),
-    "supplier": ("s_suppkey", "s_name"), "part": ("p_partkey", "p_name"), "orders": ("o_orderkey", "o_orderstatus"),
-}
-#: relation, table, source label, source key, target label, target key.
+NODES = [
+    P.Node("region", "region", "r_regionkey", "r_name"), P.Node("nation", "nation", "n_nationkey", "n_name"), P.Node("customer", "customer", "c_custkey", "c_name"),
+    P.Node("supplier", "supplier", "s_suppkey", "s_name"), P.Node("part", "part", "p_partkey", "p_name"), P.Node("orders", "orders", "o_orderkey", "o_orderstatus"),
+]
 EDGES = [
-    ("IN_REGION", "nation", "nation", "n_nationkey", "region", "n_regionkey"),
-    ("LIVES_IN", "customer", "customer", "c_custkey", "nation", "c_nationkey"),
-    ("BASED_IN", "supplier", "supplier", "s_suppkey", "nation", "s_nationkey"),
-    ("PLACED_BY", "orders", "orders", "o_orderkey", "customer", "o_custkey"),
-    ("CONTAINS", "lineitem", "orders", "l_orderkey", "part", "l_partkey"),
-    ("SHIPPED_BY", "lineitem", "orders", "l_orderkey", "supplier", "l_suppkey"),
+    P.Edge("IN_REGION", "nation", ("nation", "n_nationkey"), ("region", "n_regionkey")),
+    P.Edge("LIVES_IN", "customer", ("customer", "c_custkey"), ("nation", "c_nationkey")),
+    P.Edge("BASED_IN", "supplier", ("supplier", "s_suppkey"), ("nation", "s_nationkey")),
+    P.Edge("PLACED_BY", "orders", ("orders", "o_orderkey"), ("customer", "o_custkey")),
+    P.Edge("CONTAINS", "lineitem", ("orders", "l_orderkey"), ("part", "l_partkey"), repeats=True),
+    P.Edge("SHIPPED_BY", "lineitem", ("orders", "l_orderkey"), ("supplier", "l_suppkey"), repeats=True),
+]
+#: What the whole graph has beside these: values that stand for themselves, and the corpus.
+MORE_NODES = [
+    P.Node("brand", "part", "p_brand", "p_brand", repeats=True), P.Node("type", "part", "p_type", "p_type", repeats=True),
+    P.Node("segment", "customer", "c_mktsegment", "c_mktsegment", repeats=True), P.Node("priority", "orders", "o_orderpriority", "o_orderpriority", repeats=True),
+    P.Node("status", "orders", "o_orderstatus", "o_orderstatus", repeats=True), P.Node("flag", "lineitem", "l_returnflag", "l_returnflag", repeats=True),
+    P.Node("document", "documents", "doc_id", "source"), P.Node("language", "documents", "lang", "lang", repeats=True),
+    P.Node("source", "documents", "source", "source", repeats=True), P.Node("quality", "labels", "quality", "quality", repeats=True),
+    P.Node("page", "pages", "page_id", "url"), P.Node("item", "benchmark", "item_id", "item_id"),
+    P.Node("conversation", "conversations", "conv_id", "conv_id", repeats=True), P.Node("role", "conversations", "role", "role", repeats=True),
+    P.Node("user", "events", "user_id", "user_id", repeats=True), P.Node("event_type", "events", "event_type", "event_type", repeats=True),
+    P.Node("vector", "embeddings", "vec_id", "label"), P.Node("cluster", "embeddings", "label", "label", repeats=True),
+]
+MORE_EDGES = [
+    P.Edge("OF_BRAND", "part", ("part", "p_partkey"), ("brand", "p_brand")), P.Edge("OF_TYPE", "part", ("part", "p_partkey"), ("type", "p_type")),
+    P.Edge("BRAND_MAKES", "part", ("brand", "p_brand"), ("type", "p_type"), repeats=True),
+    P.Edge("IN_SEGMENT", "customer", ("customer", "c_custkey"), ("segment", "c_mktsegment")),
+    P.Edge("IN_DEBT", "customer", ("customer", "c_custkey"), ("nation", "c_nationkey"), where="c_acctbal < 0"),
+    P.Edge("HAS_PRIORITY", "orders", ("orders", "o_orderkey"), ("priority", "o_orderpriority")),
+    P.Edge("HAS_STATUS", "orders", ("orders", "o_orderkey"), ("status", "o_orderstatus")),
+    P.Edge("LARGE_ORDER_OF", "orders", ("orders", "o_orderkey"), ("customer", "o_custkey"), where="o_totalprice > 300000"),
+    P.Edge("SUPPLIES", "lineitem", ("supplier", "l_suppkey"), ("part", "l_partkey"), repeats=True),
+    P.Edge("RETURNED", "lineitem", ("orders", "l_orderkey"), ("part", "l_partkey"), where="l_returnflag = 'R'", repeats=True),
+    P.Edge("DISCOUNTED", "lineitem", ("orders", "l_orderkey"), ("part", "l_partkey"), where="l_discount >= 0.1", repeats=True),
+    P.Edge("FLAGGED", "lineitem", ("part", "l_partkey"), ("flag", "l_returnflag"), repeats=True),
+    P.Edge("WRITTEN_IN", "documents", ("document", "doc_id"), ("language", "lang")), P.Edge("FROM_SOURCE", "documents", ("document", "doc_id"), ("source", "source")),
+    P.Edge("SOURCE_WRITES", "documents", ("source", "source"), ("language", "lang"), repeats=True),
+    P.Edge("JUDGED", "labels", ("document", "doc_id"), ("quality", "quality")), P.Edge("JUDGED_TOXIC", "labels", ("document", "doc_id"), ("quality", "quality"), where="toxic = 1"),
+    P.Edge("SPOKE_IN", "conversations", ("role", "role"), ("conversation", "conv_id"), repeats=True),
+    P.Edge("DID", "events", ("user", "user_id"), ("event_type", "event_type"), repeats=True),
+    P.Edge("IN_CLUSTER", "embeddings", ("vector", "vec_id"), ("cluster", "label")),
 ]
-
-
-def ident(label: str, key: str) -> Column:
-    return F.concat(F.lit(f"{label}:"), F.col(key).cast("string"))
 
 
 def nodes(t: Tables) -> DataFrame:
-    parts = [
-        getattr(t, label).select(ident(label, key).alias("id"), F.lit(label).alias("label"), F.col(name).alias("name"))
-        for label, (key, name) in NODES.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return P.nodes(lambda n: getattr(t, n), NODES)
 
 
 def edges(t: Tables, *relations: str) -> DataFrame:
-    parts = [
-        getattr(t, table).select(ident(a, ak).alias("src"), ident(b, bk).alias("dst"), F.lit(rel).alias("type"))
-        for rel, table, a, ak, b, bk in EDGES
-        if not relations or rel in relations
-    ]
-    return reduce(DataFrame.unionByName, parts).distinct()
+    return P.edges(lambda n: getattr(t, n), [e for e in EDGES if not relations or e.type in relations])
+
+
+def _node_sql(n: P.Node) -> str:
+    return f"SELECT '{n.label}:' || {n.key} AS id, '{n.label}' AS label, CAST({n.name} AS VARCHAR) AS name FROM {n.table} WHERE {n.key} IS NOT NULL"
 
 
-NODES_SQL = " UNION ALL ".join(f"SELECT '{label}:' || {k} AS id, '{label}' AS label, {n} AS name FROM {label}" for label, (k, n) in NODES.items())
-EDGES_SQL = " UNION ".join(f"SELECT '{a}:' || {ak} AS src, '{b}:' || {bk} AS dst, '{rel}' AS type FROM {tab}" for rel, tab, a, ak, b, bk in EDGES)
+def _edge_sql(e: P.Edge) -> str:
+    (a, ak), (b, bk) = e.src, e.dst
+    return f"SELECT '{a}:' || {ak} AS src, '{b}:' || {bk} AS dst, '{e.type}' AS type FROM {e.table} WHERE {ak} IS NOT NULL AND {bk} IS NOT NULL AND {e.where or 'true'}"
+
+
+NODES_SQL, EDGES_SQL = " UNION ALL ".join(map(_node_sql, NODES)), " UNION ".join(map(_edge_sql, EDGES))
 WITH = f"WITH RECURSIVE nodes AS ({NODES_SQL}), edges AS ({EDGES_SQL})"
 TREE = "up AS (SELECT src AS c, dst AS p FROM edges WHERE type IN ('IN_REGION', 'LIVES_IN', 'BASED_IN'))"
 
 
-@query(f"{WITH} SELECT * FROM nodes")
+@query(f"SELECT id, label, min(name) AS name FROM ({' UNION ALL '.join(map(_node_sql, NODES + MORE_NODES))}) GROUP BY id, label")
 def graph_nodes(t):
-    return nodes(t)
+    """24 labels from 12 tables, each scanned once."""
+    return P.nodes(lambda n: getattr(t, n), NODES + MORE_NODES)
 
 
-@query(f"{WITH} SELECT * FROM edges")
+@query(" UNION ".join(map(_edge_sql, EDGES + MORE_EDGES)))
 def graph_edges(t):
-    return edges(t)
+    """26 types from 10 tables, each scanned once."""
+    return P.edges(lambda n: getattr(t, n), EDGES + MORE_EDGES)
 
 
 @query("SELECT 'orders:' || l_orderkey AS src, 'part:' || l_partkey AS dst, 'CONTAINS' AS type, CAST(count(*) AS BIGINT) AS n_support, max(l_discount) AS confidence FROM lineitem GROUP BY l_orderkey, l_partkey")
@@ -88,7 +120,8 @@ def graph_closure(t):
 
 @query(f"{CLOSURE} SELECT DISTINCT node FROM walk WHERE ancestor IN ('region:1', 'nation:3')")
 def graph_subtree(t):
-    return tree(t).where(F.col("ancestor").isin("region:1", "nation:3")).select("node").distinct()
+    roots = P.nodes(lambda n: getattr(t, n), NODES[:2]).where(F.col("id").isin("region:1", "nation:3"))
+    return G.descendants(edges(t, "IN_REGION", "LIVES_IN", "BASED_IN"), "src", "dst", roots)
 
 
 FK = [("nation", "region"), ("customer", "nation"), ("supplier", "nation"), ("orders", "customer"), ("lineitem", "orders"), ("lineitem", "part"), ("lineitem", "supplier")]
@@ -97,16 +130,50 @@ FK_SQL = ", ".join(f"('{a}', '{b}')" for a, b in FK)
 
 @query(f"""WITH RECURSIVE fk(child, parent) AS (VALUES {FK_SQL}), d(root, dependant) AS (SELECT parent, child FROM fk UNION SELECT d.root, fk.child FROM d JOIN fk ON d.dependant = fk.parent) SELECT root, dependant FROM d""")
 def graph_fk_closure(t):
-    fk = t.spark.createDataFrame(FK, "child string, parent string")
+    """Which tables depend on which: a column of the same name as another table's key refers to it if all its values are there."""
+    fk = foreign_keys(t)
     return G.closure(fk, "child", "parent").where("hops > 0").select(F.col("ancestor").alias("root"), F.col("node").alias("dependant")).distinct()
 
 
+def foreign_keys(t: Tables) -> DataFrame:
+    """(child, parent) of the star schema, told from the tables' columns and their values."""
+    plain = lambda c: c.split("_", 1)[1]
+    columns = {n: getattr(t, n).columns for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")}
+    # the first column of a table is its key, unless an earlier table has one of that name
+    keys: dict[str, tuple[str, str]] = {}
+    for n, c in columns.items():
+        keys.setdefault(plain(c[0]), (n, c[0]))
+    maybe = [C.Orphans(f"{n} {keys[plain(c)][0]}", "error", n, c, *keys[plain(c)]) for n, cs in columns.items() for c in cs if plain(c) in keys and keys[plain(c)][0] != n]
+    held = C.report(lambda n: getattr(t, n), maybe).where("passed")
+    return held.select(F.split_part("check", F.lit(" "), F.lit(1)).alias("child"), F.split_part("check", F.lit(" "), F.lit(2)).alias("parent"))
+
+
 BFS = f"""{WITH}, steps AS (SELECT src AS a, dst AS b FROM edges UNION SELECT dst, src FROM edges), h1 AS (SELECT DISTINCT b AS node FROM steps WHERE a = 'part:1'),
 h2 AS (SELECT DISTINCT b AS node FROM steps WHERE a IN (SELECT node FROM h1)), seen AS (SELECT 'part:1' AS node, 0 AS hop UNION ALL SELECT node, 1 FROM h1 UNION ALL SELECT node, 2 FROM h2), hops AS (SELECT node, min(hop) AS hop FROM seen GROUP BY node)"""
 
 
+def version(t: Tables, *tables: str) -> str:
+    """What a snapshot of some tables is, down to each file."""
+    return snapshot(t.spark, [f"{t.sf_dir}/{n}.parquet" for n in tables])
+
+
+GRAPH_TABLES = tuple(sorted({x.table for x in (*NODES, *EDGES)}))
+
+
+def adjacency(t: Tables) -> DataFrame:
+    """The neighbours of every node, stored in buckets for a snapshot of the tables and built again when a file changes.
+
+    Edges are taken as they come: one that several rows state is there several times.
+    """
+    def build() -> DataFrame:
+        once = [replace(e, repeats=False) for e in EDGES]
+        return G.adjacency(P.edges(lambda n: getattr(t, n), once), "src", "dst", "type")
+
+    return kept(t.spark, f"adjacency of {t.sf_dir}", version(t, *GRAPH_TABLES), build)
+
+
 def _start(t: Tables) -> DataFrame:
-    return G.subgraph(edges(t), t.spark.createDataFrame([("part:1",)], "node string"), "src", "dst", 2)
+    return G.subgraph(adjacency(t), t.part.where("p_partkey = 1").select(ident("part", "p_partkey").alias("node")), 2)
 
 
 @query(f"{BFS} SELECT node, CAST(hop AS INTEGER) AS hop FROM hops")
@@ -116,7 +183,7 @@ def graph_bfs_subgraph(t):
 
 @query(f"{BFS} SELECT src, dst, type FROM edges WHERE src IN (SELECT node FROM hops) AND dst IN (SELECT node FROM hops)")
 def explore_subgraph(t):
-    return G.induced(edges(t), _start(t), "src", "dst").select("src", "dst", "type")
+    return G.induced(adjacency(t), _start(t))
 
 
 @query(f"{WITH} SELECT node, CAST(count(*) AS BIGINT) AS degree FROM (SELECT src AS node FROM edges UNION ALL SELECT dst FROM edges) GROUP BY node")
@@ -185,23 +252,28 @@ def topk_hubs(t):
 
 @query(f"{WITH}, {DEG} SELECT id, lower(label || ' ' || coalesce(name, '')) AS haystack, CAST(coalesce(degree, 0) AS BIGINT) AS degree FROM nodes LEFT JOIN deg ON node = id")
 def graph_search_index(t):
-    """The index is kept for a snapshot (its tables' row counts) and built again when they change."""
+    """Kept for a snapshot of the tables' files and built again when one changes."""
+    return search_index(t)
+
+
+def search_index(t: Tables) -> DataFrame:
     def build() -> DataFrame:
         d = G.degrees(edges(t), "src", "dst").withColumnRenamed("node", "id")
         hay = F.lower(F.concat_ws(" ", "label", F.coalesce("name", F.lit(""))))
-        return nodes(t).join(d, "id", "left").select("id", hay.alias("haystack"), F.coalesce("degree", F.lit(0)).cast("long").alias("degree"))
+        return stored(nodes(t).join(d, "id", "left").select("id", hay.alias("haystack"), F.coalesce("degree", F.lit(0)).cast("long").alias("degree")))
 
-    counts = tuple(getattr(t, n).count() for n in (*NODES, "lineitem"))
-    return G.search_index((t.spark.sparkContext.applicationId, t.sf_dir, counts), build)
+    return kept(t.spark, f"index of {t.sf_dir}", version(t, *GRAPH_TABLES), build)
 
 
 @query(f"""{WITH}, {DEG}, s AS (SELECT id, name, coalesce(degree, 0) AS degree, CASE WHEN lower(name) = 'nation_1' THEN 0 WHEN starts_with(lower(name), 'nation_1') THEN 10 WHEN contains(lower(name), 'n_1') THEN 30 END + CASE WHEN label = 'orders' THEN 40 ELSE 0 END AS score FROM nodes LEFT JOIN deg ON node = id)
 SELECT id, name, CAST(score AS INTEGER) AS score FROM s WHERE score IS NOT NULL ORDER BY score, degree DESC, id LIMIT 50""")
 def explore_search(t):
+    """Names that hold n_1, by posting lists of a stored index; what begins with or is nation_1 comes first."""
+    lists = kept(t.spark, f"postings of {t.sf_dir}", version(t, *GRAPH_TABLES), lambda: X.postings(nodes(t), "id", "name"))
     n = F.lower("name")
-    d = G.degrees(edges(t), "src", "dst").withColumnRenamed("node", "id")
     score = F.when(n == "nation_1", 0).when(n.startswith("nation_1"), 10).when(n.contains("n_1"), 30) + F.when(F.col("label") == "orders", 40).otherwise(0)
-    found = nodes(t).withColumn("score", score).where("score is not null").join(d, "id", "left")
+    found = X.search(nodes(t), lists, "id", "name", "n_1").withColumn("score", score)
+    found = found.join(search_index(t).select("id", "degree"), "id", "left")
     return found.orderBy("score", F.desc(F.coalesce("degree", F.lit(0))), "id").limit(50).select("id", "name", "score")
 
 
@@ -226,8 +298,9 @@ BELOW = f"{CLOSURE}, below AS (SELECT DISTINCT CAST(split_part(node, ':', 2) AS
 
 
 def _below(t: Tables) -> DataFrame:
-    """Customers in the subtree of a node, from the closure of the tree."""
-    under = tree(t).where((F.col("ancestor") == "region:2") & F.col("node").startswith("customer:"))
+    """Customers in the subtree of a node: only what hangs below it is walked."""
+    root = t.region.where("r_regionkey = 2").select(ident("region", "r_regionkey").alias("node"))
+    under = G.descendants(edges(t, "IN_REGION", "LIVES_IN"), "src", "dst", root).where(F.col("node").startswith("customer:"))
     return under.select(F.split_part("node", F.lit(":"), F.lit(2)).cast("long").alias("o_custkey")).distinct()
 
 
@@ -451,9 +524,49 @@ CHECKS = [
 ]
 
 
-def _checks(name: str, rows: list[tuple[str, str, str]]) -> None:
+#: Checks of every table that need no join, in one scan a table and one shuffle; with those above that do.
+FUSED = [
+    C.Orphans("orphan_order_customer", "error", "orders", "o_custkey", "customer", "c_custkey"),
+    C.Orphans("orphan_line_order", "error", "lineitem", "l_orderkey", "orders", "o_orderkey"),
+    C.Orphans("orphan_line_part", "error", "lineitem", "l_partkey", "part", "p_partkey"),
+    C.Orphans("orphan_line_supplier", "error", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    C.Orphans("orphan_customer_nation", "error", "customer", "c_nationkey", "nation", "n_nationkey"),
+    C.Orphans("orphan_supplier_nation", "error", "supplier", "s_nationkey", "nation", "n_nationkey"),
+    C.Orphans("orphan_nation_region", "error", "nation", "n_regionkey", "region", "r_regionkey"),
+    C.Orphans("label_without_document", "error", "labels", "doc_id", "documents", "doc_id"),
+    C.Unique("duplicate_line", "error", "lineitem", ("l_orderkey", "l_linenumber")),
+    C.Unique("duplicate_order", "error", "orders", ("o_orderkey",)),
+    C.Unique("duplicate_part", "error", "part", ("p_partkey",)),
+    C.Unique("duplicate_part_name", "info", "part", ("p_name", "p_brand", "p_type", "p_size")),
+    C.Unique("duplicate_document", "error", "documents", ("doc_id",)),
+    C.Unique("duplicate_event", "error", "events", ("event_id",)),
+    C.Unique("duplicate_turn", "error", "conversations", ("conv_id", "turn")),
+    C.Unique("duplicate_page_url", "warning", "pages", ("url",)),
+    C.Unique("duplicate_customer_name", "warning", "customer", ("c_name",)),
+    C.Unique("duplicate_text", "warning", "documents", ("text",), digest=True),
+    C.Childless("customer_without_order", "info", "customer", "c_custkey", "orders", "o_custkey"),
+    C.Childless("part_never_sold", "info", "part", "p_partkey", "lineitem", "l_partkey"),
+    C.Childless("order_without_line", "warning", "orders", "o_orderkey", "lineitem", "l_orderkey"),
+    C.Childless("supplier_without_line", "info", "supplier", "s_suppkey", "lineitem", "l_suppkey"),
+    C.Childless("document_without_label", "info", "documents", "doc_id", "labels", "doc_id"),
+    C.Rows("negative_balance", "warning", "customer", "c_acctbal < 0"),
+    C.Rows("discount_range", "error", "lineitem", "l_discount < 0 OR l_discount > 0.1"),
+    C.Rows("tax_range", "error", "lineitem", "l_tax < 0 OR l_tax > 0.08"),
+    C.Rows("no_quantity", "error", "lineitem", "l_quantity IS NULL OR l_quantity <= 0"),
+    C.Rows("price_not_positive", "error", "orders", "o_totalprice IS NULL OR o_totalprice <= 0"),
+    C.Rows("empty_text", "warning", "documents", "text IS NULL OR trim(text) = ''"),
+    C.Rows("wrong_length", "error", "documents", "n_chars <> length(text)"),
+    C.Rows("no_language", "warning", "documents", "lang IS NULL"),
+    C.Rows("unknown_role", "error", "conversations", "role NOT IN ('system', 'user', 'assistant')"),
+    C.Rows("null_event_user", "warning", "events", "user_id IS NULL"),
+    C.Rows("no_vector", "error", "embeddings", "embedding IS NULL"),
+]
+JOINED_CHECKS = [c for c in CHECKS if c[0] not in {f.name for f in FUSED}]
+
+
+def _checks(name: str, rows: list[tuple[str, str, str]], fused: list[C.Check]) -> None:
     def run(t: Tables) -> DataFrame:
-        parts = []
+        parts = [C.report(lambda n: getattr(t, n), fused)] if fused else []
         for check, severity, sql in rows:
             used = {n: getattr(t, n) for n in ("orders", "customer", "lineitem", "part", "supplier", "documents", "labels", "conversations", "events") if n in sql.replace("_", " ").replace(".", " ").split()}
             for n, df in used.items():
@@ -463,10 +576,10 @@ def _checks(name: str, rows: list[tuple[str, str, str]]) -> None:
         return reduce(DataFrame.unionByName, parts)
 
     run.__name__ = name
-    each = [f"""SELECT '{c}' AS "check", '{s}' AS severity, CAST(count(*) AS BIGINT) AS n, count(*) = 0 AS passed FROM ({q.replace("LEFT ANTI JOIN", "ANTI JOIN")})""" for c, s, q in rows]
-    query(" UNION ALL ".join(each))(run)
+    counted = [(c, s, f"SELECT count(*) FROM ({q.replace('LEFT ANTI JOIN', 'ANTI JOIN')})") for c, s, q in rows] + [(c.name, c.severity, C.sql(c)) for c in fused]
+    query(" UNION ALL ".join(f"""SELECT '{c}' AS "check", '{s}' AS severity, CAST(({q}) AS BIGINT) AS n, ({q}) = 0 AS passed""" for c, s, q in counted))(run)
 
 
-_checks("checks_report", CHECKS)
+_checks("checks_report", JOINED_CHECKS, FUSED)
 for _c in CHECKS:
-    _checks(f"check_{_c[0]}", [_c])
+    _checks(f"check_{_c[0]}", [_c], [])

@@ -14,7 +14,7 @@ from ..operators import sets as X
 from ..registry import Tables, query
 from ..session import scratch
 from ..sources import files as FS
-from .graph_queries import EDGES_SQL, FK, NODES_SQL, edges, nodes
+from .graph_queries import EDGES_SQL, NODES_SQL, edges, foreign_keys, nodes
 
 # ---- building documents from delivered rows
 
@@ -106,7 +106,7 @@ def sink_graph_edges(t):
 
 @query("SELECT 'orders' AS dependant, CAST(count(*) AS BIGINT) AS rows FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem")
 def sink_truncate_cascade_report(t):
-    hit = G.closure(t.spark.createDataFrame(FK, "child string, parent string"), "child", "parent").where("ancestor = 'customer' AND hops > 0")
+    hit = G.closure(foreign_keys(t), "child", "parent").where("ancestor = 'customer' AND hops > 0")
     names = [r["node"] for r in hit.select("node").distinct().collect()]
     parts = [getattr(t, n).agg(F.count("*").alias("rows")).select(F.lit(n).alias("dependant"), "rows") for n in names]
     out = parts[0]

@@ -238,7 +238,7 @@ def er_expand_dataset(t):
 
 @query("""WITH o AS (SELECT c_custkey AS k, CASE WHEN c_acctbal > 0 THEN c_acctbal END AS v FROM customer WHERE c_custkey % 2 = 0), n AS (SELECT c_custkey AS k, 1.5 AS v FROM customer WHERE c_custkey % 3 = 0)
 SELECT coalesce(o.k, n.k) AS k, CAST(coalesce(o.v, n.v) AS DOUBLE) AS v FROM o FULL JOIN n ON o.k = n.k""")
-def sink_upsert_coalesce(t):
+def sink_upsert_fill(t):
     old = t.customer.where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k"), F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")).alias("v"))
     return R.upsert_coalesce(old, t.customer.where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("k"), F.lit(1.5).alias("v")), "k")
 

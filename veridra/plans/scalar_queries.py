@@ -161,10 +161,19 @@ CLEAN = ["Changes in β-cells > 3", "524 – 539", "Küttner G, Höhne W", "good
 
 
 @query(f"SELECT o_orderkey, {case_sql(CLEAN)} AS cleaned FROM orders")
-def fn_clean_text(t):
+def fn_clean_text_cases(t):
     return t.orders.select("o_orderkey", case_of(TEXTS).alias("v")).select("o_orderkey", S.clean_text(F.col("v")).alias("cleaned"))
 
 
+@query("SELECT doc_id, md5('> ' || text || ' –') AS cleaned_md5 FROM documents")
+def fn_clean_text(t):
+    """Whole documents whose UTF-8 was read as single bytes (never, once or twice, by their number), between an entity, a control letter and blanks."""
+    once = lambda c: F.decode(F.encode(c, "UTF-8"), "ISO-8859-1")
+    n = F.col("doc_id") % 3
+    spoilt = F.when(n == 0, F.col("text")).when(n == 1, once(F.col("text"))).otherwise(once(once(F.col("text"))))
+    return t.documents.select("doc_id", F.md5(S.clean_text(F.concat(F.lit(" \n &gt; "), spoilt, F.lit(" \x13 ")))).alias("cleaned_md5"))
+
+
 @query(r"""SELECT doc_id, md5(coalesce(array_to_string(list_filter(list_transform(string_split_regex(text, '\r?\n'), lambda x: trim(regexp_replace(x, '[ \t\x0B\f\r]+', ' ', 'g'))), lambda x: x <> ''), chr(10)), '')) AS text_md5 FROM documents""")
 def fn_clean_text_lines(t):
     return t.documents.select("doc_id", F.md5(F.coalesce(S.clean_lines(F.col("text")), F.lit(""))).alias("text_md5"))
@@ -223,7 +232,11 @@ def proj_truncate_text(t):
     return t.documents.select("doc_id", S.truncate_text(F.col("text")).alias("short"))
 
 
-@query("SELECT 'First Name!;first name;;Unnamed: 0' AS raw, 'first_name;first_name_2;col;unnamed_0' AS cleaned")
+@query(r"""WITH h AS (SELECT p_partkey, [p_name, ' ' || upper(p_name) || '!', p_brand, '', p_type, 'Unnamed: ' || p_size, '%', p_name || '_'] AS raw FROM part),
+c AS (SELECT p_partkey, list_transform(raw, lambda x: coalesce(nullif(trim(regexp_replace(lower(trim(x)), '[^0-9a-z]+', '_', 'g'), '_'), ''), 'col')) AS names FROM h),
+n AS (SELECT p_partkey, names, list_transform(names, lambda x, i: len(list_filter(names[1:i], lambda y: y = x))) AS times FROM c)
+SELECT p_partkey, array_to_string(list_transform(names, lambda x, i: CASE WHEN times[i] = 1 THEN x ELSE x || '_' || times[i] END), ';') AS cleaned FROM n""")
 def fn_clean_columns(t):
-    raw = ["First Name!", "first name", "", "Unnamed: 0"]
-    return t.spark.range(1).select(F.lit(";".join(raw)).alias("raw"), F.lit(";".join(S.clean_columns(raw))).alias("cleaned"))
+    """A header a part, of names that repeat, are blank or differ in marks only."""
+    raw = F.array("p_name", F.concat(F.lit(" "), F.upper("p_name"), F.lit("!")), "p_brand", F.lit(""), "p_type", F.concat(F.lit("Unnamed: "), F.col("p_size").cast("string")), F.lit("%"), F.concat("p_name", F.lit("_")))
+    return t.part.select("p_partkey", F.array_join(S.clean_header(raw), ";").alias("cleaned"))

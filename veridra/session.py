@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import hashlib
 import os
 import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,6 +70,30 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def snapshot(spark: SparkSession, paths: list[str]) -> str:
+    """What the files under some paths are now: a digest of their names, sizes and times, whichever store they are in."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for path in paths:
+        top = jvm.org.apache.hadoop.fs.Path(path)
+        files = top.getFileSystem(conf).listFiles(top, True)
+        while files.hasNext():
+            f = files.next()
+            found.append(f"{f.getPath()}\t{f.getLen()}\t{f.getModificationTime()}")
+    return hashlib.md5("\n".join(sorted(found)).encode()).hexdigest()
+
+
+_KEPT: dict[tuple[str, str], tuple[str, DataFrame]] = {}
+
+
+def kept(spark: SparkSession, name: str, version: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """What build returns (a stored frame), kept for this application under a name until the version changes."""
+    at = (spark.sparkContext.applicationId, name)
+    if at not in _KEPT or _KEPT[at][0] != version:
+        _KEPT[at] = version, build()
+    return _KEPT[at][1]
+
+
 _SHIPPED: set[str] = set()
 
 

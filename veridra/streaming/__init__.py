@@ -1 +1 @@
-
+"""Ingest that goes on where it stopped."""
