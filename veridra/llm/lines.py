@@ -27,12 +27,11 @@ def _without(lines: Column, gone: Column) -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(0), F.size(gone)), run))
 
 
-def _met(lines: DataFrame, keys: DataFrame, total: int) -> DataFrame:
-    """lines joined to keys (hash, n, ...), which has each hash once. The hot ones, at most 1,000 whatever
-    the size, are sent to where their lines are; the others meet by sorting."""
-    hot = F.col("n") > HOT * total
-    common = F.broadcast(keys.where(hot))
-    rare = lines.join(F.broadcast(keys.where(hot).select("hash")), "hash", "left_anti").join(keys.where(~hot).hint("merge"), "hash")
+def _met(lines: DataFrame, keys: DataFrame, hot: DataFrame) -> DataFrame:
+    """lines joined to keys (hash, hot, ...), which has each hash once. Keys of hot lines, at most 1,000 whatever
+    the size, are sent to where their lines are; the others meet by sorting, and no hot line (hot: hash) is sent to them."""
+    common = F.broadcast(keys.where("hot").drop("hot"))
+    rare = lines.join(F.broadcast(hot), "hash", "left_anti").join(keys.where("NOT hot").drop("hot").hint("merge"), "hash")
     return lines.join(common, "hash").unionByName(rare)
 
 
@@ -70,22 +69,23 @@ def drop_boilerplate(
     lines = stored(lines)
     spread = lines.groupBy("hash").agg(
         F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(lg_k))).alias("sites"),
-        F.min(F.struct("id", "row", "pos")).alias("first"), F.max("least").alias("least"), F.count("*").alias("n"),
+        F.min(F.struct("id", "row", "pos")).alias("first"), F.max("least").alias("least"), (F.count("*") > HOT * lines.count()).alias("hot"),
     )
-    total = lines.count()
     margin = F.greatest(F.lit(1.0), 3 * 1.04 / 2 ** (lg_k / 2) * F.col("least"))
-    spread = stored(spread.where(F.col("sites") >= F.col("least") - margin))
+    spread = stored(spread.where((F.col("sites") >= F.col("least") - margin) | F.col("hot")))
+    hot = spread.where("hot").select("hash")
+    spread = spread.where(F.col("sites") >= F.col("least") - margin)
     near = spread.where(F.col("sites") <= F.col("least") + margin)
     exact = (
-        _met(lines.select("hash", "site"), near.select("hash", "n"), total)
+        _met(lines.select("hash", "site"), near.select("hash", "hot"), hot)
         .select("hash", "site").distinct()
         .groupBy("hash").agg(F.count("site").alias("exact"))
     )
-    boilerplate = spread.where(F.col("sites") > F.col("least") + margin).select("hash", "first", "n").unionByName(
-        near.join(exact, "hash").where(F.col("exact") >= F.col("least")).select("hash", "first", "n")
+    boilerplate = spread.where(F.col("sites") > F.col("least") + margin).select("hash", "first", "hot").unionByName(
+        near.join(exact, "hash").where(F.col("exact") >= F.col("least")).select("hash", "first", "hot")
     )
     # one plan at any size: one that turns at some size can't be foreseen from small runs
-    hits = _met(lines, stored(boilerplate), total)
+    hits = _met(lines, stored(boilerplate), hot)
     if keep_first:
         first = F.col("first")
         hits = hits.where(~((F.col("row") == first["row"]) & F.col("id").eqNullSafe(first["id"]) & (F.col("pos") == first["pos"])))
