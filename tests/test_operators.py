@@ -98,6 +98,14 @@ def test_locators_overlap(spark):
     assert [r[0] for r in df.select(matching.locators(F.col("v"))).collect()] == [["12:34", "34:56"], [], None]
 
 
+def test_rules_of_single_terms(spark):
+    text = "Dengue fever. Fever of unknown kind; GP gene here. GP alone\nFEVER"
+    rules = {"fever": linking.TermRule(not_before=r"(?i)dengue\s*$"), "gp": linking.TermRule(sentence=r"\bgenes?\b")}
+    terms = [("fever", "f", "condition"), ("GP", "g", "gene"), ("unknown", "u", "word")]
+    got = linking.longest_spans(spark.createDataFrame([(1, text), (2, "")], "doc int, text string"), terms, "doc", "text", rules=rules).collect()
+    assert sorted((r["start"], r["term"]) for r in got) == [(14, "fever"), (23, "unknown"), (37, "GP"), (60, "fever")]
+
+
 def column(spark, fn, cases, kind="string"):
     df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], f"i int, v {kind}")
     return [r[0] for r in df.select("i", fn(F.col("v")).alias("out")).orderBy("i").select("out").collect()]

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -274,10 +275,43 @@ def in_context(starts: np.ndarray, ends: np.ndarray, types: list[str], text: str
     return out
 
 
-def longest_spans(docs: DataFrame, terms: list[tuple[str, str, str]], id_col: str, text_col: str, window: int = 80) -> DataFrame:
+@dataclass(frozen=True)
+class TermRule:
+    """What a term's surroundings must be: a pattern found in its sentence, and one not found in the letters just before it."""
+
+    sentence: str | None = None
+    not_before: str | None = None
+    letters: int = 20
+
+
+class Rules:
+    """Rules of single terms, by lower-case term."""
+
+    def __init__(self, rules: dict[str, TermRule]):
+        self.rules = {lower(t): (r, re.compile(r.sentence) if r.sentence else None, re.compile(r.not_before) if r.not_before else None) for t, r in rules.items()}
+
+    def hold(self, text: str, starts: np.ndarray, terms: list[str]) -> list[bool]:
+        """For each span of a term, whether its rule holds; sentences end at the stops that in_context knows."""
+        if not self.rules or not any(lower(t) in self.rules for t in terms):
+            return [True] * len(terms)
+        stops = np.array([i for i, c in enumerate(text) if c in _STOPS], np.int64)
+        out = []
+        for start, term in zip(starts.tolist(), terms, strict=True):
+            rule, inside, before = self.rules.get(lower(term), (None, None, None))
+            n = int(np.searchsorted(stops, start))
+            first, last = int(stops[n - 1]) + 1 if n else 0, int(stops[n]) if n < len(stops) else len(text)
+            good = not inside or bool(inside.search(text, first, last))
+            out.append(good and not (before and before.search(text[max(0, start - rule.letters) : start])))
+        return out
+
+
+def longest_spans(
+    docs: DataFrame, terms: list[tuple[str, str, str]], id_col: str, text_col: str, window: int = 80, rules: dict[str, TermRule] | None = None
+) -> DataFrame:
     """Accepted hits of a small vocabulary [(term, entity, type)]: longest spans first, no overlaps.
 
-    A hit of type `generic` also needs a taxon hit in its sentence within `window` letters.
+    A hit of type `generic` also needs a taxon hit in its sentence within `window` letters, and a hit of a
+    term that rules name needs what its rule says; hits that fall out take no other's place.
     Short upper-case terms match in that case only. The choice is sequential within
     one text, so texts are handled in Arrow batches, each by itself; terms are found in one
     pass over a text, however many there are.
@@ -286,7 +320,7 @@ def longest_spans(docs: DataFrame, terms: list[tuple[str, str, str]], id_col: st
     exact = [len(t) == 1 or (len(t) <= 4 and t.isupper()) for t, _, _ in rows]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        finder = Finder(lower(t) for t, _, _ in rows)
+        finder, single = Finder(lower(t) for t, _, _ in rows), Rules(rules or {})
         number = {t: i for i, t in enumerate(finder.terms)}
         owners: dict[int, list[int]] = {}
         for k, (t, _, _) in enumerate(rows):
@@ -304,6 +338,7 @@ def longest_spans(docs: DataFrame, terms: list[tuple[str, str, str]], id_col: st
                 kept = chosen_spans(at[:, 0], at[:, 1], [rows[h[2]][2] for h in hits], len(text))
                 at, kinds = at[kept], [rows[hits[i][2]][2] for i in kept]
                 ok = in_context(at[:, 0], at[:, 1], kinds, text, window)
+                ok = [a and b for a, b in zip(ok, single.hold(text, at[:, 0], [rows[hits[i][2]][0] for i in kept]), strict=True)]
                 out += [(ident, *hits[i][:2], *rows[hits[i][2]]) for i, good in zip(kept, ok, strict=True) if good]
             yield pd.DataFrame(out, columns=["id", "start", "end", "term", "entity", "type"])
 

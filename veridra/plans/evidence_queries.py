@@ -582,3 +582,15 @@ def link_window_context(t):
     terms = [(w, w, k) for w, k in CONTEXT.items()]
     found = L.longest_spans(t.documents, terms, "doc_id", "text", window=80)
     return found.where(F.col("type") == "generic").select("doc_id", "start", "term")
+
+
+@query(r"""WITH w AS (SELECT doc_id, text, unnest(string_split(regexp_replace(lower(text), '[^0-9a-z]', ' ', 'g'), ' ')) AS term, generate_subscripts(string_split(regexp_replace(lower(text), '[^0-9a-z]', ' ', 'g'), ' '), 1) AS i FROM documents),
+p AS (SELECT doc_id, text, term, CAST(sum(length(term) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(term) - 1 AS BIGINT) AS start FROM w),
+s AS (SELECT doc_id, term, text, start, regexp_extract(substr(text, 1, start), '[^.!?;
+]*$') || regexp_extract(substr(text, start + 1), '^[^.!?;
+]*') AS sentence FROM p WHERE term IN ('la', 'of'))
+SELECT doc_id, start, term FROM s WHERE (term = 'la' AND regexp_matches(sentence, '(?i)(?:le|un)')) OR (term = 'of' AND NOT regexp_matches(substr(text, greatest(1, start - 19), least(start, 20)), '(?i)and'))""")
+def link_term_rules(t):
+    """Terms with rules of their own: one needs a word in its sentence, one must not follow a word closely."""
+    rules = {"la": L.TermRule(sentence=r"(?ia)(?:le|un)"), "of": L.TermRule(not_before=r"(?ia)and")}
+    return L.longest_spans(t.documents, [("la", "la", "word"), ("of", "of", "word")], "doc_id", "text", rules=rules).select("doc_id", "start", "term")
