@@ -67,24 +67,31 @@ def title_candidates(left: DataFrame, right: DataFrame, least: float) -> DataFra
     return near.union(inner).union(outer).distinct()
 
 
+def title_scores(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """(lt, rt, score) of all pairs of distinct titles with a ratio of at least `least`; no pair is lost, and a title that repeats is compared once."""
+    once = lambda df, key: df.where(F.length("title") > 0).select("title").distinct().withColumn(key, F.col("title"))
+    pairs = title_candidates(once(left, "l"), once(right, "r"), least).select(F.col("l").alias("lt"), F.col("r").alias("rt"))
+    # letters that can be shared at all: most candidates end here, in the JVM
+    able = F.least(F.length("lt"), F.length("rt")) * 2 >= F.lit(least) * (F.length("lt") + F.length("rt"))
+    inside = (F.least(F.length("lt"), F.length("rt")) >= INSIDE) & (F.contains("lt", F.col("rt")) | F.contains("rt", F.col("lt")))
+    return pairs.where(able | inside).withColumn("score", F.round(title_ratio("lt", "rt"), 6)).where(F.col("score") >= least)
+
+
 def fuzzy_title_pairs(left: DataFrame, right: DataFrame, least: float = 0.9) -> DataFrame:
     """left and right rows of all pairs whose titles have a ratio of at least `least`, with `score`; no pair is lost.
 
     left: l, title and more; right: r, title and more (normalised titles; no other name in common).
     """
-    texts = F.length("title") > 0
-    left, right = left.where(texts), right.where(texts)
-    pairs = title_candidates(left, right, least).join(left.withColumnRenamed("title", "lt"), "l").join(right.withColumnRenamed("title", "rt"), "r")
-    # letters that can be shared at all: most candidates end here, in the JVM
-    able = F.least(F.length("lt"), F.length("rt")) * 2 >= F.lit(least) * (F.length("lt") + F.length("rt"))
-    inside = (F.least(F.length("lt"), F.length("rt")) >= INSIDE) & (F.contains("lt", F.col("rt")) | F.contains("rt", F.col("lt")))
-    return pairs.where(able | inside).withColumn("score", F.round(title_ratio("lt", "rt"), 6)).where(F.col("score") >= least)
+    scores = title_scores(left, right, least)
+    return scores.join(left.withColumnRenamed("title", "lt"), "lt").join(right.withColumnRenamed("title", "rt"), "rt")
 
 
 def fuzzy_title_join(left: DataFrame, right: DataFrame, least: float = 0.9) -> DataFrame:
-    """(l, r, score): the best right title of each left one, the smallest r among equals."""
-    scored = fuzzy_title_pairs(left, right, least)
-    return scored.groupBy("l").agg(F.min_by(F.struct("r", "score"), F.struct(-F.col("score"), "r")).alias("b")).select("l", "b.r", "b.score")
+    """(l, r, score): the best right title of each left one, the smallest r among equals. Of right rows with one title the smallest stands for all."""
+    first = right.groupBy(F.col("title").alias("rt")).agg(F.min("r").alias("r"))
+    scored = title_scores(left, right, least).join(first, "rt")
+    best = scored.groupBy("lt").agg(F.min_by(F.struct("r", "score"), F.struct(-F.col("score"), "r")).alias("b"))
+    return left.join(best, F.col("title") == F.col("lt")).select("l", "b.r", "b.score")
 
 
 def verified_titles(segments: DataFrame, records: DataFrame, least: float = 0.85) -> DataFrame:
