@@ -347,3 +347,11 @@ def test_places_in_a_hot_group(spark):
     for g in (None, "a", "b"):
         mine = sorted((r["v"], r["i"], r["place"]) for r in got if r["g"] == g)
         assert [p for _, _, p in mine] == list(range(1, len(mine) + 1))
+
+
+def test_references_without_a_semicolon_stay(spark):
+    from veridra.sources import files
+
+    pages = [(1, "<title>a&amp;b &amp</title>"), (2, "<title>&lt;x&gt; &#39;q&#x27; &l</title>"), (3, "<title>R&D &lt &no; c</title><p>one &amp two")]
+    got = files.parse_pages(spark.createDataFrame(pages, "id long, html string"), "id", "html")
+    assert {r["id"]: (r["title"], r["words"]) for r in got.collect()} == {1: ("a&b &amp", 0), 2: ("<x> 'q' &l", 0), 3: ("R&D &lt &no; c", 3)}
