@@ -355,3 +355,31 @@ def test_references_without_a_semicolon_stay(spark):
     pages = [(1, "<title>a&amp;b &amp</title>"), (2, "<title>&lt;x&gt; &#39;q&#x27; &l</title>"), (3, "<title>R&D &lt &no; c</title><p>one &amp two")]
     got = files.parse_pages(spark.createDataFrame(pages, "id long, html string"), "id", "html")
     assert {r["id"]: (r["title"], r["words"]) for r in got.collect()} == {1: ("a&b &amp", 0), 2: ("<x> 'q' &l", 0), 3: ("R&D &lt &no; c", 3)}
+
+
+def test_titles_unlike_are_no_candidates(spark):
+    rnd = random.Random(5)
+    titles = [" ".join(rnd.choice(["the", "and", "tion", "er", "ou", "an", "nt"]) + rnd.choice(["re", "ing", "th", ""]) for _ in range(9)) for _ in range(120)]
+    sides = [spark.createDataFrame([(t, t, str(i).encode()) for i, t in enumerate(titles[n::2])], f"{key} string, title string, key binary") for n, key in ((0, "l"), (1, "r"))]
+    assert matching.title_candidates(*sides, 0.85).count() < 60 * 60 // 4
+
+
+def test_blocks_of_titles_lose_no_pair(spark):
+    rnd = random.Random(6)
+    words = ["virus", "entry", "of", "a", "cell", "mice"]
+    titles = list(dict.fromkeys(" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 60 if i % 9 == 0 else 7))) for i in range(120)))
+    a, b = (spark.createDataFrame([(t, t.encode()) for t in titles[n::2]], "title string, key binary") for n in (0, 1))
+    got = {(bytes(r["l"]).decode(), bytes(r["r"]).decode()) for r in matching.title_candidates(a, b, 0.8, block=7).collect()}
+    want = {(x, y) for x in titles[::2] for y in titles[1::2] if ratio(x, y) >= 0.8}
+    assert want <= got
+
+
+def test_common_letters():
+    rnd = random.Random(7)
+    for _ in range(200):
+        x, y = ("".join(rnd.choice("abc ") for _ in range(rnd.randint(0, 12))) for _ in range(2))
+        best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+        for i, c in enumerate(x):
+            for j, d in enumerate(y):
+                best[i + 1][j + 1] = best[i][j] + 1 if c == d else max(best[i][j + 1], best[i + 1][j])
+        assert matching.common_letters(x, y) == best[-1][-1]

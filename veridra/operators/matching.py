@@ -6,8 +6,11 @@ Candidates always come from an equi-join on a blocking key; the exact measure de
 from __future__ import annotations
 
 import difflib
+import math
 import re
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,65 +19,168 @@ from pyspark.sql.types import ArrayType, DoubleType, StringType
 from ..session import stored
 
 
-@F.pandas_udf(DoubleType())
-def title_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratio of matching blocks of two normalised titles; one inside the other (20 letters or more) is 1."""
+def common_letters(x: str, y: str) -> int:
+    """Letters of the longest common subsequence, a bit for each letter of x: no matching blocks hold more."""
+    places: dict[str, int] = {}
+    for i, c in enumerate(x):
+        places[c] = places.get(c, 0) | 1 << i
+    full = (1 << len(x)) - 1
+    left = full
+    for c in y:
+        hit = left & places.get(c, 0)
+        left = ((left + hit) | (left - hit)) & full
+    return len(x) - left.bit_count()
+
+
+def title_ratio(a: Column, b: Column, least: float = 0.0) -> Column:
+    """Ratio of matching blocks of two normalised titles; one inside the other (20 letters or more) is 1, one that can't reach `least` 0."""
+
     def ratio(x: str, y: str) -> float:
         short, long = sorted((x, y), key=len)
-        if len(short) >= 20 and short in long:
+        if len(short) >= INSIDE and short in long:
             return 1.0
+        # from 200 letters on the matcher leaves frequent letters out and is the quicker one
+        if least and len(y) < 200 and common_letters(x, y) * 2 < (least - 1e-6) * (len(x) + len(y)):
+            return 0.0
         return difflib.SequenceMatcher(None, x, y).ratio()
 
-    return pd.Series([ratio(x, y) if x and y else 0.0 for x, y in zip(a, b, strict=True)])
+    @F.pandas_udf(DoubleType())
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([ratio(x, y) if x and y else 0.0 for x, y in zip(a, b, strict=True)], dtype=float)
+
+    return run(a, b)
+
+
+#: Letters of the shortest title that may count by standing inside another, buckets of letters and of pairs of letters.
+INSIDE, LETTERS, PAIRS = 20, 32, 256
+
 
+def _sketched(titles: DataFrame) -> DataFrame:
+    """(key, length, sketch) of titles (key, title): how often letters and pairs of letters occur, by buckets, 255 at most."""
 
-#: Letters of a gram, and of the shortest title that may count by standing inside another.
-GRAM, INSIDE = 3, 20
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            sketches = []
+            for title in pdf["title"]:
+                codes = np.frombuffer(title.encode("utf-32-le", "surrogatepass"), np.uint32)
+                counts = np.bincount(codes % LETTERS, minlength=LETTERS), np.bincount((codes[:-1] * 37 + codes[1:]) % PAIRS, minlength=PAIRS)
+                sketches.append(np.minimum(np.concatenate(counts), 255).astype(np.uint8).tobytes())
+            yield pd.DataFrame({"key": pdf["key"], "length": pdf["title"].str.len(), "sketch": sketches})
 
+    return titles.select("key", "title").mapInPandas(run, "key binary, length int, sketch binary")
 
-def _grams(df: DataFrame, key: str) -> DataFrame:
-    """(key, length, gram): the letter runs of a title, the n-th repeat of one being a gram of its own."""
-    t = F.col("title")
-    runs = F.when(F.length(t) < GRAM, F.array(t)).otherwise(
-        F.transform(F.sequence(F.lit(1), F.length(t) - GRAM + 1), lambda i: F.substr(t, i, F.lit(GRAM)))
-    )
-    each = df.select(key, F.length(t).alias("length"), F.explode(runs).alias("run"))
-    counted = each.groupBy(key, "length", "run").agg(F.count("*").alias("n"))
-    return counted.select(key, "length", F.explode(F.transform(F.sequence(F.lit(1), F.col("n").cast("int")), lambda i: F.struct("run", i.alias("no")))).alias("gram"))
 
+def _near(least: float, cells: int = 1 << 20) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    """Pairs of two blocks that may reach a ratio, by bounds of what their sketches can share; `cells` pairs at a time."""
 
-def title_candidates(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
-    """Pairs (l, r) of titles among which are all with a ratio of at least `least`, or with one inside the other.
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        if len(left) and len(right):
+            a, b = (np.frombuffer(b"".join(x["sketch"]), np.uint8).reshape(len(x), -1).astype(np.int16) for x in (left, right))
+            la, lb = (x["length"].to_numpy(np.float32) for x in (left, right))
+            letters, step = np.ascontiguousarray(b[:, :LETTERS].T), max(1, cells // len(b))
+            for at in range(0, len(a), step):
+                part = a[at : at + step]
+                # letters that are not shared, of both titles together
+                spare = (1 - least) * (la[at : at + step, None] + lb[None]) + 0.01
+                apart, diff = np.zeros(spare.shape, np.int16), np.empty(spare.shape, np.int16)
+                for k in range(LETTERS):
+                    np.subtract(part[:, k, None], letters[k][None], out=diff)
+                    np.abs(diff, out=diff)
+                    apart += diff
+                i, j = np.nonzero((apart <= spare) & (np.abs(la[at : at + step, None] - lb[None]) <= spare))
+                for cut in range(0, len(i), cells // PAIRS):
+                    u, v = i[cut : cut + cells // PAIRS], j[cut : cut + cells // PAIRS]
+                    keep = np.abs(part[u, LETTERS:] - b[v, LETTERS:]).sum(axis=1, dtype=np.int32) <= 3 * spare[u, v]
+                    found.append((u[keep] + at, v[keep]))
+        i, j = (np.concatenate([f[n] for f in found]) if found else np.empty(0, np.int64) for n in (0, 1))
+        return pd.DataFrame({"l": left["key"].to_numpy()[i], "r": right["key"].to_numpy()[j]})
 
-    A ratio of q means that at most (1 - q)(|a| + |b|) letters are not shared; each of them spoils GRAM
-    grams at most. So a pair of that ratio shares one of the rarest grams of either title, that many and one
-    more of them. A title inside another shares its rarest gram with it.
+    return run
+
+
+def _tasks(df: DataFrame) -> int:
+    """Tasks for work that is larger than its rows say; a number of its own, so that small partitions are not put together."""
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+
+
+def _near_titles(left: DataFrame, right: DataFrame, least: float, block: int) -> DataFrame:
+    """(l, r) of keys of titles that may have a ratio of at least `least`.
+
+    Titles of one class of length are dealt into blocks, and every two blocks of near classes meet once, in
+    one task: the cost is pairs of titles of like length, a few nanoseconds each, and memory is bounded.
+    Matched letters M of |a| + |b| = T leave k = T - 2M <= (1 - q)T letters, which part them into k + 1 runs
+    at most: so counts of letters differ by k at most, and counts of pairs of letters by 3k at most.
     """
-    a, b = _grams(left, "l"), _grams(right, "r")
-    often = a.select("gram").union(b.select("gram")).groupBy("gram").agg(F.count("*").alias("often"))
-    # the other title is longer by a factor of (2 - q) / q at most
-    most = (1 - least) * (1 + (2 - least) / least)
-
-    def ordered(df: DataFrame, key: str) -> DataFrame:
-        return df.join(often, "gram").withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy("often", "gram")))
-
-    a, b = stored(ordered(a, "l")), stored(ordered(b, "r"))
-    rare = F.col("place") <= F.floor(F.col("length") * most) * GRAM + 1
-    near = a.where(rare).select("l", "gram").join(b.where(rare).select("r", "gram"), "gram").select("l", "r")
-    first = (F.col("place") == 1) & (F.col("length") >= INSIDE)
-    inner = a.where(first).select("l", "gram").join(b.select("r", "gram"), "gram").select("l", "r")
-    outer = b.where(first).select("r", "gram").join(a.select("l", "gram"), "gram").select("l", "r")
+    base = math.log((2 - least) / least) * 1.0001
+    kind = F.floor(F.log(F.col("length")) / base).cast("int")
+    a, b = (stored(_sketched(x).withColumn("kind", kind)) for x in (left, right))
+    sizes = [{r["kind"]: -(-r["n"] // block) for r in x.groupBy("kind").agg(F.count("*").alias("n")).collect()} for x in (a, b)]
+    spark, n = left.sparkSession, _tasks(left)
+
+    def dealt(df: DataFrame, own: dict[int, int], other: dict[int, int], first: bool) -> DataFrame:
+        """Each row once for every block of the other side that its own block meets."""
+        met = [(k, s, g, o) for k, m in own.items() for s in range(m) for g in (k - 1, k, k + 1) for o in range(other.get(g, 0))]
+        meets = spark.createDataFrame([(k, s, f"{k}.{s}-{g}.{o}" if first else f"{g}.{o}-{k}.{s}") for k, s, g, o in met], "kind int, share int, meet string")
+        shares = F.create_map(*[F.lit(x) for pair in own.items() for x in pair])[F.col("kind")]
+        rows = df.withColumn("share", F.pmod(F.xxhash64("key"), shares).cast("int"))
+        return rows.join(F.broadcast(meets), ["kind", "share"]).select("meet", "key", "length", "sketch").repartition(n, "meet")
+
+    if not sizes[0] or not sizes[1]:
+        return spark.createDataFrame([], "l binary, r binary")
+    both = dealt(a, *sizes, True).groupBy("meet").cogroup(dealt(b, *sizes[::-1], False).groupBy("meet"))
+    return both.applyInPandas(_near(least), "l binary, r binary")
+
+
+def _windows(titles: DataFrame) -> DataFrame:
+    """(key, window): hashes of all runs of INSIDE letters of a title, in time that grows with its length."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for key, title in zip(pdf["key"], pdf["title"], strict=True):
+                codes = np.frombuffer(title.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
+                n, hashes = len(codes) - INSIDE + 1, np.uint64(0)
+                for i in range(INSIDE):
+                    hashes = (hashes ^ codes[i : i + n]) * np.uint64(0xD6E8FEB86659FD93)
+                    hashes ^= hashes >> np.uint64(32)
+                yield pd.DataFrame({"key": key, "window": np.unique(hashes.view(np.int64))})
+
+    return titles.where(F.length("title") >= INSIDE).select("key", "title").mapInPandas(run, "key binary, window long")
+
+
+def _inside(short: DataFrame, long: DataFrame) -> DataFrame:
+    """(short, long) of keys among which are all where a title stands inside the other: they share the run of letters that is rarest in `long`."""
+    often = long.groupBy("window").agg(F.count("*").alias("often"))
+    known = short.join(often, "window", "left").groupBy("key").agg(F.min(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "window")).alias("least"))
+    rare = known.where("least.often > 0").select(F.col("key").alias("short"), F.col("least.window").alias("window"))
+    return rare.join(long.select(F.col("key").alias("long"), "window"), "window").select("short", "long")
+
+
+def title_candidates(left: DataFrame, right: DataFrame, least: float, block: int | None = None) -> DataFrame:
+    """Pairs (l, r) of keys of titles (key, title) among which are all with a ratio of at least `least`, or with one inside the other."""
+    rows = max(left.count(), right.count())
+    near = _near_titles(left, right, least - 1e-6, block or min(max(rows // 16, 1024), 1 << 14))
+    a, b = stored(_windows(left)), stored(_windows(right))
+    inner = _inside(a, b).select(F.col("short").alias("l"), F.col("long").alias("r"))
+    outer = _inside(b, a).select(F.col("long").alias("l"), F.col("short").alias("r"))
     return near.union(inner).union(outer).distinct()
 
 
 def title_scores(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
-    """(lt, rt, score) of all pairs of distinct titles with a ratio of at least `least`; no pair is lost, and a title that repeats is compared once."""
-    once = lambda df, key: df.where(F.length("title") > 0).select("title").distinct().withColumn(key, F.col("title"))
-    pairs = title_candidates(once(left, "l"), once(right, "r"), least).select(F.col("l").alias("lt"), F.col("r").alias("rt"))
+    """(lt, rt, score) of all pairs of distinct titles with a ratio of at least `least`; no pair is lost, and a title that repeats is compared once.
+
+    Until the exact measure a digest stands for a title, so that long titles do not travel with all their parts.
+    """
+    once = lambda df: stored(df.where(F.length("title") > 0).select("title").distinct().withColumn("key", F.unhex(F.md5("title"))))
+    a, b = once(left), once(right)
+    pairs = stored(title_candidates(a, b, least))
+    full = pairs.join(a.select(F.col("key").alias("l"), F.col("title").alias("lt")), "l").join(b.select(F.col("key").alias("r"), F.col("title").alias("rt")), "r")
     # letters that can be shared at all: most candidates end here, in the JVM
     able = F.least(F.length("lt"), F.length("rt")) * 2 >= F.lit(least) * (F.length("lt") + F.length("rt"))
     inside = (F.least(F.length("lt"), F.length("rt")) >= INSIDE) & (F.contains("lt", F.col("rt")) | F.contains("rt", F.col("lt")))
-    return pairs.where(able | inside).withColumn("score", F.round(title_ratio("lt", "rt"), 6)).where(F.col("score") >= least)
+    left_over = full.where(able | inside).select("lt", "rt").repartition(_tasks(left))
+    return left_over.withColumn("score", F.round(title_ratio(F.col("lt"), F.col("rt"), least), 6)).where(F.col("score") >= least)
 
 
 def fuzzy_title_pairs(left: DataFrame, right: DataFrame, least: float = 0.9) -> DataFrame:
