@@ -383,3 +383,40 @@ def test_common_letters():
             for j, d in enumerate(y):
                 best[i + 1][j + 1] = best[i][j] + 1 if c == d else max(best[i][j + 1], best[i + 1][j])
         assert matching.common_letters(x, y) == best[-1][-1]
+
+
+def test_prefixes_are_joined_whole(spark):
+    from veridra.operators import joins
+
+    docs = spark.createDataFrame([(1, "ab1"), (2, "ab12"), (3, "ab"), (4, "zz9"), (5, "a")], "doc int, prefix string")
+    keys = spark.createDataFrame([(1, "ab12", 7), (2, "ab13", 7), (3, "ab2", 8), (4, "ab", 7)], "k int, name string, title int")
+    got = lambda **how: sorted((r["doc"], r["k"]) for r in joins.prefix_match(docs, keys, "prefix", "name", 2, **how).collect())
+    assert got() == [(1, 1), (1, 2), (2, 1), (3, 1), (3, 2), (3, 3), (3, 4)]
+    assert got(one="title") == [(1, 1), (1, 2), (2, 1)]
+
+
+def test_one_hot_key_is_dealt_over_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from veridra.operators import joins
+
+    a, b = (spark.createDataFrame([("x", i) for i in range(n)], f"key string, {name} int") for n, name in ((300, "a"), (20, "b")))
+    both = joins.dealt_join(a, b, "key", 16)
+    sizes = [r["count"] for r in both.groupBy(F.spark_partition_id()).count().collect()]
+    assert both.distinct().count() == sum(sizes) == 6000 and max(sizes) < 2000
+
+
+def test_awards_beyond_a_million(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    spark.createDataFrame([(1, 1_200_000, "R"), (2, 120_000, "A"), (3, 1_000_005, "R"), (4, 5, "N")], "l_orderkey long, l_partkey long, l_returnflag string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(120_000,), (5,), (1_000_005,)], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    got = entry.queries()["link_paper_grant"](spark, str(tmp_path)).collect()
+    assert sorted((r["doc"], r["target"]) for r in got) == [(2, 120_000), (3, 1_000_005)]
+
+
+def test_antibodies_without_a_place_are_not_joined(spark):
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["er_antibodies"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union")

@@ -299,7 +299,7 @@ def join_prefix_startswith(t):
     name = F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
     docs = t.orders.select(F.col("o_custkey").alias("doc"), F.substr(name, F.lit(1), (16 + F.col("o_custkey") % 3).cast("int")).alias("prefix")).distinct()
     keys = t.customer.select("c_custkey", "c_name", F.floor(F.col("c_nationkey") / 13).alias("title"))
-    return J.unambiguous(J.prefix_match(docs, keys, "prefix", "c_name", 12), ["doc"], "title").select("doc", "c_custkey")
+    return J.prefix_match(docs, keys, "prefix", "c_name", 12, "title").select("doc", "c_custkey")
 
 
 def _titles(t: Tables, odd: int, out: str) -> DataFrame:
