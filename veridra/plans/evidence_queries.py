@@ -140,8 +140,15 @@ def link_doc_citations(t):
     return reduce(DataFrame.union, parts)
 
 
+def _serial(key: Column) -> Column:
+    """Institute and six digits of a key: AI for the first million, the next two letters for the next (676 in all)."""
+    i = (F.floor(key / 1_000_000) + 8) % 676
+    letter = lambda x: F.chr((x + 65).cast("long"))
+    return F.concat(letter(F.floor(i / 26)), letter(i % 26), F.lpad((key % 1_000_000).cast("string"), 6, "0"))
+
+
 def _core(key: Column) -> Column:
-    return F.concat(F.lit("R01AI"), F.lpad(key.cast("string"), 6, "0"))
+    return F.concat(F.lit("R01"), _serial(key))
 
 
 def _awards(t: Tables) -> DataFrame:
@@ -158,7 +165,7 @@ def _resolved(t: Tables, texts: DataFrame) -> DataFrame:
 def link_grant_patent(t):
     """Awards named in statements of government support; numbers elsewhere in the text don't count."""
     head = F.concat(F.lit("Related work was R01 AI"), F.lpad(F.col("o_orderkey").cast("string"), 6, "0"), F.lit(". "))
-    made = F.concat(F.lit("This was made with government support under R01-AI"), F.lpad(F.col("o_custkey").cast("string"), 6, "0"), F.lit(" awarded by an institute. End."))
+    made = F.concat(F.lit("This was made with government support under R01-"), _serial(F.col("o_custkey")), F.lit(" awarded by an institute. End."))
     text = F.concat(head, F.when(F.col("o_orderstatus") == "F", made).otherwise(F.lit("No support is stated.")))
     texts = t.orders.select(F.col("o_orderkey").alias("doc"), M.federal_statement(text).alias("text"))
     return _resolved(t, texts.where("text IS NOT NULL"))
@@ -167,7 +174,7 @@ def link_grant_patent(t):
 @query("SELECT DISTINCT l_orderkey AS doc, c_custkey AS target FROM lineitem JOIN customer ON c_custkey = l_partkey WHERE l_returnflag <> 'N'")
 def link_paper_grant(t):
     """Awards in a paper's grant list (XML): one row a listed grant with a number."""
-    number = F.when(F.col("l_returnflag") != "N", F.concat(F.lit("<GrantID>R01 AI"), F.lpad(F.col("l_partkey").cast("string"), 6, "0"), F.lit("</GrantID>"))).otherwise(F.lit("<GrantID/>"))
+    number = F.when(F.col("l_returnflag") != "N", F.concat(F.lit("<GrantID>R01 "), _serial(F.col("l_partkey")), F.lit("</GrantID>"))).otherwise(F.lit("<GrantID/>"))
     item = F.concat(F.lit("<Grant>"), number, F.lit("<Agency>NIAID</Agency></Grant>"))
     lists = t.lineitem.select(F.col("l_orderkey").alias("doc"), F.concat(F.lit("<GrantList>"), item, F.lit("</GrantList>")).alias("xml"))
     listed = lists.select("doc", F.explode(F.regexp_extract_all("xml", F.lit("<GrantID>([^<]+)</GrantID>"), F.lit(1))).alias("text"))
