@@ -112,9 +112,12 @@ def join_versioned_accession(t):
 @query("SELECT DISTINCT c_custkey, s_suppkey FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN supplier ON s_nationkey = n_nationkey WHERE c_acctbal < 0")
 def join_natural_key_symbol(t):
     n = t.nation.select("n_nationkey", "n_name")
-    c = t.customer.where("c_acctbal < 0").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "n_name")
-    s = t.supplier.join(n, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
-    return c.join(s, "n_name").select("c_custkey", "s_suppkey").distinct()
+    # a key with all its names: pairs come from the first name that both have, so they are distinct as they are
+    own = lambda df, k, names: df.groupBy(k).agg(F.collect_set("n_name").alias(names)).select(k, names, F.explode(names).alias("n_name"))
+    c = own(t.customer.where("c_acctbal < 0").join(n, F.col("c_nationkey") == F.col("n_nationkey")), "c_custkey", "cs")
+    s = own(t.supplier.join(n, F.col("s_nationkey") == F.col("n_nationkey")), "s_suppkey", "ss")
+    both = J.dealt_join(c, s, "n_name").where(F.array_min(F.array_intersect("cs", "ss")) == F.col("n_name"))
+    return both.select("c_custkey", "s_suppkey")
 
 
 @query("SELECT l_orderkey, l_linenumber, c_name FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE l_discount > 0.05")
