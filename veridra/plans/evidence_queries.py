@@ -390,7 +390,10 @@ def er_antibodies(t):
     clean = lambda c: S.placeholder_to_none(F.col(c), "_", "NA", "n/a")
     antibodies = sheet.select("l_orderkey", "l_linenumber", "name", F.trim(clean("alias")).alias("alias"), S.parse_neutralizing(clean("called")).alias("neutralizing"), clean("place").alias("place"))
     epitopes = antibodies.select("place").where("place IS NOT NULL").distinct().withColumn("epitope", F.col("place").cast("long"))
-    return antibodies.join(epitopes, "place", "left").select("l_orderkey", "l_linenumber", "name", "alias", "neutralizing", "epitope")
+    columns = ["l_orderkey", "l_linenumber", "name", "alias", "neutralizing", "epitope"]
+    # rows without a place find nothing, and would all go to one task of a join
+    linked = antibodies.where("place IS NOT NULL").join(epitopes, "place", "left").select(*columns)
+    return linked.union(antibodies.where("place IS NULL").withColumn("epitope", F.lit(None).cast("long")).select(*columns))
 
 
 @query("""SELECT p_partkey AS epitope, p_name AS peptide, 'T cell' AS assay_type, coalesce(CASE WHEN p_size % 2 = 0 THEN 'HLA-' || p_brand END, 'MHC-' || p_type) AS mhc_allele,
