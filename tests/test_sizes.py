@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from veridra.operators import linking
+from veridra.functions import scalars
+from veridra.operators import linking, organisations
 
 
 def test_hits_leave_in_pieces(spark):
@@ -13,3 +14,24 @@ def test_hits_leave_in_pieces(spark):
     got = found.groupBy("term", "n", "at").agg(F.count("*").alias("rows"), F.countDistinct("id").alias("ids")).collect()
     assert sorted(map(tuple, got)) == [("Y", 1, 3, 6000, 6000), ("x", 2, 1, 6000, 6000)]
     assert linking.term_matches(docs.limit(0), spark.createDataFrame([("x",)], "term string"), "id", "text", "term").collect() == []
+
+
+def test_a_field_is_taken_apart_once(spark):
+    # one split, few fields: the dear work is on distinct fields, in more than one task
+    rows = spark.range(4000).coalesce(1).select("id", F.concat(F.lit("Acme "), F.col("id") % 50, F.lit(", Inc.,Univ. of X"), F.when(F.col("id") % 2 == 0, "The X")).alias("field"), F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("role"))
+    named = organisations.organisation_fields(rows, "field")
+    assert named.select("field").distinct().count() == 25 and named.where("spelling = 'Univ. of XThe X'").count() == 25
+    tasks = named.select(F.input_file_name().alias("f")).distinct().count()
+    assert tasks > 1
+    orgs, links = organisations.organisation_links(rows.withColumn("field", F.coalesce("field", F.lit("Acme 1 LLC"))), "field", "role", "id")
+    got = {r["org_key"]: (r["display"], r["spellings"], r["roles"]) for r in orgs.collect()}
+    assert got["ACME 1"] == ("Acme 1 LLC", ["Acme 1 LLC"], ["b"]) and got["UNIVERSITY OF XTHE X"][2] == ["a", "b"]
+    assert links.where("org_key = 'ACME 1'").count() == 2000 and links.count() == 2000 + 2 * 2000
+
+
+def test_headers_are_cleaned_once_a_row(spark):
+    raw = F.array(F.col("id").cast("string"), F.lit("A b"), F.lit("a-B "), F.lit(None), F.lit(""))
+    df = spark.range(3).select(scalars.clean_header(raw).alias("names"))
+    assert [r["names"] for r in df.collect()] == [[str(i), "a_b", "a_b_2", "col", "col_2"] for i in range(3)]
+    # one pattern in the plan: no copy of the cleaning inside the numbering
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1

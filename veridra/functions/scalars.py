@@ -306,11 +306,15 @@ def clean_header(names: Column) -> Column:
     plain = F.transform(names, lambda x: F.trim(F.regexp_replace(F.lower(F.trim(F.coalesce(x, F.lit("")))), "[^0-9a-z]+", "_"), F.lit("_")))
     plain = F.transform(plain, lambda x: F.when(x == "", "col").otherwise(x))
 
-    def numbered(x: Column, i: Column) -> Column:
-        n = F.size(F.filter(F.slice(plain, 1, i + 1), lambda y: y == x))
-        return F.when(n == 1, x).otherwise(F.concat_ws("_", x, n.cast("string")))
+    def numbered(plain: Column) -> Column:
+        def one(x: Column, i: Column) -> Column:
+            n = F.size(F.filter(F.slice(plain, 1, i + 1), lambda y: y == x))
+            return F.when(n == 1, x).otherwise(F.concat_ws("_", x, n.cast("string")))
 
-    return F.transform(plain, numbered)
+        return F.transform(plain, one)
+
+    # as an argument the cleaned names are worked out once, not once for each name
+    return F.get(F.transform(F.array(plain), numbered), F.lit(0))
 
 
 def clean_columns(names: list[str]) -> list[str]:
