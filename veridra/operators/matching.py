@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType
 
-from ..session import stored
+from ..session import stored, tasks
 
 
 def common_letters(x: str, y: str) -> int:
@@ -99,12 +99,6 @@ def _near(least: float, cells: int = 1 << 20) -> Callable[[pd.DataFrame, pd.Data
     return run
 
 
-def _tasks(df: DataFrame) -> int:
-    """Tasks for work that is larger than its rows say; a number of its own, so that small partitions are not put together."""
-    spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
-
-
 def _near_titles(left: DataFrame, right: DataFrame, least: float, block: int) -> DataFrame:
     """(l, r) of keys of titles that may have a ratio of at least `least`.
 
@@ -117,7 +111,7 @@ def _near_titles(left: DataFrame, right: DataFrame, least: float, block: int) ->
     kind = F.floor(F.log(F.col("length")) / base).cast("int")
     a, b = (stored(_sketched(x).withColumn("kind", kind)) for x in (left, right))
     sizes = [{r["kind"]: -(-r["n"] // block) for r in x.groupBy("kind").agg(F.count("*").alias("n")).collect()} for x in (a, b)]
-    spark, n = left.sparkSession, _tasks(left)
+    spark, n = left.sparkSession, tasks(left)
 
     def dealt(df: DataFrame, own: dict[int, int], other: dict[int, int], first: bool) -> DataFrame:
         """Each row once for every block of the other side that its own block meets."""
@@ -179,7 +173,7 @@ def title_scores(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     # letters that can be shared at all: most candidates end here, in the JVM
     able = F.least(F.length("lt"), F.length("rt")) * 2 >= F.lit(least) * (F.length("lt") + F.length("rt"))
     inside = (F.least(F.length("lt"), F.length("rt")) >= INSIDE) & (F.contains("lt", F.col("rt")) | F.contains("rt", F.col("lt")))
-    left_over = full.where(able | inside).select("lt", "rt").repartition(_tasks(left))
+    left_over = full.where(able | inside).select("lt", "rt").repartition(tasks(left))
     return left_over.withColumn("score", F.round(title_ratio(F.col("lt"), F.col("rt"), least), 6)).where(F.col("score") >= least)
 
 

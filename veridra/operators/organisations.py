@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ..session import stored, tasks
+
 
 @dataclass(frozen=True)
 class Agency:
@@ -180,18 +182,29 @@ def organisation_names(field: Column, known: Lexicon = KNOWN) -> Column:
     return F.array_distinct(F.filter(names, lambda x: ~person(x) & ~fragment(x) & own(x)))
 
 
-def organisation_links(rows: DataFrame, field: str, role: str, ident: str, known: Lexicon = KNOWN) -> tuple[DataFrame, DataFrame]:
-    """Organisations (org_key, display, spellings, roles) and links (org_key, role, ident) of rows that name them in a field.
+def organisation_fields(rows: DataFrame, field: str, known: Lexicon = KNOWN) -> DataFrame:
+    """(field, spelling, org_key) of what each distinct field names.
 
-    Keys are made once for each spelling, however many rows have it.
+    A field is taken apart once and a spelling gets its key once, however many rows have them, and both are
+    dealt over tasks: a table of short fields is few splits, and its work many times its size.
     """
-    each = rows.select(F.col(role).alias("role"), F.col(ident).alias("ident"), F.explode(organisation_names(F.col(field), known)).alias("spelling"))
-    counted = each.groupBy("spelling").agg(F.count("*").alias("n"), F.collect_set("role").alias("roles"))
-    counted = counted.withColumn("org_key", organisation_key(F.col("spelling"), known)).where("org_key <> ''")
+    n = tasks(rows)
+    fields = rows.select(F.col(field).alias("field")).where("field IS NOT NULL").distinct().repartition(n, "field")
+    each = stored(fields.select("field", F.explode(organisation_names(F.col("field"), known)).alias("spelling")))
+    spellings = each.select("spelling").distinct().repartition(n, "spelling")
+    return stored(each.join(spellings.withColumn("org_key", organisation_key(F.col("spelling"), known)), "spelling").select("field", "spelling", "org_key"))
+
+
+def organisation_links(rows: DataFrame, field: str, role: str, ident: str, known: Lexicon = KNOWN) -> tuple[DataFrame, DataFrame]:
+    """Organisations (org_key, display, spellings, roles) and links (org_key, role, ident) of rows that name them in a field."""
+    each = rows.select(F.col(field).alias("field"), F.col(role).alias("role"), F.col(ident).alias("ident"))
+    named = organisation_fields(rows, field, known).where("org_key <> ''")
+    often = each.groupBy("field").agg(F.count("*").alias("n"), F.collect_set("role").alias("roles"))
+    counted = often.join(named, "field").groupBy("org_key", "spelling").agg(F.sum("n").alias("n"), F.array_distinct(F.flatten(F.collect_list("roles"))).alias("roles"))
     # the most frequent spelling is shown; mixed case and shorter ones win ties
     order = F.struct(-F.col("n"), F.upper("spelling") == F.col("spelling"), F.length("spelling"), F.col("spelling"))
     organisations = counted.groupBy("org_key").agg(
         F.min_by("spelling", order).alias("display"), F.array_sort(F.collect_set("spelling")).alias("spellings"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("roles")))).alias("roles"),
     )
-    return organisations, each.join(counted.select("spelling", "org_key"), "spelling").select("org_key", "role", "ident").distinct()
+    return organisations, each.join(named.select("field", "org_key").distinct(), "field").select("org_key", "role", "ident").distinct()

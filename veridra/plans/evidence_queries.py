@@ -435,8 +435,9 @@ def er_org_split(t):
 @query(f"WITH {ASSIGNEES} SELECT c_custkey, org FROM orgs")
 def er_org_normalize(t):
     """All spellings of one organisation get one key: preambles, abbreviations, legal forms, federal agencies."""
-    each = _assignees(t).select("c_custkey", F.explode(O.organisation_names(F.col("field"))).alias("name"))
-    return each.select("c_custkey", O.organisation_key(F.col("name")).alias("org")).distinct()
+    rows = _assignees(t)
+    named = O.organisation_fields(rows, "field").select("field", F.col("org_key").alias("org")).distinct()
+    return rows.join(named, "field").select("c_custkey", "org").distinct()
 
 
 @query(f"""WITH {ASSIGNEES}, all_roles AS (SELECT org, 'patent' AS role, c_custkey AS id FROM orgs UNION ALL SELECT 'UNIVERSITY OF ' || replace(n_name, '_', ' '), 'grant', s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey)
