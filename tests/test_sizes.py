@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from veridra.functions import scalars
-from veridra.operators import linking, organisations
+from veridra.operators import graph, linking, organisations, project
 
 
 def test_hits_leave_in_pieces(spark):
@@ -35,3 +35,28 @@ def test_headers_are_cleaned_once_a_row(spark):
     assert [r["names"] for r in df.collect()] == [[str(i), "a_b", "a_b_2", "col", "col_2"] for i in range(3)]
     # one pattern in the plan: no copy of the cleaning inside the numbering
     assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
+
+
+def test_numbers_are_resolved_once_for_all_documents(spark):
+    found = spark.createDataFrame([(1, "R43", "AI066487"), (1, "R43", "AI066487"), (2, None, "AI066487"), (3, "K08", "AI066487"), (4, None, "AI000001")], "doc int, activity string, serial string")
+    awards = spark.createDataFrame([(1, "R43AI066487"), (2, "R44AI066487"), (5, "26120150000")], "award int, core string")
+    got = linking.resolve_grants(found, awards)
+    assert sorted(map(tuple, got.collect())) == [(1, 1, "R43AI066487"), (2, 1, "AI066487"), (2, 2, "AI066487"), (3, 1, "K08AI066487"), (3, 2, "K08AI066487")]
+    # no window over the documents' rows is left
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ends_are_counted_without_moving_edges(spark):
+    edges = spark.createDataFrame([("a", "b"), ("a", "x"), ("x", "b"), (None, "a"), ("a", "b")], "src string, dst string")
+    nodes = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "id string")
+    got = graph.reconcile(edges, nodes, "src", "dst", "id")
+    assert tuple(got.first()) == (5, 2, 1) and tuple(graph.reconcile(edges.limit(0), nodes, "src", "dst", "id").first()) == (0, 0, 0)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+
+
+def test_repeats_stay_where_they_do_not_matter(spark):
+    rows = spark.createDataFrame([(1, 2), (1, 2), (3, None)], "a int, b int")
+    specs = [project.Edge("E", "t", ("x", "a"), ("y", "b"), repeats=True)]
+    all_of, once = project.edges(lambda _: rows, specs, once=False), project.edges(lambda _: rows, specs)
+    assert (all_of.count(), once.count()) == (2, 1) and "Aggregate" not in all_of._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["node"] for r in graph.ends(all_of, "src", "dst").collect()) == ["x:1", "y:2"]
