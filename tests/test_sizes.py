@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from veridra.functions import scalars
 from veridra.operators import graph, linking, organisations, project
+from veridra.sources import paged
 
 
 def test_hits_leave_in_pieces(spark):
@@ -60,3 +61,18 @@ def test_repeats_stay_where_they_do_not_matter(spark):
     all_of, once = project.edges(lambda _: rows, specs, once=False), project.edges(lambda _: rows, specs)
     assert (all_of.count(), once.count()) == (2, 1) and "Aggregate" not in all_of._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(r["node"] for r in graph.ends(all_of, "src", "dst").collect()) == ["x:1", "y:2"]
+
+
+def test_a_year_beyond_the_window_is_many_pages():
+    class Service:
+        held = sorted({k * k for k in range(1000)} | set(range(300)))
+
+        def count(self, low, high, after=None, most=None):
+            return len(self.held) if most is None else sum(after < k <= most for k in self.held)
+
+    s = Service()
+    pages = paged.plan(s, 2000, 2000, 10, 100, keys=(s.held[0], s.held[-1]))
+    assert all(p.offset is not None and p.offset + p.limit <= 100 for p in pages)
+    got = [k for p in pages for k in [k for k in s.held if p.keys[0] < k <= p.keys[1]][p.offset : p.offset + p.limit]]
+    assert got == s.held and len(pages) > len(s.held) / 10
+    assert paged.plan(s, 2000, 2000, 10, 100) == [paged.Page(2000, 2000, 10, None)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from dataclasses import dataclass, field
+from functools import lru_cache
 from typing import Any
 from xml.sax.saxutils import escape
 
@@ -23,6 +24,12 @@ from ..streaming import ingest
 RECORD = "o_orderkey long, o_custkey long, o_totalprice double"
 
 
+@lru_cache(maxsize=4)
+def _files(path: str) -> ds.Dataset:
+    """The files below a folder, listed once a process."""
+    return ds.dataset(path, partitioning="hive")
+
+
 @dataclass
 class Shelf:
     """A service over a folder of records by year, each year's files in order of key. Every fourth page is busy when it is first asked for."""
@@ -31,10 +38,13 @@ class Shelf:
     counts: dict[int, int]
     asked: set = field(default_factory=set)
 
-    def count(self, low: int, high: int) -> int:
-        return sum(n for y, n in self.counts.items() if low <= y <= high)
+    def count(self, low: int, high: int, after: int | None = None, most: int | None = None) -> int:
+        if most is None:
+            return sum(n for y, n in self.counts.items() if low <= y <= high)
+        year, key = ds.field("year"), ds.field("o_orderkey")
+        return _files(self.path).count_rows(filter=(year >= low) & (year <= high) & (key > after) & (key <= most))
 
-    def page(self, low: int, high: int, limit: int, offset: int = 0, after: Any = None) -> pa.RecordBatch:
+    def page(self, low: int, high: int, limit: int, offset: int = 0, after: Any = None, most: int | None = None) -> pa.RecordBatch:
         if offset // limit % 4 == 3 and (low, offset) not in self.asked:
             self.asked.add((low, offset))
             raise paged.Busy
@@ -42,6 +52,8 @@ class Shelf:
         wanted = (year >= low) & (year <= high)
         if after is not None:
             wanted &= ds.field("o_orderkey") > after
+            if most is not None:
+                wanted &= ds.field("o_orderkey") <= most
         else:
             # places run from 1 through each year, and years follow one another
             part, before = None, 0
@@ -49,7 +61,8 @@ class Shelf:
                 mine = (year == y) & (place > offset - before) & (place <= offset + limit - before)
                 part, before = mine if part is None else part | mine, before + self.counts[y]
             wanted = part if part is not None else wanted
-        table = ds.dataset(self.path, partitioning="hive").scanner(columns=["o_orderkey", "o_custkey", "o_totalprice"], filter=wanted).head(limit)
+        skip = 0 if after is None else offset
+        table = _files(self.path).scanner(columns=["o_orderkey", "o_custkey", "o_totalprice"], filter=wanted).head(skip + limit).slice(skip)
         batches = table.combine_chunks().to_batches()
         return batches[0] if batches else pa.RecordBatch.from_pylist([], schema=table.schema)
 
@@ -64,7 +77,9 @@ def scan_api_paged(t):
     # one number a year
     counts = {r["year"]: r["n"] for r in rows.groupBy("year").agg(F.count("*").alias("n")).collect()}
     years = [y for y in counts if y is not None]
-    return paged.read_paged(t.spark, Shelf(path, counts), RECORD, "o_orderkey", min(years, default=1990), max(years, default=1990), pause=0.01)
+    ends = rows.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    keys = None if ends[0] is None else (ends[0], ends[1])
+    return paged.read_paged(t.spark, Shelf(path, counts), RECORD, "o_orderkey", min(years, default=1990), max(years, default=1990), pause=0.01, keys=keys)
 
 
 @query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
