@@ -364,6 +364,18 @@ def test_titles_unlike_are_no_candidates(spark):
     assert matching.title_candidates(*sides, 0.85).count() < 60 * 60 // 4
 
 
+def test_few_bytes_of_titles_are_many_tasks(spark):
+    titles = spark.createDataFrame([(f"title of a paper number {i}", str(i).encode()) for i in range(40)], "title string, key binary").coalesce(1)
+    for made in (matching._windows(titles), matching._sketched(titles)):
+        assert made.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    # the measure stays behind the dealing of pairs, where a filter of a column would move before it
+    scores = matching.title_scores(titles, titles, 0.9)
+    plan = scores._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("MapInPandas") < plan.index("Repartition")
+    assert "EvalPython" not in plan
+    assert scores.where("lt = rt AND score = 1").count() == 40
+
+
 def test_blocks_of_titles_lose_no_pair(spark):
     rnd = random.Random(6)
     words = ["virus", "entry", "of", "a", "cell", "mice"]

@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StringType
+from pyspark.sql.types import ArrayType, StringType
 
 from ..session import stored, tasks
 
@@ -32,23 +32,30 @@ def common_letters(x: str, y: str) -> int:
     return len(x) - left.bit_count()
 
 
-def title_ratio(a: Column, b: Column, least: float = 0.0) -> Column:
+def _ratio(x: str, y: str, least: float) -> float:
     """Ratio of matching blocks of two normalised titles; one inside the other (20 letters or more) is 1, one that can't reach `least` 0."""
+    short, long = sorted((x, y), key=len)
+    if len(short) >= INSIDE and short in long:
+        return 1.0
+    # from 200 letters on the matcher leaves frequent letters out and is the quicker one
+    if least and len(y) < 200 and common_letters(x, y) * 2 < (least - 1e-6) * (len(x) + len(y)):
+        return 0.0
+    return difflib.SequenceMatcher(None, x, y).ratio()
 
-    def ratio(x: str, y: str) -> float:
-        short, long = sorted((x, y), key=len)
-        if len(short) >= INSIDE and short in long:
-            return 1.0
-        # from 200 letters on the matcher leaves frequent letters out and is the quicker one
-        if least and len(y) < 200 and common_letters(x, y) * 2 < (least - 1e-6) * (len(x) + len(y)):
-            return 0.0
-        return difflib.SequenceMatcher(None, x, y).ratio()
 
-    @F.pandas_udf(DoubleType())
-    def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([ratio(x, y) if x and y else 0.0 for x, y in zip(a, b, strict=True)], dtype=float)
+def _scored(pairs: DataFrame, least: float) -> DataFrame:
+    """(lt, rt, score) of the pairs (lt, rt) whose ratio is at least `least`, dealt anew as a pair costs far more than its bytes say.
 
-    return run(a, b)
+    No column expression: Spark would move a filter of the score, and the measure with it, to before the pairs are dealt.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            scores = np.array([_ratio(x, y, least) for x, y in zip(pdf["lt"], pdf["rt"], strict=True)], float)
+            yield pdf.assign(score=scores)[scores >= least - 1e-6]
+
+    found = pairs.select("lt", "rt").repartition(tasks(pairs)).mapInPandas(run, "lt string, rt string, score double")
+    return found.withColumn("score", F.round("score", 6)).where(F.col("score") >= least)
 
 
 #: Letters of the shortest title that may count by standing inside another, buckets of letters and of pairs of letters.
@@ -67,7 +74,7 @@ def _sketched(titles: DataFrame) -> DataFrame:
                 sketches.append(np.minimum(np.concatenate(counts), 255).astype(np.uint8).tobytes())
             yield pd.DataFrame({"key": pdf["key"], "length": pdf["title"].str.len(), "sketch": sketches})
 
-    return titles.select("key", "title").mapInPandas(run, "key binary, length int, sketch binary")
+    return titles.select("key", "title").repartition(tasks(titles)).mapInPandas(run, "key binary, length int, sketch binary")
 
 
 def _near(least: float, cells: int = 1 << 20) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
@@ -140,7 +147,7 @@ def _windows(titles: DataFrame) -> DataFrame:
                     hashes ^= hashes >> np.uint64(32)
                 yield pd.DataFrame({"key": key, "window": np.unique(hashes.view(np.int64))})
 
-    return titles.where(F.length("title") >= INSIDE).select("key", "title").mapInPandas(run, "key binary, window long")
+    return titles.where(F.length("title") >= INSIDE).select("key", "title").repartition(tasks(titles)).mapInPandas(run, "key binary, window long")
 
 
 def _inside(short: DataFrame, long: DataFrame) -> DataFrame:
@@ -173,8 +180,7 @@ def title_scores(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     # letters that can be shared at all: most candidates end here, in the JVM
     able = F.least(F.length("lt"), F.length("rt")) * 2 >= F.lit(least) * (F.length("lt") + F.length("rt"))
     inside = (F.least(F.length("lt"), F.length("rt")) >= INSIDE) & (F.contains("lt", F.col("rt")) | F.contains("rt", F.col("lt")))
-    left_over = full.where(able | inside).select("lt", "rt").repartition(tasks(left))
-    return left_over.withColumn("score", F.round(title_ratio(F.col("lt"), F.col("rt"), least), 6)).where(F.col("score") >= least)
+    return _scored(full.where(able | inside), least)
 
 
 def fuzzy_title_pairs(left: DataFrame, right: DataFrame, least: float = 0.9) -> DataFrame:
