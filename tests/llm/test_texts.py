@@ -345,3 +345,20 @@ def test_signatures_estimate_weighted_similarity(n):
     sig = dart.signatures(*dart.weighted(*shingles(*words(raw, starts)[:2])), 80)
     errors = [(sig[i] == sig[40 + i]).mean() - weighted_jaccard(shingle_counts(a[i]), shingle_counts(b[i])) for i in range(40)]
     assert abs(np.mean(errors)) < 0.02
+
+
+def test_tables_of_texts_are_few_files(spark, monkeypatch):
+    """A shuffle of many parts must not make as many files of a small table: near-dedup keeps some thirty tables."""
+    kept, write = [], dart.stored
+
+    def stored(df):
+        kept.append(df.rdd.getNumPartitions())
+        return write(df)
+
+    monkeypatch.setattr(dart, "stored", stored)
+    most = 8 * spark.sparkContext.defaultParallelism
+    wide = spark.range(50).repartition(3 * most)
+    assert dart._by_text(wide, 50).count() == 50
+    assert kept == [most]
+    assert dart._by_text(wide, 10**6).count() == 50
+    assert kept[1] == min(3 * most, max(most, 500))

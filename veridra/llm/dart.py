@@ -40,6 +40,8 @@ LEADERS = 2
 BINS = 32
 #: Texts of a bucket that are compared with the others in one task.
 DEALT = 2_000
+#: A table with a row a text is written by 8 tasks a core, or by more of this many rows each.
+TASK_ROWS = 2_000
 
 
 def weighted(doc: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -238,8 +240,8 @@ def _across(members: DataFrame, least: float) -> DataFrame:
 
 
 def _roots(links: DataFrame) -> DataFrame:
-    """(node, part) of links (a, b) in which every b has one a, and no circle: the topmost a, by jumping over known ones."""
-    jumps = stored(links.select(F.col("b").alias("node"), F.col("a").alias("part")))
+    """(node, part) of stored links (a, b) in which every b has one a, and no circle: the topmost a, by jumping over known ones."""
+    jumps = links.select(F.col("b").alias("node"), F.col("a").alias("part"))
     while True:
         ahead = jumps.select(F.col("node").alias("part"), F.col("part").alias("top"))
         further = stored(jumps.join(ahead.hint("merge"), "part", "left").select("node", F.coalesce("top", "part").alias("part"), F.col("top").isNotNull().alias("moved")))
@@ -252,11 +254,16 @@ def _merged(part: DataFrame, links: DataFrame) -> DataFrame:
     """part (node, part) after verified links between parts (pa, pb)."""
     if not links.head(1):
         return part
-    wider = stored(components(links, "pa", "pb"))
-    wider = wider.select(F.col("node").alias("part"), "component")
+    wider = components(links, "pa", "pb").select(F.col("node").alias("part"), "component")
     return stored(part.join(wider.hint("merge"), "part", "left").select("node", F.coalesce("component", "part").alias("part")))
 
 
+def _by_text(df: DataFrame, texts: int) -> DataFrame:
+    """df, a row or so for each of so many texts, stored by no more tasks than they are worth: each costs a file. Its keys must repeat seldom."""
+    most = max(8 * df.sparkSession.sparkContext.defaultParallelism, texts // TASK_ROWS)
+    return stored(df.coalesce(most))
+
+
 def near_duplicates(
     docs: DataFrame, least: float = 0.8, width: int = 5, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -278,18 +285,19 @@ def near_duplicates(
     ).withColumn("node", F.xxhash64("text"))
     every = stored(_signed(base, width, K, ROWS))
     worded = F.col("bands").isNotNull()
-    copies = stored(every.groupBy("id", "node").agg(F.max(worded).alias("worded")))
-    signed = stored(every.where(worded).groupBy("node").agg(*(F.first(c).alias(c) for c in ("bands", "bits", "size"))))
+    texts = every.count()
+    copies = _by_text(every.groupBy("id", "node").agg(F.max(worded).alias("worded")), texts)
+    signed = _by_text(every.where(worded).groupBy("node").agg(*(F.first(c).alias(c) for c in ("bands", "bits", "size"))), texts)
     buckets = signed.select("node", F.explode("bands").alias("key"))
     filled = stored(buckets.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1))
     buckets = stored(buckets.join(filled.hint("merge"), "key"))
     # the member that shares the most is likely the text that the others are copies of
     weight = buckets.groupBy("node").agg(F.sum("n").alias("weight"))
-    member = stored(signed.drop("bands").join(weight.hint("merge"), "node"))
+    member = _by_text(signed.drop("bands").join(weight.hint("merge"), "node"), texts)
     # the shingles of all texts that share a bucket, made once
     needed = copies.groupBy("node").agg(F.min("id").alias("id")).join(member.select("node").hint("merge"), "node", "left_semi")
-    texts = base.join(needed.hint("merge"), ["id", "node"], "left_semi").dropDuplicates(["node"])
-    packed = stored(_shingled(texts.select("node", "text"), width))
+    first = base.join(needed.hint("merge"), ["id", "node"], "left_semi").dropDuplicates(["node"])
+    packed = _by_text(_shingled(first.select("node", "text"), width), texts)
 
     rows = buckets.select("node", "key")
     part = member.select("node", F.col("node").alias("part"))
@@ -299,23 +307,23 @@ def near_duplicates(
             found = _led(members, F.struct("weight", F.bitwise_not("node")), least)
             # one candidate a text first: most of the others are then of one class
             first = found.groupBy("b").agg(F.max_by("a", "order").alias("a"))
-            top = _roots(_verified(stored(first.select("a", "b")), packed, least))
-            part = stored(part.select("node").join(top.hint("merge"), "node", "left").select("node", F.coalesce("part", "node").alias("part")))
+            top = _roots(_verified(first.select("a", "b"), packed, least))
+            part = _by_text(part.select("node").join(top.hint("merge"), "node", "left").select("node", F.coalesce("part", "node").alias("part")), texts)
         else:
             found = _led(members, F.struct(F.xxhash64("node", F.lit(turn)), "node"), least).select("a", "b", "pa", "pb").distinct()
-            part = _merged(part, _verified(stored(found), packed, least).select("pa", "pb").distinct())
+            part = _merged(part, _verified(found, packed, least).select("pa", "pb"))
     # what is left: every pair of two classes that shares a bucket, but for what can't be alike
     members = stored(rows.join(part.hint("merge"), "node"))
     open_keys = stored(members.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("key"))
     members = stored(members.join(open_keys.hint("merge"), "key", "left_semi"))
-    nodes = stored(members.select("node").distinct())
-    own = stored(_own_weight(packed.join(nodes.hint("merge"), "node", "left_semi")))
+    nodes = _by_text(members.select("node").distinct(), texts)
+    own = _own_weight(packed.join(nodes.hint("merge"), "node", "left_semi"))
     facts = nodes.join(member.hint("merge"), "node").join(packed.select("node", "bins").hint("merge"), "node").join(own.hint("merge"), "node", "left")
     rest = F.when(F.col("own").isNull(), F.col("bins")).otherwise(F.zip_with("bins", "own", lambda a, b: a - b))
     able = F.aggregate(rest, F.lit(0).cast("long"), lambda a, b: a + b)
-    facts = stored(facts.select("node", "size", "bits", able.alias("able"), rest.alias("bins")))
-    rest = stored(_across(members.join(facts.hint("merge"), "node"), least))
-    part = _merged(part, _verified(rest, packed, least).select("pa", "pb").distinct())
+    facts = facts.select("node", "size", "bits", able.alias("able"), rest.alias("bins"))
+    rest = _across(members.join(facts.hint("merge"), "node"), least)
+    part = _merged(part, _verified(rest, packed, least).select("pa", "pb"))
     # the texts of one id are one class; texts without words are alike in nothing
     own = copies.where("worded").select("id", "node").join(part.hint("merge"), "node", "left")
     own = stored(own.select("id", "node", F.coalesce("part", "node").alias("part")))
@@ -324,8 +332,8 @@ def near_duplicates(
         across = own.join(lowest.select("id", "a").hint("merge"), "id").where("part <> a").select("a", F.col("part").alias("b"))
         wider = stored(components(across).select(F.col("node").alias("part"), "component"))
         own = stored(own.join(wider.hint("merge"), "part", "left").select("id", "node", F.coalesce("component", "part").alias("part")))
-    class_id = stored(own.groupBy("part").agg(F.min("id").alias("class_id")))
-    same = stored(own.groupBy("node").agg(F.count("*").alias("n_copies")))
+    class_id = _by_text(own.groupBy("part").agg(F.min("id").alias("class_id")), texts)
+    same = _by_text(own.groupBy("node").agg(F.count("*").alias("n_copies")), texts)
     named = stored(own.join(class_id.hint("merge"), "part").join(same.hint("merge"), "node").select("id", "class_id", "n_copies"))
     named = named.groupBy("id").agg(F.min("class_id").alias("class_id"), F.max("n_copies").alias("n_copies"))
     out = copies.select("id").distinct().join(named.hint("merge"), "id", "left")
