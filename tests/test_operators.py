@@ -1,6 +1,7 @@
 import difflib
 import random
 import re
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -364,6 +365,33 @@ def test_titles_unlike_are_no_candidates(spark):
     assert matching.title_candidates(*sides, 0.85).count() < 60 * 60 // 4
 
 
+def test_plain_pages_need_no_parser(monkeypatch):
+    """Pages of plain markup are read by one pattern a tag, and any page states what the parser alone tells of it."""
+
+    class Whole(files._Record):
+        feed = HTMLParser.feed
+
+    def told(kind, page):
+        r = kind()
+        r.feed(page)
+        r.close_entry()
+        return r.abstract, r.dates, r.entries, r.numbers
+
+    rnd = random.Random(5)
+    pieces = [
+        "<p>", "</p>", "<P class='a'>", "<br>", "<br/>", "<br />", "<h2>Patent Citations</h2>", "<h2>", "</h2 >", "<table><tr><td>", "</td></tr>", "</table>", "<td>x</td>", " a &amp; b", "1 < 2", "&lt", "R&D ", " &#39;", "é\n",
+        '<meta name="Description" content="x &quot;y&quot; &#39;z&#39;">', "<meta name=description content=>", '<meta name="description" content="">', "<meta name='description' content>", '<time itemprop="d" datetime="1999">', "<time itemprop='d' datetime='2000'/>",
+        '<span itemprop="publicationNumber"> US1</span>', "<!-- <p> -->", "<!doctype html>", "<script>if (a < b) '<p>'</script>", "<title>a</title>", '<a b="1"c="2">', "<a b = 'c'>", "<a\tB\n=x>", '<a href="?a=1&copy=2">', "</ p>", "</>", "<", "<b", '<b c="', "</b", "&", "&am", "<svg:x y-z:w='&notin;'>", "<p/ >", "<p /a>", "",
+    ]
+    for size in [1] * 200 + [3] * 1500 + [9] * 1500:
+        page = "".join(rnd.choice(pieces) for _ in range(size))
+        assert told(files._Record, page) == told(Whole, page), page
+    page = '<h2>Patent Citations</h2><table><tr><td a="&amp;">x &amp; <span itemprop=\'publicationNumber\'>US1</span></td></tr></table>cut <b'
+    want = told(Whole, page)
+    monkeypatch.setattr(HTMLParser, "feed", None)
+    assert told(files._Record, page) == want == (None, {}, [("Patent Citations", True, "x & US1"), ("Patent Citations", False, "cut")], [("Patent Citations", "US1")])
+
+
 def test_few_bytes_of_titles_are_many_tasks(spark):
     titles = spark.createDataFrame([(f"title of a paper number {i}", str(i).encode()) for i in range(40)], "title string, key binary").coalesce(1)
     for made in (matching._windows(titles), matching._sketched(titles)):
