@@ -63,6 +63,38 @@ def test_repeats_stay_where_they_do_not_matter(spark):
     assert sorted(r["node"] for r in graph.ends(all_of, "src", "dst").collect()) == ["x:1", "y:2"]
 
 
+def test_seldom_repeats_are_told_apart_after_the_shuffle(spark):
+    rows = spark.createDataFrame([(1, 2, "x", 5.0), (1, 2, "x", None), (1, 3, "x", 9.0), (None, 3, "y", 9.0), (1, None, "y", 9.0), (1, 2, None, 1.0)], "a int, b bigint, s string, v double")
+    x, y, z = ("x", "a"), ("y", "b"), ("z", "s")
+    specs = [
+        project.Edge("E", "t", x, y, repeats=True, seldom=True), project.Edge("F", "t", x, y, where="v > 4", repeats=True, seldom=True),
+        project.Edge("G", "t", x, z, repeats=True), project.Edge("H", "t", y, z, where="v > 8"),
+    ]
+    got = project.edges(lambda _: rows, specs)
+    want = [("x:1", "y:2", "E"), ("x:1", "y:2", "F"), ("x:1", "y:3", "E"), ("x:1", "y:3", "F"), ("x:1", "z:x", "G"), ("x:1", "z:y", "G"), ("y:3", "z:x", "H"), ("y:3", "z:y", "H")]
+    assert sorted(map(tuple, got.collect())) == want and got.columns == ["src", "dst", "type"]
+    # only pairs that often repeat are put together in front of a shuffle, and keys are shuffled bare, not as ids
+    plan = project.edges(lambda _: rows, specs[:2])._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan.split("Exchange", 1)[1] and "x:" not in plan.split("Exchange", 1)[1] and plan.count("Exchange") == 1
+    plan = project.edges(lambda _: rows, specs[2:3])._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" in plan.split("Exchange", 1)[1]
+    # nothing in the plan that Spark doesn't compile
+    assert "filter(array" not in project.edges(lambda _: rows, specs, once=False)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_types_of_several_projections_are_edges_once(spark):
+    rows = spark.createDataFrame([(1, 1, "1", 5), (1, 1, "1", 5), (2, 1, "2", 7)], "a int, b bigint, s string, v int")
+    x, y, also = ("x", "a"), ("y", "b"), ("x", "s")
+    some = lambda **k: [project.Edge("E", "t", x, y, where="v < 6", **k), project.Edge("E", "t", x, y, where="v > 4", **k), project.Edge("E", "t", also, y, **k)]
+    want = [("x:1", "y:1", "E"), ("x:2", "y:1", "E")]
+    for k in ({"repeats": True}, {"repeats": True, "seldom": True}):
+        assert sorted(map(tuple, project.edges(lambda _: rows, some(**k)).collect())) == want
+    # more types between two columns than one number has bits for
+    many = [project.Edge(f"T{i}", "t", x, y, where=f"v > {i % 6}", repeats=True, seldom=True) for i in range(150)]
+    got = project.edges(lambda _: rows, many).collect()
+    assert len(got) == len(set(got)) == 275 and {r["type"] for r in got} == {e.type for e in many}
+
+
 def test_a_year_beyond_the_window_is_many_pages():
     class Service:
         held = sorted({k * k for k in range(1000)} | set(range(300)))
