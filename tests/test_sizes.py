@@ -1,9 +1,13 @@
 """What must not grow with the input: batches, repeated work, single tasks."""
 
+import difflib
+import random
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from veridra.functions import scalars
-from veridra.operators import graph, linking, organisations, project
+from veridra.operators import graph, linking, matching, organisations, project
 from veridra.sources import paged
 
 
@@ -108,3 +112,43 @@ def test_a_year_beyond_the_window_is_many_pages():
     got = [k for p in pages for k in [k for k in s.held if p.keys[0] < k <= p.keys[1]][p.offset : p.offset + p.limit]]
     assert got == s.held and len(pages) > len(s.held) / 10
     assert paged.plan(s, 2000, 2000, 10, 100) == [paged.Page(2000, 2000, 10, None)]
+
+
+def test_pairs_of_titles_that_bounds_rule_out_stay_in_their_task(spark):
+    rnd = random.Random(3)
+    words = ["virus", "entry", "study", "of", "cell", "model", "mice", "host", "human", "trial"]
+    titles = [(" ".join(rnd.sample(words, 10)), str(i).encode()) for i in range(80)]
+    sides = [spark.createDataFrame(titles[n::2], "title string, key binary") for n in (0, 1)]
+    # the same letters and words in another order: counts tell none apart, so the pairs were all written and joined with their titles
+    assert matching.title_candidates(*sides, 0.85).count() < 40
+    # runs of letters are only shuffled where a shorter title looks for them
+    held = matching._windows(sides[0], np.zeros(64, np.int64))
+    assert held.count() == 0 and matching._windows(sides[0]).count() > 1000
+
+
+def test_no_long_title_is_lost(spark):
+    rnd = random.Random(8)
+    words = ["".join(rnd.choice("etaoinsh") for _ in range(rnd.randint(1, 9))) + rnd.choice(["", "", "", "q", "z", "j7"]) for _ in range(40)]
+    base = [" ".join(rnd.choice(words) for _ in range(n)) for n in (20, 40, 42, 45, 60, 200, 420)]
+
+    def spoiled(t):
+        t = list(t)
+        for _ in range(rnd.randint(0, max(3, len(t) // 40))):
+            i = rnd.randrange(len(t))
+            t[i : i + rnd.randint(0, 2)] = rnd.choice(["x", "", "e", "ta"])
+        return "".join(t)
+
+    left, right = ([spoiled(t) for t in base for _ in range(6)] for _ in range(2))
+    left += [t[: len(t) * 9 // 10] for t in base]
+    right += [t[20:60] for t in base]
+    a = spark.createDataFrame(list(enumerate(left)), "l int, title string")
+    b = spark.createDataFrame(list(enumerate(right)), "r int, title string")
+
+    def ratio(x, y):
+        short, long = sorted((x, y), key=len)
+        return 1.0 if len(short) >= 20 and short in long else difflib.SequenceMatcher(None, x, y).ratio()
+
+    want = {(i, j): round(s, 6) for i, x in enumerate(left) for j, y in enumerate(right) if round(s := ratio(x, y), 6) >= 0.7}
+    got = {(r["l"], r["r"]): r["score"] for r in matching.fuzzy_title_pairs(a, b, 0.7).collect()}
+    assert got == want
+    assert sum(s < 1 and len(left[i]) >= 200 for (i, _), s in want.items()) > 20 and any(s < 1 and len(left[i]) > 1024 for (i, _), s in want.items())

@@ -18,6 +18,7 @@ from ..operators import matching as M
 from ..operators import organisations as O
 from ..operators import resolve as R
 from ..registry import Tables, query
+from ..session import stored
 from .link_queries import HITS, fields, vocabulary
 from .scalar_queries import DOCUMENTS, case_of, sql_over
 
@@ -310,10 +311,10 @@ def join_prefix_startswith(t):
 
 
 def _titles(t: Tables, odd: int, out: str) -> DataFrame:
-    """Distinct first sentences of half of the documents, each with its smallest id."""
-    title = S.norm_title(F.split_part("text", F.lit("."), F.lit(1)))
+    """Distinct first sentences of half of the documents, each with its smallest id; stored, as a text is only read for its first sentence."""
+    title = S.norm_title(F.substring_index("text", ".", 1))
     d = t.documents.select("doc_id", title.alias("title")).where((F.pmod("doc_id", F.lit(2)) == odd) & (F.col("title") != ""))
-    return d.groupBy("title").agg(F.min("doc_id").alias(out))
+    return stored(d.groupBy("title").agg(F.min("doc_id").alias(out)))
 
 
 @query()
