@@ -460,3 +460,23 @@ def test_antibodies_without_a_place_are_not_joined(spark):
 
     plan = entry.queries()["er_antibodies"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.startswith("Union")
+
+
+def test_contracts_are_resolved_by_the_beginning_of_their_keys(spark):
+    texts = [
+        (1, "by HHSN-272-2014-000580, 75n93020c00012."), (2, "HHSN261201500003I"), (3, "HHSN 2722014"), (4, "HHSN272201400058C, R01 AI051292"), (5, None),
+        (6, "HHSN272201400058X HHSN272201400058X"), (7, "75N93020C0001"), (8, "HHSN2722014000"),
+    ]
+    docs = spark.createDataFrame(texts, "doc int, text string")
+    awards = [
+        (1, "R01AI051292", "R01AI051292", "Trial"), (2, "x", "272201400058C-1", " Trial"), (3, None, "2722 01400058C/2", "trial "), (4, "x", "261201500003I-1", "A"),
+        (5, "x", "261201500003I-2", "B"), (6, "x", "75N93020C00012-0", None), (7, "x", "75N93020C00012-1", ""), (8, "x", None, "Trial"), (9, "x", "75N93020C00013", "C"),
+    ]
+    found = linking.grant_numbers(docs, "text").select("doc", "activity", "serial")
+    contracts = linking.contract_numbers(docs, "text").select("doc", "contract")
+    got = linking.resolve_grants(found, spark.createDataFrame(awards, "award int, core string, key string, title string"), contracts)
+    long, short, new = "HHSN-272-2014-000580", "HHSN272201400058", "75N93020C00012"
+    assert sorted(map(tuple, got.collect())) == [
+        (1, 2, long), (1, 3, long), (1, 6, new), (1, 7, new), (4, 1, "R01AI051292"), (4, 2, f"{short}C"), (4, 3, f"{short}C"), (6, 2, f"{short}X"), (6, 3, f"{short}X"),
+        (8, 2, "HHSN2722014000"), (8, 3, "HHSN2722014000"),
+    ]
