@@ -480,3 +480,20 @@ def test_contracts_are_resolved_by_the_beginning_of_their_keys(spark):
         (1, 2, long), (1, 3, long), (1, 6, new), (1, 7, new), (4, 1, "R01AI051292"), (4, 2, f"{short}C"), (4, 3, f"{short}C"), (6, 2, f"{short}X"), (6, 3, f"{short}X"),
         (8, 2, "HHSN2722014000"), (8, 3, "HHSN2722014000"),
     ]
+
+
+def test_pages_state_abstract_dates_and_citations(spark):
+    html = """<meta name="DC.description" content=""><meta name="DC.description" content=" A &amp;lt;
+    b"><time itemprop="filingDate" datetime="2001-02-03"></time><time itemprop="filingDate" datetime="1999-01-01"></time><time itemprop="x">y</time>
+    <span itemprop="publicationNumber">US1</span><table><tr itemprop="backwardReferencesOrig"><td><span itemprop="publicationNumber"> US2A1 </span> US3
+    <time itemprop="priorityDate" datetime="2000-01-01"></time></td></tr><tr itemprop="backwardReferences"><span itemprop="publicationNumber">US2A1</span><span itemprop="publicationNumber"></span></tr>
+    out<tr itemprop="forwardReferences"><span itemprop="publicationNumber">EP4</span></tr><tr><span itemprop="publicationNumber">EP5</span></tr></table>
+    <section itemprop="description">One. Funded <i>by</i> x; supported, in whole or in part, by AI1 &amp; co. Two"""
+    got = files.parse_pages(spark.createDataFrame([(1, html), (2, None), (3, "<p>a <a>b</a>")], "id long, html string"), "id", "html")
+    want = {
+        1: ("A < b", {"filingDate": "2001-02-03"}, ["US2A1"], ["EP4"], "Funded by x; supported, in whole or in part, by AI1 & co. Two"),
+        2: ("", {}, [], [], ""), 3: ("", {}, [], [], ""),
+    }
+    rows = got.collect()
+    assert {r["id"]: (r["abstract"], r["dates"], r["cites"], r["cited_by"], r["support"]) for r in rows} == want
+    assert {r["id"]: (r["links"], r["words"]) for r in rows if r["id"] > 1} == {2: (0, 0), 3: (1, 2)}
