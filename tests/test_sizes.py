@@ -2,12 +2,14 @@
 
 import difflib
 import random
+from types import SimpleNamespace
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from veridra.functions import scalars
-from veridra.operators import graph, linking, matching, organisations, project
+from veridra.operators import graph, joins, linking, matching, organisations, project
+from veridra.plans import relational_queries
 from veridra.sources import paged
 
 
@@ -152,3 +154,20 @@ def test_no_long_title_is_lost(spark):
     got = {(r["l"], r["r"]): r["score"] for r in matching.fuzzy_title_pairs(a, b, 0.7).collect()}
     assert got == want
     assert sum(s < 1 and len(left[i]) >= 200 for (i, _), s in want.items()) > 20 and any(s < 1 and len(left[i]) > 1024 for (i, _), s in want.items())
+
+
+def test_parts_of_a_set_travel_as_lists(spark):
+    names = ["red ring", "ring red", "red bolt", "Red", "blue ring hot", "old", None, ""]
+    rows = [(k * 7 if k % 50 else k, names[k % 8], f"b{k % 3}" if k % 31 else None) for k in range(1500)] + [(7, "red ring", "b1"), (None, "red ring", "b1")]
+    parts = spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string")
+    held = joins.listed(parts, ["p_brand", "p_name"], "p_partkey", most=20, ranges=3)
+    lists = held.collect()
+    assert sorted((r["p_brand"], r["p_name"], v) for r in lists if r["p_brand"] and r["p_name"] for v in r["values"]) == sorted((b, n, k) for k, n, b in rows if b and n and k is not None)
+    ends = [(min(v), max(v)) for n in range(3) if (v := [x for r in lists if r["range"] == n for x in r["values"]])]
+    assert len(ends) == 3 and ends[0][1] < ends[1][0] and ends[1][1] < ends[2][0]
+    assert joins.listed(parts.limit(0), ["p_brand"], "p_partkey").collect() == []
+    got = relational_queries.join_token_overlap(SimpleNamespace(part=parts))
+    some = [(k, frozenset(n.lower().split(" ")), b) for k, n, b in rows if k is not None and n is not None and b]
+    assert sorted(map(tuple, got.collect())) == sorted((i, j) for i, s, x in some for j, t, y in some if x == y and i < j and 2 * len(s & t) >= len(s))
+    # pairs are made above the join, which sees a row for each list and set it meets: 8 shares of lists, not of parts
+    assert got._jdf.queryExecution().optimizedPlan().toString().index("Generate explode") < got._jdf.queryExecution().optimizedPlan().toString().index("Join")
