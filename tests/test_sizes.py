@@ -5,11 +5,13 @@ import random
 from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from veridra.functions import scalars
 from veridra.operators import graph, joins, linking, matching, organisations, project
-from veridra.plans import relational_queries
+from veridra.plans import ingest_queries, relational_queries
 from veridra.sources import paged
 
 
@@ -171,3 +173,45 @@ def test_parts_of_a_set_travel_as_lists(spark):
     assert sorted(map(tuple, got.collect())) == sorted((i, j) for i, s, x in some for j, t, y in some if x == y and i < j and 2 * len(s & t) >= len(s))
     # pairs are made above the join, which sees a row for each list and set it meets: 8 shares of lists, not of parts
     assert got._jdf.queryExecution().optimizedPlan().toString().index("Generate explode") < got._jdf.queryExecution().optimizedPlan().toString().index("Join")
+
+
+def test_a_page_reads_the_row_groups_it_stands_in(tmp_path, monkeypatch):
+    held = {2000: list(range(0, 300, 3)), 2001: [], 2002: [5, 7, 7, 7, *range(8, 90)]}
+    for year, keys in held.items():
+        for n, part in enumerate((keys[:47], keys[47:])):
+            if part:
+                (tmp_path / f"year={year}").mkdir(exist_ok=True)
+                table = pa.table({"o_orderkey": pa.array(part, pa.int64()), "o_custkey": pa.array(part, pa.int64()), "o_totalprice": pa.array(part, pa.float64())})
+                pq.write_table(table, tmp_path / f"year={year}" / f"{n}.parquet", row_group_size=10)
+    shelf = ingest_queries.Shelf(str(tmp_path), {y: len(k) for y, k in held.items()} | {None: 3})
+    keys = lambda *a, **k: paged.patiently(lambda: shelf.page(*a, **k), 2, 0.0).column("o_orderkey").to_pylist()
+    every = [k for y in sorted(held) for k in held[y]]
+    for offset in range(0, 200, 7):
+        assert keys(2000, 2002, 23, offset) == every[offset : offset + 23]
+    for after in range(-2, 95, 3):
+        for most in (after, after + 1, after + 40, 400):
+            between = [k for k in held[2002] if after < k <= most]
+            assert shelf.count(2002, 2002, after=after, most=most) == len(between)
+            assert keys(2002, 2002, 9, 4, after=after, most=most) == between[4:13]
+        assert keys(2002, 2002, 9, after=after) == [k for k in held[2002] if k > after][:9]
+    assert shelf.count(2000, 2001) == 100 and shelf.count(2001, 2001, after=0, most=9) == 0 and keys(2001, 2001, 5) == []
+    read = []
+    monkeypatch.setattr(ingest_queries, "_group", lambda path, year, n, f=ingest_queries._group: read.append(n) or f(path, year, n))
+    assert keys(2000, 2000, 8, 55) == held[2000][55:63] and len(set(read)) == 2
+
+
+def test_neighbouring_pages_are_one_task(spark):
+    pages = [paged.Page(2000, 2000, 5, at, (0, 9)) for at in range(0, 35, 5)] + [paged.Page(2000, 2000, 5, at, (9, 20)) for at in (0, 5)] + [paged.Page(2001, 2001, 5, None)] * 2
+    got = paged.together(pages, 3)
+    assert [p for part in got for p in part.pages] == pages and [len(part.pages) for part in got] == [3, 3, 1, 2, 1, 1]
+
+    class Service:
+        def count(self, low, high):
+            return 4000
+
+        def page(self, low, high, limit, offset=0, after=None):
+            return pa.RecordBatch.from_pydict({"id": pa.array(range(offset, min(4000, offset + limit)), pa.int64())})
+
+    df = paged.read_paged(spark, Service(), "id long", "id", 2000, 2000, size=10)
+    assert sorted(r["id"] for r in df.collect()) == list(range(4000))
+    assert spark.sparkContext.defaultParallelism <= df.rdd.getNumPartitions() <= 400 // 2

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import io
 import zipfile
+from bisect import bisect_right
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import accumulate
 from typing import Any
 from xml.sax.saxutils import escape
 
@@ -24,10 +26,38 @@ from ..streaming import ingest
 RECORD = "o_orderkey long, o_custkey long, o_totalprice double"
 
 
+@dataclass
+class Year:
+    """Row groups of a year in order of key, the first and last key of each, and how many records stand before it; one more number than groups."""
+
+    groups: list[ds.ParquetFileFragment]
+    first: list[int]
+    last: list[int]
+    before: list[int]
+
+
 @lru_cache(maxsize=4)
-def _files(path: str) -> ds.Dataset:
-    """The files below a folder, listed once a process."""
-    return ds.dataset(path, partitioning="hive")
+def _years(path: str) -> dict[int, Year]:
+    """The row groups below a folder, listed once a process."""
+    found: dict[int, list[tuple]] = {}
+    for f in ds.dataset(path, partitioning="hive").get_fragments():
+        year = ds.get_partition_keys(f.partition_expression)["year"]
+        for part in f.split_by_row_group() if year is not None else ():
+            (group,) = part.row_groups
+            if group.num_rows:
+                ends = group.statistics["o_orderkey"]
+                found.setdefault(year, []).append((ends["min"], ends["max"], group.num_rows, part))
+    out = {}
+    for year, groups in found.items():
+        groups.sort(key=lambda g: g[:2])
+        out[year] = Year([g[3] for g in groups], [g[0] for g in groups], [g[1] for g in groups], [0, *accumulate(g[2] for g in groups)])
+    return out
+
+
+@lru_cache(maxsize=4)
+def _group(path: str, year: int, n: int) -> pa.Table:
+    """One row group; pages that are asked for one after another share it."""
+    return _years(path)[year].groups[n].to_table(columns=["o_orderkey", "o_custkey", "o_totalprice"], use_threads=False)
 
 
 @dataclass
@@ -38,32 +68,38 @@ class Shelf:
     counts: dict[int, int]
     asked: set = field(default_factory=set)
 
+    def upto(self, year: int, key: int | None) -> int:
+        """Records of a year whose key is no greater; only the row group that the key stands in is read."""
+        y = _years(self.path).get(year)
+        if y is None or key is None:
+            return 0 if y is None else y.before[-1]
+        n = bisect_right(y.first, key) - 1
+        if n < 0 or key >= y.last[n]:
+            return y.before[n + 1]
+        return y.before[n] + bisect_right(_group(self.path, year, n).column("o_orderkey").to_numpy(), key)
+
     def count(self, low: int, high: int, after: int | None = None, most: int | None = None) -> int:
         if most is None:
-            return sum(n for y, n in self.counts.items() if low <= y <= high)
-        year, key = ds.field("year"), ds.field("o_orderkey")
-        return _files(self.path).count_rows(filter=(year >= low) & (year <= high) & (key > after) & (key <= most))
+            return sum(n for y, n in self.counts.items() if y is not None and low <= y <= high)
+        return sum(self.upto(y, most) - self.upto(y, after) for y in range(low, high + 1))
 
     def page(self, low: int, high: int, limit: int, offset: int = 0, after: Any = None, most: int | None = None) -> pa.RecordBatch:
         if offset // limit % 4 == 3 and (low, offset) not in self.asked:
             self.asked.add((low, offset))
             raise paged.Busy
-        year, place = ds.field("year"), ds.field("place")
-        wanted = (year >= low) & (year <= high)
-        if after is not None:
-            wanted &= ds.field("o_orderkey") > after
-            if most is not None:
-                wanted &= ds.field("o_orderkey") <= most
-        else:
-            # places run from 1 through each year, and years follow one another
-            part, before = None, 0
-            for y in sorted(y for y in self.counts if low <= y <= high):
-                mine = (year == y) & (place > offset - before) & (place <= offset + limit - before)
-                part, before = mine if part is None else part | mine, before + self.counts[y]
-            wanted = part if part is not None else wanted
-        skip = 0 if after is None else offset
-        table = _files(self.path).scanner(columns=["o_orderkey", "o_custkey", "o_totalprice"], filter=wanted).head(skip + limit).slice(skip)
-        batches = table.combine_chunks().to_batches()
+        found, years = [], _years(self.path)
+        for y in sorted(y for y in years if low <= y <= high):
+            start = 0 if after is None else self.upto(y, after)
+            end = self.upto(y, most)
+            at, end, offset = start + offset, min(end, start + offset + limit), max(0, offset - (end - start))
+            limit -= max(0, end - at)
+            while at < end:
+                n = bisect_right(years[y].before, at) - 1
+                part = _group(self.path, y, n).slice(at - years[y].before[n], end - at)
+                found.append(part)
+                at += part.num_rows
+        table = pa.concat_tables(found).combine_chunks() if found else pa.table({"o_orderkey": pa.array([], pa.int64()), "o_custkey": pa.array([], pa.int64()), "o_totalprice": pa.array([], pa.float64())})
+        batches = table.to_batches()
         return batches[0] if batches else pa.RecordBatch.from_pylist([], schema=table.schema)
 
 
@@ -71,9 +107,10 @@ class Shelf:
 def scan_api_paged(t):
     """Orders behind a service that serves 500 records a page and no more than 15,000 a range of years."""
     rows = t.orders.select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("double").alias("o_totalprice"), F.year("o_orderdate").alias("year"))
-    placed = R.places(rows, "year", ["o_orderkey"], "place")
     path = scratch(t.spark)
-    placed.repartitionByRange("year", "o_orderkey").sortWithinPartitions("year", "o_orderkey").write.partitionBy("year").parquet(path)
+    # small row groups, as a page is a small part of one
+    held = rows.repartitionByRange("year", "o_orderkey").sortWithinPartitions("year", "o_orderkey")
+    held.write.partitionBy("year").option("parquet.block.size", 1 << 20).parquet(path)
     # one number a year
     counts = {r["year"]: r["n"] for r in rows.groupBy("year").agg(F.count("*").alias("n")).collect()}
     years = [y for y in counts if y is not None]

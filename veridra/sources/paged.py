@@ -1,4 +1,4 @@
-"""Reading a paged service as a data source: one partition a page, planned from counts.
+"""Reading a paged service as a data source: a few pages of one range a partition, planned from counts.
 
 A service answers two requests: how many records a range of years holds, and one page of them.
 It refuses to page past a window. So the reader asks for the count of the whole range first and
@@ -63,6 +63,29 @@ class Page(InputPartition):
     keys: tuple[int, int] | None = None
 
 
+#: Pages that one partition asks for at most.
+TOGETHER = 16
+
+
+@dataclass
+class Pages(InputPartition):
+    """Pages that are asked for one after another."""
+
+    pages: list[Page]
+
+
+def together(pages: list[Page], most: int = TOGETHER) -> list[Pages]:
+    """Neighbours of one range by offset, up to `most` a partition; a task a page would cost more than the page."""
+    out: list[Pages] = []
+    for p in pages:
+        held = out[-1].pages if out else []
+        if held and len(held) < most and p.offset is not None and held[0].offset is not None and (p.low, p.high, p.keys) == (held[0].low, held[0].high, held[0].keys):
+            held.append(p)
+        else:
+            out.append(Pages([p]))
+    return out
+
+
 def plan(service: Service, low: int, high: int, size: int, window: int, tries: int = 5, pause: float = 0.5, keys: tuple[int, int] | None = None) -> list[Page]:
     """Pages that hold every record of the years once; as many count requests as parts, twice at most.
 
@@ -96,15 +119,21 @@ def read_paged(
 
     key is the column that pages are in order of; it tells where to go on in a year beyond the window,
     which one task walks unless keys (whole numbers, the first and the last there may be) are given.
-    Pages are read when the frame is, at most once a task; no page gives no rows.
+    Pages are read when the frame is, a few by each task; no page gives no rows.
     """
-    name = f"paged_{uuid.uuid4().hex}"
+    name, cores = f"paged_{uuid.uuid4().hex}", 4 * spark.sparkContext.defaultParallelism
 
     class Reader(DataSourceReader):
-        def partitions(self) -> list[Page]:
-            return plan(service, low, high, size, window, tries, pause, keys) or [Page(low, high, 0, 0)]
+        def partitions(self) -> list[Pages]:
+            # as many tasks as there are cores, if there are pages for them
+            pages = plan(service, low, high, size, window, tries, pause, keys)
+            return together(pages, max(1, min(TOGETHER, len(pages) // cores))) or [Pages([Page(low, high, 0, 0)])]
+
+        def read(self, parts: Pages) -> Iterator[pa.RecordBatch]:
+            for part in parts.pages:
+                yield from self.one(part)
 
-        def read(self, part: Page) -> Iterator[pa.RecordBatch]:
+        def one(self, part: Page) -> Iterator[pa.RecordBatch]:
             if not part.limit:  # no records at all
                 return
             if part.offset is not None:
